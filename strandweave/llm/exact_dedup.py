@@ -30,7 +30,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
     sig = rows.select("id", "h", F.char_length("text").cast("long").alias("n_cp"), F.sha2("norm", 256).alias("sha"), F.monotonically_increasing_id().alias("rid"))
     sig = materialize(sig, "dedup-sig")
     best = F.min(F.struct((-F.col("n_cp")).alias("o"), F.col("id").isNull().alias("e"), "id", "rid")).alias("best")
-    per_hash = sig.groupBy("h").agg(best, F.count("*").alias("group_size"))
+    per_hash = materialize(sig.groupBy("h").agg(best, F.count("*").alias("group_size")), "dedup-best")
     clash = collisions(rows.select("h", "norm"), per_hash.where("group_size > 1").select("h"))
     if clash is None:
         out = sig.join(per_hash, "h")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, sharding, simhash
+from . import bpe, chat, exact_dedup, hnsw, line_dedup, mixing, quality, secret_scan, sharding, simhash
 from .common import materialize
 
 #: Place of the rank file; a parameter of the operators.
@@ -23,6 +23,20 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def op1_chat_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    read = chat.unpack(chat.pack(rows))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op2_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -34,6 +48,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
+def op5_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(utf8(F.col("text")), 256).alias("kept_sha256"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
@@ -46,6 +65,17 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    models = secret_scan.train(secret_scan.samples(docs, "doc_id", "text"))
+    found = secret_scan.scan(docs, models).select("doc_id", "spans")
+    names = F.array(*(F.lit(k) for k in ("assign", "access", "hex", "random")))
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(line(base), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(utf8(text)).alias("text_crc32"))
@@ -66,16 +96,33 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_prefix_tree": op1_chat_prefix_tree,
+    "op2_hnsw_search": op2_hnsw_search,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_line_winnowing": op5_line_winnowing,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
     "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_prefix_tree": r"""
+        WITH t AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+          UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(20 + length(role) + length(text)
+                        + len(regexp_extract_all(role || chr(10) || text, '\\|</?s>|\[/?INST\]'))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
     "op3_exact_dedup": r"""
         WITH t AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm, length(coalesce(text, '')) AS n_cp
