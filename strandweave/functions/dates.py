@@ -36,10 +36,13 @@ def parse_loose_date(raw: Column) -> Column:
     month may be ?), ISO and numeric dates, of which day comes first unless only month first is possible. Weekdays,
     quarters, seasons, months alone, two years and days the calendar lacks are rejected.
     """
-    s = F.regexp_replace(strip(raw), "^['\"]+", "")
-    s = strip(F.regexp_replace(s, "[,.;:'\"]+\\s*$", ""))
-    s = F.regexp_replace(s, r"\s+", " ")
+    t = F.regexp_replace(strip(raw), "^['\"]+", "")
+    t = strip(F.regexp_replace(t, "[,.;:'\"]+\\s*$", ""))
+    # a lambda's variable is computed once, where a column used in every branch would be repeated there
+    return F.get(F.transform(F.array(F.regexp_replace(t, r"\s+", " ")), _read_date), F.lit(0))
 
+
+def _read_date(s: Column) -> Column:
     def part(pattern: str, group: int) -> Column:
         return F.regexp_extract(s, pattern, group)
 

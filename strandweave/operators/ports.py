@@ -59,7 +59,7 @@ def display_order(merged: DataFrame) -> DataFrame:
     """
     group = Window.partitionBy("parent", "category")
     dated = text_or_empty(F.col("date")) != ""
-    order = group.orderBy(dated, F.when(dated, loose_date_sort_key(F.col("date"))), F.col("role") == "clone", "machine", "row_no")
+    order = group.orderBy(dated, F.when(dated, loose_date_sort_key(F.col("date"))), F.col("role") == "clone", "machine", "row_no", "platform", "title", "comment", "publisher")
     roles = F.size(F.collect_set("role").over(group))
     return merged.withColumn("mixed", roles > 1).withColumn("place", F.row_number().over(order))
 

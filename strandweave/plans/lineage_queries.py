@@ -161,7 +161,7 @@ def port_line_text(v: Views):
     "ports_display_order",
     f"""WITH f AS ({FAMILY}), r AS (SELECT f.parent, f.role, p.*, count(DISTINCT f.role) OVER (PARTITION BY f.parent, p.category) > 1 AS mixed FROM ({VALID}) p JOIN f ON p.machine = f.machine),
         t AS (SELECT *, 'This GH port entry is based on the MAME ' || role || ' ' || machine || '.' AS told, replace(date, 'X', '0') AS d FROM r)
-        SELECT parent, category, CAST(row_number() OVER (PARTITION BY parent, category ORDER BY date <> '', d, role = 'clone', machine, row_no) AS INT) AS place,
+        SELECT parent, category, CAST(row_number() OVER (PARTITION BY parent, category ORDER BY date <> '', d, role = 'clone', machine, row_no, platform, title, comment, publisher) AS INT) AS place,
                {LINE} || CASE WHEN mixed THEN ' : ' || CASE WHEN comment = '' THEN told WHEN comment LIKE '%!' THEN comment || ' ' || told ELSE comment || '. ' || told END WHEN comment <> '' THEN ' : ' || comment ELSE '' END AS line FROM t""",
 )
 def ports_display_order(v: Views):
