@@ -8,6 +8,7 @@ from ..functions import text
 from ..operators import quality_rules as R
 from ..sources import files as S
 from ..sources import tables as B
+from ..sources.scratch import scratch_path
 from .views import Views, query
 
 _INI_LINES = """SELECT list AS path, ordinal * 2 AS line_no, CASE WHEN ordinal % 40 = 0 THEN '[FOLDER_SETTINGS]' ELSE '[ ' || section || '  ]' END AS line FROM v_ini
@@ -189,3 +190,82 @@ def archive_identity(v: Views):
 @query("source_shape", "SELECT bool_or(cloneof IS NULL) AS has_parent, bool_or(cloneof IS NOT NULL) AS has_clone, bool_or(description IS NOT NULL) AS has_titles FROM v_machines")
 def source_shape(v: Views):
     return v.machines.agg(F.bool_or(F.col("cloneof").isNull()).alias("has_parent"), F.bool_or(F.col("cloneof").isNotNull()).alias("has_clone"), F.bool_or(F.col("description").isNotNull()).alias("has_titles"))
+
+
+#: Elements of a written file, about.
+FILE_ROWS = 500
+
+
+def written(v: Views, name: str, elements, root: str) -> str:
+    """Write XML elements (one column) to the shared folder, some hundreds to a file under one root; returns the path."""
+    path = scratch_path(v.spark, name)
+    column = elements.columns[0]
+    parts = max(1, elements.count() // FILE_ROWS)
+    some = elements.withColumn("part", F.pmod(F.xxhash64(column), F.lit(parts))).groupBy("part")
+    whole = some.agg(F.concat(F.lit(f"<{root}>"), F.concat_ws("", F.collect_list(column)), F.lit(f"</{root}>")).alias("value"))
+    whole.write.partitionBy("part").text(path)
+    return path + "/part=*"
+
+
+@query("scan_machine_xml", """SELECT name, cloneof, description, year, count(l.l_partkey) AS roms FROM v_machines m LEFT JOIN lineitem l ON m.name = 'p' || CAST(l.l_partkey AS STRING) AND l.l_linenumber < 3 GROUP BY 1, 2, 3, 4""")
+def scan_machine_xml(v: Views):
+    roms = v.table("lineitem").where("l_linenumber < 3").groupBy(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("name"))
+    roms = roms.agg(F.concat_ws("", F.collect_list(F.concat(F.lit('<rom name="r" size="'), F.col("l_suppkey").cast("string"), F.lit('"/>')))).alias("roms"))
+    safe = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    some = lambda c, shape: F.coalesce(F.format_string(shape, safe(c)), F.lit(""))
+    attribute = F.when(F.col("cloneof").isNull(), "").otherwise(F.format_string(' cloneof="%s"', "cloneof"))
+    text_of = F.when(F.col("description").isNull(), "").otherwise(some("description", "<description>%s</description>"))
+    element = F.concat(F.lit('<machine name="'), "name", F.lit('"'), attribute, F.lit(">"), text_of, some("year", "<year>%s</year>"), F.coalesce("roms", F.lit("")), F.lit("</machine>"))
+    path = written(v, "xml", v.machines.join(roms, "name", "left").select(element), "mame")
+    rows = S.scan_machine_xml(v.spark, path)
+    return rows.select("name", F.col("_cloneof").alias("cloneof"), "description", F.coalesce("year", F.lit("")).alias("year"), F.coalesce(F.size("rom"), F.lit(0)).cast("long").alias("roms"))
+
+
+@query("scan_entry_xml", "SELECT CASE c_custkey % 3 WHEN 0 THEN 'systems' WHEN 1 THEN 'software' ELSE 'unknown' END AS kind, CASE WHEN c_custkey % 3 = 0 THEN 'c' || CAST(c_custkey AS STRING) END AS primary_name, CASE WHEN c_custkey % 3 = 0 THEN 'alias' ELSE '' END AS aliases, c_name AS text FROM customer")
+def scan_entry_xml(v: Views):
+    k = F.col("c_custkey")
+    names = F.concat(F.lit('<systems><system name="c'), k.cast("string"), F.lit('"/><system name="alias"/></systems>'))
+    body = F.when(k % 3 == 0, names).when(k % 3 == 1, '<software><item list="a" name="b"/></software>').otherwise("")
+    path = written(v, "entries", v.table("customer").select(F.concat(F.lit("<entry>"), body, F.lit("<text>"), "c_name", F.lit("</text></entry>"))), "history")
+    return S.scan_entry_xml(v.spark, path).select("kind", "primary_name", F.array_join("aliases", "|").alias("aliases"), "text")
+
+
+@query("scan_keyed_json", "SELECT machine AS key, title, page FROM v_before")
+def scan_keyed_json(v: Views):
+    grouped = v.before.select("machine", "title", "page", F.pmod(F.xxhash64("machine"), F.lit(max(1, v.before.count() // FILE_ROWS))).alias("part"))
+    # objects of some hundred machines each, one to a file
+    objects = grouped.groupBy("part").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("machine", F.struct("title", "page"))))).alias("value"))
+    path = scratch_path(v.spark, "json")
+    objects.write.partitionBy("part").text(path)
+    return S.scan_keyed_json(v.spark, path + "/part=*", "struct<title:string,page:string>").select("key", "value.title", "value.page")
+
+
+@query("scan_zip_members", "SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS size, TRUE AS readable FROM documents")
+def scan_zip_members(v: Views):
+    def zipped(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for b in batches:
+            out = []
+            for doc_id, body in zip(b["doc_id"], b["text"], strict=True):
+                raw = io.BytesIO()
+                with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("text.xml", (body or "").encode())
+                out.append((str(doc_id), raw.getvalue()))
+            yield pd.DataFrame(out, columns=["archive", "bytes"])
+
+    archives = v.table("documents").select("doc_id", "text").mapInPandas(zipped, "archive string, bytes binary")
+    return S.zip_members(archives).select(F.col("archive").cast("long").alias("doc_id"), "size", "readable")
+
+
+@query("write_release_table", "SELECT 287 AS release, machine, title FROM v_after UNION ALL SELECT 286, machine, title FROM v_before WHERE page <> 'Page 2'")
+def write_release_table(v: Views):
+    path = scratch_path(v.spark, "release")
+    before, after = v.before.select("machine", "title", "page"), v.after.select("machine", "title", "page")
+    B.write_release_table(before, path, "286")
+    B.write_release_table(after, path, "287")
+    B.write_release_table(before.where("page <> 'Page 2'"), path, "286")  # replaces one release only
+    return v.spark.read.parquet(path).select(F.col("release").cast("int").alias("release"), "machine", "title")

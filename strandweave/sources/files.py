@@ -148,7 +148,11 @@ MEMBER = "archive string, member string, crc long, size long, modified string, i
 
 def scan_zip_members(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
     """Members of zip archives with their facts, whether their check sums hold and, if asked, their bytes."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), F.col("content").alias("bytes"))
+    return zip_members(spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), F.col("content").alias("bytes")), content)
+
+
+def zip_members(files: DataFrame, content: bool = False) -> DataFrame:
+    """The same for archives in a table (archive, bytes)."""
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
