@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: Texts longer than this many characters are encoded in parts, cut where a match of the pattern must end anyway.
 PART_CHARS = 1 << 16
 #: Rows handled together in a worker, so that a batch of long texts never stands beside all its ids.
@@ -65,7 +67,7 @@ def _mapped(df: DataFrame, source: str, target: str, kind: T.DataType, arrow: pa
                 made = pa.array(make(b.column(at)), arrow)
                 yield pa.RecordBatch.from_arrays([*b.columns[:at], made], names=[*kept, target])
 
-    return df.select(*(df[c] for c in kept), df[source].alias("_sw_in")).mapInArrow(run, schema)
+    return small_batches(df).select(*(df[c] for c in kept), df[source].alias("_sw_in")).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, rank_file: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 #: Control strings of the template; they never occur in escaped text.
 BEGIN, TEXT, CLOSE, END = "<s>", "[INST]", "[/INST]", "</s>"
 #: A packed sequence is closed when it holds so many characters or conversations.
@@ -102,7 +104,7 @@ def pack(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
     one pack, so one conversation at least. Hashes only order: turns are compared as they are. An empty table
     gives no packs; other columns are not read.
     """
-    lists = turn_lists(rows, conv_col, turn_col, role_col, text_col)
+    lists = turn_lists(small_batches(rows), conv_col, turn_col, role_col, text_col)
     kind = lists.schema["conv_id"].dataType
     keyed = T.StructType([*lists.schema.fields, T.StructField("key", T.BinaryType())])
 

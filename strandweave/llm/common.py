@@ -14,6 +14,9 @@ SPACES = " \t\n\x0b\x0c\r"
 #: A side is broadcast only up to this many estimated bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
 
+#: Rows of an Arrow batch of texts, at most.
+BATCH_ROWS = 512
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a local one is set only where the session names none (tests)."""
@@ -24,6 +27,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, for texts on their way to Python: batches of at most BATCH_ROWS rows from now on in this session, so that
+    neither side holds many texts at once. A smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and any executor can read it again."""
     path = f"{scratch_dir(df.sparkSession)}/sw-{name}-{uuid.uuid4().hex}"

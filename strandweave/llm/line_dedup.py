@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, small
+from .common import materialize, small, small_batches
 
 #: A run counts from this many words on.
 MIN_WORDS = 50
@@ -69,7 +69,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
                 yield pa.RecordBatch.from_arrays([b.column(0).take(took), b.column(1).take(took), *cols], names=schema.names)
 
     text = F.col(text_col).cast("string")
-    found = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), text.alias("text")).mapInArrow(run, schema)
+    found = small_batches(docs).select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), text.alias("text")).mapInArrow(run, schema)
     found = materialize(found, "lines-windows")
     again = found.where("new").groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
     seen = materialize(found.join(again, "mark", "left_semi").select("key", "id", "text_key", "first", "last"), "lines-marked")

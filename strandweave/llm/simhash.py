@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import golay
-from .common import connected_components, materialize, small
+from .common import connected_components, materialize, small, small_batches
 
 SEED = 42
 #: Fingerprints link up to this many differing bits; the keys and the words in between are made for 2.
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = [majority(shingle_hashes(words_of(t.as_py()), n)) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def bucket_keys(fps: DataFrame, cols: list[str]) -> DataFrame:
@@ -183,7 +183,7 @@ def views(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
             fps = [pa.array([m[k] for m in made], pa.int64()) for k in range(VIEWS)]
             yield pa.RecordBatch.from_arrays([b.column(0), *fps, pa.array(sketches, pa.list_(pa.int64()))], names=["id", *cols, "sketch"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def sketch_similarity(a: Column, b: Column) -> Column:
