@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_path
+
 #: White space as the text contracts define it: U+0020 and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 #: A side is broadcast only up to this many estimated bytes; beyond it the join shuffles.
@@ -18,15 +18,6 @@ BROADCAST_BYTES = 32 << 20
 BATCH_ROWS = 512
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one is set only where the session names none (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, for texts on their way to Python: batches of at most BATCH_ROWS rows from now on in this session, so that
     neither side holds many texts at once. A smaller setting stays."""
@@ -38,7 +29,7 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and any executor can read it again."""
-    path = f"{scratch_dir(df.sparkSession)}/sw-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
