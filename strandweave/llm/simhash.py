@@ -21,8 +21,8 @@ BITS = 2
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: A bucket with more candidate pairs than this is linked in linear time instead (``links``, ``similar_links``).
 PAIRS = 10_000
-#: Members of a large bucket that all the others are compared with in ``similar_links``.
-LEADERS = 8
+#: The same for ``similar_links``, where the members of a crowded bucket are compared with this many leaders.
+SIMILAR_PAIRS, LEADERS = 400, 3
 _STEP = 1 << 16
 
 
@@ -97,10 +97,10 @@ def bucket_keys(fps: DataFrame, cols: list[str]) -> DataFrame:
     return fps.mapInArrow(run, schema)
 
 
-def crowded(keys: DataFrame) -> DataFrame:
-    """Keys whose buckets hold more than PAIRS candidate pairs."""
+def crowded(keys: DataFrame, pairs: int) -> DataFrame:
+    """Keys whose buckets hold more than ``pairs`` candidate pairs."""
     n = keys.groupBy("key").agg(F.count(F.when(F.col("probe"), 1)).alias("p"), F.count(F.when(~F.col("probe"), 1)).alias("i"))
-    return n.where(F.col("p") * F.col("i") > PAIRS).select("key")
+    return n.where(F.col("p") * F.col("i") > pairs).select("key")
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -116,7 +116,7 @@ def links(fps: DataFrame) -> DataFrame:
     apart just when they share such a word, so no link is lost, and each row makes 65 rows whatever the group.
     """
     keys = bucket_keys(fps.select("fp"), ["fp"])
-    hot = materialize(crowded(keys), "simhash-hot")
+    hot = materialize(crowded(keys, PAIRS), "simhash-hot")
     n_hot = hot.count()
     cold = keys if not n_hot else keys.join(small(hot, n_hot, 32), "key", "left_anti")
     index = cold.where("not probe").select("key", F.col("fp").alias("a"))
@@ -193,22 +193,26 @@ def sketch_similarity(a: Column, b: Column) -> Column:
 
 
 def similar_links(sigs: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) pairs of row numbers whose shingle sets are at least ``similarity`` alike, found by shared Golay keys."""
+    """(a, b): pairs of row numbers whose shingle sets are at least ``similarity`` alike, found by shared Golay keys.
+
+    Rows whose index keys meet in a crowded bucket are compared with its leaders, the smallest row of each of LEADERS
+    hash classes, the same in every bucket as far as they can be: a group of n near copies makes some n pairs.
+    """
     cols = [c for c in sigs.columns if c.startswith("v")]
     keys = bucket_keys(sigs.select("rid", *cols), cols).select("rid", "key", "probe")
-    hot = materialize(crowded(keys), "similar-hot")
+    hot = materialize(crowded(keys, SIMILAR_PAIRS), "similar-hot")
     n_hot = hot.count()
     cold = keys if not n_hot else keys.join(small(hot, n_hot, 32), "key", "left_anti")
-    pairs = cold.where("not probe").select("key", F.col("rid").alias("a")).join(cold.where("probe").select("key", F.col("rid").alias("b")), "key")
+    pairs = cold.where("not probe").select("key", F.col("rid").alias("a")).join(cold.where("probe").select("key", F.col("rid").alias("b")), "key").select("a", "b")
     if n_hot:
-        packed = keys.join(small(hot, n_hot, 32), "key", "left_semi").select("key", "rid").distinct()
-        salted = packed.withColumn("salt", F.pmod(F.xxhash64("rid", "key"), F.lit(LEADERS)))
-        leaders = salted.groupBy("key", "salt").agg(F.min("rid").alias("a")).select("key", "a")
-        pairs = pairs.select("a", "b").union(leaders.join(packed.withColumnRenamed("rid", "b"), "key").select("a", "b"))
+        packed = keys.where("not probe").join(small(hot, n_hot, 32), "key", "left_semi").select("key", "rid", F.pmod(F.xxhash64("rid"), F.lit(LEADERS)).alias("salt"))
+        leaders = packed.groupBy("key", "salt").agg(F.min("rid").alias("a")).select("key", "a")
+        pairs = pairs.union(leaders.join(packed.select("key", F.col("rid").alias("b")), "key").select("a", "b"))
     pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one = sigs.select(F.col("rid").alias("a"), F.array(*cols).alias("fa"), F.col("sketch").alias("sa"))
     two = sigs.select(F.col("rid").alias("b"), F.array(*cols).alias("fb"), F.col("sketch").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").where(sketch_similarity(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
+    found = pairs.join(one, "a").join(two, "b").where(sketch_similarity(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
+    return found
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -218,7 +222,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     smallest hashes). Shingle sets that are 0.8 alike differ in about 10 of 64 SimHash bits, too many for segment
     keys; sets of words then differ in about 4. So VIEWS fingerprints of the words give the Golay keys, as in
     ``links``, and the shingle sketches verify. In a crowded bucket, rows are compared with LEADERS leaders, not
-    with each other. Rows without words (null and empty texts among them) have no shingles and are not near
+    with each other, so groups that only such a pair joins may stay apart. Rows without words (null and empty texts among them) have no shingles and are not near
     copies. Rows of one id share its fate. Null ids are kept.
     """
     sig = views(docs, id_col, text_col, n).where("size(sketch) > 0 and id is not null").withColumn("rid", F.monotonically_increasing_id())
