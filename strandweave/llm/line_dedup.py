@@ -71,7 +71,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     text = F.col(text_col).cast("string")
     found = small_batches(docs).select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), text.alias("text")).mapInArrow(run, schema)
     found = materialize(found, "lines-windows")
-    again = found.where("new").groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
+    # written first: a join of two tables is one whose skew Spark can split, a join with its own grouping is not
+    again = materialize(found.where("new").groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "lines-again")
     seen = materialize(found.join(again, "mark", "left_semi").select("key", "id", "text_key", "first", "last"), "lines-marked")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "first", "last")
     firsts = materialize(seen.groupBy("key").agg(F.min(place).alias("src"), F.count("*").alias("n")).where("n > 1").select("key", "src"), "lines-firsts")
