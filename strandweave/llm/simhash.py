@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,10 +20,8 @@ SEED = 42
 BITS = 2
 #: (lowest bit, length) of the segments of a 64-bit fingerprint; each fits a 23-bit Golay word.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-#: A bucket with more candidate pairs than this is linked in linear time instead (``links``, ``similar_links``).
+#: A bucket with more candidate pairs than this is linked in linear time instead (``links``).
 PAIRS = 10_000
-#: The same for ``similar_links``, where the members of a crowded bucket are compared with this many leaders.
-SIMILAR_PAIRS, LEADERS = 400, 3
 _STEP = 1 << 16
 
 
@@ -151,84 +150,120 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return sig.join(label, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# --- similarity of word shingles: wide fingerprints find candidates, sketches of shingle sets verify them ---
+# --- similarity of word shingles: an exact join of shingle sets on the hashes of their prefixes ---
 
-#: Independent 64-bit fingerprints of a document's distinct words, and shingle hashes kept for the verification.
-VIEWS, SKETCH = 4, 128
-_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+#: Hashes in this lowest share of their range are ordered by how many sets hold them; sets are told apart by those.
+LOW = 0.3
+#: A prefix hash with more sets than this is crowded, and so many rounds of leaders go before the rest of its pairs.
+CROWD, ROUNDS = 20, 4
 
 
-def mixed(hashes: np.ndarray, view: int) -> np.ndarray:
-    """Another 64-bit hash of each hash, for an independent fingerprint."""
-    x = hashes * np.uint64(_MIX[view])
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(_MIX[(view + 1) % len(_MIX)])
-    return x ^ x >> np.uint64(32)
+def prefix_size(n: int, similarity: float) -> int:
+    """Sets of n members and more that are ``similarity`` alike share one of this many first members in any order."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
 
 
-def views(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, v0.., sketch): fingerprints of the set of words, and the SKETCH smallest hashes of the set of n-word shingles."""
-    cols = [f"v{k}" for k in range(VIEWS)]
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in cols), T.StructField("sketch", T.ArrayType(T.LongType()))])
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: float, whole: bool = False) -> DataFrame:
+    """(id, node, size, prefix, hashes) of every row with words: a hash of its set of n-word shingles, the set's and its
+    prefix's size, and its hashes: all if ``whole``, else those in the LOW share of the range, or the prefix if longer."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("node", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("size", "prefix")), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    bound = np.uint64(int(LOW * 2**64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = xxhash.xxh64_intdigest
         for b in batches:
-            made, sketches = [], []
-            for t in b.column(1):
-                words = words_of(t.as_py())
-                own = np.array(sorted({h(w, SEED) for w in words}), dtype=np.uint64)
-                made.append([majority(mixed(own, k)) for k in range(VIEWS)])
-                sketches.append(np.unique(shingle_hashes(words, n))[:SKETCH].view(np.int64))
-            fps = [pa.array([m[k] for m in made], pa.int64()) for k in range(VIEWS)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *fps, pa.array(sketches, pa.list_(pa.int64()))], names=["id", *cols, "sketch"])
+            at, nodes, sizes, prefixes, hashes = [], [], [], [], []
+            for k, t in enumerate(b.column(1)):
+                own = np.unique(shingle_hashes(words_of(t.as_py()), n))
+                if not len(own):
+                    continue
+                at.append(k)
+                nodes.append(int(np.uint64(xxhash.xxh64_intdigest(own.astype("<u8").tobytes(), SEED)).view(np.int64)))
+                sizes.append(len(own))
+                prefixes.append(prefix_size(len(own), similarity))
+                hashes.append((own if whole else own[: max(int(np.searchsorted(own, bound)), prefixes[-1])]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.int32()), pa.array(hashes, pa.list_(pa.int64()))], names=schema.names)
 
     return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def sketch_similarity(a: Column, b: Column) -> Column:
-    """Jaccard similarity from the smallest hashes of both sets: exact for sets of SKETCH or fewer, else an estimate."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    return F.size(F.array_intersect(F.array_intersect(union, a), b)) / F.size(union)
+def shared_prefixes(sets: DataFrame) -> DataFrame:
+    """(node, size, lone, hash): the prefix hashes of each distinct set that another set has in its prefix too.
 
-
-def similar_links(sigs: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): pairs of row numbers whose shingle sets are at least ``similarity`` alike, found by shared Golay keys.
-
-    Rows whose index keys meet in a crowded bucket are compared with its leaders, the smallest row of each of LEADERS
-    hash classes, the same in every bucket as far as they can be: a group of n near copies makes some n pairs.
+    All sets take one order of hashes: those of the LOW share by the number of rows that hold them, the others after
+    them. A set with fewer of the LOW share than its prefix keeps its whole prefix. ``lone`` is the share of a set's
+    hashes that no other row holds.
     """
-    cols = [c for c in sigs.columns if c.startswith("v")]
-    keys = bucket_keys(sigs.select("rid", *cols), cols).select("rid", "key", "probe")
-    hot = materialize(crowded(keys, SIMILAR_PAIRS), "similar-hot")
-    n_hot = hot.count()
-    cold = keys if not n_hot else keys.join(small(hot, n_hot, 32), "key", "left_anti")
-    pairs = cold.where("not probe").select("key", F.col("rid").alias("a")).join(cold.where("probe").select("key", F.col("rid").alias("b")), "key").select("a", "b")
-    if n_hot:
-        packed = keys.where("not probe").join(small(hot, n_hot, 32), "key", "left_semi").select("key", "rid", F.pmod(F.xxhash64("rid"), F.lit(LEADERS)).alias("salt"))
-        leaders = packed.groupBy("key", "salt").agg(F.min("rid").alias("a")).select("key", "a")
-        pairs = pairs.union(leaders.join(packed.select("key", F.col("rid").alias("b")), "key").select("a", "b"))
-    pairs = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    one = sigs.select(F.col("rid").alias("a"), F.array(*cols).alias("fa"), F.col("sketch").alias("sa"))
-    two = sigs.select(F.col("rid").alias("b"), F.array(*cols).alias("fb"), F.col("sketch").alias("sb"))
-    found = pairs.join(one, "a").join(two, "b").where(sketch_similarity(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
+    every = sets.select("node", "size", "prefix", F.size("hashes").alias("kept"), F.explode("hashes").alias("hash"))
+    many = materialize(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "similar-many")
+    shared = materialize(every.join(many, "hash").distinct(), "similar-shared")
+    own = Window.partitionBy("node")
+    ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("n", "hash"))).withColumn("lone", F.col("kept") - F.count("*").over(own))
+    first = materialize(ranked.where("rank <= prefix - lone").select("node", "size", (F.col("lone") / F.col("kept")).alias("lone"), "hash"), "similar-first")
+    again = materialize(first.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "similar-again")
+    return materialize(first.join(again, "hash").select("node", "size", "lone", "hash", "n"), "similar-prefixes")
+
+
+def alike(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs (a, b) of nodes whose whole sets are at least ``similarity`` alike."""
+    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
+    one, two = whole.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), whole.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
+    both = F.size(F.array_intersect("ha", "hb"))
+    found = pairs.join(one, "a").join(two, "b").where(both / (F.size("ha") + F.size("hb") - both) >= similarity)
+    return materialize(found.select("a", "b"), "similar-alike")
+
+
+def similar_links(prefixes: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs of nodes at least ``similarity`` alike that join all such pairs into components.
+
+    The sets of a hash that few hold are all compared. In a crowded one, rounds of leaders come first: the set with the
+    fewest hashes of its own, outside the hash's largest component, is compared with all and leaves. Then every pair of
+    sets that are still in different components is compared, so none that could join two components is left out.
+    """
+    fits = lambda a, b: (F.least(a, b) >= F.greatest(a, b) * similarity - 1e-6)
+    side = lambda df, name: df.select("hash", F.col("node").alias(name), F.col("size").alias(f"n{name}"), *(F.col(c).alias(f"{c}{name}") for c in df.columns if c == "label"))
+    few = prefixes.where(F.col("n") <= CROWD)
+    pairs = side(few, "a").join(side(few, "b"), "hash").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb")))
+    found = alike(pairs, whole, similarity)
+    crowd = materialize(prefixes.where(F.col("n") > CROWD).drop("n"), "similar-crowd")
+    for k in range(ROUNDS + 1):
+        comp = connected_components(found, "similar-cc").withColumnRenamed("component", "label")
+        rows = materialize(crowd.join(comp, "node", "left").withColumn("label", F.coalesce("label", "node")), "similar-rows")
+        groups = rows.groupBy("hash", "label").agg(F.count("*").alias("m"))
+        main = materialize(groups.groupBy("hash").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("n")).where("n > main.m"), "similar-main")
+        size = main.agg(F.sum("n").alias("rows"), F.sum(F.col("n") * (F.col("n") - F.col("main.m"))).alias("pairs")).first()
+        if not size["rows"]:
+            break
+        rest = rows.join(main, "hash").where("label <> main.label").select(*rows.columns)
+        last = k == ROUNDS or size["pairs"] <= CROWD * size["rows"]
+        if not last:
+            lead = F.min(F.struct("lone", F.xxhash64("node").alias("_h"), "node", "size", "label")).alias("x")
+            rest = materialize(rest.groupBy("hash").agg(lead).select("hash", "x.node", "x.size", "x.label"), "similar-leaders")
+            crowd = materialize(crowd.join(rest.select("hash", "node"), ["hash", "node"], "left_anti"), "similar-crowd")
+        pairs = side(rest, "a").join(side(rows, "b"), "hash").where((F.col("labela") != F.col("labelb")) & fits(F.col("na"), F.col("nb")))
+        found = materialize(found.union(alike(pairs, whole, similarity)), "similar-found")
+        if last:
+            break
     return found
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies (the smallest id), all columns kept.
 
-    Near copies share at least ``similarity`` of their sets of n-word shingles (Jaccard, judged on the SKETCH
-    smallest hashes). Shingle sets that are 0.8 alike differ in about 10 of 64 SimHash bits, too many for segment
-    keys; sets of words then differ in about 4. So VIEWS fingerprints of the words give the Golay keys, as in
-    ``links``, and the shingle sketches verify. In a crowded bucket, rows are compared with LEADERS leaders, not
-    with each other, so groups that only such a pair joins may stay apart. Rows without words (null and empty texts among them) have no shingles and are not near
-    copies. Rows of one id share its fate. Null ids are kept.
+    Near copies share at least ``similarity`` of their sets of n-word shingles (Jaccard, judged on the whole sets). Two
+    such sets share a hash of their prefixes (``prefix_size``) in any one order of hashes, so all are found; SimHash
+    fingerprints of shingles that are 0.8 alike differ in about 10 of 64 bits, which no segment keys bridge. Equal sets
+    are one node. Whole sets are made again from the texts of those that share a prefix hash. Rows without words (null
+    and empty texts among them) have no shingles and are not near copies. Rows of one id share its fate. Null ids are kept.
     """
-    sig = views(docs, id_col, text_col, n).where("size(sketch) > 0 and id is not null").withColumn("rid", F.monotonically_increasing_id())
-    sig = materialize(sig, "similar-views")
-    comp = connected_components(similar_links(sig, similarity), "similar-cc")
-    named = comp.join(sig.select(F.col("rid").alias("node"), "id"), "node")
-    least = named.groupBy("component").agg(F.min("id").alias("least"))
+    sets = materialize(shingle_sets(docs, id_col, text_col, n, similarity).where("id is not null"), "similar-sets")
+    prefixes = shared_prefixes(sets)
+    nodes = materialize(sets.join(prefixes.select("node").distinct(), "node").groupBy("node").agg(F.min("id").alias("_sw_id")), "similar-nodes")
+    held = nodes.count()
+    some = docs.join(small(nodes.select("_sw_id"), held, 32), docs[id_col] == F.col("_sw_id"), "left_semi")
+    whole = shingle_sets(some, id_col, text_col, n, similarity, whole=True).join(small(nodes.select("node"), held, 32), "node", "left_semi")
+    whole = materialize(whole.groupBy("node").agg(F.first("hashes").alias("hashes")), "similar-whole")
+    comp = connected_components(similar_links(prefixes, whole, similarity), "similar-cc")
+    named = sets.select("id", "node").join(comp, "node", "left").select("id", F.coalesce("component", "node").alias("component"))
+    least = materialize(named.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("m")).where("m > 1"), "similar-least")
     gone = materialize(named.join(least, "component").where("id <> least").select(F.col("id").alias("_sw_id")).distinct(), "similar-out")
     return docs.join(small(gone, gone.count(), 32), docs[id_col] == F.col("_sw_id"), "left_anti")

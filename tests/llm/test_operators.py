@@ -343,6 +343,47 @@ def test_near_copies(spark, none, odd):
     assert simhash.drop_near_copies(odd).columns == odd.columns
 
 
+def near_copies_by_hand(docs: list[tuple], similarity: float) -> set:
+    """Ids that stay, by comparing the whole sets of five-word shingles of all pairs."""
+    sets = {i: set(simhash.shingle_hashes(simhash.words_of(t), 5).tolist()) for i, t in docs}
+    comp = components_by_hand([i for i in sets if sets[i]], lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9)
+    return {i for i in sets if comp.get(i, i) == i}
+
+
+def edited(rng: random.Random, words: list[str], times: int) -> str:
+    words = list(words)
+    for _ in range(times):
+        words[rng.randrange(len(words))] = sentence(rng, 1)
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 1])
+def test_near_copies_in_crowds_are_all_compared(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)  # 1: every shared hash takes the way of crowded ones
+    rng = random.Random(11)
+    common, base, docs = sentence(rng, 40), sentence(rng, 60).split(), []
+    docs += [f"{common} {sentence(rng, rng.randint(3, 60))}" for _ in range(60)]  # one passage in unrelated documents
+    docs += [edited(rng, base, rng.randint(0, 3)) for _ in range(60)]  # a group of copies, near and not so near
+    docs += [edited(rng, words, 1) for words in [f"{common} {sentence(rng, 30)}".split() for _ in range(10)] for _ in range(2)]
+    docs += ["few words", "Few  words", "few other words", ""]
+    rng.shuffle(docs)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in simhash.drop_near_copies(df).collect()} == near_copies_by_hand(list(enumerate(docs)), 0.8)
+
+
+def test_near_copies_are_judged_on_whole_sets(spark):
+    rng = random.Random(12)
+    docs = []
+    for size in (130, 180, 250, 600):  # about the limit: some pairs over 0.8, some under
+        for _ in range(12):
+            words = sentence(rng, size).split()
+            docs += [" ".join(words), edited(rng, words, round(size * 0.11 / 5) + rng.randint(-1, 1))]
+    want = near_copies_by_hand(list(enumerate(docs)), 0.8)
+    assert len(docs) / 2 < len(want) < len(docs)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in simhash.drop_near_copies(df).collect()} == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50 + i) for i in range(20)] + [(7, 7), (None, 3), (200, 201)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
