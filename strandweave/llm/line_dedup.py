@@ -46,13 +46,35 @@ def windows(lines: list[str], min_words: int) -> Iterator[tuple[int, int, int, b
         words -= own[at][2]
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def runs_from(lines: list[str], min_words: int, extend: bool) -> Iterator[tuple[int, int, int, bool, bytes]]:
+    """``windows``, and if ``extend`` also the longer runs from each window's first line, up to where the next window ends.
+
+    Of a repeated run, the windows inside repeat too, and so does the run from the last of them to its end, which is
+    one of those: it ends before the next window does. There are two runs a line or fewer.
+    """
+    found = list(windows(lines, min_words))
+    if not extend or not found:
+        yield from found
+        return
+    own = [(i, line.strip()) for i, line in enumerate(lines)]
+    own = [(i, xxhash.xxh128_digest(t.encode("utf-8", "surrogatepass"))) for i, t in own if t]
+    at = {i: k for k, (i, _) in enumerate(own)}
+    for k, (first, last, mark, new, key) in enumerate(found):
+        yield first, last, mark, new, key
+        end = at[found[k + 1][1]] if k + 1 < len(found) else len(own)
+        run = xxhash.xxh128(b"".join(d for _, d in own[k : at[last] + 1])) if end > at[last] + 1 else None
+        for j in range(at[last] + 1, end):
+            run.update(own[j][1])
+            yield first, own[j][0], mark, False, run.digest()
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
     """(id, text_key, runs): the intervals of lines (first, last) that repeat an earlier run, for documents with any.
 
     Earlier means in a document of smaller id (null ids last; of one id, of smaller text hash), or before, without
     overlap, in the same one. Repeated runs of whole lines with ``min_words`` words or more are all found: such a
-    run holds a window, equal windows select equal fingerprints, and the windows at its other lines extend the
-    match both ways. Most lines go after the first step, which counts fingerprints, a third of the lines or fewer;
+    run holds a window, and equal windows select equal fingerprints. The windows at its other lines extend the match
+    both ways as far as windows fit in; with ``extend``, ``runs_from`` adds what is left of it at the end. Most lines go after the first step, which counts fingerprints, a third of the lines or fewer;
     only windows with a repeated one are grouped by key. Counts and minima combine on the map side and a match
     is always with the first occurrence, so a passage in a third of all documents makes one row in each.
     """
@@ -62,7 +84,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 b = whole.slice(start, 512)
-                made = [(k, w) for k, t in enumerate(b.column(2)) for w in windows((t.as_py() or "").split("\n"), min_words)]
+                made = [(k, w) for k, t in enumerate(b.column(2)) for w in runs_from((t.as_py() or "").split("\n"), min_words, extend)]
                 took = pa.array([k for k, _ in made], pa.int32())
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
                 cols = [pa.array([w[c] for _, w in made], kind) for c, kind in enumerate(kinds)]
@@ -85,12 +107,12 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, extend: bool = False) -> DataFrame:
     """``docs`` with later repeated runs of lines deleted from the texts, and n_lines and n_removed (long; replaced
     if there). The other lines stay as they are, blank ones too; a document may become empty. Null text counts as
-    empty: one line, and stays null. Repeated rows are judged alike. An empty table stays empty.
+    empty: one line, and stays null. ``extend`` deletes runs to their last line, not only the windows in them. Repeated rows are judged alike. An empty table stays empty.
     """
-    gone = materialize(repeats(docs, id_col, text_col, min_words).select(F.col("id").alias("_sw_id"), F.col("text_key").alias("_sw_key"), F.col("runs").alias("_sw_runs")), "lines-runs")
+    gone = materialize(repeats(docs, id_col, text_col, min_words, extend).select(F.col("id").alias("_sw_id"), F.col("text_key").alias("_sw_key"), F.col("runs").alias("_sw_runs")), "lines-runs")
     size = gone.agg(F.count("*").alias("n"), F.sum(F.size("_sw_runs")).alias("m")).first()
     keys = docs[id_col].eqNullSafe(gone["_sw_id"]) & (text_key(docs[text_col]) == gone["_sw_key"])
     both = docs.join(small(gone, size["n"] + (size["m"] or 0), 40), keys, "left").drop("_sw_id", "_sw_key")

@@ -49,7 +49,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), extend=True)
     return out.select("doc_id", "n_lines", "n_removed", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(utf8(F.col("text")), 256).alias("kept_sha256"))
 
 

@@ -237,6 +237,41 @@ def test_line_dedup(spark, odd, none):
     assert line_dedup.drop_repeated_lines(none).count() == 0
 
 
+def maximal_repeats_by_hand(docs: list[tuple], min_words: int) -> dict:
+    """Lines in any run of ``min_words`` words or more that occurred earlier, by comparing lines one by one."""
+    out, before = {}, []
+    for key, text in docs:
+        own = [(i, t.strip()) for i, t in enumerate((text or "").split("\n")) if t.strip()]
+        out[key] = set()
+        for a in range(len(own)):
+            for other in [*before, own]:
+                for c in range(a if other is own else len(other)):
+                    n = words = 0
+                    while a + n < len(own) and c + n < (a if other is own else len(other)) and own[a + n][1] == other[c + n][1]:
+                        words += len(own[a + n][1].split())
+                        n += 1
+                    if words >= min_words:
+                        out[key] |= set(range(own[a][0], own[a + n - 1][0] + 1))
+        before.append(own)
+    return out
+
+
+def test_line_dedup_extends_to_the_end_of_runs(spark):
+    rng = random.Random(9)
+    pool = [sentence(rng, rng.randint(1, 9)) for _ in range(12)]
+    docs = [(i, "\n".join(rng.choice([*pool, "", "  "]) for _ in range(rng.randint(0, 30)))) for i in range(40)]
+    run = [sentence(rng, 60), sentence(rng, 6), sentence(rng, 3)]
+    docs += [(k, "\n".join([sentence(rng, 4), *run[:n], sentence(rng, 15)])) for k, n in ((50, 1), (51, 3), (52, 3), (53, 2))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(df.repartition(4), min_words=10, extend=True).collect()}
+    want = maximal_repeats_by_hand(docs, 10)
+    assert [len(want[k]) for k in (50, 51, 52, 53)] == [0, 1, 3, 2]
+    for i, t in docs:
+        lines = (t or "").split("\n")
+        assert got[i]["n_removed"] == len(want[i]), i
+        assert got[i]["text"] == "\n".join(x for k, x in enumerate(lines) if k not in want[i])
+
+
 # 6 tokens
 
 
