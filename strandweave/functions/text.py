@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,21 +107,53 @@ def finding_key(rule: Column, machine: Column, section: Column, source_text: Col
     return F.sha2(F.to_json(F.struct(machine.alias("machine"), rule.alias("rule_id"), section.alias("section"), source_text.alias("source_text"), value.alias("value"))), 256)
 
 
+def _code_char(code: Column) -> Column:
+    """The character of a numeric reference, by HTML's rules; a null code is one past all characters.
+
+    0x80 to 0x9F mean what Windows-1252 has there, surrogates, zero and codes past the last give U+FFFD, other
+    controls and the code points that Unicode keeps out of text give nothing.
+    """
+    legacy = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    table = F.create_map(*(F.lit(x) for pair in legacy.items() for x in pair))
+    control = ((code < 0x20) & ~code.isin(0x09, 0x0A, 0x0C, 0x0D)) | (code == 0x7F)
+    kept_out = code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    char = F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(code), 8, "0"))), "UTF-32")  # a byte order mark, then the code
+    bad = code.isNull() | (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    return F.when(bad, "\ufffd").when(code.between(0x80, 0x9F), F.element_at(table, code)).when(control | kept_out, "").otherwise(char)
+
+
 def unescape_html(c: Column) -> Column:
-    """Numeric entities and the five XML names decoded, &amp; last; other names stay."""
-    parts = F.split(c, r"(?=&#[xX]?[0-9a-fA-F]+;)", -1)
-
-    def one(p: Column) -> Column:
-        hexa, dec = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]+);", 1), F.regexp_extract(p, r"^&#([0-9]+);", 1)
-        rest = F.regexp_replace(p, r"^&#[xX]?[0-9a-fA-F]+;", "")
-        code = F.when(hexa != "", F.conv(hexa, 16, 10)).when(dec != "", dec).cast("int")
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(code.isNotNull(), F.concat(char, rest)).otherwise(p)
-
-    text = F.array_join(F.transform(parts, one), "")
-    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(ch))
-    return text
+    """Character references of HTML decoded in one pass from left to right; what isn't one stays, null stays null.
+
+    Names are those of Python's html.entities, looked up whole, else by their longest beginning that may go without a
+    semicolon (&notit; is &not and it;). What a reference gives is not decoded again.
+    """
+    table = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    bare = "|".join(sorted((n for n in html5 if n[-1] != ";"), key=len, reverse=True))
+
+    def first(value: Column, then) -> Column:  # a lambda's variable is computed once
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def numeric(piece: Column, pattern: str, base: int, most: int) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(piece, pattern, 1), "^0+(?=.)", "")
+        code = F.when(F.length(digits) <= most, F.conv(digits, base, 10).cast("int"))
+        return F.concat(first(code, _code_char), F.regexp_replace(piece, pattern, ""))
+
+    def named(piece: Column) -> Column:
+        def decoded(name: Column) -> Column:
+            start = F.regexp_extract(name, f"^(?:{bare})", 0)
+            rest = lambda n: F.substring(piece, F.length(n) + 1, F.length(piece))
+            whole = F.element_at(table, name)
+            return F.when(whole.isNotNull(), F.concat(whole, rest(name))).when(start != "", F.concat(F.element_at(table, start), rest(start))).otherwise(F.concat(F.lit("&"), piece))
+
+        return first(F.regexp_extract(piece, r"^[^\t\n\f <&#;]{1,32};?", 0), decoded)
+
+    decimal, hexa = r"^#([0-9]+);?", r"^#[xX]([0-9a-fA-F]+);?"
+
+    def one(piece: Column, at: Column) -> Column:
+        return F.when(at == 0, piece).when(piece.rlike(decimal), numeric(piece, decimal, 10, 7)).when(piece.rlike(hexa), numeric(piece, hexa, 16, 6)).otherwise(named(piece))
+
+    return F.array_join(F.transform(F.split(c, "&", -1), one), "")
 
 
 def unbalanced(c: Column, opening: str, closing: str) -> Column:
