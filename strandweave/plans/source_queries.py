@@ -115,9 +115,16 @@ def fingerprint_files(v: Views):
     return S.fingerprint_files(v.spark, f"{v.sf_dir}/lineitem.parquet").select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "size", "sha256")
 
 
-@query("write_release_document", """SELECT machine, '{"title":"' || title || '"' || CASE WHEN manufacturer IS NULL THEN '' ELSE ',"manufacturer":"' || manufacturer || '"' END || ',"page":"' || page || '","ports_display":"' || ports_display || '"}' AS json FROM v_after""")
+_DOCUMENT = """'{"machine":"' || machine || '","title":"' || title || '"' || CASE WHEN manufacturer IS NULL THEN '' ELSE ',"manufacturer":"' || manufacturer || '"' END || ',"page":"' || page || '","ports_display":"' || ports_display || '"}'"""
+
+
+@query("write_release_document", f"""SELECT 'header' AS part, '{{"schema_id":"catalogue","schema_version":"1","generated_at":"2026-01-17T14:56:26Z","versions":{{"machines":"0.287"}}}}' AS json UNION ALL SELECT 'record', {_DOCUMENT} FROM v_after""")
 def write_release_document(v: Views):
-    return B.release_documents(v.after)
+    path = scratch_path(v.spark, "document")
+    header = B.document_header("catalogue", "1", F.lit("2026-01-17 14:56:26").cast("timestamp"), {"machines": F.lit("0.287")})
+    B.write_release_document(v.after, path, header=header)
+    written = v.spark.read.text(f"{path}/header").select(F.lit("header").alias("part"), F.col("value").alias("json"))
+    return written.union(v.spark.read.text(f"{path}/records").select(F.lit("record"), "value"))
 
 
 @query("list_releases", "SELECT DISTINCT release FROM v_obs")
@@ -207,9 +214,9 @@ def written(v: Views, name: str, elements, root: str) -> str:
     return path + "/part=*"
 
 
-@query("scan_machine_xml", """SELECT name, cloneof, description, year, count(l.l_partkey) AS roms FROM v_machines m LEFT JOIN lineitem l ON m.name = 'p' || CAST(l.l_partkey AS STRING) AND l.l_linenumber < 3 GROUP BY 1, 2, 3, 4""")
+@query("scan_machine_xml", """SELECT name, cloneof, description, year, count(l.l_partkey) AS roms FROM v_machines m LEFT JOIN lineitem l ON m.name = 'p' || CAST(l.l_partkey AS STRING) GROUP BY 1, 2, 3, 4""")
 def scan_machine_xml(v: Views):
-    roms = v.table("lineitem").where("l_linenumber < 3").groupBy(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("name"))
+    roms = v.table("lineitem").groupBy(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("name"))
     roms = roms.agg(F.concat_ws("", F.collect_list(F.concat(F.lit('<rom name="r" size="'), F.col("l_suppkey").cast("string"), F.lit('"/>')))).alias("roms"))
     safe = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     some = lambda c, shape: F.coalesce(F.format_string(shape, safe(c)), F.lit(""))

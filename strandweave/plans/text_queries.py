@@ -74,7 +74,7 @@ PORT = f"""SELECT machine, line_no, line,
     CASE k WHEN 0 THEN 'Super Box' WHEN 1 THEN 'Home Computer' WHEN 4 THEN 'Handheld' WHEN 5 THEN 'Odd "quote' WHEN 6 THEN 'Odd bracket (1991' WHEN 7 THEN 'Console' WHEN 8 THEN 'Thing' WHEN 9 THEN 'Box' WHEN 10 THEN 'Plain Platform'
       WHEN 2 THEN 'Floppy PC 3.5Disk: Game"' END AS platform,
     CASE k WHEN 0 THEN 'ABC-1|ABC-2' WHEN 7 THEN 'X100|X100A' WHEN 9 THEN 'Z (other)' ELSE '' END AS model,
-    CASE k WHEN 0 THEN 'Great Game' WHEN 3 THEN 'Only Title' WHEN 7 THEN 'T' WHEN 2 THEN '' END AS title,
+    CASE k WHEN 0 THEN 'Great Game' WHEN 3 THEN 'Only Title' WHEN 7 THEN 'T' END AS title,
     CASE k WHEN 0 THEN y || '-XX-XX' WHEN 1 THEN y || '-05-' || d WHEN 2 THEN '19XX-XX-XX' WHEN 5 THEN '1991-XX-XX' WHEN 7 THEN '1992-XX-XX' WHEN 9 THEN '1989-XX-XX' END AS date,
     CASE k WHEN 0 THEN 'Maker, Inc' WHEN 1 THEN 'Some House' WHEN 2 THEN 'released by Other' WHEN 4 THEN 'Somebody' WHEN 7 THEN 'Publisher only' END AS publisher,
     CASE k WHEN 1 THEN 'a "quoted: part" here' WHEN 8 THEN 'comment only' END AS comment,
@@ -86,10 +86,9 @@ def parsed(v: Views):
     return A.parse_port_lines(v.port_lines)
 
 
-@query("parse_port_lines", f"SELECT * FROM ({PORT}) WHERE line_no % 12 <> 2")
+@query("parse_port_lines", PORT)
 def parse_port_lines(v: Views):
-    out = parsed(v).withColumns({"regions": F.array_join("regions", ","), **{c: F.array_join(c, "|") for c in ("model", "tags", "residue")}})
-    return out.where("line_no % 12 <> 2")
+    return parsed(v).withColumns({"regions": F.array_join("regions", ","), **{c: F.array_join(c, "|") for c in ("model", "tags", "residue")}})
 
 
 @query("publisher_indicators", f"SELECT indicator, count(*) AS n FROM ({PORT}) GROUP BY 1")
@@ -120,12 +119,12 @@ def structural_observations(v: Views):
 
 @query(
     "found_values",
-    f"""WITH p AS (SELECT * FROM ({PORT}) WHERE line_no % 12 <> 2), t AS (SELECT machine, 'platform' AS kind, platform AS value FROM p UNION SELECT machine, 'publisher', publisher FROM p UNION SELECT machine, 'comment', comment FROM p UNION SELECT machine, 'title', title FROM p
+    f"""WITH p AS ({PORT}), t AS (SELECT machine, 'platform' AS kind, platform AS value FROM p UNION SELECT machine, 'publisher', publisher FROM p UNION SELECT machine, 'comment', comment FROM p UNION SELECT machine, 'title', title FROM p
           UNION SELECT machine, 'model', unnest(string_split(model, '|')) FROM p WHERE model <> '' UNION SELECT machine, 'tags', tags FROM p WHERE tags <> '' UNION SELECT machine, 'regions', unnest(string_split(regions, ',')) FROM p WHERE regions <> '')
         SELECT kind, value, count(*) AS systems, md5(string_agg(machine, '|' ORDER BY machine)) AS machines FROM t WHERE value IS NOT NULL GROUP BY 1, 2""",
 )
 def found_values(v: Views):
-    return A.found_values(parsed(v).where("line_no % 12 <> 2")).withColumn("machines", F.md5(F.array_join("machines", "|")))
+    return A.found_values(parsed(v)).withColumn("machines", F.md5(F.array_join("machines", "|")))
 
 
 @query(

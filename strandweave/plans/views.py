@@ -1,6 +1,7 @@
 """Catalogue-shaped views of the test tables, in SQL that Spark and DuckDB both run.
 
-The test data hold no catalogue, so each query sees one derived from the tables; every row of them takes part.
+The test data hold no catalogue, so each query sees one derived from the tables; every row of them takes part. What a
+query is to miss has a key that matches nothing: another first letter.
 """
 
 from __future__ import annotations
@@ -37,19 +38,19 @@ VIEWS = {
                p_partkey AS ordinal
         FROM part""",
     "class": """
-        SELECT 'p' || CAST(p_partkey AS STRING) AS machine,
+        SELECT CASE WHEN p_partkey % 4 = 0 OR p_partkey % 10 = 1 THEN 'p' ELSE 'x' END || CAST(p_partkey AS STRING) AS machine,
                CASE p_partkey % 3 WHEN 0 THEN 'no_game' WHEN 1 THEN 'game' ELSE CASE WHEN p_partkey % 5 = 0 THEN 'unknown' ELSE 'game' END END AS game_status,
                CASE WHEN p_partkey % 5 = 4 THEN 'Handheld' WHEN p_partkey % 6 = 5 THEN 'Arcade,' || p_type ELSE 'Arcade' END AS category,
                CASE WHEN p_partkey % 20 = 0 THEN 'Pinball / ' || p_brand ELSE p_brand END AS type
-        FROM part WHERE p_partkey % 4 = 0 OR p_partkey % 10 = 1""",
+        FROM part""",
     "catlist": """
-        SELECT 'p' || CAST(p_partkey AS STRING) AS machine,
+        SELECT CASE WHEN p_partkey % 9 = 0 THEN 'x' ELSE 'p' END || CAST(p_partkey AS STRING) AS machine,
                CASE WHEN p_partkey % 8 = 0 THEN 'Non-Arcade' ELSE 'Arcade' END AS grp,
                CASE p_size % 7 WHEN 0 THEN 'Casino' WHEN 1 THEN 'Shooter' WHEN 2 THEN 'Maze' WHEN 3 THEN 'Medal Game' ELSE 'Platform' END AS category,
                CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_type END AS subcategory
-        FROM part WHERE p_partkey % 9 <> 0""",
+        FROM part""",
     "ports": f"""
-        SELECT 'p' || CAST(l_partkey AS STRING) AS machine,
+        SELECT CASE WHEN l_partkey % 3 = 2 THEN 'x' ELSE 'p' END || CAST(l_partkey AS STRING) AS machine,
                CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE l_partkey * 3 + 1 END AS source_id,
                CASE l_returnflag WHEN 'A' THEN 'CONSOLES' WHEN 'N' THEN 'COMPUTERS' ELSE 'HANDHELDS' END AS category,
                l_orderkey * 10 + l_linenumber AS row_no,
@@ -61,7 +62,7 @@ VIEWS = {
                CASE WHEN l_linenumber = 5 THEN 'Great!' WHEN l_linenumber = 1 THEN 'plain' ELSE '' END AS comment,
                CASE WHEN l_linenumber = 2 THEN 'Budget,Reissue' ELSE '' END AS tags,
                CASE WHEN l_linenumber < 3 THEN 'M' || CAST(l_suppkey % 3 AS STRING) ELSE '' END AS model
-        FROM lineitem WHERE l_partkey % 3 <> 2""",
+        FROM lineitem""",
     "chips": """
         SELECT 'p' || CAST(l_partkey AS STRING) AS machine, l_orderkey * 10 + l_linenumber AS pos,
                CASE WHEN l_linenumber % 2 = 1 THEN 'cpu' WHEN l_linenumber = 6 THEN 'other' ELSE 'audio' END AS type,
@@ -93,31 +94,31 @@ VIEWS = {
         SELECT 'c' || CAST(c_custkey AS STRING) AS machine, lpad(CAST(270 + c_custkey % 14 AS STRING), 4, '0') AS release
         FROM customer""",
     "before": """
-        SELECT 'c' || CAST(c_custkey AS STRING) AS machine, c_name AS title, c_mktsegment AS manufacturer,
+        SELECT CASE WHEN c_custkey % 10 = 0 THEN 'b' ELSE 'c' END || CAST(c_custkey AS STRING) AS machine, c_name AS title, c_mktsegment AS manufacturer,
                'Page ' || CAST(c_custkey - c_custkey % 2 AS STRING) AS page, CAST(c_nationkey AS STRING) AS ports_display
-        FROM customer WHERE c_custkey % 10 <> 0""",
+        FROM customer""",
     "after": """
-        SELECT 'c' || CAST(c_custkey AS STRING) AS machine,
+        SELECT CASE WHEN c_custkey % 11 = 0 THEN 'a' ELSE 'c' END || CAST(c_custkey AS STRING) AS machine,
                CASE WHEN c_custkey % 7 = 0 THEN c_name || ' II' ELSE c_name END AS title,
                CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS manufacturer,
                'Page ' || CAST(c_custkey - c_custkey % 2 AS STRING) || CASE WHEN c_custkey % 17 = 0 THEN ' (new)' ELSE '' END AS page,
                CASE WHEN c_custkey % 5 = 0 THEN CAST(c_nationkey + 1 AS STRING) ELSE CAST(c_nationkey AS STRING) END AS ports_display
-        FROM customer WHERE c_custkey % 11 <> 0""",
+        FROM customer""",
     "blocks_before": """
         SELECT 'c' || CAST(o_custkey AS STRING) AS machine, CASE WHEN o_orderkey % 3 = 0 THEN 'TRIVIA' ELSE 'UPDATES' END AS section,
                o_orderkey AS block_index, CASE WHEN o_orderkey % 4 = 0 THEN 'subheading' ELSE 'paragraph' END AS type,
                o_orderpriority || ' text ' || CAST(o_orderkey % 9 AS STRING) AS text
-        FROM orders WHERE o_orderkey % 5 <> 0""",
+        FROM orders""",
     "blocks_after": """
-        SELECT 'c' || CAST(o_custkey AS STRING) AS machine, CASE WHEN o_orderkey % 3 = 0 THEN 'TRIVIA' ELSE 'UPDATES' END AS section,
+        SELECT CASE WHEN o_orderkey % 37 = 0 THEN 'a' ELSE 'c' END || CAST(o_custkey AS STRING) AS machine, CASE WHEN o_orderkey % 3 = 0 THEN 'TRIVIA' ELSE 'UPDATES' END AS section,
                o_orderkey AS block_index, CASE WHEN o_orderkey % 4 = 0 THEN 'subheading' ELSE 'paragraph' END AS type,
                o_orderpriority || ' text ' || CAST(o_orderkey % 9 AS STRING) || CASE WHEN o_orderkey % 41 = 0 THEN ' edited' ELSE '' END AS text
-        FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 37 <> 0""",
+        FROM orders""",
     "findings": """
         SELECT lpad(CAST(280 + event_id % 6 AS STRING), 4, '0') AS release, event_type AS rule_id, 'u' || CAST(user_id AS STRING) AS machine,
                'PORTS' AS section, 'line ' || CAST(event_id % 5 AS STRING) AS source_text,
                CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 4 AS STRING) ELSE NULL END AS value
-        FROM events WHERE event_id % 7 <> 3""",
+        FROM events""",
     "titles": """
         SELECT 'p' || CAST(p_partkey AS STRING) AS machine,
                CASE p_partkey % 12
@@ -192,17 +193,17 @@ VIEWS = {
                'p' || CAST(p_partkey % 300 AS STRING) AS machine, p_partkey AS ordinal
         FROM part""",
     "overrides": """
-        SELECT 'p' || CAST(p_partkey AS STRING) AS machine, CASE WHEN p_partkey % 15 = 0 THEN ' ' ELSE 'Fixed ' || p_name END AS new_description,
+        SELECT CASE WHEN p_partkey % 3 = 0 THEN 'p' ELSE 'x' END || CAST(p_partkey AS STRING) AS machine, CASE WHEN p_partkey % 15 = 0 THEN ' ' ELSE 'Fixed ' || p_name END AS new_description,
                CASE WHEN p_partkey % 6 = 0 THEN FALSE ELSE TRUE END AS only_if_unbalanced, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE 'note' END AS note
-        FROM part WHERE p_partkey % 3 = 0""",
+        FROM part""",
     "files_before": """
         SELECT CASE p_partkey % 3 WHEN 0 THEN 'lists' WHEN 1 THEN 'machines' ELSE 'articles' END AS stage, p_name || CAST(p_partkey AS STRING) AS path,
                CAST(p_size AS BIGINT) AS size, md5(p_name) AS digest
-        FROM part WHERE p_partkey < 60 OR p_partkey % 3 = 1""",
+        FROM part""",
     "files_after": """
-        SELECT CASE p_partkey % 3 WHEN 0 THEN 'lists' WHEN 1 THEN 'machines' ELSE 'articles' END AS stage, p_name || CAST(p_partkey AS STRING) AS path,
+        SELECT CASE p_partkey % 3 WHEN 0 THEN 'lists' WHEN 1 THEN 'machines' ELSE 'articles' END AS stage, p_name || CASE WHEN p_partkey = 5 THEN ' (new)' ELSE CAST(p_partkey AS STRING) END AS path,
                CAST(CASE WHEN p_partkey = 3 THEN p_size + 1 ELSE p_size END AS BIGINT) AS size, md5(p_name) AS digest
-        FROM part WHERE (p_partkey < 60 OR p_partkey % 3 = 1) AND p_partkey <> 5""",
+        FROM part""",
 }
 
 

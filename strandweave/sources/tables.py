@@ -27,9 +27,13 @@ def document_header(schema_id: str, schema_version: str, generated_at: Column, v
     return F.to_json(F.struct(F.lit(schema_id).alias("schema_id"), F.lit(schema_version).alias("schema_version"), F.date_format(generated_at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"), told.alias("versions")))
 
 
-def write_release_document(records: DataFrame, path: str, key: str = "machine") -> None:
-    """JSON lines sorted by key, range by range: the files in order are the document in order."""
-    release_documents(records, key).repartitionByRange(key).sortWithinPartitions(key).select("json").write.mode("overwrite").text(path)
+def write_release_document(records: DataFrame, path: str, key: str = "machine", header: Column | None = None) -> None:
+    """The document of a release under ``path``: records, JSON lines that carry the key, sorted by it range by range
+    (the files in order are the document in order), and in a folder of its own the ``header`` if there is one."""
+    lines = records.select(key, F.to_json(F.struct(*records.columns), {"ignoreNullFields": "true"}).alias("json"))
+    lines.repartitionByRange(key).sortWithinPartitions(key).select("json").write.mode("overwrite").text(f"{path}/records")
+    if header is not None:
+        records.sparkSession.range(1).select(header).write.mode("overwrite").text(f"{path}/header")
 
 
 def list_releases(df: DataFrame) -> DataFrame:

@@ -89,8 +89,9 @@ def test_release_tables(spark, tmp_path):
     tables.write_release_table(one.where("n = 1"), path, "0287")
     tables.write_release_table(one.where("n = 2"), path, "0286")
     assert sorted((r["machine"], str(r["release"]).zfill(4)) for r in spark.read.parquet(path).collect()) == [("a", "0287"), ("b", "0286")]
-    tables.write_release_document(one, str(tmp_path / "d"))
-    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "d")).collect()) == ['{"n":1}', '{"n":2}']
+    tables.write_release_document(one, str(tmp_path / "d"), header=F.lit("head"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "d/records")).collect()) == ['{"machine":"a","n":1}', '{"machine":"b","n":2}']
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "d/header")).collect()] == ["head"]
     assert files.fingerprint_files(spark, path + "/*/*.parquet").where("length(sha256) = 64").count() >= 2
 
 
