@@ -9,48 +9,77 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash01
+from .common import hash01, materialize
 
 #: The base kinds in order, with what counts of a match.
-ASSIGN = r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"(AKIA)([A-Z0-9]{12,})"
-HEX = r"()([0-9a-f]{32,})"
+NAME = r"""(?i:password|passwd|secret|token|api_?key)"""
+ASSIGN = NAME + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA([A-Z0-9]{12,})"
+HEX = r"([0-9a-f]{32,})"
 MIN_VALUE = 8
-#: Strings that the models judge, and the characters they know.
-CANDIDATE = r"()([A-Za-z0-9+/_=-]{20,})"
+#: Strings that the models judge, and the characters they know. Matches of ASSIGN go first: a candidate never begins in one.
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: A candidate with one of these holds a base span, or the name of one.
+BASE = NAME + "|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 WORD = r"[A-Za-z0-9+/_=-]{6,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Documents that give training samples, at most (the smallest id hashes).
-TRAIN_DOCS = 4000
+#: Documents of each class, with base spans and without, that give training samples, at most (the smallest id hashes).
+TRAIN_DOCS = 2000
 #: Counts added to each character, and to each character's followers in proportion to the characters' frequencies.
 SMOOTHING, BACKOFF = 0.5, 30.0
 #: A candidate is random if its log-likelihood ratio is at least this much in all, and this much a character pair.
 MIN_RATIO, MIN_MEAN = 12.0, 0.5
 _CUT, _MID, _OTHER = "\x01", "\x02", "\x03"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+#: Pieces between marks that are folded together: a fold copies what it has at each step, so it never takes more.
+FOLD = 64
 
 
-def spans(text: Column, pattern: str, kind: int, least: int = 1) -> Column:
-    """Leftmost non-overlapping matches of ``pattern`` (two groups: before the value, the value) whose value has
-    ``least`` characters, as SPAN. Matches are marked with control characters that can't be in them (those of the
-    text give way to another one first, which moves nothing) and read off the pieces between the marks."""
+def spans(text: Column, pattern: str, kind: int, group: int = 1, least: int = 1) -> Column:
+    """Leftmost non-overlapping matches of ``pattern`` whose value, the given ``group``, has ``least`` characters, as SPAN.
+
+    Each is put between marks and followed by its value again, behind another mark, and read off the pieces between
+    the marks; control characters of the text that could be marks give way to another one first, which moves nothing.
+
+    Pieces are folded in groups of FOLD, then the groups' lengths are summed, so the work is linear in the matches."""
     plain = F.translate(text, _CUT + _MID, _OTHER + _OTHER)
-    pieces = F.split(F.regexp_replace(plain, pattern, f"{_CUT}$1{_MID}$2{_CUT}"), _CUT, -1)
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), F.expr(f"cast(array() as {SPAN})").alias("out"))
+    pieces = F.split(F.regexp_replace(plain, pattern, f"{_CUT}$0{_MID}${group}{_CUT}"), _CUT, -1)
+    empty = F.expr(f"cast(array() as {SPAN})")
 
     def step(acc: Column, piece: Column) -> Column:
+        hit = F.contains(piece, F.lit(_MID))
         value = F.substring_index(piece, _MID, -1)
-        end = acc["at"] + F.char_length(piece) - F.when(acc["hit"], 1).otherwise(0)
+        end = acc["at"] + F.char_length(F.substring_index(piece, _MID, 1))
         one = F.struct(acc["at"].alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value"))
-        out = F.when(acc["hit"] & (F.char_length(value) >= least), F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
-        return F.struct(end.alias("at"), (~acc["hit"]).alias("hit"), out.alias("out"))
+        return F.struct(end.alias("at"), F.when(hit & (F.char_length(value) >= least), F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    groups = lambda p: F.transform(F.sequence(F.lit(1), F.size(p), F.lit(FOLD)), lambda i: F.aggregate(F.slice(p, i, F.lit(FOLD)), start, step))
+
+    def place(acc: Column, group: Column) -> Column:
+        return F.struct((acc["at"] + group["at"]).alias("at"), F.concat(acc["before"], F.array(acc["at"])).alias("before"))
+
+    def joined(g: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("before"))
+        before = F.aggregate(g, first, place, lambda acc: acc["before"])
+        move = lambda group, at: F.transform(group["out"], lambda s: F.struct((s["start"] + at).alias("start"), s["kind"].alias("kind"), (s["end"] + at).alias("end"), s["value"].alias("value")))
+        return F.flatten(F.zip_with(g, before, move))
+
+    # a lambda's variable is computed once, where an expression used twice would be computed twice
+    once = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))
+    return once(pieces, lambda p: F.when(F.size(p) > 1, once(groups(p), joined)).otherwise(empty))
 
-    return F.when(F.size(pieces) > 1, F.aggregate(pieces, start, step, lambda acc: acc["out"])).otherwise(F.expr(f"cast(array() as {SPAN})"))
+
+def candidates(text: Column) -> Column:
+    """The strings that the models judge, as SPAN of kind 3: runs of 20 or more characters of ALPHABET that neither
+    begin in an assign match nor hold a base span of another kind or the name of an assign match."""
+    found = spans(text, f"{ASSIGN}|({CANDIDATE})", 3, group=2)  # the value of an assign match is empty here
+    return F.filter(found, lambda s: ~s["value"].rlike(BASE))
 
 
 def base_spans(text: Column) -> Column:
     """The spans of the three fixed kinds, in the order of the kinds."""
-    return F.concat(spans(text, ASSIGN, 0, MIN_VALUE), spans(text, ACCESS, 1), spans(text, HEX, 2))
+    return F.concat(spans(text, ASSIGN, 0, least=MIN_VALUE), spans(text, ACCESS, 1), spans(text, HEX, 2))
 
 
 @dataclass
@@ -64,9 +93,12 @@ class Models:
 
 
 def train(samples: DataFrame) -> Models:
-    """Two first-order Markov models from labelled samples (value string, random boolean): pair counts of all samples
-    are summed in Spark, at most two per pair of ALPHABET come to the driver. Pairs never seen
-    fall back on the frequency of the second character; without samples of a class all are equally likely; null values and characters outside ALPHABET are left out."""
+    """Two first-order Markov models from labelled samples (value string, random boolean).
+
+    Pair counts of all samples are summed in Spark; at most two per pair of ALPHABET come to the driver. Pairs never
+    seen fall back on the frequency of the second character; without samples of a class all are equally likely; null
+    values and characters outside ALPHABET are left out.
+    """
     n = len(ALPHABET)
     index = F.transform(F.split("value", ""), lambda c: F.instr(F.lit(ALPHABET), c))
     pairs = samples.where("value <> ''").select("random", index.alias("x")).withColumn("x", F.filter("x", lambda i: i > 0))
@@ -86,10 +118,17 @@ def train(samples: DataFrame) -> Models:
 
 
 def samples(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Labelled samples from at most TRAIN_DOCS documents: values of base spans are random; words are ordinary if no
-    base span is in their document."""
-    some = docs.select(F.col(id_col).alias("_sw_id")).where("_sw_id is not null").distinct().orderBy(hash01("_sw_id", seed=9), "_sw_id").limit(TRAIN_DOCS)
-    text = docs.select(F.col(id_col).alias("_sw_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(some), "_sw_id")
+    """Labelled samples: values of base spans are random; words are ordinary if no base span is in their document.
+
+    At most TRAIN_DOCS documents of each class give them, those of the smallest id hashes: of all documents with a
+    base span, however rare they are, and of all without. They are chosen by one search of every text that ends at
+    the first match, and written before spans are cut from them. Null ids give none.
+    """
+    every = docs.select(F.col(id_col).alias("_sw_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("_sw_id is not null")
+    holds = F.col("text").rlike(f"{ASSIGN[: -len('+)')]}{{{MIN_VALUE},}})|{ACCESS}|{HEX}")
+    known = materialize(every.select("_sw_id", holds.alias("holds"), hash01("_sw_id", seed=9).alias("h")), "secret-classes")
+    some = [known.where(F.col("holds") == which).select("_sw_id", "h").distinct().orderBy("h", "_sw_id").limit(TRAIN_DOCS).select("_sw_id") for which in (True, False)]
+    text = materialize(every.join(F.broadcast(some[0].union(some[1]).distinct()), "_sw_id"), "secret-sample")
     text = text.withColumn("found", F.transform(base_spans(F.col("text")), lambda s: s["value"]))
     plain = F.when(F.size("found") == 0, F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).otherwise(F.expr("cast(array() as array<string>)"))
     return text.select(F.explode("found").alias("value"), F.lit(True).alias("random")).union(text.select(F.explode(plain).alias("value"), F.lit(False)))
@@ -112,13 +151,12 @@ def log_ratio(value: Column, models: Models) -> Column:
 def scan(docs: DataFrame, models: Models, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """``docs`` with ``spans_col`` (SPAN; replaced if there): kinds 0 assign, 1 access, 2 hex, 3 random, by start, kind.
 
-    Whole texts, positions in code points, ends exclusive; null text counts as empty. Base matches are leftmost and
-    do not overlap within their kind. A candidate of 20 or more characters that touches no base span is random if
-    the models' log-likelihood ratio says so. Built-in expressions only; nothing is shuffled.
+    Whole texts, positions in code points, ends exclusive; null text counts as empty and has none. Base matches are
+    leftmost and do not overlap within their kind. A candidate (``candidates``) is random if the models'
+    log-likelihood ratio says so. Built-in expressions only; nothing is shuffled. Repeated rows and ties are judged
+    alike, an empty table stays empty, other columns stay as they are.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("_sw_base", base_spans(text)).withColumn("_sw_long", spans(text, CANDIDATE, 3))
-    apart = lambda c: ~F.exists("_sw_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
     least = lambda c: F.greatest(F.lit(MIN_RATIO), F.lit(MIN_MEAN) * (F.char_length(c["value"]) - 1))
-    random = F.filter("_sw_long", lambda c: apart(c) & (log_ratio(c["value"], models) >= least(c)))
-    return out.withColumn(spans_col, F.array_sort(F.concat("_sw_base", random))).drop("_sw_base", "_sw_long")
+    random = F.filter(candidates(text), lambda c: log_ratio(c["value"], models) >= least(c))
+    return docs.withColumn(spans_col, F.array_sort(F.concat(base_spans(text), random)))
