@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,20 +14,12 @@ from .sharding import hypergeometric
 
 #: Weights of the sources in code point order, repeating; share of all words; most uses of a text.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-#: Blocks over all sources, at most (each source has one at least); output shards.
-BLOCKS, SHARDS = 4096, 16
+#: Blocks over all sources, at most (each source has one at least); output shards; words that a task of ``draw`` holds, about.
+BLOCKS, SHARDS, TASK_WORDS = 4096, 16, 2_000_000
 #: The per-source totals pass through the driver; a table of more sources than this is refused.
 MAX_SOURCES = 200_000
 
 
-@dataclass
-class Source:
-    name: str | None
-    words: int
-    blocks: int
-    target: float = 0.0
-
-
 def targets(sizes: list[int], weights: list[float], total: float, most: float) -> list[float]:
     """Shares of ``total`` by weight, each stopped at ``most`` times its size, the excess reshared until none is above."""
     out, free, left = [0.0] * len(sizes), list(range(len(sizes))), total
@@ -61,48 +53,73 @@ def split_quotas(rng: np.random.Generator, quotas: np.ndarray, shards: int) -> n
     return np.vstack([split_quotas(rng, left, left_shards), split_quotas(rng, quotas - left, shards - left_shards)])
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, shards: int = SHARDS) -> DataFrame:
-    """One row per input row: rid-free columns id, source, size, source_size, target, copies, taken, shards (array<int>).
+def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``docs`` with _sw_id, _sw_source, _sw_crc (of the text; null: empty) and _sw_h, their place in the permutation."""
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    named = docs.withColumns({"_sw_id": F.col(id_col), "_sw_source": F.col(source_col), "_sw_crc": F.crc32(text)})
+    return named.withColumn("_sw_h", hash01("_sw_id", "_sw_source", "_sw_crc", seed=seed))
 
-    Size is the number of words (null text: 0). Sources in code point order, null last, weigh WEIGHTS in turn and
-    share SHARE of all words; a target stops at MOST times its source's size and the excess is reshared
-    (``targets``). Each source's rows are permuted by a hash and cut into blocks of that order. A source whose
-    target is e times its size takes every row floor(e) times; of the rest, blocks are taken in order while their
-    words fit, and the block in which the target falls gives rows, in order, while theirs fit: the sum is below its
-    target by less than one row. Blocks taken are quotas that ``split_quotas`` deals exactly to the output shards;
-    which shard draws which block is a permutation, so the draws are disjoint. Everything hangs on hashes of the
-    row and on ``seed``: reruns agree. Rows equal in id, source and text are permuted next to each other; ties
-    between them don't matter. Empty tables give no rows; sources of size 0 have target 0.
+
+def share_of(h: Column, n: Column) -> Column:
+    """Which of ``n`` equal ranges of all longs holds ``h``, from 0."""
+    up = F.shiftrightunsigned(h.bitwiseXOR(F.lit(-(1 << 63)).cast("long")), 1) / F.lit(float(1 << 63))
+    return F.least(F.floor(up * n), n - 1)
+
+
+@dataclass
+class Mix:
+    """What the draws hang on: small tables of sources and blocks, and the words that are drawn."""
+
+    sources: DataFrame
+    blocks: DataFrame
+    limits: DataFrame
+    words: float
+    seed: int
+
+    def decide(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of ``keyed`` with _sw_source_size, _sw_target, _sw_copies, _sw_shards and _sw_places; no shuffle."""
+        out = rows.join(F.broadcast(self.sources), F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
+        out = out.withColumn("_sw_block", share_of(F.col("_sw_h"), F.col("_sw_blocks")))
+        out = out.join(F.broadcast(self.blocks), ["_sw_s", "_sw_block"]).join(F.broadcast(self.limits), ["_sw_s", "_sw_block"], "left")
+        last = (F.col("_sw_room") >= F.col("_sw_held")) | F.coalesce(F.col("_sw_h") <= F.col("_sw_limit"), F.lit(False))
+        out = out.withColumn("_sw_copies", (F.col("_sw_whole") + last.cast("int")).cast("int"))
+        out = out.withColumn("_sw_shards", F.slice("_sw_owners", F.lit(1), F.col("_sw_copies")))
+        return out.withColumn("_sw_places", F.transform("_sw_shards", lambda shard, nth: hash01("_sw_h", shard, nth, seed=self.seed + 1)))
+
+
+def mix(sized: DataFrame, seed: int, shards: int) -> Mix:
+    """Targets, blocks and their owners from the rows of ``keyed`` with _sw_size.
+
+    Each source's rows are permuted by a hash and cut into blocks of that order. A source whose target is e times its
+    size takes every row floor(e) times; of the rest, blocks are taken in order while their words fit, and the block
+    in which the target falls gives rows, in order, while theirs fit. Only sums come to the driver: one per source
+    and one per block. The rows of the blocks in which a target falls, one a source, are ordered in Spark.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"))
-    rows = materialize(rows.withColumn("h", hash01("id", "source", "crc", seed=seed)), "mix-rows")
-    per = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
+    spark = sized.sparkSession
+    per = sized.groupBy("_sw_source").agg(F.sum("_sw_size").alias("words"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    per.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
+    per.sort(key=lambda r: (r["_sw_source"] is None, r["_sw_source"] or ""))
     everything = sum(r["words"] for r in per)
     goal = targets([r["words"] for r in per], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(per))], SHARE * everything, MOST)
-    table = [(i, r["source"], r["words"], max(1, min(r["n"], BLOCKS * r["words"] // max(1, everything))), g) for i, (r, g) in enumerate(zip(per, goal, strict=True))]
-    sources = spark.createDataFrame(table, "s int, name string, source_size long, blocks long, target double")
-    block = F.floor((F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))) * F.col("blocks"))
-    rows = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["name"])).drop("name")
-    rows = rows.withColumn("block", F.least(block, F.col("blocks") - 1))
-    cut = spark.createDataFrame(blocks_taken(rows, table, seed, shards), "s int, block long, room long, owners array<int>")
-    dealt = rows.join(F.broadcast(cut), ["s", "block"])
-    order = Window.partitionBy("s", "block").orderBy("h", "id", "crc")
-    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    dealt = dealt.withColumn("copies", (whole + (before <= F.col("room")).cast("int")).cast("int"))
-    return dealt.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "crc", "h", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), F.slice("owners", F.lit(1), F.col("copies")).alias("shards"))
-
-
-def blocks_taken(rows: DataFrame, table: list[tuple], seed: int, shards: int) -> list[tuple[int, int, int, list[int]]]:
-    """(source, block, words of it that the last, partial pass may take, shard of each pass) for every block.
+    table = [(i, r["_sw_source"], r["words"], max(1, min(r["n"], BLOCKS * r["words"] // max(1, everything))), g) for i, (r, g) in enumerate(zip(per, goal, strict=True))]
+    sources = spark.createDataFrame(table, "_sw_s int, _sw_name string, _sw_source_size long, _sw_blocks long, _sw_target double")
+    placed = sized.join(F.broadcast(sources), F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
+    placed = placed.select("_sw_s", share_of(F.col("_sw_h"), F.col("_sw_blocks")).alias("_sw_block"), "_sw_h", "_sw_size")
+    blocks = spark.createDataFrame(blocks_taken(placed, table, seed, shards), "_sw_s int, _sw_block long, _sw_held long, _sw_room long, _sw_whole int, _sw_owners array<int>")
+    part = placed.join(F.broadcast(blocks.where("_sw_room >= 0 and _sw_room < _sw_held").select("_sw_s", "_sw_block", "_sw_room")), ["_sw_s", "_sw_block"])
+    so_far = F.sum("_sw_size").over(Window.partitionBy("_sw_s", "_sw_block").orderBy("_sw_h"))  # rows of one place count together
+    limits = part.withColumn("_sw_sum", so_far).where("_sw_sum <= _sw_room").groupBy("_sw_s", "_sw_block").agg(F.max("_sw_h").alias("_sw_limit"))
+    return Mix(sources, blocks, materialize(limits, "mix-limits"), float(sum(goal)), seed)
+
+
+def blocks_taken(rows: DataFrame, table: list[tuple], seed: int, shards: int) -> list[tuple[int, int, int, int, int, list[int]]]:
+    """(source, block, words in it, words of it that the last pass may take (-1: there is none), passes that take
+    all, shard of each pass) for every block.
 
     Only one sum per block comes to the driver: BLOCKS and one per source at most, whatever the table holds.
     """
-    sums = {(r["s"], r["block"]): r["w"] for r in rows.groupBy("s", "block").agg(F.sum("size").alias("w")).collect()}
+    sums = {(r["_sw_s"], r["_sw_block"]): r["w"] for r in rows.groupBy("_sw_s", "_sw_block").agg(F.sum("_sw_size").alias("w")).collect()}
     rng = np.random.default_rng(seed)
     out, uses = [], []
     for s, _, words, blocks, target in table:
@@ -111,33 +128,53 @@ def blocks_taken(rows: DataFrame, table: list[tuple], seed: int, shards: int) ->
         mine = []
         for b in range(blocks):
             w = sums.get((s, b), 0)
-            room = min(left, w) if left > 0 else -1
-            mine.append([s, b, int(np.floor(room)), whole + (room >= 0)])
+            room = int(np.floor(min(left, w))) if left > 0 else -1
+            mine.append([s, b, w, room, whole, whole + (room >= 0)])
             left -= w
         out += mine
-        uses.append(sum(m[3] for m in mine))
+        uses.append(sum(m[5] for m in mine))
     drawn = split_quotas(rng, np.array(uses, dtype=np.int64), shards) if uses else np.zeros((shards, 0), np.int64)
     at = 0
     for i, (_, _, _, blocks, _) in enumerate(table):
         owners = rng.permutation(np.repeat(np.arange(shards), drawn[:, i]))
         for m in out[at : at + blocks]:
-            m[3], owners = [int(x) for x in owners[: m[3]]], owners[m[3] :]
+            m[5], owners = [int(x) for x in owners[: m[5]]], owners[m[5] :]
         at += blocks
     return [tuple(m) for m in out]
 
 
-def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, shards: int = SHARDS) -> DataFrame:
-    """The mix: ``docs`` with each row as often as ``plan`` takes it, columns unchanged, dealt to ``shards`` partitions
-    and shuffled within each by a hash. Rows equal in id, source and text share one decision per row."""
-    chosen = plan(docs, id_col, text_col, source_col, seed, shards).where("copies > 0")
-    twin = Window.partitionBy("_sw_id", "_sw_source", "_sw_crc").orderBy(F.lit(0))
-    chosen = chosen.select(F.col(id_col).alias("_sw_id"), F.col(source_col).alias("_sw_source"), F.col("crc").alias("_sw_crc"), F.col("shards").alias("_sw_shards"))
-    chosen = materialize(chosen, "mix-chosen")
-    left = docs.withColumn("_sw_c", F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    keys = F.col(id_col).eqNullSafe(F.col("_sw_id")) & F.col(source_col).eqNullSafe(F.col("_sw_source")) & (F.col("_sw_c") == F.col("_sw_crc"))
-    if not chosen.groupBy("_sw_id", "_sw_source", "_sw_crc").count().where("count > 1").isEmpty():  # repeated rows: pair the n-th with the n-th
-        chosen = chosen.withColumn("_sw_n", F.row_number().over(twin))
-        left = left.withColumn("_sw_m", F.row_number().over(Window.partitionBy(id_col, source_col, "_sw_c").orderBy(F.lit(0))))
-        keys = keys & (F.col("_sw_n") == F.col("_sw_m"))
-    mixed = left.join(chosen, keys).withColumn("_sw_shard", F.explode("_sw_shards"))
-    return mixed.repartition(shards, "_sw_shard").sortWithinPartitions("_sw_shard", hash01(id_col, "_sw_c", "_sw_shard", seed=seed + 1)).select(*docs.columns)
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, shards: int = SHARDS) -> DataFrame:
+    """One row per input row: id, source, size, source_size, target, copies, taken, shards (array<int>), places (array<long>).
+
+    Size is the number of words (null text: 0). Sources in code point order, null last, weigh WEIGHTS in turn and
+    share SHARE of all words; a target stops at MOST times its source's size and the excess is reshared
+    (``targets``). Rows are taken as ``mix`` says: a source's sum is below its target by less than one row (rows
+    equal in id, source and text go together, as one). Blocks taken are quotas that ``split_quotas`` deals exactly to
+    the output shards; which shard draws which block is a permutation, so the draws are disjoint. ``places`` has, for
+    each shard of ``shards``, the row's place in its local shuffle: a shard's rows go by that number. Everything
+    hangs on hashes of the row and on ``seed``: reruns agree. Empty tables give no rows; sources of size 0 have
+    target 0; other columns are not read.
+    """
+    rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")), "id", "text", "source", seed)
+    rows = materialize(rows.withColumn("_sw_size", word_count(F.col("text"))).drop("id", "source", "text"), "mix-rows")
+    out = mix(rows, seed, shards).decide(rows)
+    taken = (F.col("_sw_copies") * F.col("_sw_size")).cast("long")
+    return out.select(F.col("_sw_id").alias(id_col), F.col("_sw_source").alias(source_col), *(F.col(f"_sw_{c}").alias(c) for c in ("size", "source_size", "target", "copies")), taken.alias("taken"), F.col("_sw_shards").alias("shards"), F.col("_sw_places").alias("places"))
+
+
+def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, shards: int = SHARDS, task_words: int = TASK_WORDS) -> DataFrame:
+    """The mix: ``docs`` with each row as often as ``plan`` takes it, columns unchanged, dealt to output shards and in
+    each ordered by its local shuffle (``places``).
+
+    Texts move once. A shard lies in consecutive partitions, each a range of the places, as many as its words need at
+    ``task_words`` each: no partition holds two shards, and none grows with the table. An empty table stays empty.
+    """
+    own = docs.columns
+    rows = keyed(docs, id_col, text_col, source_col, seed)
+    sized = materialize(rows.select("_sw_source", "_sw_h", word_count(F.col(text_col)).alias("_sw_size")), "mix-rows")
+    drawn = mix(sized, seed, shards)
+    pieces = max(1, int(-(-drawn.words // (shards * task_words))))
+    mixed = drawn.decide(rows).where("_sw_copies > 0").select(*own, F.explode(F.arrays_zip("_sw_shards", "_sw_places")).alias("_sw_at"))
+    mixed = mixed.select(*own, F.col("_sw_at._sw_places").alias("_sw_place"), F.col("_sw_at._sw_shards").alias("_sw_shard"))
+    part = (F.col("_sw_shard") * pieces + share_of(F.col("_sw_place"), F.lit(pieces))).cast("int")
+    return mixed.withColumn("_sw_part", part).repartitionById(shards * pieces, F.col("_sw_part")).sortWithinPartitions("_sw_place").select(*own)

@@ -49,7 +49,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), extend=True)
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(utf8(F.col("text")), 256).alias("kept_sha256"))
 
 
@@ -86,7 +86,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.plan(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies", "shards")
+    return out.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies", "shards", "places")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
