@@ -13,8 +13,10 @@ from pyspark.sql.window import Window
 
 from .common import materialize
 
-#: Vectors of a shard, about; links of a node on upper layers and on the lowest; beam widths; queries of a block.
-SHARD_ROWS, UPPER, LOWEST, BUILD_BEAM, SEARCH_BEAM, BLOCK = 4096, 16, 32, 64, 160, 4096
+#: Links of a node on upper layers and on the lowest; beam widths.
+UPPER, LOWEST, BUILD_BEAM, SEARCH_BEAM = 16, 32, 64, 160
+#: A table is cut into SHARDS graphs of LEAST_ROWS vectors or more, and into more only where one would pass SHARD_BYTES.
+SHARDS, LEAST_ROWS, SHARD_BYTES = 4, 2048, 64 << 20
 #: Nodes inserted together, and beam entries opened together.
 BATCH, OPEN = 256, 4
 
@@ -186,6 +188,12 @@ def search(vectors: np.ndarray, sizes: list[int], links: np.ndarray, q: np.ndarr
     return found, score
 
 
+def shard_count(rows: int, dim: int, shards: int = SHARDS, shard_bytes: int = SHARD_BYTES) -> int:
+    """Graphs for ``rows`` vectors: every query visits all of them, so there are as few as a task's memory allows."""
+    most = max(LEAST_ROWS, shard_bytes // (4 * (dim + LOWEST + 4)))
+    return max(min(shards, rows // LEAST_ROWS), -(-rows // most), 1)
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     v = F.col("vec")
     inf = float("inf")
@@ -205,30 +213,34 @@ def index(classes: DataFrame) -> DataFrame:
     return classes.select("dim", "shard", "rep", "vec").groupBy("dim", "shard").applyInPandas(make, INDEX)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", shards: int = SHARDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of ``vectors`` with the largest inner product with each query,
     found by the graphs; the row with the query's own id is no candidate; ties go to the smaller id.
 
     Null ids, and vectors that are null, empty, zero or hold null or non-finite components, take no part on either
     side; only vectors of the query's length are candidates. Equal vectors are one node of a graph (thousands of
     copies would cut it into cliques); its ``k`` + 1 smallest ids, all that an answer can name, come back at the
-    end. Nodes are dealt by a hash into shards of about SHARD_ROWS, each small enough for one task, and each shard
-    gets its graph (``index``), written to shared storage. Queries go to every shard in blocks; a block's task
-    holds one shard and BLOCK queries. The shards' best are merged by exact scores in double precision.
+    end. Nodes are dealt by a hash into ``shard_count`` shards: few while they fit ``shard_bytes``, so that the work
+    of a query does not grow with the table, and each gets its graph (``index``), written to shared storage. Queries
+    go to every shard, in blocks of a quarter of a shard's rows or more: a graph is sent once to each block's task,
+    which holds one shard and one block. The shards' best are merged by exact scores in double precision.
     """
     rows = usable(vectors, id_col, vec_col)
     nth = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
     first = rows.distinct().withColumn("nth", nth).where(F.col("nth") <= k + 1)
     classes = first.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("members"))
     classes = materialize(classes.select(F.element_at("members", 1).alias("rep"), F.size("vec").alias("dim"), "vec", "members"), "hnsw-classes")
-    shards = classes.groupBy("dim").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("shards"))
-    shards = F.broadcast(shards)  # one row per vector length
-    graph = materialize(index(classes.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int"))), "hnsw-index")
     asked = materialize(usable(queries, id_col, vec_col).dropDuplicates(["id", "vec"]).withColumn("dim", F.size("vec")), "hnsw-queries")
-    blocks = max(1, -(-asked.count() // BLOCK))
-    asked = asked.join(shards, "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    many = {r["dim"]: r["count"] for r in asked.groupBy("dim").count().collect()}  # one row per vector length
+    sizes = []
+    for r in classes.groupBy("dim").count().collect():
+        n = shard_count(r["count"], r["dim"], shards, shard_bytes)
+        sizes.append((r["dim"], n, max(1, -(-many.get(r["dim"], 0) // max(4096, r["count"] // n // 4)))))
+    dealt = F.broadcast(vectors.sparkSession.createDataFrame(sizes, "dim int, shards int, blocks int"))
+    graph = materialize(index(classes.join(dealt, "dim").withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int"))), "hnsw-index")
+    asked = asked.join(dealt, "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     asked = asked.select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "block", "id", "vec")
-    spread = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    spread = graph.join(dealt.select("dim", "blocks"), "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def ask(graph_pdf: pd.DataFrame, query_pdf: pd.DataFrame) -> pd.DataFrame:
         if graph_pdf.empty or query_pdf.empty:
@@ -236,11 +248,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         g = graph_pdf.iloc[0]
         ids = np.asarray(g["ids"])
         x = np.asarray(g["vectors"], dtype=np.float32).reshape(len(ids), -1)
-        sizes, links = [int(m) for m in g["layer_sizes"]], np.asarray(g["links"], dtype=np.int64)
+        layers, links = [int(m) for m in g["layer_sizes"]], np.asarray(g["links"], dtype=np.int64)
         out = []
         for at in range(0, len(query_pdf), 512):
             part = query_pdf.iloc[at : at + 512]
-            found, score = search(x, sizes, links, np.vstack(part["vec"].to_numpy()).astype(np.float32), k + 1)
+            found, score = search(x, layers, links, np.vstack(part["vec"].to_numpy()).astype(np.float32), k + 1)
             reps = ids[np.maximum(found, 0)]
             best = np.lexsort((reps, -score), axis=1)[:, : k + 1]
             reps, score = np.take_along_axis(reps, best, axis=1), np.take_along_axis(score, best, axis=1)
