@@ -31,7 +31,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and any executor can read it again."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, when all that reads them has been written in turn."""
+    for t in tables:
+        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
@@ -75,8 +84,10 @@ def connected_components(edges: DataFrame, name: str, rounds: int = 40) -> DataF
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(least, "u")
-        cur = near.select("u", F.col("m").alias("v")).union(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        cur = materialize(cur, name)
+        new = near.select("u", F.col("m").alias("v")).union(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        new = materialize(new, name)
+        discard(cur)
+        cur = new
     else:
         raise RuntimeError(f"{name}: components did not settle in {rounds} rounds")
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(cur.select("v", "v").distinct())

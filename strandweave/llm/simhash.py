@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import golay
-from .common import connected_components, materialize, small, small_batches
+from .common import connected_components, discard, materialize, small, small_batches
 
 SEED = 42
 #: Fingerprints link up to this many differing bits; the keys and the words in between are made for 2.
@@ -154,8 +154,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Hashes in this lowest share of their range are ordered by how many sets hold them; sets are told apart by those.
 LOW = 0.3
-#: A prefix hash with more sets than this is crowded, and so many rounds of leaders go before the rest of its pairs.
-CROWD, ROUNDS = 20, 4
+#: A prefix hash with more sets than this is crowded: its sets meet a leader first.
+CROWD = 16
+#: Sets at least this much like their leader are compared by what they differ from it in.
+NEAR = 0.25
 
 
 def prefix_size(n: int, similarity: float) -> int:
@@ -163,6 +165,11 @@ def prefix_size(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-9) + 1
 
 
+def prefix_size_of(n: Column, similarity: float) -> Column:
+    """The same of a column."""
+    return (n - F.ceil(n * similarity - 1e-9) + 1).cast("int")
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: float, whole: bool = False) -> DataFrame:
     """(id, node, size, prefix, hashes) of every row with words: a hash of its set of n-word shingles, the set's and its
     prefix's size, and its hashes: all if ``whole``, else those in the LOW share of the range, or the prefix if longer."""
@@ -196,11 +203,14 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
     every = sets.select("node", "size", "prefix", F.size("hashes").alias("kept"), F.explode("hashes").alias("hash"))
     many = materialize(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "similar-many")
     shared = materialize(every.join(many, "hash").distinct(), "similar-shared")
+    discard(many)
     own = Window.partitionBy("node")
     ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("n", "hash"))).withColumn("lone", F.col("kept") - F.count("*").over(own))
     first = materialize(ranked.where("rank <= prefix - lone").select("node", "size", (F.col("lone") / F.col("kept")).alias("lone"), "hash"), "similar-first")
     again = materialize(first.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "similar-again")
-    return materialize(first.join(again, "hash").select("node", "size", "lone", "hash", "n"), "similar-prefixes")
+    prefixes = materialize(first.join(again, "hash").select("node", "size", "lone", "hash", "n"), "similar-prefixes")
+    discard(shared, first, again)
+    return prefixes
 
 
 def alike(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
@@ -208,41 +218,99 @@ def alike(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
     one, two = whole.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), whole.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
-    found = pairs.join(one, "a").join(two, "b").where(both / (F.size("ha") + F.size("hb") - both) >= similarity)
-    return materialize(found.select("a", "b"), "similar-alike")
+    found = materialize(pairs.join(one, "a").join(two, "b").where(both / (F.size("ha") + F.size("hb") - both) >= similarity).select("a", "b"), "similar-alike")
+    discard(pairs)
+    return found
+
+
+def fits(a: Column, b: Column, similarity: float) -> Column:
+    """Whether sets of these sizes can be that much alike."""
+    return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-6
+
+
+def met_leaders(ties: DataFrame, whole: DataFrame) -> DataFrame:
+    """(node, lead, size, leading, likeness, apart) of pairs of sets: their sizes, how alike they are, and, from NEAR
+    on, the hashes that just one of them has."""
+    leaders = whole.join(ties.select(F.col("lead").alias("node")).distinct(), "node", "left_semi")
+    leaders = materialize(leaders.select(F.col("node").alias("lead"), F.col("hashes").alias("hl")), "similar-lead")
+    held = leaders.agg(F.coalesce(F.sum(F.size("hl")), F.lit(0)).alias("n")).first()["n"]
+    both = F.size(F.array_intersect("hashes", "hl"))
+    met = ties.join(whole, "node").join(small(leaders, held, 8), "lead").withColumn("both", both)
+    met = met.withColumns({"size": F.size("hashes"), "leading": F.size("hl"), "likeness": F.col("both") / (F.size("hashes") + F.size("hl") - F.col("both"))})
+    apart = F.when(F.col("likeness") >= NEAR, F.concat(F.array_except("hashes", "hl"), F.array_except("hl", "hashes")))
+    out = materialize(met.select("node", "lead", "size", "leading", "likeness", apart.alias("apart")), "similar-met")
+    discard(leaders)
+    return out
+
+
+def apart_pairs(met: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): candidate pairs among the sets of one leader, of which at most one is ``similarity`` like it.
+
+    Sets a and b differ in just what their differences from the leader differ in. So a pair that is alike has
+    differences with many hashes in common, and those in turn have one among their first ones, as prefixes do: the
+    rarest in the leader's group first. If a is not like the leader, at least one is needed, and nearly half of all
+    that b has; edits of one text of which each is another share none. Hashes of one set alone are never emitted.
+    """
+    k = (1 - similarity) / (1 + similarity)  # sets alike differ in at most this share of both their sizes
+    every = met.where(F.col("likeness") >= NEAR).select("lead", "node", "size", F.size("apart").alias("m"), (F.col("likeness") < similarity).alias("rest"), (F.size("apart") - k * (F.col("size") + F.col("leading"))).alias("slack"), F.explode("apart").alias("hash"))
+    many = materialize(every.groupBy("lead", "hash").agg(F.count("*").alias("c"), F.bool_or("rest").alias("any")).where("c > 1"), "similar-apart")
+    own = Window.partitionBy("lead", "node")
+    ranked = every.join(many, ["lead", "hash"]).withColumn("place", F.row_number().over(own.orderBy("c", "hash")) + F.col("m") - F.count("*").over(own))
+    # the least that any partner asks for, before the partner is known
+    needed = F.ceil(F.when(F.col("rest"), (F.col("slack") + 1 - k) / 2).otherwise((1 - k) * F.col("m") / 2) - 1e-6)
+    ranked = materialize(ranked.where(F.col("any") & (F.col("place") <= F.col("m") - needed + 1)).select("lead", "hash", "node", "size", "m", "rest", "place"), "similar-ranked")
+    discard(many)
+    one = ranked.where("rest").select("lead", "hash", F.col("node").alias("a"), F.col("size").alias("na"), F.col("m").alias("ma"), F.col("place").alias("pa"))
+    two = ranked.select("lead", "hash", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("m").alias("mb"), F.col("place").alias("pb"), F.col("rest").alias("rb"))
+    need = F.ceil((F.col("ma") + F.col("mb") - k * (F.col("na") + F.col("nb"))) / 2 - 1e-6)
+    reach = (F.col("pa") <= F.col("ma") - need + 1) & (F.col("pb") <= F.col("mb") - need + 1)
+    once = (F.col("a") != F.col("b")) & (~F.col("rb") | (F.col("a") < F.col("b")))
+    return one.join(two, ["lead", "hash"]).where(once & reach & fits(F.col("na"), F.col("nb"), similarity)).select("a", "b")
 
 
 def similar_links(prefixes: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs of nodes at least ``similarity`` alike that join all such pairs into components.
 
-    The sets of a hash that few hold are all compared. In a crowded one, rounds of leaders come first: the set with the
-    fewest hashes of its own, outside the hash's largest component, is compared with all and leaves. Then every pair of
-    sets that are still in different components is compared, so none that could join two components is left out.
+    The sets of a hash that few hold are all compared. Of a crowded one, the set with the fewest hashes of its own
+    leads and is compared with all the others. Two sets that are like the leader need no comparison, as they are
+    joined through it; other pairs of sets that are at least NEAR it are found by their differences from it
+    (``apart_pairs``). Of a pair that is left, one set is less than NEAR the leader, and so, as 1 - likeness is a
+    metric, is the other less than NEAR + 1 - ``similarity``. Only those sets go on: the next round takes prefixes of
+    their whole sets, ordered by how many of these sets hold a hash. Should rounds stop to thin them out, all their
+    pairs of different components are compared. So none that could join two components is left out.
     """
-    fits = lambda a, b: (F.least(a, b) >= F.greatest(a, b) * similarity - 1e-6)
     side = lambda df, name: df.select("hash", F.col("node").alias(name), F.col("size").alias(f"n{name}"), *(F.col(c).alias(f"{c}{name}") for c in df.columns if c == "label"))
-    few = prefixes.where(F.col("n") <= CROWD)
-    pairs = side(few, "a").join(side(few, "b"), "hash").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb")))
-    found = alike(pairs, whole, similarity)
-    crowd = materialize(prefixes.where(F.col("n") > CROWD).drop("n"), "similar-crowd")
-    for k in range(ROUNDS + 1):
-        comp = connected_components(found, "similar-cc").withColumnRenamed("component", "label")
-        rows = materialize(crowd.join(comp, "node", "left").withColumn("label", F.coalesce("label", "node")), "similar-rows")
-        groups = rows.groupBy("hash", "label").agg(F.count("*").alias("m"))
-        main = materialize(groups.groupBy("hash").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("n")).where("n > main.m"), "similar-main")
-        size = main.agg(F.sum("n").alias("rows"), F.sum(F.col("n") * (F.col("n") - F.col("main.m"))).alias("pairs")).first()
-        if not size["rows"]:
-            break
-        rest = rows.join(main, "hash").where("label <> main.label").select(*rows.columns)
-        last = k == ROUNDS or size["pairs"] <= CROWD * size["rows"]
-        if not last:
-            lead = F.min(F.struct("lone", F.xxhash64("node").alias("_h"), "node", "size", "label")).alias("x")
-            rest = materialize(rest.groupBy("hash").agg(lead).select("hash", "x.node", "x.size", "x.label"), "similar-leaders")
-            crowd = materialize(crowd.join(rest.select("hash", "node"), ["hash", "node"], "left_anti"), "similar-crowd")
-        pairs = side(rest, "a").join(side(rows, "b"), "hash").where((F.col("labela") != F.col("labelb")) & fits(F.col("na"), F.col("nb")))
-        found = materialize(found.union(alike(pairs, whole, similarity)), "similar-found")
-        if last:
+    found = materialize(whole.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")), "similar-found")
+    before = None
+    while True:
+        few = prefixes.where(F.col("n") <= CROWD)
+        pairs = side(few, "a").join(side(few, "b"), "hash").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb"), similarity))
+        close = alike(pairs.select("a", "b"), whole, similarity)
+        crowd = prefixes.where(F.col("n") > CROWD)
+        leads = materialize(crowd.groupBy("hash").agg(F.min(F.struct("lone", F.xxhash64("node").alias("_h"), "node")).alias("x")).select("hash", F.col("x.node").alias("lead")), "similar-leads")
+        if leads.isEmpty():
+            return materialize(found.union(close), "similar-found")
+        tied = materialize(crowd.join(leads, "hash").where("node <> lead"), "similar-tied")
+        met = met_leaders(tied.select("node", "lead").distinct(), whole)
+        near = met.where(F.col("likeness") >= similarity).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+        rest = alike(apart_pairs(met, similarity), whole, similarity)
+        more = materialize(found.union(close).union(near).union(rest), "similar-found")
+        far = materialize(tied.join(met.where(F.col("likeness") < NEAR + 1 - similarity).select("node", "lead"), ["node", "lead"]).select("hash", "node", "size"), "similar-far")
+        discard(found, close, rest, leads, tied, met)
+        found = more
+        left = materialize(far.select("node").distinct(), "similar-left")
+        held = left.count()
+        if not held or before is not None and held > 0.8 * before:
             break
+        before = held
+        sets = whole.join(small(left, held, 16), "node").withColumns({"size": F.size("hashes"), "prefix": prefix_size_of(F.size("hashes"), similarity)})
+        prefixes = shared_prefixes(sets)
+        discard(far, left)
+    if held:
+        comp = connected_components(found, "similar-cc").withColumnRenamed("component", "label")
+        rows = materialize(far.join(comp, "node", "left").withColumn("label", F.coalesce("label", "node")), "similar-rows")
+        pairs = side(rows, "a").join(side(rows, "b"), "hash").where((F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & fits(F.col("na"), F.col("nb"), similarity))
+        found = materialize(found.union(alike(pairs.select("a", "b"), whole, similarity)), "similar-found")
     return found
 
 
@@ -262,8 +330,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     some = docs.join(small(nodes.select("_sw_id"), held, 32), docs[id_col] == F.col("_sw_id"), "left_semi")
     whole = shingle_sets(some, id_col, text_col, n, similarity, whole=True).join(small(nodes.select("node"), held, 32), "node", "left_semi")
     whole = materialize(whole.groupBy("node").agg(F.first("hashes").alias("hashes")), "similar-whole")
-    comp = connected_components(similar_links(prefixes, whole, similarity), "similar-cc")
+    links = similar_links(prefixes, whole, similarity)
+    discard(prefixes, nodes, whole)
+    comp = connected_components(links, "similar-cc")
     named = sets.select("id", "node").join(comp, "node", "left").select("id", F.coalesce("component", "node").alias("component"))
     least = materialize(named.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("m")).where("m > 1"), "similar-least")
     gone = materialize(named.join(least, "component").where("id <> least").select(F.col("id").alias("_sw_id")).distinct(), "similar-out")
+    discard(sets, least)
     return docs.join(small(gone, gone.count(), 32), docs[id_col] == F.col("_sw_id"), "left_anti")
