@@ -18,6 +18,8 @@ from .common import small_batches
 BEGIN, TEXT, CLOSE, END = "<s>", "[INST]", "[/INST]", "</s>"
 #: A packed sequence is closed when it holds so many characters or conversations.
 PACK_CHARS, PACK_CONVS = 1 << 18, 4096
+#: Characters of formatted conversations that are read back together.
+SLICE_CHARS = 1 << 22
 #: The role whose texts are under the loss mask.
 LOSS_ROLE = "assistant"
 _CONTROL = re.compile(r"\\|<(?=/?s>)|\[(?=/?INST\])")
@@ -149,7 +151,9 @@ def unpack(packs: DataFrame) -> DataFrame:
     """Read conversations back: conv_id, turns (role, text), loss_text, formatted_chars.
 
     A conversation is what its leaf attends to; its turns are parsed from that text and unescaped. loss_text is all
-    text under the loss mask, in order, unescaped; formatted_chars counts the characters of the formatted text.
+    text under the loss mask, in order, unescaped; formatted_chars counts the characters of the formatted text. The
+    conversations of a pack come out in slices of SLICE_CHARS: a worker holds a pack, one slice of what it stands for
+    (shared turns are there once for each conversation), and one conversation more. No packs give no rows.
     """
     kind = packs.schema["convs"].dataType.elementType["conv_id"].dataType
     turn = T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
@@ -168,13 +172,18 @@ def unpack(packs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             id_type = b.schema.field("convs").type.value_type.field("conv_id").type
-            for row in b.to_pylist():
-                done = {c["leaf"]: None for c in row["convs"]}
-                for leaf in done:
-                    done[leaf] = leaf_parts(row["text"], row["segments"], leaf)
-                for at in range(0, len(row["convs"]), 256):
-                    convs = row["convs"][at : at + 256]
-                    parts = [done[c["leaf"]] for c in convs]
-                    yield pa.RecordBatch.from_arrays([pa.array([c["conv_id"] for c in convs], id_type), pa.array([p[0] for p in parts], _TURNS), pa.array([p[1] for p in parts], pa.string()), pa.array([p[2] for p in parts], pa.int64())], names=out.names)
+            for at in range(b.num_rows):
+                row = b.slice(at, 1).to_pylist()[0]
+                ids, parts, held = [], [], 0
+                for k, c in enumerate(row["convs"]):
+                    # equal conversations follow each other and share what was read from their leaf
+                    if not k or c["leaf"] != row["convs"][k - 1]["leaf"]:
+                        part = leaf_parts(row["text"], row["segments"], c["leaf"])
+                    ids.append(c["conv_id"])
+                    parts.append(part)
+                    held += part[2]
+                    if held >= SLICE_CHARS or k == len(row["convs"]) - 1:
+                        yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array([p[0] for p in parts], _TURNS), pa.array([p[1] for p in parts], pa.string()), pa.array([p[2] for p in parts], pa.int64())], names=out.names)
+                        ids, parts, held = [], [], 0
 
     return packs.select("text", "segments", "convs").mapInArrow(run, out)
