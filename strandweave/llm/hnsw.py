@@ -16,7 +16,7 @@ from .common import materialize
 #: Links of a node on upper layers and on the lowest; beam widths.
 UPPER, LOWEST, BUILD_BEAM, SEARCH_BEAM = 16, 32, 64, 160
 #: A table is cut into SHARDS graphs of LEAST_ROWS vectors or more, and into more only where one would pass SHARD_BYTES.
-SHARDS, LEAST_ROWS, SHARD_BYTES = 4, 2048, 64 << 20
+SHARDS, LEAST_ROWS, SHARD_BYTES = 4, 2048, 16 << 20
 #: Nodes inserted together, and beam entries opened together.
 BATCH, OPEN = 256, 4
 
@@ -182,7 +182,8 @@ def search(vectors: np.ndarray, sizes: list[int], links: np.ndarray, q: np.ndarr
     entry = np.zeros(len(q), dtype=np.int64)
     for level in reversed(range(1, len(sizes))):
         entry = beam(y[: sizes[level]], graphs[level], p, entry[:, None], 8)[0][:, 0]
-    found, _ = beam(y, graphs[0], p, entry[:, None], max(SEARCH_BEAM, k))
+    wide = int(SEARCH_BEAM * max(1.0, len(y) / 4096) ** 0.25)  # a larger graph asks for a wider beam
+    found, _ = beam(y, graphs[0], p, entry[:, None], max(wide, k))
     exact = vectors.astype(np.float64)
     score = np.where(found >= 0, (exact[np.maximum(found, 0)] * q.astype(np.float64)[:, None, :]).sum(axis=2), -np.inf)
     return found, score

@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -99,6 +100,17 @@ def test_chat_small_packs_and_empty(spark):
     assert chat.unpack(chat.pack(df.limit(0))).count() == 0
 
 
+def test_chat_reads_back_in_slices(spark, monkeypatch):
+    """Many conversations behind one long first turn: what stands for 120 MB never stands in one batch."""
+    monkeypatch.setattr(chat, "SLICE_CHARS", 1 << 20)
+    first = "x" * 200_000
+    df = spark.createDataFrame([(c, t, ["user", "assistant"][t], first if t == 0 else f"reply {c // 2}") for c in range(600) for t in (0, 1)], "conv_id long, turn long, role string, text string")
+    packs = chat.pack(df)
+    assert packs.agg(F.sum(F.length("text"))).first()[0] < 3_000_000
+    got = {r["conv_id"]: (r["n"], r["loss_text"]) for r in chat.unpack(packs).select("conv_id", F.length(F.get(F.col("turns"), F.lit(0))["text"]).alias("n"), "loss_text").collect()}
+    assert got == {c: (200_000, f"reply {c // 2}") for c in range(600)}
+
+
 # 2 nearest neighbours
 
 
@@ -111,7 +123,7 @@ def brute(vectors: dict, queries: list, k: int) -> dict:
 
 
 def test_hnsw_recall(spark, monkeypatch):
-    monkeypatch.setattr(hnsw, "SHARD_ROWS", 300)
+    monkeypatch.setattr(hnsw, "LEAST_ROWS", 250)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(12, 16))
     x = {i: (centres[i % 12] + 0.4 * rng.normal(size=16)).astype(np.float32) * (1 + i % 3) for i in range(1000)}
@@ -124,6 +136,26 @@ def test_hnsw_recall(spark, monkeypatch):
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.95
 
 
+def test_hnsw_recall_with_many_shards(spark, monkeypatch):
+    """Vectors without any clusters, 14 graphs."""
+    monkeypatch.setattr(hnsw, "LEAST_ROWS", 200)
+    x = np.random.default_rng(2).normal(size=(2900, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in hnsw.nearest(df, df.where("vec_id % 20 = 0"), 20, shards=99).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    score = x[::20].astype(float) @ x.astype(float).T
+    score[np.arange(len(score)), np.arange(0, 2900, 20)] = -9
+    want = np.argsort(-score, axis=1)[:, :20]
+    assert np.mean([len(got[20 * q] & set(row.tolist())) / 20 for q, row in enumerate(want)]) >= 0.95
+
+
+def test_hnsw_shards_grow_before_they_multiply():
+    most = hnsw.SHARD_BYTES // (4 * (64 + hnsw.LOWEST + 4))
+    assert [hnsw.shard_count(n, 64) for n in (0, 100, 5000, 10**4, 10**5, 4 * most, 4 * most + 1, 10 * most)] == [1, 1, 2, 4, 4, 4, 5, 10]
+
+
 def test_hnsw_copies_and_odd_vectors(spark):
     rows = [(i, [1.0, 0.0]) for i in range(400)] + [(1000, [0.0, 1.0]), (1001, [0.9, 0.1]), (1002, None), (1003, [0.0, 0.0]), (1004, [float("nan"), 1.0]), (1005, [None, 1.0]), (1006, [float("inf"), 1.0]), (1007, []), (1008, [1.0, 2.0, 3.0]), (None, [1.0, 0.0])]
     df = spark.createDataFrame([(*r, "junk") for r in rows], "vec_id long, embedding array<float>, rank string")
@@ -198,25 +230,22 @@ def test_quality_learns_and_scores(spark, odd, none):
 # 5 lines
 
 
-def repeats_by_hand(docs: list[tuple], min_words: int) -> dict:
-    """Lines in a window that occurred earlier, by comparing windows as tuples of lines."""
-    seen, out = {}, {}
+def maximal_repeats_by_hand(docs: list[tuple], min_words: int) -> dict:
+    """Lines in any run of ``min_words`` words or more that occurred earlier, by comparing lines one by one."""
+    out, before = {}, []
     for key, text in docs:
-        lines = (text or "").split("\n")
-        own = [(i, t.strip()) for i, t in enumerate(lines) if t.strip()]
-        cut = set()
+        own = [(i, t.strip()) for i, t in enumerate((text or "").split("\n")) if t.strip()]
+        out[key] = set()
         for a in range(len(own)):
-            n, b = 0, a
-            while b < len(own) and n < min_words:
-                n += len(own[b][1].split())
-                b += 1
-            if n < min_words:
-                break
-            w = tuple(t for _, t in own[a:b])
-            if w in seen and (seen[w][0] != key or own[a][0] > seen[w][1]):
-                cut |= set(range(own[a][0], own[b - 1][0] + 1))
-            seen.setdefault(w, (key, own[b - 1][0]))
-        out[key] = cut
+            for other in [*before, own]:
+                for c in range(a if other is own else len(other)):
+                    n = words = 0
+                    while a + n < len(own) and c + n < (a if other is own else len(other)) and own[a + n][1] == other[c + n][1]:
+                        words += len(own[a + n][1].split())
+                        n += 1
+                    if words >= min_words:
+                        out[key] |= set(range(own[a][0], own[a + n - 1][0] + 1))
+        before.append(own)
     return out
 
 
@@ -227,7 +256,7 @@ def test_line_dedup(spark, odd, none):
     docs += [(80, docs[0][1]), (81, "\n".join(["same words here"] * 40)), (82, None)]
     df = spark.createDataFrame([(*d, "junk", "junk") for d in docs], "doc_id long, text string, runs string, n_removed string")
     got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(df.repartition(4), min_words=10).collect()}
-    want = repeats_by_hand(docs, 10)
+    want = maximal_repeats_by_hand(docs, 10)
     assert sum(map(len, want.values())) > 200
     for i, t in docs:
         lines = (t or "").split("\n")
@@ -237,25 +266,6 @@ def test_line_dedup(spark, odd, none):
     assert line_dedup.drop_repeated_lines(none).count() == 0
 
 
-def maximal_repeats_by_hand(docs: list[tuple], min_words: int) -> dict:
-    """Lines in any run of ``min_words`` words or more that occurred earlier, by comparing lines one by one."""
-    out, before = {}, []
-    for key, text in docs:
-        own = [(i, t.strip()) for i, t in enumerate((text or "").split("\n")) if t.strip()]
-        out[key] = set()
-        for a in range(len(own)):
-            for other in [*before, own]:
-                for c in range(a if other is own else len(other)):
-                    n = words = 0
-                    while a + n < len(own) and c + n < (a if other is own else len(other)) and own[a + n][1] == other[c + n][1]:
-                        words += len(own[a + n][1].split())
-                        n += 1
-                    if words >= min_words:
-                        out[key] |= set(range(own[a][0], own[a + n - 1][0] + 1))
-        before.append(own)
-    return out
-
-
 def test_line_dedup_extends_to_the_end_of_runs(spark):
     rng = random.Random(9)
     pool = [sentence(rng, rng.randint(1, 9)) for _ in range(12)]
@@ -263,7 +273,7 @@ def test_line_dedup_extends_to_the_end_of_runs(spark):
     run = [sentence(rng, 60), sentence(rng, 6), sentence(rng, 3)]
     docs += [(k, "\n".join([sentence(rng, 4), *run[:n], sentence(rng, 15)])) for k, n in ((50, 1), (51, 3), (52, 3), (53, 2))]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(df.repartition(4), min_words=10, extend=True).collect()}
+    got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(df.repartition(4), min_words=10).collect()}
     want = maximal_repeats_by_hand(docs, 10)
     assert [len(want[k]) for k in (50, 51, 52, 53)] == [0, 1, 3, 2]
     for i, t in docs:
@@ -392,13 +402,15 @@ def edited(rng: random.Random, words: list[str], times: int) -> str:
     return " ".join(words)
 
 
-@pytest.mark.parametrize("crowd", [simhash.CROWD, 1])
-def test_near_copies_in_crowds_are_all_compared(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "near"), [(simhash.CROWD, simhash.NEAR), (1, simhash.NEAR), (1, 2.0)])
+def test_near_copies_in_crowds_are_all_compared(spark, monkeypatch, crowd, near):
     monkeypatch.setattr(simhash, "CROWD", crowd)  # 1: every shared hash takes the way of crowded ones
+    monkeypatch.setattr(simhash, "NEAR", near)  # 2: leaders settle nothing, the rest is compared in all pairs
     rng = random.Random(11)
-    common, base, docs = sentence(rng, 40), sentence(rng, 60).split(), []
+    common, base, long, docs = sentence(rng, 40), sentence(rng, 60).split(), sentence(rng, 200).split(), []
     docs += [f"{common} {sentence(rng, rng.randint(3, 60))}" for _ in range(60)]  # one passage in unrelated documents
     docs += [edited(rng, base, rng.randint(0, 3)) for _ in range(60)]  # a group of copies, near and not so near
+    docs += [edited(rng, long, rng.randint(1, 5)) for _ in range(120)] + [edited(rng, long, rng.randint(5, 9)) for _ in range(30)]  # a larger one, without its text
     docs += [edited(rng, words, 1) for words in [f"{common} {sentence(rng, 30)}".split() for _ in range(10)] for _ in range(2)]
     docs += ["few words", "Few  words", "few other words", ""]
     rng.shuffle(docs)
@@ -446,6 +458,10 @@ def test_secret_spans(spark, odd, none):
     for r in secret_scan.scan(df, models).collect():
         got = [(s["start"], s["kind"], s["end"]) for s in r["spans"]]
         assert got == sorted(got) and [s for s in got if s[1] < 3] == base_by_hand(r["text"] or ""), r["text"]
+    many = spark.createDataFrame([(1, "token=a1b2c3d4 x " * 5000 + "deadbeef" * 4 + " é " * 3000)], "doc_id long, text string")
+    begin = time.time()
+    found = secret_scan.scan(many, models).first()["spans"]
+    assert time.time() - begin < 5 and [(s["start"], s["kind"], s["end"]) for s in found] == base_by_hand(many.first()["text"])
     assert secret_scan.scan(odd, models).count() == odd.count() and secret_scan.scan(none, models).count() == 0
 
 
@@ -522,6 +538,14 @@ def test_mixing(spark, odd, none):
     copies = {r["doc_id"]: r["copies"] for r in got}
     drawn = mixing.draw(df)
     assert drawn.columns == df.columns
+    # the rows of a partition are of one shard and in its order; the pieces of a shard follow each other
+    parts = mixing.draw(df, task_words=100).select("doc_id", F.spark_partition_id().alias("part")).collect()
+    order = {}
+    for r in parts:
+        order.setdefault(r["part"], []).append(r["doc_id"])
+    shuffled = sorted((shard, place, r["doc_id"]) for r in mixing.plan(df).collect() for shard, place in zip(r["shards"], r["places"], strict=True))
+    assert [i for part in sorted(order) for i in order[part]] == [i for _, _, i in shuffled]
+    assert max(map(len, order.values())) < 60 and len(order) > mixing.SHARDS
     assert Counter(r["doc_id"] for r in drawn.collect()) == Counter({i: n for i, n in copies.items() if n})
     assert mixing.draw(odd).count() == mixing.plan(odd).agg(F.sum("copies")).first()[0]
     assert mixing.plan(none).count() == 0 and mixing.draw(none).count() == 0
