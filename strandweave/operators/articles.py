@@ -307,3 +307,16 @@ def structural_observations(notes: DataFrame, most: int = SHOWN) -> DataFrame:
     out = rows.groupBy("machine", "rule_id").agg(F.sum("n").alias("total"), F.count_if("shows").alias("told"), F.transform(F.array_sort(F.collect_list(kept)), lambda x: x["named"]).alias("items"))
     omitted = F.when(F.col("rule_id") == "null_platform", 0).otherwise(F.greatest(F.lit(0), F.col("told") - most))
     return out.select("machine", "rule_id", "total", "items", omitted.cast("bigint").alias("omitted"))
+
+
+def heading_quality(lines: DataFrame) -> DataFrame:
+    """(heading, canonical, via, standard, n, systems): headings of articles by their normalised name, with what they are
+    mapped to and by which rule (alias, fuzzy; null: by none), and machines that have them. Lines that nearly are
+    headings count under via near_miss, by what they say."""
+    text = clean_line(F.col("line"))
+    headings = lines.where(text.rlike(BANNER)).select("machine", F.regexp_extract(text, BANNER, 1).alias("raw"))
+    named = canonical_headings(headings, "raw").select(F.col("heading").alias("raw"), "canonical", "via")
+    rows = headings.join(named, "raw").select("machine", section_label(F.col("raw")).alias("heading"), "canonical", "via")
+    missed = lines.where(near_miss_banner(F.col("line"))).select("machine", text.alias("heading"), F.lit(None).cast("string").alias("canonical"), F.lit("near_miss").alias("via"))
+    per = rows.union(missed).groupBy("heading", "canonical", "via").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+    return per.select("heading", "canonical", "via", F.col("heading").isin(HEADINGS).alias("standard"), "n", "systems")

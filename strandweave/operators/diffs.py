@@ -85,6 +85,42 @@ def changed_span(before: Column, after: Column) -> Column:
     return F.struct(prefix.alias("prefix"), middle(before).alias("before"), middle(after).alias("after"))
 
 
+def snippet(text: Column, start: Column, length: Column, context: int = 55) -> Column:
+    """The part of ``text`` with ``context`` characters on both sides, ... where more was left out; on one line."""
+    left = F.greatest(F.lit(0), start - context)
+    right = F.least(F.length(text), start + length + context)
+    part = F.replace(F.substring(text, left + 1, right - left), F.lit("\n"), F.lit(" "))
+    return F.concat(F.when(left > 0, "...").otherwise(""), part, F.when(right < F.length(text), "...").otherwise(""))
+
+
+def changed_block_detail(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(machine, section, state, change, type, before, after): the blocks by which sections differ.
+
+    State is that of the section: ADDED, REMOVED or MODIFIED. Blocks that only one side has are paired within a
+    section and type, in order: a pair is one modified block, of which the changed span is shown with its context;
+    the rest is removed or added as a whole. Blocks that only change places are no change.
+    """
+
+    def numbered(df: DataFrame, name: str) -> DataFrame:
+        n = F.row_number().over(Window.partitionBy("machine", "section", "type", "text").orderBy("block_index"))
+        return df.select("machine", "section", "type", "text", n.alias("n"), F.col("block_index").alias(name))
+
+    keys = ["machine", "section", "type", "text", "n"]
+    both = numbered(before, "was").join(numbered(after, "now"), keys, "full_outer")
+    whole = Window.partitionBy("machine", "section")
+    state = F.when(F.count("was").over(whole) == 0, "ADDED").when(F.count("now").over(whole) == 0, "REMOVED").otherwise("MODIFIED")
+    odd = both.withColumn("state", state).where("was is null or now is null")
+    gone = F.col("now").isNull()
+    place = F.row_number().over(Window.partitionBy("machine", "section", "type", gone).orderBy(F.coalesce("was", "now"), "text"))
+    odd = odd.withColumns({"gone": gone, "place": place})
+    side = lambda which, name: odd.where("gone" if which else "not gone").select("machine", "section", "type", "place", "state", F.col("text").alias(name))
+    pairs = side(True, "b").withColumnRenamed("state", "sb").join(side(False, "a").withColumnRenamed("state", "sa"), ["machine", "section", "type", "place"], "full_outer")
+    change = F.when(F.col("a").isNull(), "removed").when(F.col("b").isNull(), "added").otherwise("modified")
+    rows = pairs.withColumn("change", change).withColumn("span", F.when(change == "modified", changed_span(F.col("b"), F.col("a"))))
+    part = lambda text, name: F.when(F.col("change") == "modified", snippet(F.col(text), F.col("span.prefix"), F.length(F.col(f"span.{name}")))).otherwise(F.col(text))
+    return rows.select("machine", "section", F.coalesce("sb", "sa").alias("state"), "change", "type", part("b", "before").alias("before"), part("a", "after").alias("after"))
+
+
 def changed_fields(before: DataFrame, after: DataFrame, fields: list[str], most: int = 1800) -> DataFrame:
     """(machine, field, before, after): values of changed fields of machines in both releases, shortened to ``most``
     characters; an absent value is null."""

@@ -189,3 +189,27 @@ def missing_vocabulary(published: DataFrame, catlist: DataFrame, vocabulary: Dat
 
 def joined(c: str | Column, sep: str = "|") -> Column:
     return F.array_join(c, sep)
+
+
+def machine_names(*names: DataFrame) -> DataFrame:
+    """The distinct names in the first column of each table."""
+    first, *rest = (df.select(F.col(df.columns[0]).alias("name")) for df in names)
+    for df in rest:
+        first = first.union(df)
+    return first.where("name is not null").distinct()
+
+
+def keys_minus(left: DataFrame, right: DataFrame, key: str = "machine") -> DataFrame:
+    """The distinct keys of ``left`` that ``right`` lacks."""
+    return left.select(key).subtract(right.select(key))
+
+
+def keys_intersect(left: DataFrame, right: DataFrame, key: str = "machine") -> DataFrame:
+    """The distinct keys that both have."""
+    return left.select(key).intersect(right.select(key))
+
+
+def classification_conflicts(rows: DataFrame, fields: list[str], key: str = "machine") -> DataFrame:
+    """(key, n): keys that are given more than one classification; nulls are values like others."""
+    different = F.count_distinct(F.struct(*(F.struct(F.col(c).alias(c)) for c in fields)))
+    return rows.groupBy(key).agg(different.alias("n")).where("n > 1")

@@ -1,4 +1,4 @@
-"""Counts: distributions, their order, top groups, pages of rows."""
+"""Counts: distributions, their order, top groups."""
 
 from __future__ import annotations
 
@@ -42,17 +42,3 @@ def top_groups(counts: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("metric").orderBy(F.desc("n"), F.lower("bucket"), "bucket")
     total = counts.groupBy("metric").agg(F.count("*").alias("groups"))
     return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).join(total, "metric")
-
-
-def page_of_rows(rows: DataFrame, order: list[Column | str], page: int, size: int = 50) -> DataFrame:
-    """Rows of page ``page`` (clamped to those there are) in ``order``, with place, page, pages and total.
-
-    The count and the page bound decide a limit before the numbering, so only the rows up to the page are sorted
-    in one place.
-    """
-    total = rows.count()
-    pages = max(1, -(-total // size))
-    page = min(max(1, page), pages)
-    head = rows.orderBy(*order).limit(page * size)
-    placed = head.withColumn("place", F.row_number().over(Window.orderBy(*order)))
-    return placed.where(F.col("place") > (page - 1) * size).withColumns({"page": F.lit(page), "pages": F.lit(pages), "total": F.lit(total)})

@@ -16,3 +16,18 @@ def unequal(totals: DataFrame, checks: dict[str, tuple[Column, Column]]) -> Data
     """(rule, left, right): checks of two numbers of a one-row table that differ."""
     rows = F.array(*(F.struct(F.lit(n).alias("rule"), a.cast("bigint").alias("left"), b.cast("bigint").alias("right")) for n, (a, b) in checks.items()))
     return totals.select(F.explode(rows).alias("x")).select("x.*").where(~F.col("left").eqNullSafe(F.col("right")))
+
+
+def unmatched_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, side): keys that only one of two tables has."""
+    side = lambda df, name: df.select(key).distinct().withColumn(name, F.lit(True))
+    both = side(before, "was").join(side(after, "now"), key, "full_outer").where("was is null or now is null")
+    return both.select(key, F.when(F.col("now").isNull(), "only_before").otherwise("only_after").alias("side"))
+
+
+def source_shape(machines: DataFrame, entries: DataFrame) -> DataFrame:
+    """One row: whether the machines hold a parent, a variant and a title, and the entries systems and software."""
+    m = machines.agg(F.bool_or(F.col("cloneof").isNull()).alias("has_parent"), F.bool_or(F.col("cloneof").isNotNull()).alias("has_clone"), F.bool_or(F.col("description").isNotNull()).alias("has_titles"))
+    e = entries.agg(F.bool_or(F.col("kind") == "systems").alias("has_systems"), F.bool_or(F.col("kind") == "software").alias("has_software"))
+    every = m.join(e)  # one row each
+    return every.select(*(F.coalesce(c, F.lit(False)).alias(c) for c in every.columns))

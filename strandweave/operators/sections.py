@@ -55,6 +55,24 @@ def chips_section(chips: DataFrame) -> DataFrame:
     )
 
 
+def explode_chips(machines: DataFrame, chips: str = "chip") -> DataFrame:
+    """(machine, pos, type, chip, clock_hz, cpu_count, audio_count): one row per chip of machines (name, array of chips
+    with _type, _name, _clock); a clock that is no number is null. Machines without chips have no rows."""
+    number = lambda c: F.when(F.trim(c).rlike("^[0-9]+$"), F.trim(c).try_cast("bigint"))
+    typed = F.transform(chips, lambda c, i: F.struct(i.alias("pos"), F.lower(text_or_empty(c["_type"])).alias("type"), text_or_empty(c["_name"]).alias("chip"), number(c["_clock"]).alias("clock_hz")))
+    count = lambda t: F.size(F.filter("c", lambda c: c["type"] == t)).cast("bigint").alias(f"{t}_count")
+    rows = machines.select(F.col("name").alias("machine"), typed.alias("c"))
+    return rows.select("machine", count("cpu"), count("audio"), F.inline("c"))
+
+
+def device_ref_rollup(machines: DataFrame, refs: str = "device_ref") -> DataFrame:
+    """(machine, samples, speakers): of machines with an array of device references (_name), whether one is samples and
+    how many are speakers."""
+    names = F.transform(F.coalesce(F.col(refs), F.array()), lambda r: F.lower(text_or_empty(r["_name"])))
+    count = F.size(F.filter("n", lambda n: n == "speaker")).cast("bigint")
+    return machines.select(F.col("name").alias("machine"), names.alias("n")).select("machine", F.exists("n", lambda n: n == "samples").alias("samples"), count.alias("speakers"))
+
+
 def display_rows(displays: DataFrame) -> DataFrame:
     """Displays as integers, without those that are no vector screens and lack a size."""
     rows = displays.withColumn("type", F.lower(text_or_empty(F.col("type"))))

@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import diffs as D
+from ..operators import ports as P
+from ..operators import quality_rules as R
+from ..operators import records as C
 from ..operators import titles as T
 from ..streaming import incremental as I
-from .lineage_queries import FAMILY
+from .lineage_queries import DUPLICATES, FAMILY, ports
 from .views import Views, query
 
 #: title|subtitle|version of each unit, joined by ';', and the global version, for each form of the titles view.
@@ -25,12 +28,12 @@ def parse_titles(v: Views):
     return T.parse_titles(v.titles).select("machine", F.concat(F.array_join(F.transform("units", one), ";"), F.lit("#"), "global_version").alias("parsed"))
 
 
-@query(
-    "title_anomalies",
-    """WITH t AS (SELECT machine, description, CAST(substr(machine, 2) AS INT) % 12 AS k FROM v_titles)
-       SELECT machine, 'unbalanced_round_brackets' AS anomaly, description AS example FROM t WHERE k IN (3, 4) UNION ALL SELECT machine, 'unbalanced_square_brackets', description FROM t WHERE FALSE
-       UNION ALL SELECT machine, 'infix_brackets_no_spaces', description FROM t WHERE k = 5 UNION ALL SELECT machine, 'ambiguous_trailing_tokens', description FROM t WHERE k IN (2, 5)""",
-)
+ANOMALIES = """SELECT machine, a AS anomaly, description AS example FROM (SELECT machine, description, CAST(substr(machine, 2) AS INT) % 12 AS k FROM v_titles),
+       (SELECT unnest(['unbalanced_round_brackets', 'infix_brackets_no_spaces', 'ambiguous_trailing_tokens']) AS a)
+       WHERE CASE a WHEN 'unbalanced_round_brackets' THEN k IN (3, 4) WHEN 'infix_brackets_no_spaces' THEN k = 5 ELSE k IN (2, 5) END"""
+
+
+@query("title_anomalies", ANOMALIES)
 def title_anomalies(v: Views):
     return T.title_anomalies(T.parse_titles(v.titles))
 
@@ -143,9 +146,17 @@ def affected_filter(v: Views):
 
 @query("expect_matching_keys", "SELECT coalesce(b.machine, a.machine) AS machine, CASE WHEN a.machine IS NULL THEN 'only_before' ELSE 'only_after' END AS side FROM v_before b FULL OUTER JOIN v_after a ON b.machine = a.machine WHERE a.machine IS NULL OR b.machine IS NULL")
 def expect_matching_keys(v: Views):
-    b, a = v.before.select("machine", F.lit(1).alias("b")), v.after.select("machine", F.lit(1).alias("a"))
-    both = b.join(a, "machine", "full_outer").where("a is null or b is null")
-    return both.select("machine", F.when(F.col("a").isNull(), "only_before").otherwise("only_after").alias("side"))
+    return R.unmatched_keys(v.before, v.after, "machine")
+
+
+@query("release_diff_counts", f"SELECT count(*) FILTER (WHERE status = 'added') AS added, count(*) FILTER (WHERE status = 'withdrawn') AS withdrawn, count(*) FILTER (WHERE status = 'modified') AS modified, count(*) FILTER (WHERE status = 'unchanged') AS unchanged, count(*) FILTER (WHERE renamed) AS renamed FROM ({DIFF})")
+def release_diff_counts(v: Views):
+    return D.diff_counts(D.release_diff(v.before, v.after, FIELDS))
+
+
+@query("affected_titles", f"SELECT DISTINCT page FROM (SELECT unnest([page_before, page_after]) AS page FROM ({DIFF}) WHERE status <> 'unchanged') WHERE page IS NOT NULL")
+def affected_titles(v: Views):
+    return D.affected_titles(D.release_diff(v.before, v.after, FIELDS))
 
 
 SECTIONS = """SELECT coalesce(b.machine, a.machine) AS machine, coalesce(b.section, a.section) AS section, CASE WHEN b.c IS NULL THEN 'ADDED' WHEN a.c IS NULL THEN 'REMOVED' ELSE 'MODIFIED' END AS state
@@ -172,12 +183,17 @@ def combined_diff(v: Views):
 
 @query(
     "changed_block_detail",
-    """WITH b AS (SELECT machine, section, type, text, row_number() OVER (PARTITION BY machine, section, type, text) AS n FROM v_blocks_before), a AS (SELECT machine, section, type, text, row_number() OVER (PARTITION BY machine, section, type, text) AS n FROM v_blocks_after)
-       SELECT coalesce(b.machine, a.machine) AS machine, coalesce(b.section, a.section) AS section, CASE WHEN b.n IS NULL THEN 'ADDED' ELSE 'REMOVED' END AS state, coalesce(b.text, a.text) AS text
-       FROM b FULL OUTER JOIN a ON b.machine = a.machine AND b.section = a.section AND b.type = a.type AND b.text = a.text AND b.n = a.n WHERE a.n IS NULL OR b.n IS NULL""",
+    """WITH b AS (SELECT *, row_number() OVER (PARTITION BY machine, section, type, text ORDER BY block_index) AS n FROM v_blocks_before), a AS (SELECT *, row_number() OVER (PARTITION BY machine, section, type, text ORDER BY block_index) AS n FROM v_blocks_after),
+       f AS (SELECT coalesce(b.machine, a.machine) AS machine, coalesce(b.section, a.section) AS section, coalesce(b.type, a.type) AS type, coalesce(b.text, a.text) AS text, b.block_index AS was, a.block_index AS now
+             FROM b FULL OUTER JOIN a ON b.machine = a.machine AND b.section = a.section AND b.type = a.type AND b.text = a.text AND b.n = a.n),
+       s AS (SELECT *, CASE WHEN count(was) OVER w = 0 THEN 'ADDED' WHEN count(now) OVER w = 0 THEN 'REMOVED' ELSE 'MODIFIED' END AS state FROM f WINDOW w AS (PARTITION BY machine, section)),
+       p AS (SELECT *, row_number() OVER (PARTITION BY machine, section, type, now IS NULL ORDER BY coalesce(was, now), text) AS place FROM s WHERE was IS NULL OR now IS NULL)
+       SELECT coalesce(x.machine, y.machine) AS machine, coalesce(x.section, y.section) AS section, coalesce(x.state, y.state) AS state, CASE WHEN y.machine IS NULL THEN 'removed' WHEN x.machine IS NULL THEN 'added' ELSE 'modified' END AS change,
+              coalesce(x.type, y.type) AS type, x.text AS before, y.text AS after
+       FROM (SELECT * FROM p WHERE now IS NULL) x FULL OUTER JOIN (SELECT * FROM p WHERE now IS NOT NULL) y ON x.machine = y.machine AND x.section = y.section AND x.type = y.type AND x.place = y.place""",
 )
 def changed_block_detail(v: Views):
-    return D.changed_blocks(v.blocks_before, v.blocks_after)
+    return D.changed_block_detail(v.blocks_before, v.blocks_after)  # texts here are shorter than the context of a change
 
 
 @query(
@@ -208,17 +224,17 @@ def finding_lifecycle(v: Views):
     return out.withColumns({c: F.array_join(c, "|") for c in ("disappeared", "reappeared")})
 
 
-@query("findings_filter", "SELECT rule_id, count(*) AS n FROM v_findings WHERE release = '0283' AND (contains(lower(machine), '1') OR contains(lower(source_text), '1')) GROUP BY 1")
+@query("findings_filter", "SELECT rule_id, count(*) AS n FROM v_findings WHERE release = '0283' AND (contains(lower(machine), '1') OR contains(lower(source_text), '1') OR contains(lower(section), '1') OR contains(coalesce(value, ''), '1')) GROUP BY 1")
 def findings_filter(v: Views):
-    hit = F.lower("machine").contains("1") | F.lower("source_text").contains("1")
-    return v.findings.where((F.col("release") == "0283") & hit).groupBy("rule_id").agg(F.count("*").alias("n"))
+    found = C.filtered_findings(v.findings.where(F.col("release") == "0283"), ["machine", "section", "source_text", "value"], text="1")
+    return found.groupBy("rule_id").agg(F.count("*").alias("n"))
 
 
-@query("transform_findings", "SELECT 'unbalanced_round_brackets' AS kind, machine FROM v_titles WHERE CAST(substr(machine, 2) AS INT) % 12 IN (3, 4) UNION ALL SELECT DISTINCT 'collision', machine FROM v_before WHERE page IN (SELECT page FROM v_before GROUP BY 1 HAVING count(DISTINCT machine) > 1)")
+@query("transform_findings", f"""WITH f AS (SELECT 'title' AS kind, anomaly AS category, machine, example AS evidence FROM ({ANOMALIES}) UNION ALL SELECT 'ports', 'Parent/clone PORTS duplication', parent, NULL FROM ({DUPLICATES}))
+    SELECT kind, category, machine, evidence, machine IN (SELECT machine FROM v_class) AS known FROM f WHERE contains(lower(machine), '3') OR contains(lower(category), '3') OR contains(lower(coalesce(evidence, '')), '3')""")
 def transform_findings(v: Views):
-    odd = T.title_anomalies(T.parse_titles(v.titles)).where("anomaly = 'unbalanced_round_brackets'").select(F.col("anomaly").alias("kind"), "machine")
-    met = T.page_collisions(v.before).select(F.lit("collision").alias("kind"), F.explode("machines").alias("machine"))
-    return odd.unionByName(met)
+    twice = P.duplicate_families(P.merge_ports(ports(v), v.machines))
+    return C.transform_findings(T.title_anomalies(T.parse_titles(v.titles)), twice, getattr(v, "class"), text="3")
 
 
 @query("catalogue_search", "SELECT m.name, b.title FROM v_machines m LEFT JOIN v_before b ON replace(m.name, 'p', 'c') = b.machine WHERE contains(lower(m.name), '17') OR contains(lower(coalesce(b.title, '')), '00033')")

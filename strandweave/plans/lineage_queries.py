@@ -138,11 +138,11 @@ def port_source_ids(v: Views):
     return ids.select("parent", L.joined(F.array_sort(F.col("source_ids").cast("array<string>"))).alias("ids"))
 
 
-@query(
-    "duplicate_parent_clone_ports",
-    f"""WITH f AS ({FAMILY}), r AS (SELECT f.parent, f.role, p.category, concat_ws('~', regions, platform, title, date, publisher, tags, model, comment) AS k FROM ({VALID}) p JOIN f ON p.machine = f.machine)
-        SELECT DISTINCT a.parent FROM r a JOIN r b ON a.parent = b.parent AND a.category = b.category AND a.k = b.k WHERE a.role = 'parent' AND b.role = 'clone'""",
-)
+DUPLICATES = f"""WITH f AS ({FAMILY}), r AS (SELECT f.parent, f.role, p.category, concat_ws('~', regions, platform, title, date, publisher, tags, model, comment) AS k FROM ({VALID}) p JOIN f ON p.machine = f.machine)
+        SELECT DISTINCT a.parent FROM r a JOIN r b ON a.parent = b.parent AND a.category = b.category AND a.k = b.k WHERE a.role = 'parent' AND b.role = 'clone'"""
+
+
+@query("duplicate_parent_clone_ports", DUPLICATES)
 def duplicate_parent_clone_ports(v: Views):
     return P.duplicate_families(P.merge_ports(ports(v), v.machines))
 
@@ -201,7 +201,7 @@ def attach_catlist(v: Views):
 )
 def catlist_conflicts(v: Views):
     both = v.catlist.union(v.catlist.where("category <> 'Casino'").withColumn("category", F.lit("Maze")))
-    return both.groupBy("machine").agg(F.count_distinct(F.struct("grp", "category", "subcategory")).alias("n")).where("n > 1")
+    return L.classification_conflicts(both, ["grp", "category", "subcategory"])
 
 
 AS_OF = """SELECT r.machine, r.release, arg_max(o.category, o.release) AS category, max(o.release) AS source_release, CASE WHEN max(o.release) = r.release THEN 'observed' ELSE 'carried_forward' END AS status
@@ -239,17 +239,17 @@ def missing_vocabulary(v: Views):
 
 @query("union_machine_names", "SELECT name FROM v_machines UNION SELECT machine FROM v_ports UNION SELECT machine FROM v_catlist")
 def union_machine_names(v: Views):
-    return v.machines.select("name").union(v.ports.select("machine")).union(v.catlist.select("machine")).distinct()
+    return L.machine_names(v.machines.select("name"), v.ports.select("machine"), v.catlist.select("machine"))
 
 
 @query("keys_minus", "SELECT machine FROM v_ports EXCEPT SELECT machine FROM v_class")
 def keys_minus(v: Views):
-    return v.ports.select("machine").subtract(classes(v).select("machine"))
+    return L.keys_minus(v.ports, classes(v))
 
 
 @query("keys_intersect", "SELECT machine FROM v_ports INTERSECT SELECT machine FROM v_catlist")
 def keys_intersect(v: Views):
-    return v.ports.select("machine").intersect(v.catlist.select("machine"))
+    return L.keys_intersect(v.ports, v.catlist)
 
 
 @query(

@@ -12,8 +12,13 @@ from ..operators import ports as P
 from ..operators import quality_rules as R
 from ..operators import records as C
 from ..operators import sections as S
+from ..sources.archives import audit_archives
+from ..sources.files import entry_header
+from ..sources.files import scan_overrides as scan_overrides_file
+from ..sources.scratch import scratch_path
 from .lineage_queries import ELIGIBLE, FAMILY, VALID, classes, ports
 from .section_queries import DIST, dist
+from .source_queries import FILE_ROWS
 from .text_queries import FINDINGS, PORT, parsed
 from .views import Views, query
 
@@ -40,29 +45,29 @@ def project_raw(v: Views):
     return v.machines.where(F.col("cloneof").isNull()).join(size, "name").select("name", "year", "manufacturer", "family")
 
 
-@query("entry_kind", "SELECT CASE o_orderkey % 3 WHEN 0 THEN 'systems' WHEN 1 THEN 'software' ELSE 'unknown' END AS kind, count(*) AS n, count(CASE WHEN o_orderkey % 3 = 0 THEN 1 END) AS named FROM orders GROUP BY 1")
+@query("entry_kind", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'systems' WHEN 1 THEN 'software' ELSE 'unknown' END AS kind, CASE WHEN o_orderkey % 3 = 0 THEN 'c' || CAST(o_custkey AS STRING) END AS primary_name, CASE WHEN o_orderkey % 6 = 0 THEN 'alias' ELSE '' END AS aliases FROM orders")
 def entry_kind(v: Views):
-    k = F.col("o_orderkey") % 3
-    names = F.when(k == 0, F.array(F.concat(F.lit("c"), F.col("o_custkey").cast("string")), F.lit("alias")))
-    kind = F.when(names.isNotNull(), "systems").when(k == 1, "software").otherwise("unknown")
-    return v.table("orders").select(kind.alias("kind"), F.get(names, F.lit(0)).alias("first")).groupBy("kind").agg(F.count("*").alias("n"), F.count("first").alias("named"))
+    k = F.col("o_orderkey")
+    named = lambda *names: F.array(*(F.struct(n.alias("_name")) for n in names))
+    name = F.concat(F.lit(" c"), F.col("o_custkey").cast("string"))
+    systems = F.when(k % 6 == 0, named(F.lit(""), name, F.lit("alias"))).when(k % 3 == 0, named(name))
+    header = entry_header(systems, F.when(k % 3 == 1, F.lit("x")))
+    return v.table("orders").select("o_orderkey", header.alias("h")).select("o_orderkey", "h.kind", "h.primary_name", F.array_join("h.aliases", "|").alias("aliases"))
 
 
-@query("scan_overrides", "SELECT only_if_unbalanced, note <> '' AS noted, count(*) AS n FROM v_overrides GROUP BY 1, 2")
+@query("scan_overrides", "SELECT machine, new_description, only_if_unbalanced, note FROM v_overrides")
 def scan_overrides(v: Views):
-    body = F.to_json(F.create_map("machine", F.struct(F.col("new_description").alias("description"), F.when(~F.col("only_if_unbalanced"), False).alias("apply_if_unbalanced"), "note")))
-    kept = v.overrides.select(F.explode(F.from_json(body, "map<string,struct<description:string,apply_if_unbalanced:boolean,note:string>>")).alias("machine", "o"))
-    return kept.groupBy(F.coalesce("o.apply_if_unbalanced", F.lit(True)).alias("only_if_unbalanced"), (F.coalesce("o.note", F.lit("")) != "").alias("noted")).agg(F.count("*").alias("n"))
+    rows = v.overrides.withColumn("part", F.pmod(F.xxhash64("machine"), F.lit(max(1, v.overrides.count() // FILE_ROWS))))
+    value = F.struct(F.col("new_description").alias("description"), F.when(~F.col("only_if_unbalanced"), False).alias("apply_if_unbalanced"), F.nullif("note", F.lit("")).alias("note"))
+    objects = rows.groupBy("part").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("machine", value)))).alias("value"))
+    path = scratch_path(v.spark, "overrides")
+    objects.write.partitionBy("part").text(path)
+    return scan_overrides_file(v.spark, path + "/part=*").union(scan_overrides_file(v.spark, path + "/no-such-file"))
 
 
 def _metrics(v: Views):
     m = v.machines
-    counted = {"machines": m, "clones": m.where("cloneof is not null"), "entries": v.obs, "findings": v.findings, "ports": P.valid_ports(ports(v))}
-    rows = [C.metric(df.agg(F.count("*")), "run", n) for n, df in counted.items()]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    return C.counters({"machines": m, "clones": m.where("cloneof is not null"), "entries": v.obs, "findings": v.findings, "ports": P.valid_ports(ports(v))}, "run")
 
 
 _COUNTS = f"""SELECT 'machines' AS metric, count(*) AS n FROM v_machines UNION ALL SELECT 'clones', count(*) FROM v_machines WHERE cloneof IS NOT NULL UNION ALL SELECT 'entries', count(*) FROM v_obs
@@ -79,10 +84,13 @@ def release_quick_stats(v: Views):
     return C.quick_stats(_metrics(v), ["machines", "clones", "findings"])
 
 
-@query("stage_versions", "SELECT stage, coalesce(max(CASE WHEN size > 45 THEN 'v' || size END), 'v' || CAST(max(size) AS STRING)) AS version FROM v_files_after GROUP BY 1")
+_HEADERS = "SELECT stage, CASE WHEN stage = 'machines' THEN '0.' || max(size) END AS build, CASE WHEN stage = 'articles' THEN '' END AS told, CASE WHEN stage = 'articles' THEN '2.' || min(size) END AS legacy, CASE WHEN stage = 'lists' THEN ' ' END AS listed FROM {0} GROUP BY stage"
+
+
+@query("stage_versions", f"SELECT max(build) AS machines, max(legacy) AS articles, CASE WHEN max(trim(listed)) <> '' THEN max(listed) ELSE ' ' END AS lists, 'Unknown' AS other FROM ({_HEADERS.format('v_files_after')})")
 def stage_versions(v: Views):
-    told = F.max(F.when(F.col("size") > 45, F.concat(F.lit("v"), F.col("size").cast("string"))))
-    return v.files_after.groupBy("stage").agg(F.coalesce(told, F.concat(F.lit("v"), F.max("size").cast("string"))).alias("version"))
+    headers = v.spark.sql(_HEADERS.format("{files}"), files=v.files_after).withColumn("none", F.lit(None).cast("string"))
+    return C.stage_versions(headers, {"machines": ["build"], "articles": ["told", "legacy"], "lists": ["listed"], "other": ["none", "told"]})
 
 
 @query(
@@ -105,12 +113,15 @@ def stage_reports(v: Views):
     return top.union(M.distribution_totals(d).select("metric", F.lit("total"), F.lit(""), "total"))
 
 
-@query("archive_audit", "SELECT CASE WHEN size % 13 = 0 THEN 'error' WHEN size % 7 = 0 THEN 'mismatch' WHEN size % 5 = 0 THEN 'unverified' ELSE 'verified' END AS outcome, count(*) AS n FROM v_files_after GROUP BY 1")
+_ARCHIVES = """SELECT path, stage, size, CASE stage WHEN 'machines' THEN 'dir/mame0' || (200 + size) || 'lx.zip' WHEN 'articles' THEN 'History' || (200 + size) || 'b.ZIP' ELSE 'readme.txt' END AS name,
+    CASE WHEN size % 5 = 0 THEN NULL WHEN stage = 'machines' THEN '0.' || (CASE WHEN size % 7 = 0 THEN 199 ELSE 200 + size END) || ' (mame0200)' ELSE '2.' || lpad(CAST(size AS STRING), 2, '0') || 'a' END AS version, size % 13 <> 0 AS readable FROM {0}"""
+
+
+@query("archive_audit", f"""SELECT path, stage, CASE stage WHEN 'machines' THEN 'mame' WHEN 'articles' THEN 'gaming_history' ELSE 'unknown' END AS provider, CASE WHEN stage <> 'lists' THEN '0' || (200 + size) END AS release,
+    CASE WHEN NOT readable THEN 'error' WHEN stage = 'machines' AND size % 5 <> 0 AND size % 7 = 0 THEN 'mismatch' WHEN stage = 'lists' OR size % 5 = 0 THEN 'unverified' ELSE 'verified' END AS outcome FROM ({_ARCHIVES.format('v_files_after')})""")
 def archive_audit(v: Views):
-    k = F.col("size")
-    rows = v.files_after.select((k % 13 != 0).alias("readable"), F.lit("0287").alias("expected"), F.when(k % 7 == 0, "0286").when(k % 5 == 0, None).otherwise("0287").alias("embedded"))
-    outcome = F.when(~F.col("readable"), "error").when(F.col("embedded").isNull(), "unverified").when(F.col("embedded") != F.col("expected"), "mismatch").otherwise("verified")
-    return rows.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+    archives = v.spark.sql(_ARCHIVES.format("{files}"), files=v.files_after).withColumn("expected", F.concat(F.lit("0"), (F.col("size") + 200).cast("string")))
+    return audit_archives(archives).select("path", "stage", "provider", "release", "outcome")
 
 
 @query("expect_entry_counts", f"""SELECT * FROM (SELECT 'comment_on_every_line' AS rule, count(*) AS left, count(comment) AS right FROM ({PORT})) t WHERE t."left" <> t."right" """)
@@ -120,9 +131,15 @@ def expect_entry_counts(v: Views):
     return R.unequal(totals, {"platforms_and_nulls": (F.col("n"), F.col("named") + F.col("bare")), "comment_on_every_line": (F.col("n"), F.col("told"))})
 
 
-@query("run_manifest", "SELECT stage, count(*) AS inputs, CAST(sum(size) AS BIGINT) AS bytes, count(*) > 0 AS ok FROM v_files_after GROUP BY 1")
+_RUNS = "SELECT stage, CASE WHEN size % 4 = 0 THEN 'output' ELSE 'input' END AS role, size, size * 10 AS records, CASE WHEN stage = 'lists' AND size = 13 THEN 'broken' END AS error FROM {0}"
+
+
+@query("run_manifest", f"""SELECT stage, count(*) FILTER (WHERE role = 'input') AS inputs, CAST(coalesce(sum(size) FILTER (WHERE role = 'input'), 0) AS BIGINT) AS input_bytes, count(*) FILTER (WHERE role = 'output') AS outputs,
+    CAST(coalesce(sum(size) FILTER (WHERE role = 'output'), 0) AS BIGINT) AS output_bytes, CAST(coalesce(sum(records) FILTER (WHERE role = 'output'), 0) AS BIGINT) AS records, max(size) - min(size) AS seconds, count(error) AS errors,
+    count(*) FILTER (WHERE role = 'input') > 0 AND count(*) FILTER (WHERE role = 'output') > 0 AND count(error) = 0 AS ok FROM ({_RUNS.format('v_files_after')}) GROUP BY 1""")
 def run_manifest(v: Views):
-    return v.files_after.groupBy("stage").agg(F.count("*").alias("inputs"), F.sum("size").alias("bytes"), (F.count("*") > 0).alias("ok"))
+    runs = v.spark.sql(_RUNS.format("{files}"), files=v.files_after).withColumn("at", F.timestamp_seconds(F.col("size") + 1_700_000_000))
+    return C.run_manifest(runs)
 
 
 def lines(v: Views):

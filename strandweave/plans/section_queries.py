@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels, text
 from ..operators import metrics as M
+from ..operators import ordering as O
 from ..operators import sections as S
 from .lineage_queries import ELIGIBLE, classes
 from .scalar_queries import _MEDIA, CONTROL_LINE_SQL
@@ -29,11 +30,12 @@ def chips_section(v: Views):
     return S.chips_section(v.chips).withColumns({c: F.array_join(c, "|") for c in ("cpus", "audio_chips")})
 
 
-@query("explode_chips", "SELECT machine, pos, type, chip, clock_hz, count(*) FILTER (WHERE type = 'cpu') OVER (PARTITION BY machine) AS cpu_count FROM v_chips")
+@query("explode_chips", """SELECT machine, CAST(row_number() OVER (PARTITION BY machine ORDER BY pos, type, chip, CAST(clock_hz AS VARCHAR) NULLS FIRST) - 1 AS INT) AS pos, type, chip, clock_hz, count(*) FILTER (WHERE type = 'cpu') OVER (PARTITION BY machine) AS cpu_count,
+    count(*) FILTER (WHERE type = 'audio') OVER (PARTITION BY machine) AS audio_count FROM v_chips""")
 def explode_chips(v: Views):
-    packed = v.chips.groupBy("machine").agg(F.array_sort(F.collect_list(F.struct("pos", "type", "chip", "clock_hz"))).alias("chips"))
-    packed = packed.withColumn("cpu_count", F.size(F.filter("chips", lambda c: c["type"] == "cpu")).cast("long"))
-    return packed.select("machine", "cpu_count", F.inline("chips"))
+    one = F.struct("pos", F.upper("type").alias("_type"), F.concat(F.lit(" "), "chip").alias("_name"), F.col("clock_hz").cast("string").alias("_clock"))
+    packed = v.chips.groupBy(F.col("machine").alias("name")).agg(F.array_sort(F.collect_list(one)).alias("chip"))
+    return S.explode_chips(packed)
 
 
 _KEPT = "type = 'vector' OR (coalesce(try_cast(width AS INT), 0) > 0 AND coalesce(try_cast(height AS INT), 0) > 0)"
@@ -144,8 +146,8 @@ def disk_rollup(v: Views):
 
 @query("device_ref_rollup", "SELECT machine, bool_or(lower(chip) = 'samples') AS samples, count(*) FILTER (WHERE lower(chip) = 'speaker') AS speakers FROM v_chips GROUP BY 1")
 def device_ref_rollup(v: Views):
-    refs = v.chips.groupBy("machine").agg(F.collect_list(F.lower(F.trim("chip"))).alias("names"))
-    return refs.select("machine", F.exists("names", lambda n: n == "samples").alias("samples"), F.size(F.filter("names", lambda n: n == "speaker")).cast("long").alias("speakers"))
+    refs = v.chips.groupBy(F.col("machine").alias("name")).agg(F.collect_list(F.struct(F.col("chip").alias("_name"))).alias("device_ref"))
+    return S.device_ref_rollup(refs)
 
 
 @query(
@@ -209,18 +211,12 @@ def top_groups(v: Views):
 
 @query("page_of_rows", "SELECT name, CAST(row_number() OVER (ORDER BY lower(name), name) AS INT) AS place, 3 AS page, CAST(ceil((SELECT count(*) FROM v_machines) / 50.0) AS INT) AS pages, (SELECT CAST(count(*) AS INT) FROM v_machines) AS total FROM v_machines QUALIFY place BETWEEN 101 AND 150")
 def page_of_rows(v: Views):
-    return M.page_of_rows(v.machines.select("name"), [F.lower("name"), F.col("name")], 3)
+    return O.page_of_rows(v.machines.select("name"), [F.lower("name"), F.col("name")], 3)
 
 
 @query("sorted_catalogue", "SELECT name, row_number() OVER (ORDER BY lower(name), name) AS place FROM v_machines")
 def sorted_catalogue(v: Views):
-    from pyspark.sql.window import Window
-
-    part = F.lower(F.substring("name", 1, 2))  # places in parts, and parts placed by their sizes: no task holds all rows
-    rows = v.machines.select("name", part.alias("part"))
-    sizes = rows.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(F.lower("name"), "name"))
-    return rows.withColumn("k", place).join(sizes, "part").select("name", (F.col("k") + F.col("before")).alias("place"))
+    return O.with_places(v.machines.select("name"), [F.lower("name"), F.col("name")])
 
 
 @query("media_counts", f"SELECT coalesce(m, 'none') AS media, count(DISTINCT name) AS parents FROM (SELECT name, {_MEDIA} AS m FROM (SELECT name, unnest(string_split(disk_regions, ',')) AS d FROM v_machines WHERE cloneof IS NULL AND disk_regions <> '')) GROUP BY 1")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import quality_rules as R
+from ..sources import archives as E
 from ..sources import files as S
 from ..sources import tables as B
 from ..sources.scratch import scratch_path
@@ -185,18 +186,25 @@ def expect_list_counts(v: Views):
     return R.unequal(totals, {"listed_is_unique": (F.col("n"), F.col("u")), "every_line_has_a_section": (F.col("n"), F.col("s"))})
 
 
-@query("archive_identity", """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'machines' WHEN 1 THEN 'articles' END AS provider, CASE c_custkey % 3 WHEN 0 THEN lpad(CAST(c_custkey % 400 AS STRING), 4, '0') WHEN 1 THEN lpad(CAST(c_custkey % 400 AS STRING), 4, '0') END AS release FROM customer""")
+_NAMES = """SELECT c_custkey AS id, c_custkey % 5 AS k, lpad(CAST(c_custkey % 400 + 200 AS STRING), 4, '0') AS n FROM customer"""
+
+
+@query("archive_identity", f"""SELECT id, CASE k WHEN 0 THEN 'mame' WHEN 1 THEN 'gaming_history' WHEN 2 THEN 'snaps' ELSE 'unknown' END AS provider, CASE WHEN k < 4 THEN n END AS release,
+    CASE k WHEN 0 THEN n WHEN 1 THEN '0289' END AS embedded, CASE k WHEN 0 THEN 'match' WHEN 1 THEN CASE WHEN n = '0289' THEN 'match' ELSE 'mismatch' END ELSE 'unverified' END AS status FROM ({_NAMES})""")
 def archive_identity(v: Views):
-    k = F.col("c_custkey")
-    n = F.lpad((k % 400).cast("string"), 4, "0")
-    name = F.when(k % 3 == 0, F.concat(F.lit("mame"), n, F.lit("lx.zip"))).when(k % 3 == 1, F.concat(F.lit("History"), n, F.lit("b.zip"))).otherwise("readme.txt")
-    kind = F.when(F.lower(name).rlike(r"^mame\d+.*\.zip$"), "machines").when(F.lower(name).rlike(r"^history\d+[a-z]?\.zip$"), "articles")
-    return v.table("customer").select("c_custkey", kind.alias("provider"), F.when(kind.isNotNull(), F.lpad(F.regexp_extract(name, r"(\d+)", 1), 4, "0")).alias("release"))
+    rows = v.spark.sql(_NAMES.replace("FROM customer", "FROM {customer}"), customer=v.table("customer"))
+    k, three = F.col("k"), F.substring("n", 2, 3)
+    name = F.when(k == 0, F.concat(F.lit("dir/mame"), "n", F.lit("lx.zip"))).when(k == 1, F.concat(F.lit("History"), three, F.lit("b.zip"))).when(k == 2, F.concat(F.lit("ps_catver_"), three, F.lit(".zip"))).when(k == 3, F.concat(F.lit("mame-0."), three, F.lit("-extra.zip"))).otherwise("readme.txt")
+    version = F.when(k == 0, F.concat(F.lit("0."), three)).when(k == 1, "2.89a").when(k == 2, "289")
+    provider, release = E.archive_provider(name), E.release_hint(name)
+    embedded = E.embedded_release(provider, version)
+    return rows.select("id", provider.alias("provider"), release.alias("release"), embedded.alias("embedded"), E.compare_release(embedded, release).alias("status"))
 
 
-@query("source_shape", "SELECT bool_or(cloneof IS NULL) AS has_parent, bool_or(cloneof IS NOT NULL) AS has_clone, bool_or(description IS NOT NULL) AS has_titles FROM v_machines")
+@query("source_shape", "SELECT bool_or(cloneof IS NULL) AS has_parent, bool_or(cloneof IS NOT NULL) AS has_clone, bool_or(description IS NOT NULL) AS has_titles, (SELECT bool_or(o_orderkey % 3 = 0) FROM orders) AS has_systems, (SELECT bool_or(o_orderkey % 3 = 1) FROM orders) AS has_software FROM v_machines")
 def source_shape(v: Views):
-    return v.machines.agg(F.bool_or(F.col("cloneof").isNull()).alias("has_parent"), F.bool_or(F.col("cloneof").isNotNull()).alias("has_clone"), F.bool_or(F.col("description").isNotNull()).alias("has_titles"))
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "systems").when(F.col("o_orderkey") % 3 == 1, "software").otherwise("unknown")
+    return R.source_shape(v.machines, v.table("orders").select(kind.alias("kind")))
 
 
 #: Elements of a written file, about.

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import articles as A
 from ..operators import blocks as B
+from ..operators import ordering as O
+from ..operators import records as C
 from .views import Views, query
 
 _HEAD = "regexp_extract(line, '^-+\\s+([A-Za-z0-9 &]+)\\s+-+$', 1)"
@@ -26,11 +28,13 @@ def canonical_headings(v: Views):
     return A.canonical_headings(odd.union(made))
 
 
-@query("heading_quality", f"SELECT h AS heading, CASE WHEN {_HEAD} IN ('Tips & Tricks', 'update') THEN 'alias' END AS via, count(*) AS n, count(DISTINCT machine) AS systems FROM ({SECTIONED}) WHERE h IS NOT NULL GROUP BY 1, 2")
+_NORM = f"upper({_HEAD})"
+
+
+@query("heading_quality", f"""SELECT {_NORM} AS heading, h AS canonical, CASE WHEN {_NORM} IN ('TIPS & TRICKS', 'UPDATE') THEN 'alias' END AS via, {_NORM} IN ('TRIVIA', 'UPDATES', 'PORTS', 'CONTRIBUTE') AS standard, count(*) AS n, count(DISTINCT machine) AS systems
+    FROM ({SECTIONED}) WHERE h IS NOT NULL GROUP BY 1, 2, 3, 4 UNION ALL SELECT '-Foo-', NULL, 'near_miss', FALSE, count(*), count(DISTINCT machine) FROM v_lines WHERE line = '-Foo-' HAVING count(*) > 0""")
 def heading_quality(v: Views):
-    found = v.lines.withColumn("heading", F.regexp_extract(A.clean_line(F.col("line")), A.BANNER, 1)).where("heading <> ''")
-    named = A.canonical_headings(found)
-    return found.join(named, "heading").groupBy(F.col("canonical").alias("heading"), "via").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+    return A.heading_quality(v.lines)
 
 
 @query("near_miss_banners", "SELECT machine, line_no, line FROM v_lines WHERE line = '-Foo-'")
@@ -147,13 +151,18 @@ def found_values(v: Views):
     return A.found_values(parsed(v)).withColumn("machines", F.md5(F.array_join("machines", "|")))
 
 
+_ENTRIES = "SELECT CASE o_orderkey % 3 WHEN 0 THEN 'systems' WHEN 1 THEN 'software' ELSE 'unknown' END AS kind, o_orderkey % 6 = 0 AS aliased, 'c' || CAST(o_custkey AS STRING) AS machine FROM orders"
+
+
 @query(
     "entry_totals",
-    f"SELECT count(DISTINCT machine) AS systems, count(*) AS port_lines, count(comment) AS with_comments, count(DISTINCT CASE WHEN platform IS NOT NULL THEN machine END) AS systems_with_ports FROM ({PORT})",
+    f"""SELECT count(*) AS entries, count(*) FILTER (WHERE kind = 'systems') AS systems, count(*) FILTER (WHERE kind = 'software') AS software, count(*) FILTER (WHERE kind = 'systems' AND aliased) AS with_aliases,
+        (SELECT count(DISTINCT machine) FROM ({PORT})) AS with_ports, (SELECT count(*) FROM ({PORT})) AS port_lines, (SELECT count(comment) FROM ({PORT})) AS with_comments, (SELECT count(DISTINCT machine) FROM {CONTEXT} WHERE kind = 'overview') AS with_overview FROM ({_ENTRIES})""",
 )
 def entry_totals(v: Views):
-    p = parsed(v)
-    return p.agg(F.count_distinct("machine").alias("systems"), F.count("*").alias("port_lines"), F.count("comment").alias("with_comments"), F.count_distinct(F.when(F.col("platform").isNotNull(), F.col("machine"))).alias("systems_with_ports"))
+    context = A.port_line_context(A.sections_from_lines(v.lines).where(F.col("section") == "PORTS"))
+    entries = v.spark.sql(_ENTRIES.replace("FROM orders", "FROM {orders}"), orders=v.table("orders")).withColumn("aliases", F.when(F.col("aliased"), F.array(F.lit("alias"))).otherwise(F.array()))
+    return C.entry_totals(entries, parsed(v), context.where("kind = 'overview'"))
 
 
 @query("port_line_context", f"SELECT machine, line_no, line, 'PORTS' AS section, kind, category, platform_context FROM {CONTEXT}")
@@ -219,20 +228,11 @@ def attach_preambles(v: Views):
     return B.attach_preambles(blocks(v)).select("machine", "block_index", "preamble_target", "preamble_text")
 
 
-@query("block_counts", "SELECT section, type, count(*) AS n, count(DISTINCT machine) AS systems FROM v_blocks_before GROUP BY 1, 2")
+@query("block_counts", "SELECT 'type' AS metric, type AS bucket, count(*) AS n, count(DISTINCT machine) AS systems FROM v_blocks_before GROUP BY 2 UNION ALL SELECT 'section', section, count(*), count(DISTINCT machine) FROM v_blocks_before GROUP BY 2")
 def block_counts(v: Views):
-    return v.blocks_before.groupBy("section", "type").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+    return C.block_counts(v.blocks_before)
 
 
 @query("neighbour_navigation", "SELECT name, coalesce(lag(name) OVER w, (SELECT max(name) FROM v_machines)) AS previous, coalesce(lead(name) OVER w, (SELECT min(name) FROM v_machines)) AS next FROM v_machines WINDOW w AS (ORDER BY name)")
 def neighbour_navigation(v: Views):
-    from pyspark.sql.window import Window
-
-    # neighbours within parts of the order; at a part's ends, the nearest non-empty part's end, wrapping
-    rows = v.machines.select("name", F.substring("name", 1, 2).alias("part"))
-    ends = rows.groupBy("part").agg(F.min("name").alias("lo"), F.max("name").alias("hi"))
-    order = Window.orderBy("part")
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("part", F.coalesce(F.lag("hi").over(order), F.last("hi").over(whole)).alias("before"), F.coalesce(F.lead("lo").over(order), F.first("lo").over(whole)).alias("after"))
-    own = Window.partitionBy("part").orderBy("name")
-    return rows.withColumns({"p": F.lag("name").over(own), "n": F.lead("name").over(own)}).join(ends, "part").select("name", F.coalesce("p", "before").alias("previous"), F.coalesce("n", "after").alias("next"))
+    return O.with_neighbours(v.machines.select("name"), "name", [F.col("name")])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,15 +73,19 @@ def scan_entry_xml(spark: SparkSession, path: str) -> DataFrame:
     kind, all others unknown.
     """
     raw = spark.read.format("xml").option("rowTag", "entry").option("ignoreSurroundingSpaces", "false").schema(ENTRY).load(path)
-    names = F.filter(F.transform(F.col("systems.system"), lambda s: strip(s["_name"])), lambda n: n.isNotNull() & (n != ""))
-    kind = F.when(F.col("systems").isNotNull(), "systems").when(F.col("software").isNotNull(), "software").otherwise("unknown")
-    return raw.select(
-        F.monotonically_increasing_id().alias("ordinal"),
-        kind.alias("kind"),
-        F.get(names, F.lit(0)).alias("primary_name"),
-        F.when(F.size(names) > 1, F.slice(names, F.lit(2), F.size(names))).otherwise(F.array().cast("array<string>")).alias("aliases"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
+    header = entry_header(F.col("systems.system"), F.col("software"))
+    # systems without a name inside are systems all the same
+    kind = F.when(F.col("systems").isNotNull(), "systems").otherwise(F.col("h.kind"))
+    return raw.withColumn("h", header).select(F.monotonically_increasing_id().alias("ordinal"), kind.alias("kind"), "h.primary_name", "h.aliases", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def entry_header(systems: Column, software: Column) -> Column:
+    """struct(kind, primary_name, aliases) of an entry: systems take the first name as primary and the rest as aliases
+    (names are trimmed, empty ones left out); an entry with software alone is of that kind, any other unknown."""
+    names = F.filter(F.transform(systems, lambda s: strip(s["_name"])), lambda n: n.isNotNull() & (n != ""))
+    kind = F.when(systems.isNotNull(), "systems").when(software.isNotNull(), "software").otherwise("unknown")
+    rest = F.when(F.size(names) > 1, F.slice(names, F.lit(2), F.size(names))).otherwise(F.array().cast("array<string>"))
+    return F.struct(kind.alias("kind"), F.get(names, F.lit(0)).alias("primary_name"), rest.alias("aliases"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -218,6 +223,21 @@ def scan_keyed_json(spark: SparkSession, path: str, value: str) -> DataFrame:
     return text.select(F.explode(F.from_json(whole, f"map<string,{value}>")).alias("key", "value"))
 
 
+OVERRIDE = "struct<description:string,apply_if_unbalanced:boolean,note:string>"
+
+
+def scan_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """(machine, new_description, only_if_unbalanced, note) of a file of title overrides, a JSON object keyed by
+    machine; only_if_unbalanced is true unless told otherwise. Where there is no such file, there are no overrides."""
+    try:
+        found = scan_keyed_json(spark, path, OVERRIDE)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], f"key string, value {OVERRIDE}")
+    return found.select(F.col("key").alias("machine"), F.col("value.description").alias("new_description"), F.coalesce("value.apply_if_unbalanced", F.lit(True)).alias("only_if_unbalanced"), F.coalesce("value.note", F.lit("")).alias("note"))
+
+
 def vocabulary_violations(phrases: DataFrame) -> DataFrame:
     """(grp, category, subcategory, rule): rows of a phrase list that break a rule: untrimmed values, a phrase that
     doesn't start with a or an, or a key that occurs twice."""
