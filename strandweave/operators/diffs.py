@@ -138,25 +138,26 @@ def finding_lifecycle(findings: DataFrame, releases: list[str]) -> DataFrame:
         raise ValueError("releases must be distinct and in order")
     keys = ["rule_id", "machine", "section", "source_text", "value"]
     seen = findings.where(F.col("release").isin(releases)).groupBy(*keys, "release").agg(F.count("*").alias("n"))
-    per = seen.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("release", "n"))).alias("seen"))
-    grid = F.array(*(F.map_contains_key("seen", F.lit(r)) for r in releases))
     names = F.array(*(F.lit(r) for r in releases))
-    at = F.sequence(F.lit(1), F.lit(len(releases)))
-    present = F.filter(at, lambda i: F.element_at(grid, i))
-    first, last = F.array_min(present), F.array_max(present)
-    after = lambda i, now: (i > first) & (F.element_at(grid, i) == now) & (F.element_at(grid, F.greatest(i - 1, F.lit(1))) != now)
+    place = F.array_position(names, F.col("release"))
+    per = seen.groupBy(*keys).agg(F.array_sort(F.collect_list(place.cast("int"))).alias("at"), F.sum("n").alias("occurrences"))
+    # positions seen, in order, and each one's predecessor among them: a gap is a disappearance and a reappearance
+    per = per.withColumns({"first": F.get("at", F.lit(0)), "last": F.element_at("at", -1)})
+    before = F.concat(F.array(F.lit(None).cast("int")), F.slice("at", F.lit(1), F.size("at") - 1))
+    per = per.withColumn("back", F.filter(F.zip_with("at", before, lambda now, was: F.when(now > was + 1, F.struct(now.alias("now"), was.alias("was")))), lambda x: x.isNotNull()))
+    gone = F.transform("back", lambda x: x["was"] + 1)
+    gone = F.when(F.col("last") < len(releases), F.concat(gone, F.array(F.col("last") + 1))).otherwise(gone)
+    per = per.withColumn("gone", gone)
     name = lambda positions: F.transform(positions, lambda i: F.element_at(names, i))
-    gone, back = F.filter(at, lambda i: after(i, False)), F.filter(at, lambda i: after(i, True))
-    absent = F.array_min(F.filter(at, lambda i: (i > first) & ~F.element_at(grid, i)))
     return per.select(
         *keys,
-        F.element_at(names, first).alias("first_observed"),
-        F.element_at(names, last).alias("last_observed"),
-        F.when(absent.isNotNull(), F.element_at(names, F.coalesce(absent, F.lit(1)))).alias("first_absent"),
-        name(gone).alias("disappeared"),
-        name(back).alias("reappeared"),
-        F.element_at(grid, -1).alias("present_in_latest"),
-        F.aggregate(F.map_values("seen"), F.lit(0).cast("long"), lambda acc, x: acc + x).alias("occurrences"),
+        F.element_at(names, F.col("first")).alias("first_observed"),
+        F.element_at(names, F.col("last")).alias("last_observed"),
+        F.get(name(F.col("gone")), F.lit(0)).alias("first_absent"),
+        name(F.col("gone")).alias("disappeared"),
+        name(F.transform("back", lambda x: x["now"])).alias("reappeared"),
+        (F.col("last") == len(releases)).alias("present_in_latest"),
+        "occurrences",
     )
 
 

