@@ -59,8 +59,10 @@ def format_hz(hz: Column) -> Column:
 
 
 def chip_label(name: Column, hz: Column) -> Column:
-    human = hz_to_human(hz)
-    return F.when(human.isNull(), text_or_empty(name)).otherwise(F.format_string("%s @ %.3f %s", text_or_empty(name), human["value"], human["unit"]))
+    """Z80 @ 3.580 MHz; the name alone below 1 Hz."""
+    v = hz.cast("double")
+    told = F.when(v >= 1e9, F.format_string(" @ %.3f GHz", v / 1e9)).when(v >= 1e6, F.format_string(" @ %.3f MHz", v / 1e6)).when(v >= 1e3, F.format_string(" @ %.3f kHz", v / 1e3)).when(v >= 1, F.format_string(" @ %.3f Hz", v))
+    return F.concat(text_or_empty(name), F.coalesce(told, F.lit("")))
 
 
 def bytes_to_human(n: Column) -> Column:

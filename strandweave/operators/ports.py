@@ -59,9 +59,12 @@ def display_order(merged: DataFrame) -> DataFrame:
     """
     group = Window.partitionBy("parent", "category")
     dated = text_or_empty(F.col("date")) != ""
-    order = group.orderBy(dated, F.when(dated, loose_date_sort_key(F.col("date"))), F.col("role") == "clone", "machine", "row_no", "platform", "title", "comment", "publisher")
-    roles = F.size(F.collect_set("role").over(group))
-    return merged.withColumn("mixed", roles > 1).withColumn("place", F.row_number().over(order))
+    when = F.when(dated, loose_date_sort_key(F.col("date")))
+    number = F.coalesce(when["year"] * 10_000 + when["month"] * 100 + when["day"], F.lit(-1))  # undated: before all dates
+    keyed = merged.withColumn("_date", number).withColumn("_clone", F.col("role") == "clone")
+    order = group.orderBy("_date", "_clone", "machine", "row_no", "platform", "title", "comment", "publisher")
+    mixed = F.min("role").over(group) != F.max("role").over(group)
+    return keyed.withColumn("place", F.row_number().over(order)).withColumn("mixed", mixed).drop("_date", "_clone")
 
 
 def port_line(mixed: Column | None = None) -> Column:

@@ -14,45 +14,37 @@ def with_multiples(label: str, n: str) -> Column:
     return F.when(F.col(n) > 1, F.format_string("(%dx) %s", F.col(n), F.col(label))).otherwise(F.col(label))
 
 
-def counted(rows: DataFrame, keys: list[str], label: str = "label", pos: str = "pos") -> DataFrame:
-    """Distinct labels of each key in the order first seen, with their number if over one: keys, items.
+def items_of(rows: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
+    """``rows`` (keys, label, first, own: one per distinct label) with item: the label, with its number if over one.
 
     Numbers count without case, labels differ by case: Z80 and z80 are two items of (2x).
     """
-    per = rows.groupBy(*keys, label).agg(F.min(pos).alias("first"), F.count("*").alias("own"))
-    folded = Window.partitionBy(*keys, fold(F.col(label)))
-    per = per.withColumn("n", F.sum("own").over(folded))
-    item = F.struct("first", with_multiples(label, "n").alias("item"))
-    return per.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["item"]).alias("items"))
+    n = F.sum("own").over(Window.partitionBy(*keys, fold(F.col(label))))
+    return rows.withColumn("n", n).withColumn("item", with_multiples(label, "n")).drop("n")
+
+
+def listed(when: Column) -> Column:
+    """The items for which ``when`` holds, in the order first seen."""
+    return F.transform(F.array_sort(F.collect_list(F.when(when, F.struct("first", "item")))), lambda x: x["item"])
 
 
 def chips_section(chips: DataFrame) -> DataFrame:
     """machine, cpus and audio_chips (count, heading, items), speakers: one row for every machine with chips.
 
-    Audio chips named speaker are counted as speakers, those named sample or samples are left out.
+    Audio chips named speaker are counted as speakers, those named sample or samples are left out. Rows are counted by
+    label before they move; then a machine's labels lie together and nothing moves again.
     """
     kind, name = F.lower(text_or_empty(F.col("type"))), fold(text_or_empty(F.col("chip")))
     rows = chips.select("machine", "pos", kind.alias("kind"), name.alias("name"), labels.chip_label(F.col("chip"), F.col("clock_hz")).alias("label"))
-    audio = (F.col("kind") == "audio") & ~F.col("name").isin("speaker", "samples", "sample")
-    rows = rows.withColumn("part", F.when(F.col("kind") == "cpu", "cpu").when(audio, "audio"))
-    counts = rows.groupBy("machine").agg(
-        F.count_if(F.col("part") == "cpu").alias("cpu_count"),
-        F.count_if(F.col("part") == "audio").alias("audio_count"),
-        F.count_if((F.col("kind") == "audio") & (F.col("name") == "speaker")).alias("speakers"),
-    )
-    items = counted(rows.where("part is not null and label <> ''"), ["machine", "part"])
-    items = items.groupBy("machine").agg(F.first(F.when(F.col("part") == "cpu", F.col("items")), True).alias("cpus"), F.first(F.when(F.col("part") == "audio", F.col("items")), True).alias("audio_chips"))
-    none = F.array().cast("array<string>")
-    return counts.join(items, "machine", "left").select(
-        "machine",
-        "cpu_count",
-        labels.plural(F.col("cpu_count"), "CPU").alias("cpu_heading"),
-        F.coalesce("cpus", none).alias("cpus"),
-        "audio_count",
-        labels.plural(F.col("audio_count"), "Audio Chip").alias("audio_heading"),
-        F.coalesce("audio_chips", none).alias("audio_chips"),
-        "speakers",
-    )
+    audio = F.col("kind") == "audio"
+    part = F.when(F.col("kind") == "cpu", "cpu").when(audio & (F.col("name") == "speaker"), "speaker").when(audio & ~F.col("name").isin("samples", "sample"), "audio")
+    per = rows.withColumn("part", part).groupBy("machine", "part", "label").agg(F.min("pos").alias("first"), F.count("*").alias("own"))
+    per = items_of(per.repartition("machine"), ["machine", "part"])
+    count = lambda p: F.coalesce(F.sum(F.when(F.col("part") == p, F.col("own"))), F.lit(0))
+    items = lambda p: listed((F.col("part") == p) & (F.col("label") != ""))
+    out = per.groupBy("machine").agg(count("cpu").alias("cpu_count"), items("cpu").alias("cpus"), count("audio").alias("audio_count"), items("audio").alias("audio_chips"), count("speaker").alias("speakers"))
+    heading = lambda n, one: labels.plural(F.col(n), one)
+    return out.select("machine", "cpu_count", heading("cpu_count", "CPU").alias("cpu_heading"), "cpus", "audio_count", heading("audio_count", "Audio Chip").alias("audio_heading"), "audio_chips", "speakers")
 
 
 def explode_chips(machines: DataFrame, chips: str = "chip") -> DataFrame:
@@ -105,11 +97,11 @@ def controls_section(controls: DataFrame, players: DataFrame) -> DataFrame:
     ``players`` (machine, players) gives the number of players; players beyond it that have controls stay.
     """
     rows = controls.select("machine", "pos", F.coalesce("player", F.lit(1)).alias("player"), labels.control_line(F.col("type"), F.col("ways"), F.col("ways2")).alias("label"), F.greatest(F.coalesce("buttons", F.lit(0)), F.lit(0)).alias("buttons"))
-    lines = counted(rows, ["machine", "player"])
-    buttons = rows.groupBy("machine", "player").agg(F.sum("buttons").alias("buttons"))
-    told = players.where("players > 0").select("machine", F.explode(F.sequence(F.lit(1), F.col("players").cast("int"))).alias("player"))
-    every = told.union(rows.select("machine", "player")).distinct()
-    out = every.join(lines, ["machine", "player"], "left").join(buttons, ["machine", "player"], "left")
+    per = rows.groupBy("machine", "player", "label").agg(F.min("pos").alias("first"), F.count("*").alias("own"), F.sum("buttons").alias("buttons"))
+    lines = items_of(per.repartition("machine", "player"), ["machine", "player"])
+    lines = lines.groupBy("machine", "player").agg(listed(F.lit(True)).alias("items"), F.sum("buttons").alias("buttons"))
+    told = players.where("players > 0").select("machine", F.explode(F.sequence(F.lit(1), F.col("players").cast("int"))).alias("player")).distinct()
+    out = told.join(lines, ["machine", "player"], "full_outer")
     return out.select("machine", "player", F.coalesce("items", F.array(F.lit("Unknown controls"))).alias("lines"), F.coalesce("buttons", F.lit(0)).alias("buttons"))
 
 
