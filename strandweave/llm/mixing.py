@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.ordering import with_places
 from .common import hash01, materialize, word_count
 from .sharding import hypergeometric
 
@@ -16,7 +17,7 @@ from .sharding import hypergeometric
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 #: Blocks over all sources, at most (each source has one at least); output shards; words that a task of ``draw`` holds, about.
 BLOCKS, SHARDS, TASK_WORDS = 4096, 16, 2_000_000
-#: The per-source totals pass through the driver; a table of more sources than this is refused.
+#: Totals of so many sources pass through the driver; those of more stay in Spark (``mix_many``).
 MAX_SOURCES = 200_000
 
 
@@ -75,12 +76,15 @@ class Mix:
     limits: DataFrame
     words: float
     seed: int
+    bounded: bool = True
 
     def decide(self, rows: DataFrame) -> DataFrame:
-        """``rows`` of ``keyed`` with _sw_source_size, _sw_target, _sw_copies, _sw_shards and _sw_places; no shuffle."""
-        out = rows.join(F.broadcast(self.sources), F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
+        """``rows`` of ``keyed`` with _sw_source_size, _sw_target, _sw_copies, _sw_shards and _sw_places; no shuffle
+        while the tables are ``bounded``."""
+        side = F.broadcast if self.bounded else lambda df: df
+        out = rows.join(side(self.sources), F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
         out = out.withColumn("_sw_block", share_of(F.col("_sw_h"), F.col("_sw_blocks")))
-        out = out.join(F.broadcast(self.blocks), ["_sw_s", "_sw_block"]).join(F.broadcast(self.limits), ["_sw_s", "_sw_block"], "left")
+        out = out.join(side(self.blocks), ["_sw_s", "_sw_block"]).join(side(self.limits), ["_sw_s", "_sw_block"], "left")
         last = (F.col("_sw_room") >= F.col("_sw_held")) | F.coalesce(F.col("_sw_h") <= F.col("_sw_limit"), F.lit(False))
         out = out.withColumn("_sw_copies", (F.col("_sw_whole") + last.cast("int")).cast("int"))
         out = out.withColumn("_sw_shards", F.slice("_sw_owners", F.lit(1), F.col("_sw_copies")))
@@ -98,7 +102,7 @@ def mix(sized: DataFrame, seed: int, shards: int) -> Mix:
     spark = sized.sparkSession
     per = sized.groupBy("_sw_source").agg(F.sum("_sw_size").alias("words"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+        return mix_many(sized, seed, shards)
     per.sort(key=lambda r: (r["_sw_source"] is None, r["_sw_source"] or ""))
     everything = sum(r["words"] for r in per)
     goal = targets([r["words"] for r in per], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(per))], SHARE * everything, MOST)
@@ -107,10 +111,54 @@ def mix(sized: DataFrame, seed: int, shards: int) -> Mix:
     placed = sized.join(F.broadcast(sources), F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
     placed = placed.select("_sw_s", share_of(F.col("_sw_h"), F.col("_sw_blocks")).alias("_sw_block"), "_sw_h", "_sw_size")
     blocks = spark.createDataFrame(blocks_taken(placed, table, seed, shards), "_sw_s int, _sw_block long, _sw_held long, _sw_room long, _sw_whole int, _sw_owners array<int>")
-    part = placed.join(F.broadcast(blocks.where("_sw_room >= 0 and _sw_room < _sw_held").select("_sw_s", "_sw_block", "_sw_room")), ["_sw_s", "_sw_block"])
+    return Mix(sources, blocks, last_places(placed, blocks), float(sum(goal)), seed)
+
+
+def last_places(placed: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(_sw_s, _sw_block, _sw_limit): of the blocks in which a target falls, the last place whose rows still fit."""
+    falls = blocks.where("_sw_room >= 0 and _sw_room < _sw_held").select("_sw_s", "_sw_block", "_sw_room")
     so_far = F.sum("_sw_size").over(Window.partitionBy("_sw_s", "_sw_block").orderBy("_sw_h"))  # rows of one place count together
-    limits = part.withColumn("_sw_sum", so_far).where("_sw_sum <= _sw_room").groupBy("_sw_s", "_sw_block").agg(F.max("_sw_h").alias("_sw_limit"))
-    return Mix(sources, blocks, materialize(limits, "mix-limits"), float(sum(goal)), seed)
+    rows = placed.join(falls, ["_sw_s", "_sw_block"]).withColumn("_sw_sum", so_far).where("_sw_sum <= _sw_room")
+    return materialize(rows.groupBy("_sw_s", "_sw_block").agg(F.max("_sw_h").alias("_sw_limit")), "mix-limits")
+
+
+def mix_many(sized: DataFrame, seed: int, shards: int) -> Mix:
+    """``mix`` for any number of sources: their totals, targets and blocks are tables, joined by shuffles.
+
+    Weights follow the sources' places in code point order. The share of one weight, from which sources stop at MOST
+    times their size, is found by sums over all sources, again until no further source stops. All uses of blocks are
+    put in one random order and cut into equal shards, which is the law of the splitting tree.
+    """
+    per = materialize(sized.groupBy("_sw_source").agg(F.sum("_sw_size").alias("words"), F.count("*").alias("n")), "mix-sources")
+    everything = per.agg(F.sum("words").alias("n")).first()["n"]
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in WEIGHTS)), (F.pmod(F.col("place") - 1, F.lit(len(WEIGHTS))) + 1).cast("int"))
+    ranked = materialize(with_places(per, [F.col("_sw_source").isNull(), F.col("_sw_source")]).withColumn("weight", weight).withColumn("most", F.col("words") * float(MOST)), "mix-ranked")
+    level, stopped = 0.0, -1
+    while True:
+        stops = F.col("most") < F.lit(level) * F.col("weight")
+        r = ranked.agg(F.count_if(stops).alias("n"), F.sum(F.when(stops, F.col("most")).otherwise(0.0)).alias("held"), F.sum(F.when(stops, 0.0).otherwise(F.col("weight"))).alias("by")).first()
+        if r["n"] == stopped or not r["by"]:
+            break
+        stopped, level = r["n"], (SHARE * everything - r["held"]) / r["by"]
+    blocks = F.greatest(F.lit(1), F.least(F.col("n"), F.floor(F.col("words") * float(BLOCKS) / max(1, everything)))).cast("bigint")
+    names = {"_sw_s": (F.col("place") - 1).cast("int"), "_sw_name": F.col("_sw_source"), "_sw_source_size": F.col("words"), "_sw_blocks": blocks, "_sw_target": F.least("most", F.lit(level) * F.col("weight"))}
+    sources = materialize(ranked.select(*(c.alias(n) for n, c in names.items())), "mix-targets")
+    placed = sized.join(sources, F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
+    placed = placed.select("_sw_s", share_of(F.col("_sw_h"), F.col("_sw_blocks")).alias("_sw_block"), "_sw_h", "_sw_size")
+    held = placed.groupBy("_sw_s", "_sw_block").agg(F.sum("_sw_size").alias("_sw_held")).join(sources, "_sw_s")
+    whole = F.when(F.col("_sw_source_size") > 0, F.floor(F.col("_sw_target") / F.col("_sw_source_size"))).otherwise(0).cast("int")
+    before = F.sum("_sw_held").over(Window.partitionBy("_sw_s").orderBy("_sw_block")) - F.col("_sw_held")
+    held = held.withColumn("_sw_whole", whole).withColumn("left", F.col("_sw_target") - F.col("_sw_whole") * F.col("_sw_source_size") - before)
+    room = F.when(F.col("left") > 0, F.floor(F.least("left", "_sw_held"))).otherwise(-1).cast("bigint")
+    held = materialize(held.select("_sw_s", "_sw_block", "_sw_held", room.alias("_sw_room"), "_sw_whole"), "mix-held")
+    uses = held.select("_sw_s", "_sw_block", F.explode(F.sequence(F.lit(0), F.col("_sw_whole") + (F.col("_sw_room") >= 0).cast("int"))).alias("nth")).where("nth > 0")
+    total = max(1, uses.count())
+    dealt = with_places(uses, [hash01("_sw_s", "_sw_block", "nth", seed=seed), F.col("_sw_s"), F.col("_sw_block"), F.col("nth")])
+    shard = F.floor((F.col("place") - 1) * shards / total).cast("int")
+    owners = dealt.groupBy("_sw_s", "_sw_block").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", shard.alias("shard")))), lambda x: x["shard"]).alias("_sw_owners"))
+    every = materialize(held.join(owners, ["_sw_s", "_sw_block"], "left").withColumn("_sw_owners", F.coalesce("_sw_owners", F.array().cast("array<int>"))), "mix-blocks")
+    words = sources.agg(F.sum("_sw_target").alias("n")).first()["n"]
+    return Mix(sources, every, last_places(placed, every), float(words or 0), seed, bounded=False)
 
 
 def blocks_taken(rows: DataFrame, table: list[tuple], seed: int, shards: int) -> list[tuple[int, int, int, int, int, list[int]]]:

@@ -521,7 +521,9 @@ def test_split_quotas():
     assert m.sum(0).tolist() == q.tolist() and m.shape == (6, 4) and m.sum(1).max() - m.sum(1).min() <= 3
 
 
-def test_mixing(spark, odd, none):
+@pytest.mark.parametrize("most", [mixing.MAX_SOURCES, 2])
+def test_mixing(spark, odd, none, monkeypatch, most):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", most)  # 2: totals of sources stay in Spark
     rng = random.Random(11)
     rows = [(i, sentence(rng, rng.randint(0, 30)) or None, None if i % 10 == 0 else f"s{i % 5}") for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -535,6 +537,10 @@ def test_mixing(spark, odd, none):
         assert r["copies"] <= 2 and r["taken"] == r["copies"] * r["size"] and len(r["shards"]) == r["copies"]
     assert sum(target.values()) == pytest.approx(1.5 * sum(size.values()))
     assert all(target[s] - 30 < taken[s] <= target[s] for s in target)
+    want = dict(zip(sorted(size, key=lambda s: (s is None, s or "")), mixing.targets([size[s] for s in sorted(size, key=lambda s: (s is None, s or ""))], [3, 1, 2] * 2, 1.5 * sum(size.values()), 2), strict=False))
+    assert target == pytest.approx(want)
+    dealt = Counter(shard for r in got for shard in r["shards"])
+    assert set(dealt) == set(range(mixing.SHARDS)) and max(dealt.values()) < 3 * min(dealt.values())
     copies = {r["doc_id"]: r["copies"] for r in got}
     drawn = mixing.draw(df)
     assert drawn.columns == df.columns
