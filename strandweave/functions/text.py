@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import unicodedata
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -12,9 +13,13 @@ from pyspark.sql import functions as F
 EDGE_PUNCTUATION = r"^[-.,;:/()\[\]{}]+|[-.,;:/()\[\]{}]+$"
 
 
+#: White space: the ASCII controls among it, and all separators of Unicode.
+WHITE = "\t\n\x0b\x0c\r" + "".join(chr(i) for i in range(0x10000) if unicodedata.category(chr(i))[0] == "Z")
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space at the ends."""
-    return F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.btrim(c, F.lit(WHITE))
 
 
 def text_or_empty(c: Column) -> Column:

@@ -21,10 +21,10 @@ def cleaned(c: Column) -> Column:
 
 def valid_ports(ports: DataFrame) -> DataFrame:
     """Rows with a platform; no region becomes ??, regions and tags are trimmed."""
-    regions = cleaned(F.coalesce("regions", F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
     kept = ports.where(text_or_empty(F.col("platform")) != "")
-    kept = kept.withColumn("regions", F.when(F.size(regions) > 0, regions).otherwise(F.array(F.lit("??"))))
-    return kept.withColumn("tags", cleaned(F.coalesce("tags", F.array().cast("array<string>"))))
+    kept = kept.withColumns({c: cleaned(F.coalesce(c, none)) for c in ("regions", "tags")})
+    return kept.withColumn("regions", F.when(F.size("regions") > 0, F.col("regions")).otherwise(F.array(F.lit("??"))))
 
 
 def merge_ports(ports: DataFrame, machines: DataFrame) -> DataFrame:

@@ -18,3 +18,9 @@ def test_unescape_html(spark):
     df = spark.createDataFrame(rows, "id long, t string")
     for r in df.select("id", "t", text.unescape_html(F.col("t")).alias("got")).collect():
         assert r["got"] == (None if r["t"] is None else html.unescape(r["t"])), r["t"][:80]
+
+
+def test_strip(spark):
+    texts = [None, "", " ", "a", " \t a b \u00a0\u3000", "\u2003x\u2029", "\x0b\x0c\r\n", "\u200bx\u200b", "é "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(text.strip(F.col("t"))).collect()] == [None if t is None else t.strip() for t in texts]
