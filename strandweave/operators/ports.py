@@ -13,6 +13,9 @@ from .lineage import family
 #: The columns that make two port rows the same.
 PORT_KEY = ["regions", "platform", "title", "date", "publisher", "tags", "model", "comment"]
 
+#: Fixed value: the text that tells the machine which a port row comes from.
+BASED_ON = "This GH port entry is based on the MAME %s %s."
+
 
 def cleaned(c: Column) -> Column:
     """Trimmed, non-empty entries of an array."""
@@ -83,7 +86,7 @@ def port_line(mixed: Column | None = None) -> Column:
     left = F.concat_ws(" ", F.nullif(regions, F.lit("")), F.nullif(named, F.lit("")), some(date, "(%s)"), some(publisher, "by %s"))
     comment = text_or_empty(F.col("comment"))
     if mixed is not None:
-        told = F.format_string("This GH port entry is based on the MAME %s %s.", F.col("role"), F.col("machine"))
+        told = F.format_string(BASED_ON, F.col("role"), F.col("machine"))
         end = F.when(comment == "", told).when(comment.rlike("[.!?…]$"), F.concat_ws(" ", comment, told)).otherwise(F.concat(comment, F.lit(". "), told))
         comment = F.when(mixed, end).otherwise(comment)
     return F.when(comment == "", left).otherwise(F.concat(left, F.lit(" : "), comment))

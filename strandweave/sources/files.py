@@ -23,6 +23,11 @@ MATURE = " * Mature *"
 #: A list's header is looked for in so many characters, a category list's in so many lines.
 HEAD_CHARS, HEAD_LINES = 16384, 30
 
+#: What the header of a list tells, and that of a category list.
+LIST_VERSION, LIST_BUILD = r"(?i)\bMAME\s+([0-9.]+)\b", r"(?i)\((mame[0-9]+)\)"
+LIST_DATE = r"(?i)(?:generated|updated)\s*(?:@|on|:)?\s*([0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})"
+CATEGORY_VERSION, CATEGORY_DATE, CATEGORY_RELEASE = r"(?i)catlist(?:\.ini)?\s+v?([0-9.]+)", r"\b([0-9]{1,2}[-/][A-Za-z0-9]{2,3}[-/][0-9]{4})\b", r"(?i)MAME\s+0?\.?([0-9]{3,4})\b"
+
 _ATTR = lambda *names: [T.StructField(f"_{n}", T.StringType()) for n in names]
 
 
@@ -121,8 +126,8 @@ def list_header(lines: DataFrame) -> DataFrame:
     top = lines.withColumn("c", chars).where(F.col("c") <= HEAD_CHARS + F.length("line"))
     head = top.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), " ").alias("t"))
     part = lambda p: empty_to_null(F.regexp_extract("t", p, 1))
-    raw = part(r"(?i)(?:generated|updated)\s*(?:@|on|:)?\s*([0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})")
-    return head.select("path", part(r"(?i)\bMAME\s+([0-9.]+)\b").alias("version"), F.lower(part(r"(?i)\((mame[0-9]+)\)")).alias("build"), raw.alias("date_raw"), iso_date(raw).alias("date"))
+    raw = part(LIST_DATE)
+    return head.select("path", part(LIST_VERSION).alias("version"), F.lower(part(LIST_BUILD)).alias("build"), raw.alias("date_raw"), iso_date(raw).alias("date"))
 
 
 def category_list(lines: DataFrame) -> DataFrame:
@@ -145,7 +150,7 @@ def category_list_header(lines: DataFrame) -> DataFrame:
     """(path, version, date, release) told in the first HEAD_LINES lines."""
     top = lines.where(F.col("line_no") <= HEAD_LINES)
     first = lambda p, n: F.min_by(empty_to_null(F.regexp_extract("line", p, 1)), F.when(F.col("line").rlike(p), F.col("line_no"))).alias(n)
-    return top.groupBy("path").agg(first(r"(?i)catlist(?:\.ini)?\s+v?([0-9.]+)", "version"), first(r"\b([0-9]{1,2}[-/][A-Za-z0-9]{2,3}[-/][0-9]{4})\b", "date"), first(r"(?i)MAME\s+0?\.?([0-9]{3,4})\b", "release"))
+    return top.groupBy("path").agg(first(CATEGORY_VERSION, "version"), first(CATEGORY_DATE, "date"), first(CATEGORY_RELEASE, "release"))
 
 
 MEMBER = "archive string, member string, crc long, size long, modified string, is_xml boolean, is_ini boolean, readable boolean, content binary"
