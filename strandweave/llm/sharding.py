@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import hash01, materialize
+from .common import hash01, materialize, small
 
 #: Rows that a permuting task holds, about; more rows make more parts.
 PART_ROWS = 200_000
@@ -78,7 +78,7 @@ def shuffle(docs: DataFrame, keys: list[Column], shards: int, seed: int = 11) ->
     drawn = matrix(np.random.default_rng(seed), [counts.get(p, 0) for p in range(parts)], sizes)
     cuts = spark.createDataFrame([(p, [int(x) for x in np.cumsum(drawn[p])]) for p in range(parts) if counts.get(p)], "_sw_part int, _sw_cuts array<long>")
     rank = F.row_number().over(Window.partitionBy("_sw_part").orderBy("_sw_h", *keys))
-    sent = base.withColumn("_sw_r", rank).join(F.broadcast(cuts), "_sw_part")
+    sent = base.withColumn("_sw_r", rank).join(small(cuts, parts * shards, 8), "_sw_part")
     sent = sent.withColumn("shard", F.size(F.filter("_sw_cuts", lambda c: c < F.col("_sw_r"))).cast("int")).drop("_sw_cuts", "_sw_r", "_sw_part", "_sw_h")
     pieces = max(1, parts // shards)
     sent = sent.withColumn("_sw_piece", F.pmod(F.shiftrightunsigned("_sw_g", 8), F.lit(pieces)).cast("int"))
