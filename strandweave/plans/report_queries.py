@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text
 from ..operators import blocks as B
 from ..operators import lineage as L
 from ..operators import metrics as M
