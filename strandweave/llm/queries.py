@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, hnsw, line_dedup, mixing, quality, secret_scan, sharding, simhash
+from . import bpe, chat, exact_dedup, hard_negatives, hnsw, line_dedup, mixing, quality, secret_scan, sharding, simhash, structure, token_counts
 from .common import materialize
 
 #: Place of the rank file; a parameter of the operators.
 RANKS = "byte_bpe_50k.tiktoken"
+#: Place of the tokenizer file that counts tokens, and the count beyond which a text is over the limit.
+TOKENIZER, TOKEN_LIMIT = "byte_bpe_50k.json", 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +91,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies", "shards", "places")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(utf8(F.col("text"))).cast("long").alias("n_bytes"))
+    out = token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with the faults that the contract of op12 sets by crc32 of conversation and turn; nulls: a space."""
+    text, space = F.coalesce("text", F.lit(" ")), F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    named = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"), (F.crc32(key.cast("binary")) % 20).alias("_d")).where("_d <> 0")
+    changed = F.when(F.col("_d") == 1, "").when(F.col("_d") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("_d") == 4, "user").otherwise(F.col("role"))
+    twice = F.explode(F.when(F.col("_d") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return named.select("conv_id", "turn", role.alias("role"), changed.alias("text"), twice.alias("_n")).drop("_n")
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    steps, found = structure.repair(damaged(rows))
+    every = rows.select("conv_id").distinct()
+    out = every.join(found, every["conv_id"].eqNullSafe(found["conv"]), "left").drop("conv")
+    made = structure.digests(steps)
+    out = out.join(made, out["conv_id"].eqNullSafe(made["conv"]), "left").drop("conv")
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    zero = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in names]
+    return out.select("conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,9 +143,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op11_token_counts": op11_token_counts,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
 
+def repair_sql() -> str:
+    """SQL of op12: the cheapest (cost, audit, text) of each state, forward over a conversation's rows."""
+
+    def step(state: str, cost: str, edit: str, line: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 't': {state}.t || {line}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def only(initial: str, way: str) -> str:
+        return f"CASE WHEN x.role[1] = '{initial}' THEN {way} ELSE {{'c': 1000000, 'a': '', 't': ''}} END"
+
+    own, user, assistant = "chr(10) || x.role || ':' || x.text", "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    keep, rerole, must = "x.broken", "2 + x.broken", "CASE WHEN x.must THEN 1000000 ELSE 0 END + "
+
+    def filled(rows: str) -> str:
+        return f"""(SELECT conv_id, i, e, s, u, {least("a", step("u", "2", "I", assistant))} AS a FROM
+            (SELECT conv_id, i, e, s, a, {least("u", step("e", "2", "I", user), step("s", "2", "I", user), step("a", "2", "I", user))} AS u FROM {rows}))"""
+
+    to_user = [way for q in ("e", "s", "a") for way in (only("u", step(f"f.{q}", must + keep, "K", own)), step(f"f.{q}", must + rerole, "R", user + " || x.text"))]
+    to_assistant = [only("a", step("f.u", must + keep, "K", own)), step("f.u", must + rerole, "R", assistant + " || x.text")]
+    return rf"""
+        WITH RECURSIVE k AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+          FROM conversations),
+        crc AS (
+          SELECT *, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                   flatten(list_transform(range(length(key)), lambda n: [CAST(ascii(substr(key, CAST(n AS INTEGER) + 1, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                   lambda h, b: xor(xor(h, b) >> 1, 3988292384 * (xor(h, b) & 1))), 4294967295) % 20 AS d
+          FROM k),
+        damaged AS (
+          SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+                 CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+          FROM (SELECT *, unnest(CASE WHEN d = 3 THEN [0, 1] ELSE [0] END) FROM crc) WHERE d <> 0),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+        seen AS (
+          SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+                 row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                 regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') AS cut,
+                 lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+          FROM numbered),
+        x AS (SELECT *, blank OR again AS must, CASE WHEN cut THEN 1 ELSE 0 END AS broken FROM seen),
+        r AS (
+          SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 't': ''}} AS e, {{'c': 1000000, 'a': '', 't': ''}} AS s,
+                 {{'c': 1000000, 'a': '', 't': ''}} AS u, {{'c': 1000000, 'a': '', 't': ''}} AS a
+          FROM (SELECT DISTINCT conv_id FROM x)
+          UNION ALL
+          SELECT f.conv_id, x.i, {step("f.e", "3", "D")},
+                 {least(step("f.s", "3", "D"), only("s", step("f.e", must + keep, "K", own)))},
+                 {least(step("f.u", "3", "D"), *to_user)},
+                 {least(step("f.a", "3", "D"), *to_assistant)}
+          FROM {filled("r")} f JOIN x ON x.conv_id IS NOT DISTINCT FROM f.conv_id AND x.i = f.i + 1),
+        ends AS (
+          SELECT conv_id, {least("e", "a")} AS best
+          FROM {filled("(SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)")}),
+        found AS (
+          SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                 count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT must) AS truncated,
+                 count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM x GROUP BY conv_id)
+        SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+               coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends n ON n.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_prefix_tree": r"""
         WITH t AS (
@@ -133,4 +244,25 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_cp DESC, doc_id) AS kept,
                sha256(norm) AS text_sha256
         FROM t""",
+    "op13_hard_negatives": """
+        WITH t AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+          SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+                 CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM t a JOIN t r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+          SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+               n.id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+        QUALIFY rank <= 5""",
+    "op12_structure_repair": repair_sql(),
 }
