@@ -5,6 +5,9 @@ Full outer joins on machines, null-safe comparisons of fields, and groupings; no
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,32 +96,76 @@ def snippet(text: Column, start: Column, length: Column, context: int = 55) -> C
     return F.concat(F.when(left > 0, "...").otherwise(""), part, F.when(right < F.length(text), "...").otherwise(""))
 
 
-def changed_block_detail(before: DataFrame, after: DataFrame) -> DataFrame:
-    """(machine, section, state, change, type, before, after): the blocks by which sections differ.
+RUNS = "array<struct<i1: int, i2: int, j1: int, j2: int>>"
+
 
-    State is that of the section: ADDED, REMOVED or MODIFIED. Blocks that only one side has are paired within a
-    section and type, in order: a pair is one modified block, of which the changed span is shown with its context;
-    the rest is removed or added as a whole. Blocks that only change places are no change.
+def changed_runs(before: Column, after: Column) -> Column:
+    """Where two sequences (arrays of strings) differ, as RUNS: [i1, i2) of ``before`` stands against [j1, j2) of ``after``.
+
+    The longest run that both have, the first of equally long ones, stays; what lies before it and after it is compared
+    in the same way. Null sequences are empty.
     """
 
-    def numbered(df: DataFrame, name: str) -> DataFrame:
-        n = F.row_number().over(Window.partitionBy("machine", "section", "type", "text").orderBy("block_index"))
-        return df.select("machine", "section", "type", "text", n.alias("n"), F.col("block_index").alias(name))
+    @F.pandas_udf(RUNS)
+    def runs(was: pd.Series, now: pd.Series) -> pd.Series:
+        def one(a, b) -> list[dict]:
+            a, b = ([] if x is None else list(x) for x in (a, b))
+            codes = SequenceMatcher(None, a, b, autojunk=False).get_opcodes()
+            return [{"i1": i1, "i2": i2, "j1": j1, "j2": j2} for kind, i1, i2, j1, j2 in codes if kind != "equal"]
 
-    keys = ["machine", "section", "type", "text", "n"]
-    both = numbered(before, "was").join(numbered(after, "now"), keys, "full_outer")
-    whole = Window.partitionBy("machine", "section")
-    state = F.when(F.count("was").over(whole) == 0, "ADDED").when(F.count("now").over(whole) == 0, "REMOVED").otherwise("MODIFIED")
-    odd = both.withColumn("state", state).where("was is null or now is null")
-    gone = F.col("now").isNull()
-    place = F.row_number().over(Window.partitionBy("machine", "section", "type", gone).orderBy(F.coalesce("was", "now"), "text"))
-    odd = odd.withColumns({"gone": gone, "place": place})
-    side = lambda which, name: odd.where("gone" if which else "not gone").select("machine", "section", "type", "place", "state", F.col("text").alias(name))
-    pairs = side(True, "b").withColumnRenamed("state", "sb").join(side(False, "a").withColumnRenamed("state", "sa"), ["machine", "section", "type", "place"], "full_outer")
-    change = F.when(F.col("a").isNull(), "removed").when(F.col("b").isNull(), "added").otherwise("modified")
-    rows = pairs.withColumn("change", change).withColumn("span", F.when(change == "modified", changed_span(F.col("b"), F.col("a"))))
-    part = lambda text, name: F.when(F.col("change") == "modified", snippet(F.col(text), F.col("span.prefix"), F.length(F.col(f"span.{name}")))).otherwise(F.col(text))
-    return rows.select("machine", "section", F.coalesce("sb", "sa").alias("state"), "change", "type", part("b", "before").alias("before"), part("a", "after").alias("after"))
+        return pd.Series([one(a, b) for a, b in zip(was, now, strict=True)])
+
+    return runs(before, after)
+
+
+def block_runs(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(machine, section, state, i1, i2, j1, j2): the runs of blocks by which sections differ, state that of the section:
+    ADDED, REMOVED or MODIFIED. Blocks are equal if type and text are; other columns do not count.
+
+    Only digests of blocks are gathered, those of a section together: a section is part of one article. Sections that
+    are equal, new or gone are told from the digests alone.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        digest = F.md5(F.concat_ws("\0", "type", "text").cast("binary"))
+        listed = F.array_sort(F.collect_list(F.struct("block_index", digest.alias("d"))))
+        return df.groupBy("machine", "section").agg(F.transform(listed, lambda x: x["d"]).alias(name))
+
+    both = side(before, "was").join(side(after, "now"), ["machine", "section"], "full_outer").where("not (was <=> now)")
+    state = F.when(F.col("was").isNull(), "ADDED").when(F.col("now").isNull(), "REMOVED").otherwise("MODIFIED")
+    runs = both.select("machine", "section", state.alias("state"), F.explode(changed_runs(F.col("was"), F.col("now"))).alias("run"))
+    return runs.select("machine", "section", "state", "run.*")
+
+
+def changed_block_detail(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(machine, section, state, change, type, was_at, now_at, before, after): the blocks by which sections differ.
+
+    Of a run of blocks that stands against another (``block_runs``), the first goes with the first and so on. Two of one
+    type are one modified block, of which the changed span is shown with its context; what is left, or of another type,
+    is removed or added as a whole. was_at and now_at are places in the section, from 0.
+    """
+
+    def placed(df: DataFrame, side: str) -> DataFrame:
+        at = F.row_number().over(Window.partitionBy("machine", "section").orderBy("block_index", F.md5(F.concat_ws("\0", "type", "text").cast("binary")))) - 1
+        return df.select("machine", "section", at.alias(f"{side}_at"), F.col("type").alias(f"{side}_type"), F.col("text").alias(side))
+
+    runs = block_runs(before, after)
+    slot = F.explode(F.sequence(F.lit(0), F.greatest(F.col("i2") - F.col("i1"), F.col("j2") - F.col("j1")) - 1))
+    slots = runs.withColumn("k", slot)
+    at = lambda lo, hi: F.when(F.col(lo) + F.col("k") < F.col(hi), F.col(lo) + F.col("k"))
+    slots = slots.select("machine", "section", "state", at("i1", "i2").alias("was_at"), at("j1", "j2").alias("now_at"))
+    rows = slots.join(placed(before, "was"), ["machine", "section", "was_at"], "left").join(placed(after, "now"), ["machine", "section", "now_at"], "left")
+    pair = F.col("was_type") == F.col("now_type")
+    span = changed_span(F.col("was"), F.col("now"))
+    part = lambda side, name: snippet(F.col(side), F.col("span.prefix"), F.length(F.col(f"span.{name}")))
+    rows = rows.withColumn("span", F.when(pair, span))
+    none, place = F.lit(None).cast("string"), F.lit(None).cast("int")
+    entry = lambda change, kind, i, j, b, a: F.struct(F.lit(change).alias("change"), F.col(kind).alias("type"), i.alias("was_at"), j.alias("now_at"), b.alias("before"), a.alias("after"))
+    modified = entry("modified", "was_type", F.col("was_at"), F.col("now_at"), part("was", "before"), part("now", "after"))
+    removed = F.when(F.col("was_at").isNotNull(), entry("removed", "was_type", F.col("was_at"), place, F.col("was"), none))
+    added = F.when(F.col("now_at").isNotNull(), entry("added", "now_type", place, F.col("now_at"), none, F.col("now")))
+    shown = F.when(pair, F.array(modified)).otherwise(F.array_compact(F.array(removed, added)))
+    return rows.select("machine", "section", "state", F.inline(shown))
 
 
 def changed_fields(before: DataFrame, after: DataFrame, fields: list[str], most: int = 1800) -> DataFrame:

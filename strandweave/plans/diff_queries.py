@@ -181,16 +181,30 @@ def combined_diff(v: Views):
     return D.combined_diff(records, sections).withColumn("sections", F.array_join("sections", "|"))
 
 
+#: The longest common run of each pair of segments, first of equals, then the segments before and after it; by joins of equal blocks.
+_RUNS = """RECURSIVE b AS (SELECT *, row_number() OVER (PARTITION BY machine, section ORDER BY block_index) - 1 AS i FROM v_blocks_before), a AS (SELECT *, row_number() OVER (PARTITION BY machine, section ORDER BY block_index) - 1 AS j FROM v_blocks_after),
+       s AS (SELECT coalesce(x.machine, y.machine) AS machine, coalesce(x.section, y.section) AS section, coalesce(x.n, 0) AS nb, coalesce(y.n, 0) AS na
+             FROM (SELECT machine, section, count(*) AS n FROM b GROUP BY 1, 2) x FULL OUTER JOIN (SELECT machine, section, count(*) AS n FROM a GROUP BY 1, 2) y ON x.machine = y.machine AND x.section = y.section),
+       e AS (SELECT b.machine, b.section, i, j, i - row_number() OVER (PARTITION BY b.machine, b.section, i - j ORDER BY i) AS island FROM b JOIN a ON b.machine = a.machine AND b.section = a.section AND b.type = a.type AND b.text = a.text),
+       r AS (SELECT machine, section, i, j, max(i) OVER (PARTITION BY machine, section, i - j, island) - i + 1 AS len FROM e),
+       seg AS (SELECT machine, section, 0 AS alo, nb AS ahi, 0 AS blo, na AS bhi FROM s
+               UNION ALL
+               SELECT machine, section, unnest([alo, i + len]), unnest([i, ahi]), unnest([blo, j + len]), unnest([j, bhi])
+               FROM (SELECT seg.*, r.i, r.j, least(r.len, ahi - r.i, bhi - r.j) AS len FROM seg JOIN r ON r.machine = seg.machine AND r.section = seg.section AND r.i >= alo AND r.i < ahi AND r.j >= blo AND r.j < bhi
+                     QUALIFY row_number() OVER (PARTITION BY seg.machine, seg.section, alo, ahi, blo, bhi ORDER BY least(r.len, ahi - r.i, bhi - r.j) DESC, r.i, r.j) = 1)),
+       leaf AS (SELECT seg.* FROM seg WHERE (alo < ahi OR blo < bhi) AND NOT EXISTS (SELECT 1 FROM r WHERE r.machine = seg.machine AND r.section = seg.section AND r.i >= alo AND r.i < ahi AND r.j >= blo AND r.j < bhi)),
+       slot AS (SELECT l.machine, l.section, CASE WHEN nb = 0 THEN 'ADDED' WHEN na = 0 THEN 'REMOVED' ELSE 'MODIFIED' END AS state, CASE WHEN alo + k < ahi THEN alo + k END AS i, CASE WHEN blo + k < bhi THEN blo + k END AS j
+                FROM (SELECT *, unnest(range(greatest(ahi - alo, bhi - blo))) AS k FROM leaf) l JOIN s ON s.machine = l.machine AND s.section = l.section),
+       p AS (SELECT slot.*, b.type AS bt, a.type AS nt, b.text AS was, a.text AS now, coalesce(b.type = a.type, FALSE) AS pair
+             FROM slot LEFT JOIN b ON b.machine = slot.machine AND b.section = slot.section AND b.i = slot.i LEFT JOIN a ON a.machine = slot.machine AND a.section = slot.section AND a.j = slot.j)"""
+
+
 @query(
     "changed_block_detail",
-    """WITH b AS (SELECT *, row_number() OVER (PARTITION BY machine, section, type, text ORDER BY block_index) AS n FROM v_blocks_before), a AS (SELECT *, row_number() OVER (PARTITION BY machine, section, type, text ORDER BY block_index) AS n FROM v_blocks_after),
-       f AS (SELECT coalesce(b.machine, a.machine) AS machine, coalesce(b.section, a.section) AS section, coalesce(b.type, a.type) AS type, coalesce(b.text, a.text) AS text, b.block_index AS was, a.block_index AS now
-             FROM b FULL OUTER JOIN a ON b.machine = a.machine AND b.section = a.section AND b.type = a.type AND b.text = a.text AND b.n = a.n),
-       s AS (SELECT *, CASE WHEN count(was) OVER w = 0 THEN 'ADDED' WHEN count(now) OVER w = 0 THEN 'REMOVED' ELSE 'MODIFIED' END AS state FROM f WINDOW w AS (PARTITION BY machine, section)),
-       p AS (SELECT *, row_number() OVER (PARTITION BY machine, section, type, now IS NULL ORDER BY coalesce(was, now), text) AS place FROM s WHERE was IS NULL OR now IS NULL)
-       SELECT coalesce(x.machine, y.machine) AS machine, coalesce(x.section, y.section) AS section, coalesce(x.state, y.state) AS state, CASE WHEN y.machine IS NULL THEN 'removed' WHEN x.machine IS NULL THEN 'added' ELSE 'modified' END AS change,
-              coalesce(x.type, y.type) AS type, x.text AS before, y.text AS after
-       FROM (SELECT * FROM p WHERE now IS NULL) x FULL OUTER JOIN (SELECT * FROM p WHERE now IS NOT NULL) y ON x.machine = y.machine AND x.section = y.section AND x.type = y.type AND x.place = y.place""",
+    f"""WITH {_RUNS}
+       SELECT machine, section, state, 'modified' AS change, bt AS type, CAST(i AS INTEGER) AS was_at, CAST(j AS INTEGER) AS now_at, was AS before, now AS after FROM p WHERE pair
+       UNION ALL SELECT machine, section, state, 'removed', bt, CAST(i AS INTEGER), NULL, was, NULL FROM p WHERE NOT pair AND i IS NOT NULL
+       UNION ALL SELECT machine, section, state, 'added', nt, NULL, CAST(j AS INTEGER), NULL, now FROM p WHERE NOT pair AND j IS NOT NULL""",
 )
 def changed_block_detail(v: Views):
     return D.changed_block_detail(v.blocks_before, v.blocks_after)  # texts here are shorter than the context of a change

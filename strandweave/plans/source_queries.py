@@ -12,30 +12,48 @@ from ..sources import tables as B
 from ..sources.scratch import scratch_path
 from .views import Views, query
 
-_INI_LINES = """SELECT list AS path, ordinal * 2 AS line_no, CASE WHEN ordinal % 40 = 0 THEN '[FOLDER_SETTINGS]' ELSE '[ ' || section || '  ]' END AS line FROM v_ini
-    UNION ALL SELECT list, ordinal * 2 + 1, CASE ordinal % 17 WHEN 0 THEN ';; note' WHEN 1 THEN '' ELSE ' ' || machine END FROM v_ini"""
+#: Rows whose lines make one written list.
+LIST_ROWS = 5000
 
 
-def ini_lines(v: Views):
-    ini = v.ini
-    head = ini.select(F.col("list").alias("path"), (F.col("ordinal") * 2).alias("line_no"), F.when(F.col("ordinal") % 40 == 0, "[FOLDER_SETTINGS]").otherwise(F.concat(F.lit("[ "), "section", F.lit("  ]"))).alias("line"))
-    body = ini.select("list", F.col("ordinal") * 2 + 1, F.when(F.col("ordinal") % 17 == 0, ";; note").when(F.col("ordinal") % 17 == 1, "").otherwise(F.concat(F.lit(" "), "machine")))
-    return head.union(body)
+def listed(v: Views, lines, name: str) -> str:
+    """Write lines (list, part, line_no, line) as files, one a list and part, in order; returns the path of all."""
+    path = scratch_path(v.spark, name)
+    by = ["list", "part"]
+    lines.repartition(*by).sortWithinPartitions(*by, "line_no").select(*by, "line").write.partitionBy(*by).text(path)
+    return path + "/list=*/part=*"
+
+
+def list_of(path: str):
+    """The list and part that a file's path names, as list/part."""
+    return F.concat(F.regexp_extract(path, "list=([^/]+)", 1), F.lit("/"), F.regexp_extract(path, "part=([^/]+)", 1))
+
+
+def ini_files(v: Views) -> str:
+    ini = v.ini.withColumn("part", F.floor(F.col("ordinal") / LIST_ROWS))
+    head = ini.select("list", "part", (F.col("ordinal") * 2).alias("line_no"), F.when(F.col("ordinal") % 40 == 0, "[FOLDER_SETTINGS]").otherwise(F.concat(F.lit("[ "), "section", F.lit("  ]"))).alias("line"))
+    body = ini.select("list", "part", F.col("ordinal") * 2 + 1, F.when(F.col("ordinal") % 17 == 0, ";; note").when(F.col("ordinal") % 17 == 1, "").otherwise(F.concat(F.lit(" "), "machine")))
+    return listed(v, head.union(body), "lists")
 
 
-LISTED = r"SELECT list AS path, trim(regexp_replace(section, '\s+', ' ', 'g')) AS section, machine, ordinal * 2 + 1 AS line_no FROM v_ini WHERE ordinal % 17 > 1 AND ordinal % 40 <> 0"
+LISTED = rf"""SELECT list || '/' || CAST(part AS STRING) AS path, trim(regexp_replace(section, '\s+', ' ', 'g')) AS section, machine, line_no
+    FROM (SELECT *, 2 * row_number() OVER (PARTITION BY list, part ORDER BY ordinal) AS line_no FROM (SELECT *, ordinal // {LIST_ROWS} AS part FROM v_ini)) WHERE ordinal % 17 > 1 AND ordinal % 40 <> 0"""
+
+
+def listed_rows(v: Views):
+    return S.scan_sectioned_list(v.spark, ini_files(v)).withColumn("path", list_of("path"))
 
 
 @query("scan_sectioned_ini", LISTED)
 def scan_sectioned_ini(v: Views):
-    return S.sectioned_list(ini_lines(v))
+    return listed_rows(v)
 
 
 @query("ini_list_stats", f"""WITH l AS ({LISTED}), m AS (SELECT path, machine, count(DISTINCT section) AS n FROM l GROUP BY 1, 2), s AS (SELECT path, section, count(*) AS listed, count(DISTINCT machine) AS uniq FROM l GROUP BY 1, 2)
     SELECT s.path, CAST(sum(listed) AS BIGINT) AS listed, count(*) AS sections, (SELECT count(*) FROM m WHERE m.path = s.path) AS machines, (SELECT count(*) FROM m WHERE m.path = s.path AND n >= 2) AS in_several,
            (SELECT CAST(sum(n - 1) AS BIGINT) FROM m WHERE m.path = s.path) AS across, CAST(sum(listed - uniq) AS BIGINT) AS within FROM s GROUP BY 1""")
 def ini_list_stats(v: Views):
-    rows = S.sectioned_list(ini_lines(v))
+    rows = listed_rows(v)
     per_section = rows.groupBy("path", "section").agg(F.count("*").alias("listed"), F.count_distinct("machine").alias("uniq"))
     a = per_section.groupBy("path").agg(F.sum("listed").alias("listed"), F.count("*").alias("sections"), F.sum(F.col("listed") - F.col("uniq")).alias("within"))
     per_machine = rows.groupBy("path", "machine").agg(F.count_distinct("section").alias("n"))
@@ -43,50 +61,59 @@ def ini_list_stats(v: Views):
     return a.join(b, "path")
 
 
-@query("ini_coverage", f"WITH l AS (SELECT DISTINCT path, machine FROM ({LISTED})), u AS (SELECT DISTINCT machine FROM l) SELECT p AS path, count(*) AS machines, count(l.machine) AS present, count(*) - count(l.machine) AS missing FROM u CROSS JOIN (SELECT unnest(['status', 'category', 'type']) AS p) LEFT JOIN l ON l.machine = u.machine AND l.path = p GROUP BY 1")
+@query("ini_coverage", f"WITH l AS (SELECT DISTINCT split_part(path, '/', 1) AS path, machine FROM ({LISTED})), u AS (SELECT DISTINCT machine FROM l) SELECT p AS path, count(*) AS machines, count(l.machine) AS present, count(*) - count(l.machine) AS missing FROM u CROSS JOIN (SELECT unnest(['status', 'category', 'type']) AS p) LEFT JOIN l ON l.machine = u.machine AND l.path = p GROUP BY 1")
 def ini_coverage(v: Views):
-    rows = S.sectioned_list(ini_lines(v)).select("path", "machine").distinct()
+    rows = listed_rows(v).select(F.split_part("path", F.lit("/"), F.lit(1)).alias("path"), "machine").distinct()
     has = rows.groupBy("machine").agg(F.collect_set("path").alias("paths"))
     names = F.array(*(F.lit(n) for n in ("status", "category", "type")))
     tall = has.select(F.explode(F.transform(names, lambda n: F.struct(n.alias("path"), F.array_contains("paths", n).alias("has")))).alias("x")).select("x.*")
     return tall.groupBy("path").agg(F.count("*").alias("machines"), F.count_if("has").alias("present"), F.count_if(~F.col("has")).alias("missing"))
 
 
-@query("scan_ini_header", """SELECT 'f' || CAST(c_custkey AS STRING) AS path, '0.' || CAST(c_custkey % 300 AS STRING) AS version, 'mame' || CAST(c_custkey % 300 AS STRING) AS build,
-    CASE WHEN c_custkey % 2 = 0 THEN '17/01/2026' ELSE '2026-01-17' END AS date_raw, '2026-01-17' AS date FROM customer""")
-def scan_ini_header(v: Views):
-    k, n = F.col("c_custkey"), (F.col("c_custkey") % 300).cast("string")
-    line = F.array(F.concat(F.lit(";; for MAME 0."), n, F.lit(" (MAME"), n, F.lit(")")), F.concat(F.lit(";; Generated on "), F.when(k % 2 == 0, "17/01/2026").otherwise("2026-01-17")), F.lit("[A]"))
-    lines = v.table("customer").select(F.concat(F.lit("f"), k.cast("string")).alias("path"), F.posexplode(line).alias("line_no", "line"))
-    return S.list_header(lines)
+def headed(v: Views, name: str, lines) -> str:
+    """Write the same kind of file for each supplier: its ``lines`` (an array column); returns the path of all."""
+    rows = v.table("supplier").select(F.col("s_suppkey").alias("list"), F.lit(0).alias("part"), F.posexplode(lines).alias("line_no", "line"))
+    return listed(v, rows, name)
 
 
-_CAT_LINES = """CASE WHEN p_size % 3 = 0 THEN 'Arcade: ' ELSE '' END || p_type || ' / ' || p_brand || CASE WHEN p_size % 5 = 0 THEN ' * Mature *' ELSE '' END"""
+_KEY, _FILE = F.col("s_suppkey"), F.concat(F.lit("f"), F.regexp_extract("path", "list=([^/]+)", 1))
 
 
-@query("scan_catlist", "SELECT 'p' || CAST(p_partkey AS STRING) AS machine, CASE WHEN p_size % 3 = 0 THEN 'Arcade' ELSE 'Non-Arcade' END AS grp, p_type AS category, p_brand AS subcategory FROM part WHERE p_partkey % 6 <> 0")
+@query("scan_ini_header", """SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '0.' || CAST(s_suppkey % 300 AS STRING) AS version, 'mame' || CAST(s_suppkey % 300 AS STRING) AS build,
+    CASE WHEN s_suppkey % 2 = 0 THEN '17/01/2026' ELSE '2026-01-17' END AS date_raw, '2026-01-17' AS date FROM supplier""")
+def scan_ini_header(v: Views):
+    n = (_KEY % 300).cast("string")
+    lines = F.array(F.concat(F.lit(";; for MAME 0."), n, F.lit(" (MAME"), n, F.lit(")")), F.concat(F.lit(";; Generated on "), F.when(_KEY % 2 == 0, "17/01/2026").otherwise("2026-01-17")), F.lit("[A]"))
+    return S.scan_list_header(v.spark, headed(v, "heads", lines)).withColumn("path", _FILE)
+
+
+@query(
+    "scan_catlist",
+    f"""WITH r AS (SELECT p_partkey AS k, p_partkey // {LIST_ROWS} AS part, CASE WHEN p_size % 3 = 0 THEN 'Arcade: ' ELSE '' END || p_type || ' / ' || p_brand AS head FROM part),
+        h AS (SELECT *, last_value(CASE WHEN k % 4 = 1 OR k % {LIST_ROWS} = 0 THEN head END IGNORE NULLS) OVER (PARTITION BY part ORDER BY k) AS over FROM r)
+        SELECT 'p' || CAST(k AS STRING) AS machine, CASE WHEN over LIKE 'Arcade: %' THEN 'Arcade' ELSE 'Non-Arcade' END AS grp, split_part(replace(over, 'Arcade: ', ''), ' / ', 1) AS category, split_part(over, ' / ', 2) AS subcategory
+        FROM h WHERE k % 6 <> 0 AND over IS NOT NULL""",
+)
 def scan_catlist(v: Views):
-    rows = v.spark.sql(f"SELECT p_partkey AS k, {_CAT_LINES} AS head FROM {{part}}", part=v.table("part"))
+    head = "'[' || CASE WHEN p_size % 3 = 0 THEN 'Arcade: ' ELSE '' END || p_type || ' / ' || p_brand || CASE WHEN p_size % 5 = 0 THEN ' * Mature *' ELSE '' END || ']'"
+    rows = v.spark.sql(f"SELECT 'catlist' AS list, p_partkey AS k, floor(p_partkey / {LIST_ROWS}) AS part, {head} AS head FROM {{part}}", part=v.table("part"))
     body = F.when(F.col("k") % 6 == 0, F.concat(F.lit("key="), F.col("k").cast("string"))).otherwise(F.concat(F.lit("p"), F.col("k").cast("string")))
-    lines = rows.select(F.lit("catlist").alias("path"), (F.col("k") * 3).alias("line_no"), F.concat(F.lit("["), "head", F.lit("]")).alias("line")).union(rows.select(F.lit("catlist"), F.col("k") * 3 + 1, body))
-    # sections of one file are read in its order; parts of the test's file stand for files
-    lines = lines.withColumn("path", F.concat("path", F.floor(F.col("line_no") / 300).cast("string")))
-    return S.category_list(lines).drop("line_no")
+    heads = rows.where((F.col("k") % 4 == 1) | (F.col("k") % LIST_ROWS == 0))  # machines between them stand below the last
+    lines = heads.select("list", "part", (F.col("k") * 3).alias("line_no"), F.col("head").alias("line")).union(rows.select("list", "part", F.col("k") * 3 + 1, body))
+    return S.scan_category_list(v.spark, listed(v, lines, "categories")).drop("path", "line_no")
 
 
-@query("scan_catlist_header", "SELECT 'f' || CAST(c_custkey AS STRING) AS path, '1.' || CAST(c_custkey % 9 AS STRING) AS version, '17-Jan-2026' AS date, CAST(200 + c_custkey % 90 AS STRING) AS release FROM customer")
+@query("scan_catlist_header", "SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '1.' || CAST(s_suppkey % 9 AS STRING) AS version, '17-Jan-2026' AS date, CAST(200 + s_suppkey % 90 AS STRING) AS release FROM supplier")
 def scan_catlist_header(v: Views):
-    k = F.col("c_custkey")
-    line = F.array(F.concat(F.lit(";; CATLIST.ini 1."), (k % 9).cast("string")), F.concat(F.lit(";; 17-Jan-2026 / MAME 0."), (200 + k % 90).cast("string")), F.lit("[A]"))
-    return S.category_list_header(v.table("customer").select(F.concat(F.lit("f"), k.cast("string")).alias("path"), F.posexplode(line).alias("line_no", "line")))
+    lines = F.array(F.concat(F.lit(";; CATLIST.ini 1."), (_KEY % 9).cast("string")), F.concat(F.lit(";; 17-Jan-2026 / MAME 0."), (200 + _KEY % 90).cast("string")), F.lit("[A]"))
+    return S.scan_category_list_header(v.spark, headed(v, "category-heads", lines)).withColumn("path", _FILE)
 
 
-@query("scan_root_attributes", "SELECT 'f' || CAST(c_custkey AS STRING) AS path, '0.' || CAST(c_custkey AS STRING) AS build, CASE WHEN c_custkey % 2 = 0 THEN '10' END AS mameconfig FROM customer")
+@query("scan_root_attributes", "SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '0.' || CAST(s_suppkey AS STRING) AS build, CASE WHEN s_suppkey % 2 = 0 THEN '10' END AS mameconfig FROM supplier")
 def scan_root_attributes(v: Views):
-    k = F.col("c_custkey").cast("string")
-    line = F.array(F.lit('<?xml version="1.0"?>'), F.concat(F.lit('<mame build="0.'), k, F.lit('"'), F.when(F.col("c_custkey") % 2 == 0, ' mameconfig="10"').otherwise(""), F.lit(">")), F.lit("<machine/>"))
-    lines = v.table("customer").select(F.concat(F.lit("f"), k).alias("path"), F.posexplode(line).alias("line_no", "line"))
-    return S.root_attributes(lines, "mame", ["build", "mameconfig"])
+    root = F.concat(F.lit('<mame build="0.'), _KEY.cast("string"), F.lit('"'), F.when(_KEY % 2 == 0, ' mameconfig="10"').otherwise(""), F.lit(">"))
+    lines = F.array(F.lit('<?xml version="1.0"?>'), root, F.lit("<machine/>"))
+    return S.scan_root_attributes(v.spark, headed(v, "roots", lines), "mame", ["build", "mameconfig"]).withColumn("path", _FILE)
 
 
 @query("select_member", "SELECT archive, arg_min(member, (-n, -length(member), member)) AS member FROM (SELECT 's' || CAST(l_suppkey AS STRING) AS archive, 'dir/data' || CAST(l_orderkey AS STRING) || '.xml' AS member, length(CAST(l_orderkey AS STRING)) AS n FROM lineitem) GROUP BY 1")
@@ -182,7 +209,7 @@ def expect_machine_counts(v: Views):
 
 @query("expect_list_counts", f"""SELECT * FROM (SELECT 'listed_is_unique' AS rule, count(*) AS left, count(DISTINCT path || '|' || section || '|' || machine) AS right FROM ({LISTED})) t WHERE t."left" <> t."right" """)
 def expect_list_counts(v: Views):
-    rows = S.sectioned_list(ini_lines(v))
+    rows = listed_rows(v)
     totals = rows.agg(F.count("*").alias("n"), F.count_distinct("path", "section", "machine").alias("u"), F.count("section").alias("s"))
     return R.unequal(totals, {"listed_is_unique": (F.col("n"), F.col("u")), "every_line_has_a_section": (F.col("n"), F.col("s"))})
 

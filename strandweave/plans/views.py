@@ -111,7 +111,8 @@ VIEWS = {
         FROM orders""",
     "blocks_after": """
         SELECT CASE WHEN o_orderkey % 37 = 0 THEN 'a' ELSE 'c' END || CAST(o_custkey AS STRING) AS machine, CASE WHEN o_orderkey % 3 = 0 THEN 'TRIVIA' ELSE 'UPDATES' END AS section,
-               o_orderkey AS block_index, CASE WHEN o_orderkey % 4 = 0 THEN 'subheading' ELSE 'paragraph' END AS type,
+               CASE WHEN o_orderkey % 29 = 0 THEN o_orderkey + 1000000000 WHEN o_orderkey % 31 = 0 THEN -o_orderkey ELSE o_orderkey END AS block_index,
+               CASE WHEN o_orderkey % 4 = 0 AND o_orderkey % 43 <> 0 THEN 'subheading' ELSE 'paragraph' END AS type,
                o_orderpriority || ' text ' || CAST(o_orderkey % 9 AS STRING) || CASE WHEN o_orderkey % 41 = 0 THEN ' edited' ELSE '' END AS text
         FROM orders""",
     "findings": """
@@ -211,8 +212,9 @@ VIEWS = {
 def oracle(sql: str) -> str:
     """``sql`` over views named v_<name>, as one DuckDB statement."""
     sql = sql.strip()
-    own = ", " + sql[5:] if sql.upper().startswith("WITH ") else " " + sql
-    return "WITH " + ", ".join(f"v_{n} AS ({s})" for n, s in VIEWS.items()) + own
+    recursive = "RECURSIVE " if sql.upper().startswith("WITH RECURSIVE ") else ""
+    own = ", " + sql[5 + len(recursive) :] if sql.upper().startswith("WITH ") else " " + sql
+    return f"WITH {recursive}" + ", ".join(f"v_{n} AS ({s})" for n, s in VIEWS.items()) + own
 
 
 class Views:

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import iso_date
 from ..functions.text import collapse_whitespace, empty_to_null, strip, text_or_empty
+from .lines import first_lines, read_lines
 
 #: Fixed value: the end of a heading that marks mature content.
 MATURE = " * Mature *"
@@ -93,13 +94,6 @@ def entry_header(systems: Column, software: Column) -> Column:
     return F.struct(kind.alias("kind"), F.get(names, F.lit(0)).alias("primary_name"), rest.alias("aliases"))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, line) of text files, with line numbers from 1; a file is read whole to number its lines."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    text = F.regexp_replace(F.regexp_replace("value", "^﻿", ""), r"\R$", "")
-    return whole.select("path", F.posexplode(F.split(text, r"\R")).alias("n", "line")).select("path", (F.col("n") + 1).alias("line_no"), "line")
-
-
 def root_attributes(lines: DataFrame, tag: str, names: list[str]) -> DataFrame:
     """(path, names...): attributes of the root element, from the first line that opens it."""
     opening = lines.where(F.col("line").rlike(rf"<{tag}[\s>]"))
@@ -107,37 +101,50 @@ def root_attributes(lines: DataFrame, tag: str, names: list[str]) -> DataFrame:
     return first.select("path", *(empty_to_null(F.regexp_extract("line", rf'\s{n}="([^"]*)"', 1)).alias(n) for n in names))
 
 
-def _sections(lines: DataFrame) -> DataFrame:
+def _headings() -> Column:
     t = text_or_empty(F.col("line"))
-    rows = lines.withColumn("text", t).withColumn("head", F.when(t.rlike(r"^\[.*\]$"), collapse_whitespace(F.substring(t, F.lit(2), F.length(t) - 2))))
-    above = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("section", F.last("head", True).over(above)).where("head is null and section is not null and text <> ''")
+    return F.when(t.rlike(r"^\[.*\]$"), collapse_whitespace(F.substring(t, F.lit(2), F.length(t) - 2)))
+
 
+def sectioned_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, section, text, line_no): lines below a [Section] heading of their file, trimmed, without blank ones."""
+    rows = read_lines(spark, path, _headings()).select("path", F.col("heading").alias("section"), text_or_empty(F.col("line")).alias("text"), "line_no")
+    return rows.where(F.col("section").isNotNull() & (F.col("text") != "") & ~F.col("text").rlike(r"^\[.*\]$"))
 
-def sectioned_list(lines: DataFrame) -> DataFrame:
+
+def scan_sectioned_list(spark: SparkSession, path: str) -> DataFrame:
     """(path, section, machine, line_no) of [Section] files: no blank lines, ;; comments or FOLDER_SETTINGS."""
-    rows = _sections(lines).where((F.col("section") != "FOLDER_SETTINGS") & ~F.col("text").startswith(";;"))
+    rows = sectioned_lines(spark, path).where((F.col("section") != "FOLDER_SETTINGS") & ~F.col("text").startswith(";;"))
     return rows.select("path", "section", F.col("text").alias("machine"), "line_no")
 
 
 def list_header(lines: DataFrame) -> DataFrame:
-    """(path, version, build, date_raw, date) from the first HEAD_CHARS characters of a list."""
-    chars = F.sum(F.length("line") + 1).over(Window.partitionBy("path").orderBy("line_no"))
-    top = lines.withColumn("c", chars).where(F.col("c") <= HEAD_CHARS + F.length("line"))
-    head = top.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), " ").alias("t"))
+    """(path, version, build, date_raw, date) told in the lines of a list's head."""
+    head = lines.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), " ").alias("t"))
     part = lambda p: empty_to_null(F.regexp_extract("t", p, 1))
     raw = part(LIST_DATE)
     return head.select("path", part(LIST_VERSION).alias("version"), F.lower(part(LIST_BUILD)).alias("build"), raw.alias("date_raw"), iso_date(raw).alias("date"))
 
 
-def category_list(lines: DataFrame) -> DataFrame:
-    """(machine, grp, category, subcategory, line_no): headings that start with Arcade: give that group, the rest is
+def scan_list_header(spark: SparkSession, path: str) -> DataFrame:
+    """``list_header`` of files, of each the first HEAD_CHARS characters."""
+    return list_header(first_lines(spark, path, HEAD_CHARS))
+
+
+def scan_root_attributes(spark: SparkSession, path: str, tag: str, names: list[str]) -> DataFrame:
+    """``root_attributes`` of files whose root opens in the first HEAD_CHARS characters."""
+    return root_attributes(first_lines(spark, path, HEAD_CHARS), tag, names)
+
+
+def scan_category_list(spark: SparkSession, path: str) -> DataFrame:
+    """(path, machine, grp, category, subcategory, line_no): headings that start with Arcade: give that group, the rest is
     split at the first ' / '; lines with = or a comment sign are no machines."""
-    rows = _sections(lines).where(~F.col("section").isin("FOLDER_SETTINGS", "ROOT_FOLDER") & ~F.col("text").rlike("^[;#]") & ~F.col("text").contains("="))
+    rows = sectioned_lines(spark, path).where(~F.col("section").isin("FOLDER_SETTINGS", "ROOT_FOLDER") & ~F.col("text").rlike("^[;#]") & ~F.col("text").contains("="))
     arcade = F.col("section").startswith("Arcade: ")
-    kind = F.regexp_replace(F.when(arcade, F.substring("section", 9, 10_000)).otherwise(F.col("section")), r" \* Mature \*$", "")
+    kind = F.regexp_replace(F.when(arcade, F.substring("section", F.lit(9), F.length("section"))).otherwise(F.col("section")), r" \* Mature \*$", "")
     at = F.instr(kind, " / ")
     return rows.select(
+        "path",
         F.col("text").alias("machine"),
         F.when(arcade, "Arcade").otherwise("Non-Arcade").alias("grp"),
         strip(F.when(at > 0, F.substring(kind, F.lit(1), at - 1)).otherwise(kind)).alias("category"),
@@ -153,6 +160,11 @@ def category_list_header(lines: DataFrame) -> DataFrame:
     return top.groupBy("path").agg(first(CATEGORY_VERSION, "version"), first(CATEGORY_DATE, "date"), first(CATEGORY_RELEASE, "release"))
 
 
+def scan_category_list_header(spark: SparkSession, path: str) -> DataFrame:
+    """``category_list_header`` of files."""
+    return category_list_header(first_lines(spark, path, HEAD_CHARS))
+
+
 MEMBER = "archive string, member string, crc long, size long, modified string, is_xml boolean, is_ini boolean, readable boolean, content binary"
 
 

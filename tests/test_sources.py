@@ -32,8 +32,7 @@ def test_machine_xml(spark, tmp_path):
     assert set(rows) == {"pac", "clone"} and rows["clone"]["description"] == "Clone, again"
     assert [r["_size"] for r in rows["pac"]["rom"]] == ["100", "x"] and rows["pac"]["input"]["control"][0]["_ways"] == "4"
     assert files.scan_machine_xml(spark, str(tmp_path / "m.xml"), limit=1).count() == 1
-    lines = files.read_lines(spark, str(tmp_path / "m.xml"))
-    assert files.root_attributes(lines, "mame", ["build"]).first()["build"] == "0.287"
+    assert files.scan_root_attributes(spark, str(tmp_path / "m.xml"), "mame", ["build"]).first()["build"] == "0.287"
 
 
 def test_entry_xml(spark, tmp_path):
@@ -45,7 +44,7 @@ def test_entry_xml(spark, tmp_path):
 
 def test_lists(spark, tmp_path):
     (tmp_path / "c.ini").write_bytes("﻿[FOLDER_SETTINGS]\r\nx=1\r\n[Arcade: Shooter / Flying Vertical * Mature *]\r\n\r\n;c\r\npac\r\n[Maze]\r\npuck\r\n".encode())
-    got = {r["machine"]: (r["grp"], r["category"], r["subcategory"]) for r in files.category_list(files.read_lines(spark, str(tmp_path / "c.ini"))).collect()}
+    got = {r["machine"]: (r["grp"], r["category"], r["subcategory"]) for r in files.scan_category_list(spark, str(tmp_path / "c.ini")).collect()}
     assert got == {"pac": ("Arcade", "Shooter", "Flying Vertical"), "puck": ("Non-Arcade", "Maze", "")}
 
 
