@@ -123,11 +123,28 @@ def archive_audit(v: Views):
     return audit_archives(archives).select("path", "stage", "provider", "release", "outcome")
 
 
-@query("expect_entry_counts", f"""SELECT * FROM (SELECT 'comment_on_every_line' AS rule, count(*) AS left, count(comment) AS right FROM ({PORT})) t WHERE t."left" <> t."right" """)
+@query(
+    "expect_entry_counts",
+    f"""SELECT * FROM (SELECT 'systems_and_software' AS rule, (SELECT count(*) FILTER (WHERE o_orderkey % 3 <> 2) FROM orders) AS left, (SELECT count(*) FROM orders) AS right
+        UNION ALL SELECT 'keyed_systems', (SELECT count(DISTINCT o_custkey) FILTER (WHERE o_orderkey % 3 = 0) FROM orders), (SELECT count(*) FILTER (WHERE o_orderkey % 3 = 0) FROM orders)
+        UNION ALL SELECT 'platforms_and_nulls', (SELECT count(*) + 5 FROM ({PORT})), (SELECT count(*) FROM ({PORT})) UNION ALL SELECT 'null_platforms', (SELECT count(*) FROM ({PORT}) WHERE platform IS NULL), (SELECT count(*) + 5 FROM ({PORT}) WHERE platform IS NULL)
+        UNION ALL SELECT 'banners', (SELECT count(*) FROM v_lines WHERE line LIKE '%- PORTS -%'), (SELECT count(*) FROM v_lines WHERE line LIKE '%- PORTS -%')) t WHERE t."left" <> t."right"
+        UNION ALL SELECT * FROM (SELECT 'systems_with_ports' AS rule, (SELECT count(DISTINCT machine) FROM ({PORT})) AS left, (SELECT count(*) FILTER (WHERE o_orderkey % 3 = 0) FROM orders) AS right
+        UNION ALL SELECT 'overviews', (SELECT count(DISTINCT machine) FROM v_lines), (SELECT count(DISTINCT machine) FROM ({PORT}))
+        UNION ALL SELECT 'unreadable_dates', (SELECT count(DISTINCT residue) FROM ({PORT}) WHERE residue <> ''), (SELECT count(DISTINCT machine) FROM ({PORT}) WHERE residue <> '')) t WHERE t."left" > t."right" """,
+)
 def expect_entry_counts(v: Views):
-    p = parsed(v)
-    totals = p.agg(F.count("*").alias("n"), F.count("platform").alias("named"), F.count_if(F.col("platform").isNull()).alias("bare"), F.count("comment").alias("told"))
-    return R.unequal(totals, {"platforms_and_nulls": (F.col("n"), F.col("named") + F.col("bare")), "comment_on_every_line": (F.col("n"), F.col("told"))})
+    from ..operators.metrics import distributions
+
+    orders, p = v.table("orders"), parsed(v)
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "systems").when(F.col("o_orderkey") % 3 == 1, "software").otherwise("unknown")
+    machine = F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("machine")
+    platforms = distributions(p.where("platform is not null"), {"platform": F.col("platform")})
+    banners = distributions(v.lines.where(F.contains("line", F.lit("- PORTS -"))), {"banner": F.col("line")})
+    lines = p.agg(F.count("*").alias("n"), F.count_if(F.col("platform").isNull()).alias("bare")).first()
+    told = {"port_lines": F.lit(lines["n"]), "null_platforms": F.lit(lines["bare"] + 5), "banners": F.lit(banners.agg(F.sum("n")).first()[0] or 0)}
+    ports_ = p.select("machine", "platform", "residue", "date", F.get("residue", F.lit(0)).alias("raw_date"))
+    return R.entry_invariants(orders.select(kind.alias("kind")), orders.where(F.col("o_orderkey") % 3 == 0).select(machine), ports_, platforms, banners, v.lines.select("machine"), told)
 
 
 _RUNS = "SELECT stage, CASE WHEN size % 4 = 0 THEN 'output' ELSE 'input' END AS role, size, size * 10 AS records, CASE WHEN stage = 'lists' AND size = 13 THEN 'broken' END AS error FROM {0}"

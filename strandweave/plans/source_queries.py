@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators import metrics as M
 from ..operators import quality_rules as R
 from ..sources import archives as E
 from ..sources import files as S
@@ -53,21 +54,13 @@ def scan_sectioned_ini(v: Views):
     SELECT s.path, CAST(sum(listed) AS BIGINT) AS listed, count(*) AS sections, (SELECT count(*) FROM m WHERE m.path = s.path) AS machines, (SELECT count(*) FROM m WHERE m.path = s.path AND n >= 2) AS in_several,
            (SELECT CAST(sum(n - 1) AS BIGINT) FROM m WHERE m.path = s.path) AS across, CAST(sum(listed - uniq) AS BIGINT) AS within FROM s GROUP BY 1""")
 def ini_list_stats(v: Views):
-    rows = listed_rows(v)
-    per_section = rows.groupBy("path", "section").agg(F.count("*").alias("listed"), F.count_distinct("machine").alias("uniq"))
-    a = per_section.groupBy("path").agg(F.sum("listed").alias("listed"), F.count("*").alias("sections"), F.sum(F.col("listed") - F.col("uniq")).alias("within"))
-    per_machine = rows.groupBy("path", "machine").agg(F.count_distinct("section").alias("n"))
-    b = per_machine.groupBy("path").agg(F.count("*").alias("machines"), F.count_if(F.col("n") >= 2).alias("in_several"), F.sum(F.col("n") - 1).alias("across"))
-    return a.join(b, "path")
+    return R.list_stats(listed_rows(v))
 
 
 @query("ini_coverage", f"WITH l AS (SELECT DISTINCT split_part(path, '/', 1) AS path, machine FROM ({LISTED})), u AS (SELECT DISTINCT machine FROM l) SELECT p AS path, count(*) AS machines, count(l.machine) AS present, count(*) - count(l.machine) AS missing FROM u CROSS JOIN (SELECT unnest(['status', 'category', 'type']) AS p) LEFT JOIN l ON l.machine = u.machine AND l.path = p GROUP BY 1")
 def ini_coverage(v: Views):
-    rows = listed_rows(v).select(F.split_part("path", F.lit("/"), F.lit(1)).alias("path"), "machine").distinct()
-    has = rows.groupBy("machine").agg(F.collect_set("path").alias("paths"))
-    names = F.array(*(F.lit(n) for n in ("status", "category", "type")))
-    tall = has.select(F.explode(F.transform(names, lambda n: F.struct(n.alias("path"), F.array_contains("paths", n).alias("has")))).alias("x")).select("x.*")
-    return tall.groupBy("path").agg(F.count("*").alias("machines"), F.count_if("has").alias("present"), F.count_if(~F.col("has")).alias("missing"))
+    rows = listed_rows(v).select(F.split_part("path", F.lit("/"), F.lit(1)).alias("path"), "machine")
+    return R.list_coverage(rows, ["status", "category", "type"])
 
 
 def headed(v: Views, name: str, lines) -> str:
@@ -189,29 +182,36 @@ def release_index(v: Views):
     return B.release_index(files).withColumns({c: F.col(c).cast("date").cast("string") for c in ("first_modified", "last_modified")})
 
 
-@query("expect_contract", """SELECT rule, name AS key FROM v_machines, (SELECT unnest(['year', 'manufacturer', 'rom_bytes', 'disk_flag']) AS rule)
-    WHERE (rule = 'year' AND NOT regexp_full_match(year, '([0-9]{4})?')) OR (rule = 'manufacturer' AND manufacturer LIKE '[%') OR (rule = 'rom_bytes' AND rom_bytes > 50000000) OR (rule = 'disk_flag' AND (disk_required = 'yes') <> (disk_regions <> ''))""")
-def expect_contract(v: Views):
-    rules = {
-        "year": F.col("year").rlike("^([0-9]{4})?$"),
-        "manufacturer": ~F.col("manufacturer").startswith("["),
-        "rom_bytes": F.col("rom_bytes") <= 50000000,
-        "disk_flag": text.truthy(F.col("disk_required")) == (F.col("disk_regions") != ""),
-    }
-    return R.violations(v.machines, "name", rules)
-
-
-@query("expect_machine_counts", """SELECT * FROM (SELECT 'every_machine_has_a_year' AS rule, count(*) AS left, count(*) FILTER (WHERE year <> '') AS right FROM v_machines) t WHERE t."left" <> t."right" """)
+@query(
+    "expect_machine_counts",
+    """SELECT * FROM (SELECT 'disk_without_regions' AS rule, count(*) FILTER (WHERE (disk_required = 'yes' OR ordinal % 25 = 0) AND disk_regions = '') AS left, 0 AS right FROM v_machines
+        UNION ALL SELECT 'regions_without_disk', count(*) FILTER (WHERE ordinal % 25 <> 0 AND disk_required = 'no' AND disk_regions <> ''), 0 FROM v_machines
+        UNION ALL SELECT 'cpu_count', count(*) FILTER (WHERE ordinal % 20 = 0), 0 FROM v_machines UNION ALL SELECT 'sound_chip_count', count(*) FILTER (WHERE ordinal % 30 = 0), 0 FROM v_machines) t WHERE t."left" <> t."right"
+       UNION ALL SELECT 'tag_per_display', (SELECT count(*) FROM v_displays WHERE type <> 'svg'), (SELECT count(*) FROM v_displays)
+       UNION ALL SELECT 'ways_per_control', (SELECT count(*) FROM v_controls WHERE ways <> ''), (SELECT count(*) FROM v_controls)""",
+)
 def expect_machine_counts(v: Views):
-    totals = v.machines.agg(F.count("*").alias("n"), F.count_if(F.col("cloneof").isNull()).alias("p"), F.count("cloneof").alias("c"), F.count_if(F.col("year") != "").alias("y"))
-    return R.unequal(totals, {"parents_plus_clones": (F.col("n"), F.col("p") + F.col("c")), "every_machine_has_a_year": (F.col("n"), F.col("y"))})
-
-
-@query("expect_list_counts", f"""SELECT * FROM (SELECT 'listed_is_unique' AS rule, count(*) AS left, count(DISTINCT path || '|' || section || '|' || machine) AS right FROM ({LISTED})) t WHERE t."left" <> t."right" """)
+    m, chips, shown, controls = v.machines, v.chips, v.displays, v.controls
+    kinds = chips.groupBy(F.col("machine").alias("name")).agg(F.count_if(F.col("type") == "cpu").alias("cpus"), F.count_if(F.col("type") == "audio").alias("audio"))
+    screens = shown.groupBy(F.col("machine").alias("name")).agg(F.count("*").alias("display_count"))
+    recorded = m.join(kinds, "name", "left").join(screens, "name", "left").select(
+        "name", F.when(F.col("ordinal") % 25 == 0, "yes").otherwise(F.col("disk_required")).alias("disk_required"), F.filter(F.split("disk_regions", ","), lambda r: r != "").alias("disk_regions"), "display_count",
+        (F.coalesce("cpus", F.lit(0)) + (F.col("ordinal") % 20 == 0).cast("int")).alias("cpu_count"), (F.coalesce("audio", F.lit(0)) + (F.col("ordinal") % 30 == 0).cast("int")).alias("sound_chip_count"),
+    )
+    counts = M.distributions(m, {"year": text.year_bucket(F.col("year")), "players": text.digits(F.col("players_raw")), "speakers": F.col("speakers")})
+    counts = counts.union(M.distributions(shown, {"type": F.col("type")})).union(M.distributions(shown.where("type <> 'svg'"), {"tag": F.col("width")}))
+    counts = counts.union(M.distributions(controls, {"control": F.col("type"), "buttons": F.col("buttons")})).union(M.distributions(controls.where("ways <> ''"), {"ways": F.col("ways")}))
+    return R.machine_invariants(recorded, chips, controls, counts, ["year", "players", "speakers"], ["type", "tag"], ["control", "buttons", "ways"])
+
+
+@query("expect_list_counts", f"""WITH l AS ({LISTED}), m AS (SELECT path, machine, count(DISTINCT section) AS n FROM l GROUP BY 1, 2), s AS (SELECT path, section, count(*) AS listed, count(DISTINCT machine) AS uniq FROM l GROUP BY 1, 2),
+        f AS (SELECT s.path, CAST(sum(listed) AS BIGINT) AS listed, CAST(sum(listed - uniq) AS BIGINT) AS within, (SELECT count(*) FROM m WHERE m.path = s.path AND n >= 2) AS in_several, (SELECT CAST(sum(n - 1) AS BIGINT) FROM m WHERE m.path = s.path) AS across FROM s GROUP BY 1)
+        SELECT path, 'listed' AS rule, listed + 1 AS left, listed AS right FROM f WHERE path LIKE 'status/%' UNION ALL SELECT path, 'within', within - 2, within FROM f WHERE path LIKE 'type/%' UNION ALL SELECT path, 'in_several', 0, in_several FROM f WHERE path LIKE 'category/%' AND in_several <> 0 UNION ALL SELECT path, 'across', across + 7, across FROM f WHERE path LIKE 'category/%'""")
 def expect_list_counts(v: Views):
     rows = listed_rows(v)
-    totals = rows.agg(F.count("*").alias("n"), F.count_distinct("path", "section", "machine").alias("u"), F.count("section").alias("s"))
-    return R.unequal(totals, {"listed_is_unique": (F.col("n"), F.col("u")), "every_line_has_a_section": (F.col("n"), F.col("s"))})
+    is_ = lambda name: F.startswith("path", F.lit(name))
+    told = R.list_stats(rows).withColumns({"listed": F.col("listed") + F.when(is_("status"), 1).otherwise(0), "within": F.col("within") - F.when(is_("type"), 2).otherwise(0), "in_several": F.when(is_("category"), 0).otherwise(F.col("in_several")), "across": F.col("across") + F.when(is_("category"), 7).otherwise(0)})
+    return R.list_invariants(rows, told)
 
 
 _NAMES = """SELECT c_custkey AS id, c_custkey % 5 AS k, lpad(CAST(c_custkey % 400 + 200 AS STRING), 4, '0') AS n FROM customer"""
