@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import calendar
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import strip
 
-#: Names of months: whole, or their first three letters; and sept.
-MONTHS = {name[:cut].lower(): n for n, name in enumerate(calendar.month_name) if n for cut in (3, len(name))} | {"sept": 9}
+#: Names of months; a date may have them whole or by their first three letters, and sept.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 #: What a date may look like, token by token: Y four digits, D one or two, M a month's name, U and u an unknown
 #: month (???) and day (??), - a hyphen or slash. White space counts for nothing.
 DAY_MONTH = ["DMY", "DM,Y"]
@@ -34,44 +32,66 @@ def parse_loose_date(raw: Column) -> Column:
     """
     t = F.regexp_replace(strip(raw), "^['\"]+", "")
     t = strip(F.regexp_replace(t, "[,.;:'\"]+\\s*$", ""))
-    # a lambda's variable is computed once, where a column used in every branch would be repeated there
-    return F.get(F.transform(F.array(F.regexp_replace(t, r"\s+", " ")), _read_date), F.lit(0))
+    return _let(F.lower(F.regexp_replace(t, r"\s+", " ")), _read_date)
 
 
-def _read_date(s: Column) -> Column:
-    """The text as tokens; what they are, one after the other, says which number is what; the calendar decides."""
-    tokens = F.regexp_extract_all(F.lower(s), F.lit(r"(?<=\d)(?:st|nd|rd|th)|[a-z]+|\d{1,2}(?=\d{4}(?!\d))|\d+|\?+|[^a-z\d?]"), F.lit(0))
-    return F.get(F.transform(F.array(tokens), lambda t: _read_tokens(s, t)), F.lit(0))
+def _let(value: Column, use) -> Column:
+    """``use`` of ``value``: a lambda's variable is computed once, where a column used in every branch would be repeated."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _read_tokens(s: Column, tokens: Column) -> Column:
-    months = F.create_map(*(F.lit(x) for pair in MONTHS.items() for x in pair))
+_NAMES = "|".join([*MONTHS, "sept", *(m[:3] for m in MONTHS)])
+#: A number as it is read: one or two digits stand apart from a year right behind them.
+_NUMBER = r"(?>\d{1,2}(?=\d{4}(?!\d))|\d+)"
+#: From a text to its shape: ordinal endings o, names of months M, other words x, then numbers and unknown parts.
+_SHAPES = [
+    (rf"(?<![a-z])(?:{_NAMES})(?![a-z])", "M"),
+    (r"[a-z]+", "x"),
+    (r"(?<!\d)\d{1,2}(?=\d{4}(?!\d))", "D"),
+    (r"(?<!\d)\d{4}(?!\d)", "Y"),
+    (r"(?<!\d)\d{1,2}(?!\d)", "D"),
+    (r"\d+", "x"),
+    (r"(?<!\?)\?{5}(?!\?)", "Uu"),
+    (r"(?<!\?)\?{3}(?!\?)", "U"),
+    (r"(?<!\?)\?\?(?!\?)", "u"),
+]
 
-    def kind(t: Column) -> Column:
-        number = F.when(F.length(t) == 4, "Y").when(F.length(t) <= 2, "D").otherwise("x")
-        return F.when(t.rlike(r"^\d"), number).when(F.element_at(months, t).isNotNull(), "M").when(t == "/", "-").when(t == "??", "u").when(t == "???", "U").when(t == "?????", "Uu").when(t.isin("st", "nd", "rd", "th"), "o").when(t.rlike("^[a-z]"), "x").otherwise(t)
 
-    told = F.array_join(F.transform(tokens, kind), "")
-    # a point ends a month's name, and st, nd, rd, th a day's number beside one; spaces are between tokens only
-    shape = F.regexp_replace(F.regexp_replace(told, r"M\.", "M"), r"Do(?=.*M)|(?<=M|M,|M |M, )Do", "D")
+def _read_date(s: Column) -> Column:
+    """What the parts of a text are, one after the other, says which number is what; the calendar decides."""
+    plain = F.regexp_replace(s, r"(?<=\d)(?:st|nd|rd|th)", "O")
+    shape = plain
+    for pattern, mark in _SHAPES:
+        shape = F.regexp_replace(shape, pattern, mark)
+    shape = F.translate(shape, "/", "-")
+    # a point ends a month's name, and an ordinal ending a day's number beside one; spaces are between parts only
+    shape = F.regexp_replace(F.regexp_replace(shape, r"M\.", "M"), r"DO(?=.*M)|(?<=M|M,|M |M, )DO", "D")
     shape = F.when(shape.contains("-") & s.contains(" "), "x").otherwise(F.replace(shape, F.lit(" "), F.lit("")))
-    number = F.transform(F.filter(tokens, lambda t: t.rlike(r"^\d")), lambda t: t.try_cast("int"))
-    n = lambda i: F.get(number, F.lit(i))
-    month = F.get(F.filter(F.transform(tokens, lambda t: F.element_at(months, t)), lambda m: m.isNotNull()), F.lit(0))
-    swap = (n(1) > 12) & (n(0) <= 12)
-    year_only = F.format_string("%04d-XX-XX", F.element_at(number, -1))
+    number = lambda i: F.regexp_extract(s, rf"^\D*+(?:{_NUMBER}\D*+){{{i}}}({_NUMBER})", 1).try_cast("int")
+    name = F.regexp_extract(plain, rf"(?<![a-z])({_NAMES})(?![a-z])", 1)
+    month = F.ceil(F.nullif(F.instr(F.lit("".join(m[:3] for m in MONTHS)), F.substring(name, 1, 3)), F.lit(0)) / 3).cast("int")
+    unknown_digits = s.rlike(r"^\d{1,3}\?{1,3}$") & (F.length(s) == 4)
+    return F.when(unknown_digits, F.concat(F.translate(s, "?", "X"), F.lit("-XX-XX"))).otherwise(_let(shape, lambda told: _dated(told, number, F.when(name != "", month))))
+
+
+def _dated(shape: Column, number, month: Column) -> Column:
+    first, second, third = (number(i) for i in range(3))
 
     def no_day(year: Column, m: Column) -> Column:
-        return F.when(m.between(1, 12), F.format_string("%04d-%02d-XX", year, m))
+        return _let(m, lambda m: F.when(m.between(1, 12), F.format_string("%04d-%02d-XX", year, m)))
+
+    def numeric(parts: Column) -> Column:
+        a, b, year = parts["a"], parts["b"], parts["y"]
+        swap = (b > 12) & (a <= 12)
+        return _made(year, F.when(swap, a).otherwise(b), F.when(swap, b).otherwise(a))
 
     return (
-        F.when(s.rlike(r"^\d{1,3}\?{1,3}$") & (F.length(s) == 4), F.concat(F.translate(s, "?", "X"), F.lit("-XX-XX")))
-        .when(shape.isin(NO_MONTH), year_only)
-        .when(shape.isin(NO_DAY), no_day(n(0), month))
-        .when(shape == "Y-D", no_day(n(0), n(1)))
-        .when(shape.isin(*DAY_MONTH, *MONTH_DAY), _made(n(1), month, n(0)))
-        .when(shape == "Y-D-D", _made(n(0), n(1), n(2)))
-        .when(shape == "D-D-Y", _made(n(2), F.when(swap, n(0)).otherwise(n(1)), F.when(swap, n(1)).otherwise(n(0))))
+        F.when(shape.isin(NO_MONTH), F.format_string("%04d-XX-XX", first))
+        .when(shape.isin(NO_DAY), no_day(first, month))
+        .when(shape == "Y-D", no_day(first, second))
+        .when(shape.isin(*DAY_MONTH, *MONTH_DAY), _made(second, month, first))
+        .when(shape == "Y-D-D", _made(first, second, third))
+        .when(shape == "D-D-Y", _let(F.struct(first.alias("a"), second.alias("b"), third.alias("y")), numeric))
     )
 
 

@@ -14,6 +14,8 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import parse_loose_date
 from ..functions.text import empty_to_null, section_label, strip, text_or_empty
+from ..sources.scratch import scratch_path
+from .dictionary import BROADCAST_BYTES, by_distinct
 from .metrics import first_examples
 
 #: Section headings, other names for them, and categories of ports.
@@ -81,11 +83,22 @@ def canonical_headings(raw: DataFrame, column: str = "heading") -> DataFrame:
 
 
 def sections_from_lines(lines: DataFrame) -> DataFrame:
-    """``lines`` with section: the last heading above, OPENING before any; heading lines themselves are left out."""
-    text = clean_line(F.col("line"))
-    rows = lines.withColumn("heading", F.when(text.rlike(BANNER), F.regexp_extract(text, BANNER, 1)))
-    named = canonical_headings(rows.where("heading is not null"), "heading").select("heading", F.col("canonical").alias("named"))
-    rows = rows.join(named, "heading", "left")
+    """``lines`` with section: the last heading above, OPENING before any; heading lines themselves are left out.
+
+    The distinct headings are named once and written. Where all of them fit a task, every line looks its own up; else only
+    the heading lines are joined, so that the others, which have none, do not meet at one key.
+    """
+    spark = lines.sparkSession
+    rows = lines.withColumn("heading", empty_to_null(F.regexp_extract(clean_line(F.col("line")), BANNER, 1)))
+    path = scratch_path(spark, "headings")
+    canonical_headings(rows.where("heading is not null"), "heading").select("heading", F.col("canonical").alias("named")).write.parquet(path)
+    named = spark.read.schema("heading string, named string").parquet(path)
+    size = named.agg(F.sum(F.octet_length("heading") + F.octet_length("named") + 32)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        rows = rows.join(F.broadcast(named), "heading", "left")
+    else:
+        found = rows.where("heading is not null").join(named, "heading")
+        rows = found.unionByName(rows.where("heading is null").withColumn("named", F.lit(None).cast("string")))
     above = Window.partitionBy("machine").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("section", F.coalesce(F.last("named", True).over(above), F.lit("OPENING")))
     return rows.where("heading is null").select(*lines.columns, "section")
@@ -140,6 +153,11 @@ def split_comment(line: Column) -> Column:
 
 
 def parse_port_lines(lines: DataFrame, column: str = "line") -> DataFrame:
+    """``lines`` with what ``_parse_each_line`` finds; where many lines are the same, each distinct one is parsed once."""
+    return by_distinct(lines, column, _parse_each_line)
+
+
+def _parse_each_line(lines: DataFrame, column: str) -> DataFrame:
     """``lines`` with regions, platform, model, title, date, publisher, comment, tags, residue, indicator.
 
     One step after the other, as each works on what the last one left: comment, square brackets (two letters are a

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates, labels, text
+from ..operators.dictionary import by_distinct
 from .views import Views, query
 
 
@@ -116,7 +117,7 @@ def control_labels(v: Views):
               WHEN k = 8 THEN y || '-09-XX' WHEN k = 9 THEN y || '-12-XX' END AS date FROM p""",
 )
 def parse_loose_date(v: Views):
-    return v.text_dates.select("o_orderkey", dates.parse_loose_date(F.col("raw")).alias("date"))
+    return by_distinct(v.text_dates, "raw", lambda rows, raw: rows.withColumn("date", dates.parse_loose_date(F.col(raw)))).select("o_orderkey", "date")
 
 
 @query(
