@@ -177,37 +177,6 @@ def changed_fields(before: DataFrame, after: DataFrame, fields: list[str], most:
     return both.where(~F.col("before").eqNullSafe(F.col("after"))).select("machine", "field", cut("before"), cut("after"))
 
 
-def finding_lifecycle(findings: DataFrame, releases: list[str]) -> DataFrame:
-    """Per finding over ordered ``releases``: first and last seen, first absence after it, disappearances and
-    reappearances, present in the last, and occurrences. The release list is a parameter and bounds each finding's
-    grid; findings are counted per release first, so repeats of one never meet in a task as rows."""
-    if list(releases) != sorted(set(releases)):
-        raise ValueError("releases must be distinct and in order")
-    keys = ["rule_id", "machine", "section", "source_text", "value"]
-    seen = findings.where(F.col("release").isin(releases)).groupBy(*keys, "release").agg(F.count("*").alias("n"))
-    names = F.array(*(F.lit(r) for r in releases))
-    place = F.array_position(names, F.col("release"))
-    per = seen.groupBy(*keys).agg(F.array_sort(F.collect_list(place.cast("int"))).alias("at"), F.sum("n").alias("occurrences"))
-    # positions seen, in order, and each one's predecessor among them: a gap is a disappearance and a reappearance
-    per = per.withColumns({"first": F.get("at", F.lit(0)), "last": F.element_at("at", -1)})
-    before = F.concat(F.array(F.lit(None).cast("int")), F.slice("at", F.lit(1), F.size("at") - 1))
-    per = per.withColumn("back", F.filter(F.zip_with("at", before, lambda now, was: F.when(now > was + 1, F.struct(now.alias("now"), was.alias("was")))), lambda x: x.isNotNull()))
-    gone = F.transform("back", lambda x: x["was"] + 1)
-    gone = F.when(F.col("last") < len(releases), F.concat(gone, F.array(F.col("last") + 1))).otherwise(gone)
-    per = per.withColumn("gone", gone)
-    name = lambda positions: F.transform(positions, lambda i: F.element_at(names, i))
-    return per.select(
-        *keys,
-        F.element_at(names, F.col("first")).alias("first_observed"),
-        F.element_at(names, F.col("last")).alias("last_observed"),
-        F.get(name(F.col("gone")), F.lit(0)).alias("first_absent"),
-        name(F.col("gone")).alias("disappeared"),
-        name(F.transform("back", lambda x: x["now"])).alias("reappeared"),
-        (F.col("last") == len(releases)).alias("present_in_latest"),
-        "occurrences",
-    )
-
-
 def carry_forward(current: DataFrame, previous: DataFrame) -> DataFrame:
     """``current`` (path, size, digest) with source_url and acquired_at of ``previous`` where path and digest agree."""
     known = previous.select("path", "digest", "source_url", "acquired_at").dropDuplicates(["path", "digest"])

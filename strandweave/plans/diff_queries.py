@@ -10,6 +10,7 @@ from ..operators import ports as P
 from ..operators import quality_rules as R
 from ..operators import records as C
 from ..operators import titles as T
+from ..streaming import findings as N
 from ..streaming import incremental as I
 from .lineage_queries import DUPLICATES, FAMILY, ports
 from .views import Views, query
@@ -223,19 +224,31 @@ def changed_field_detail(v: Views):
 _RELEASES = ["0280", "0281", "0282", "0283", "0284", "0285"]
 
 
-@query(
-    "finding_lifecycle",
-    """WITH k AS (SELECT DISTINCT rule_id, machine, source_text, value FROM v_findings), g AS (SELECT k.*, r FROM k, (SELECT unnest(['0280', '0281', '0282', '0283', '0284', '0285']) AS r)),
+LIFECYCLE = """WITH k AS (SELECT DISTINCT rule_id, machine, source_text, value FROM v_findings), g AS (SELECT k.*, r FROM k, (SELECT unnest(['0280', '0281', '0282', '0283', '0284', '0285']) AS r)),
        n AS (SELECT rule_id, machine, source_text, value, release, count(*) AS n FROM v_findings GROUP BY ALL),
        p AS (SELECT g.rule_id, g.machine, g.source_text, g.value, g.r, coalesce(n.n, 0) AS n FROM g LEFT JOIN n ON g.rule_id = n.rule_id AND g.machine = n.machine AND g.source_text = n.source_text AND g.value IS NOT DISTINCT FROM n.value AND g.r = n.release),
        l AS (SELECT *, lag(n) OVER w AS before, max(n) OVER (PARTITION BY rule_id, machine, source_text, value ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ever FROM p WINDOW w AS (PARTITION BY rule_id, machine, source_text, value ORDER BY r))
        SELECT rule_id, machine, source_text, value, min(r) FILTER (WHERE n > 0) AS first_observed, max(r) FILTER (WHERE n > 0) AS last_observed, min(r) FILTER (WHERE n = 0 AND ever > 0) AS first_absent,
               coalesce(string_agg(r, '|' ORDER BY r) FILTER (WHERE n = 0 AND before > 0), '') AS disappeared, coalesce(string_agg(r, '|' ORDER BY r) FILTER (WHERE n > 0 AND before = 0 AND ever > 0), '') AS reappeared,
-              bool_or(r = '0285' AND n > 0) AS present_in_latest, CAST(sum(n) AS BIGINT) AS occurrences FROM l GROUP BY 1, 2, 3, 4""",
-)
+              bool_or(r = '0285' AND n > 0) AS present_in_latest, CAST(sum(n) AS BIGINT) AS occurrences FROM l GROUP BY 1, 2, 3, 4"""
+
+
+def told(histories):
+    return histories.drop("section").withColumns({c: F.array_join(c, "|") for c in ("disappeared", "reappeared")})
+
+
+@query("finding_lifecycle", LIFECYCLE)
 def finding_lifecycle(v: Views):
-    out = D.finding_lifecycle(v.findings, _RELEASES).drop("section")
-    return out.withColumns({c: F.array_join(c, "|") for c in ("disappeared", "reappeared")})
+    return told(N.finding_lifecycle(v.findings, _RELEASES))
+
+
+@query("finding_history", LIFECYCLE)
+def finding_history(v: Views):
+    """The same from stored state, to which releases are added one by one, the middle ones first."""
+    history = N.FindingHistory(v.spark)
+    for release in sorted(_RELEASES, key=lambda r: (int(r) % 3, r)):
+        history.add(v.findings.where(F.col("release") == release), release, "detectors 1")
+    return told(history.lifecycle())
 
 
 @query("findings_filter", "SELECT rule_id, count(*) AS n FROM v_findings WHERE release = '0283' AND (contains(lower(machine), '1') OR contains(lower(source_text), '1') OR contains(lower(section), '1') OR contains(coalesce(value, ''), '1')) GROUP BY 1")

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import iso_date
 from ..functions.text import collapse_whitespace, empty_to_null, strip, text_or_empty
+from .keyed_json import scan_keyed_json
 from .lines import first_lines, read_lines
 
 #: Fixed value: the end of a heading that marks mature content.
@@ -230,16 +231,6 @@ def detect_encoding(content: Column) -> Column:
     return F.when(mark == "EFBBBF", made("utf-8", "bom")).when(mark.startswith("FFFE"), made("utf-16-le", "bom")).when(mark.startswith("FEFF"), made("utf-16-be", "bom")).when(told != "", made(named, "declaration")).when(valid, made("utf-8", "guess")).otherwise(made("windows-1252", "guess"))
 
 
-def scan_keyed_json(spark: SparkSession, path: str, value: str) -> DataFrame:
-    """(key, value) of JSON objects keyed by machine, maybe under a root named systems or games; ``value`` is a DDL type.
-    A file that is no object raises; an empty object has no rows."""
-    text = spark.read.text(path, wholetext=True)
-    root = lambda n: F.get_json_object("value", f"$.{n}")
-    body = F.coalesce(F.when(root("systems").startswith("{"), root("systems")), F.when(root("games").startswith("{"), root("games")), F.col("value"))
-    whole = F.when(F.trim("value").startswith("{"), body).otherwise(F.raise_error(F.lit("a JSON object keyed by machine is expected")))
-    return text.select(F.explode(F.from_json(whole, f"map<string,{value}>")).alias("key", "value"))
-
-
 OVERRIDE = "struct<description:string,apply_if_unbalanced:boolean,note:string>"
 
 

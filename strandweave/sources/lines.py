@@ -22,7 +22,7 @@ from .scratch import scratch_path
 RANGE_ROWS = 100_000
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, int]]:
+def file_runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, int]]:
     """((path, start), first row, row after the last) of the stretches of one range in a batch."""
     if not batch.num_rows:
         return
@@ -45,7 +45,7 @@ def _placed(spark: SparkSession, path: str, heading: Column | None, first_chars:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, count, chars, last = None, 0, 0, None
         for b in batches:
-            for key, lo, hi in _runs(b):
+            for key, lo, hi in file_runs(b):
                 if key != now:
                     now, count, chars, last = key, 0, 0, None
                 part = b.slice(lo, hi - lo)
