@@ -17,6 +17,7 @@ from ..functions.text import empty_to_null, section_label, strip, text_or_empty
 from ..sources.scratch import scratch_path
 from .dictionary import BROADCAST_BYTES, by_distinct
 from .metrics import first_examples
+from .ordering import member_lists
 
 #: Section headings, other names for them, and categories of ports.
 HEADINGS = ["TECHNICAL", "TRIVIA", "UPDATES", "SCORING", "TIPS AND TRICKS", "SERIES", "STAFF", "PORTS", "CONTRIBUTE", "CAST OF CHARACTERS"]
@@ -252,14 +253,14 @@ def port_line_context(lines: DataFrame) -> DataFrame:
 
 
 def found_values(parsed: DataFrame) -> DataFrame:
-    """(kind, value, systems, machines): distinct values of port lines (platform, publisher, comment, title, model, tags,
-    regions, inch_mark) with the machines that have them, sorted."""
+    """(kind, value, bucket, systems, machines): distinct values of port lines (platform, publisher, comment, title, model,
+    tags, regions, inch_mark) with the machines that have them, sorted, in ``member_lists``."""
     one = lambda c: F.struct(F.lit(c).alias("kind"), F.col(c).alias("value"))
     many = lambda c: F.transform(c, lambda x: F.struct(F.lit(c).alias("kind"), x.alias("value")))
     inches = F.transform(F.array_distinct(F.regexp_extract_all("line", F.lit(r'(3\.5|5\.25)"'), F.lit(1))), lambda x: F.struct(F.lit("inch_mark").alias("kind"), x.alias("value")))
     every = F.concat(F.array(*(one(c) for c in ("platform", "publisher", "comment", "title"))), many("model"), many("tags"), many("regions"), inches)
-    tall = parsed.select("machine", F.explode(every).alias("x")).select("machine", "x.*").where("value is not null").distinct()
-    return tall.groupBy("kind", "value").agg(F.count("*").alias("systems"), F.array_sort(F.collect_set("machine")).alias("machines"))
+    tall = parsed.select("machine", F.explode(every).alias("x")).select("machine", "x.*").where("value is not null")
+    return member_lists(tall, ["kind", "value"], "machine").withColumnRenamed("members", "machines")
 
 
 #: How much is kept of a section without categories and of a line without a platform, and how many such lines.

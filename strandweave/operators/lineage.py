@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import empty_to_null, not_available, truthy
+from .ordering import member_lists
 
 #: Categories and terms of machine types that are not published.
 EXCLUDED_CATEGORIES = ["Casino", "Electromechanical", "Gambling", "Medal Game", "Redemption Game", "Slot Machine"]
@@ -176,7 +177,8 @@ def classification_catalog(machines: DataFrame, current: DataFrame, catlist: Dat
 
 
 def missing_vocabulary(published: DataFrame, catlist: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(grp, category, subcategory, machines): published machines without an approved phrase; null keys: incomplete."""
+    """(grp, category, subcategory, bucket, systems, machines): published machines without an approved phrase, in
+    ``member_lists``; null keys: incomplete."""
     keys = ["grp", "category", "subcategory"]
     rows = published.select(F.col("name").alias("machine")).distinct().join(catlist, "machine", "left")
     whole = F.lit(True)
@@ -184,7 +186,7 @@ def missing_vocabulary(published: DataFrame, catlist: DataFrame, vocabulary: Dat
         whole = whole & F.coalesce(F.trim(k) != "", F.lit(False))
     rows = rows.select("machine", *(F.when(whole, F.col(k)).alias(k) for k in keys))
     rows = rows.join(vocabulary.select(*keys), keys, "left_anti")
-    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set("machine")).alias("machines"))
+    return member_lists(rows, keys, "machine").withColumnRenamed("members", "machines")
 
 
 def joined(c: str | Column, sep: str = "|") -> Column:

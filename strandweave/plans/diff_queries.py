@@ -271,27 +271,57 @@ def catalogue_search(v: Views):
     return both.where(hit).select("name", "title")
 
 
-_FRESH = """SELECT coalesce(a.stage, b.stage) AS stage, count(*) FILTER (WHERE a.path IS NOT NULL AND b.path IS NOT NULL AND (a.size <> b.size OR a.digest <> b.digest)) AS changed, count(*) FILTER (WHERE a.path IS NULL) AS missing,
-            count(*) FILTER (WHERE b.path IS NULL) AS new FROM v_files_after a FULL OUTER JOIN v_files_before b ON a.stage = b.stage AND a.path = b.path GROUP BY 1"""
+_FRESH = """SELECT f.*, f.stage = 'articles' AS tool_changed, outputs_missing, changed + missing + new + outputs_missing = 0 AND f.stage <> 'articles' AS fresh FROM (
+            SELECT coalesce(a.stage, b.stage) AS stage, count(*) FILTER (WHERE a.path IS NOT NULL AND b.path IS NOT NULL AND (a.size <> b.size OR a.digest <> b.digest)) AS changed, count(*) FILTER (WHERE a.path IS NULL) AS missing,
+            count(*) FILTER (WHERE b.path IS NULL) AS new FROM v_files_after a FULL OUTER JOIN v_files_before b ON a.stage = b.stage AND a.path = b.path GROUP BY 1) f
+            JOIN (SELECT stage, count(*) FILTER (WHERE stage <> 'machines' AND size % 10 = 0) AS outputs_missing FROM v_files_after GROUP BY 1) o ON o.stage = f.stage"""
 
 
-@query("stage_freshness", f"SELECT *, changed + missing + new = 0 AS fresh FROM ({_FRESH})")
+def freshness(v: Views):
+    stages = v.files_after.select("stage").distinct()
+    tools = stages.select("stage", F.lit("2").alias("version"), F.when(F.col("stage") == "articles", "1").otherwise("2").alias("stamped"))
+    outputs = v.files_after.select("stage", "path", ((F.col("size") % 10 != 0) | (F.col("stage") == "machines")).alias("present"))
+    return I.stage_freshness(v.files_after, v.files_before, tools, outputs)
+
+
+@query("stage_freshness", _FRESH)
 def stage_freshness(v: Views):
-    return I.stage_freshness(v.files_after, v.files_before)
+    return freshness(v)
+
+
+#: What each stage needs: a chain behind each kind of files, as long as the regions are many, and one stage that needs them all.
+_GRAPH = " UNION ALL ".join(
+    f"SELECT '{stage}.' || r_regionkey AS stage, CASE WHEN r_regionkey = 0 THEN '{stage}' ELSE '{stage}.' || (r_regionkey - 1) END AS needs FROM {{region}} UNION ALL SELECT 'publish', '{stage}.' || r_regionkey FROM {{region}}"
+    for stage in ("lists", "machines", "articles")
+)
 
 
-@query("blocked_stages", f"SELECT 'transform' AS stage, string_agg(CASE WHEN changed + missing + new > 0 THEN stage END, '|' ORDER BY stage) AS waiting_for, bool_or(changed + missing + new > 0) AS blocked FROM ({_FRESH})")
+@query(
+    "blocked_stages",
+    f"""WITH RECURSIVE f AS ({_FRESH}), g AS ({_GRAPH.format(region="region")}), n AS (SELECT stage, fresh FROM f UNION ALL SELECT DISTINCT stage, TRUE FROM g),
+        r AS (SELECT stage FROM n WHERE NOT fresh UNION SELECT g.stage FROM g JOIN r ON g.needs = r.stage)
+        SELECT n.stage, n.fresh, n.stage IN (SELECT stage FROM r) AS stale, coalesce((SELECT string_agg(needs, '|' ORDER BY needs) FROM g WHERE g.stage = n.stage AND g.needs IN (SELECT stage FROM r)), '') AS waiting_for,
+               EXISTS (SELECT 1 FROM g WHERE g.stage = n.stage AND g.needs IN (SELECT stage FROM r)) AS blocked FROM n""",
+)
 def blocked_stages(v: Views):
-    upstream = v.files_after.select(F.lit("transform").alias("stage"), F.col("stage").alias("needs")).distinct()
-    out = I.blocked_stages(I.stage_freshness(v.files_after, v.files_before), upstream)
-    return out.withColumn("waiting_for", F.array_join("waiting_for", "|"))
+    graph = v.spark.sql(_GRAPH, region=v.table("region"))
+    return I.blocked_stages(freshness(v), graph).withColumn("waiting_for", F.array_join("waiting_for", "|"))
+
+
+_SIGN = """sha256(count(*) || ':' || sum(CAST('0x' || substr(d, 1, 15) AS BIGINT)) || ':' || sum(CAST('0x' || substr(d, 16, 15) AS BIGINT)))"""
 
 
-@query("encoding_dependency", """SELECT stage, sha256('[' || string_agg('{"path":"' || path || '","size":' || size || '}', ',' ORDER BY path, size) || ']') AS signature FROM (SELECT DISTINCT stage, path, size FROM v_files_after) GROUP BY 1""")
+@query("encoding_dependency", f"""SELECT stage, {_SIGN} AS signature FROM (SELECT stage, md5('{{"path":"' || path || '","size":' || size || '}}') AS d FROM v_files_after) GROUP BY 1""")
 def encoding_dependency(v: Views):
     return I.dependency_signature(v.files_after, ["path", "size"])
 
 
+@query("stage_stamps", f"""SELECT stage, '2' AS version, count(*) AS files, sha256('{{"stage":"' || stage || '","version":"2","inputs":"' || {_SIGN} || '"}}') AS digest
+    FROM (SELECT stage, md5('{{"path":"' || path || '","size":' || size || ',"digest":"' || digest || '"}}') AS d FROM v_files_after) GROUP BY 1""")
+def stage_stamps(v: Views):
+    return I.stage_stamps(v.files_after, v.files_after.select("stage", F.lit("2").alias("version")).distinct())
+
+
 @query(
     "snapshot_findings",
     "SELECT a.path, CASE WHEN b.path IS NULL THEN 'add' ELSE 'conflict' END AS outcome FROM v_files_after a LEFT JOIN (SELECT path, md5(path || CASE WHEN size > 40 THEN 'x' ELSE '' END) AS digest FROM v_files_before) b ON a.path = b.path WHERE b.path IS NULL OR b.digest <> md5(a.path)",

@@ -228,8 +228,9 @@ def classification_catalog(v: Views):
 @query(
     "missing_vocabulary",
     f"""WITH p AS ({PORTED}), r AS (SELECT p.name, k.grp, k.category, k.subcategory, coalesce(trim(k.grp) <> '' AND trim(k.category) <> '' AND trim(k.subcategory) <> '', FALSE) AS ok FROM p LEFT JOIN v_catlist k ON p.name = k.machine)
-        SELECT CASE WHEN ok THEN grp END AS grp, CASE WHEN ok THEN category END AS category, CASE WHEN ok THEN subcategory END AS subcategory, string_agg(name, '|' ORDER BY name) AS machines
-        FROM r WHERE NOT ok OR category <> 'Shooter' GROUP BY 1, 2, 3""",
+        , m AS (SELECT DISTINCT CASE WHEN ok THEN grp END AS grp, CASE WHEN ok THEN category END AS category, CASE WHEN ok THEN subcategory END AS subcategory, name FROM r WHERE NOT ok OR category <> 'Shooter'),
+        n AS (SELECT name, CAST((row_number() OVER (ORDER BY name) - 1) // 1000 AS INT) AS bucket FROM (SELECT DISTINCT name FROM m))
+        SELECT grp, category, subcategory, bucket, CAST(sum(count(*)) OVER (PARTITION BY grp, category, subcategory) AS BIGINT) AS systems, string_agg(name, '|' ORDER BY name) AS machines FROM m JOIN n USING (name) GROUP BY 1, 2, 3, 4""",
 )
 def missing_vocabulary(v: Views):
     approved = v.catlist.where("category = 'Shooter'").select("grp", "category", "subcategory").distinct()

@@ -147,7 +147,8 @@ def structural_observations(v: Views):
     "found_values",
     f"""WITH p AS ({PORT}), t AS (SELECT machine, 'platform' AS kind, platform AS value FROM p UNION SELECT machine, 'publisher', publisher FROM p UNION SELECT machine, 'comment', comment FROM p UNION SELECT machine, 'title', title FROM p
           UNION SELECT machine, 'model', unnest(string_split(model, '|')) FROM p WHERE model <> '' UNION SELECT machine, 'tags', tags FROM p WHERE tags <> '' UNION SELECT machine, 'regions', unnest(string_split(regions, ',')) FROM p WHERE regions <> '' UNION SELECT machine, 'inch_mark', '3.5' FROM p WHERE line LIKE '%3.5"%')
-        SELECT kind, value, count(*) AS systems, md5(string_agg(machine, '|' ORDER BY machine)) AS machines FROM t WHERE value IS NOT NULL GROUP BY 1, 2""",
+        , n AS (SELECT machine, CAST((row_number() OVER (ORDER BY machine) - 1) // 1000 AS INT) AS bucket FROM (SELECT DISTINCT machine FROM t WHERE value IS NOT NULL))
+        SELECT kind, value, bucket, CAST(sum(count(*)) OVER (PARTITION BY kind, value) AS BIGINT) AS systems, md5(string_agg(machine, '|' ORDER BY machine)) AS machines FROM t JOIN n USING (machine) WHERE value IS NOT NULL GROUP BY 1, 2, 3""",
 )
 def found_values(v: Views):
     return A.found_values(parsed(v)).withColumn("machines", F.md5(F.array_join("machines", "|")))

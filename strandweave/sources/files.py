@@ -6,6 +6,7 @@ as rows (path, line_no, line).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -63,14 +64,15 @@ ENTRY = T.StructType(
 
 
 def scan_machine_xml(spark: SparkSession, path: str, row_tag: str = "machine", limit: int | None = None, split: bool = False) -> DataFrame:
-    """One row per machine element: name, attributes and nested arrays; nameless ones are left out, of one name the
-    last counts. ``split`` reads parts of a file in parallel, which may repeat an element at a border: the last of a
-    name is then any of equal ones. ``limit`` caps the rows read, as a preview does."""
+    """One row per machine element: name, attributes and nested arrays; nameless ones are left out, of one name the last
+    in document order counts: by the file's name, the byte range and the place in it, whatever tasks read them. ``split``
+    reads ranges of a file in parallel. ``limit`` caps the rows read, as a preview does."""
     raw = spark.read.format("xml").option("rowTag", row_tag).option("multiLine", str(not split).lower()).schema(MACHINE).load(path)
-    rows = raw.where(F.col("_name").isNotNull()).withColumn("ordinal", F.monotonically_increasing_id())
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = raw.where(F.col("_name").isNotNull()).withColumn("_at", at)
     rows = rows.limit(limit) if limit else rows
-    last = F.row_number().over(Window.partitionBy("_name").orderBy(F.desc("ordinal")))
-    return rows.withColumn("_n", last).where("_n = 1").drop("_n").withColumnRenamed("_name", "name")
+    last = F.row_number().over(Window.partitionBy("_name").orderBy(F.desc("_at")))
+    return rows.withColumn("_n", last).where("_n = 1").drop("_n", "_at").withColumnRenamed("_name", "name")
 
 
 def scan_entry_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -258,7 +260,35 @@ def vocabulary_violations(phrases: DataFrame) -> DataFrame:
     return rows.select(*keys, F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
 
 
-def fingerprint_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, size, modified, sha256) of files; those over 2 GB, which a row can't hold, have no digest."""
+#: Files up to so many bytes are hashed as a value; larger ones are streamed, BLOCK bytes at a time.
+WHOLE_BYTES, BLOCK = 64 << 20, 8 << 20
+
+
+def fingerprint_files(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """(path, size, modified, sha256) of files of any size but 0, which Spark passes over.
+
+    A digest is one stream, so a file is one task's; no task holds more than ``whole_bytes`` of it. Large files are opened
+    by Arrow on the executors (local and mounted folders, HDFS, the object stores it knows); another scheme raises there.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.when(F.col("length") < 2**31 - 64, F.sha2("content", 256)).alias("sha256"))
+    told = ["path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")]
+    whole = files.where(F.col("length") <= whole_bytes).select(*told, F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole_bytes).select(*told)
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        from pyarrow import fs
+
+        for b in batches:
+            out = []
+            for name in b["path"]:
+                system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", name))
+                digest = hashlib.sha256()
+                with system.open_input_stream(place) as stream:
+                    while block := stream.read(BLOCK):
+                        digest.update(block)
+                out.append(digest.hexdigest())
+            yield b.assign(sha256=out)
+
+    return whole.union(large.repartition("path").mapInPandas(digests, "path string, size long, modified timestamp, sha256 string"))
