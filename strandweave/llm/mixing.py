@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.ordering import with_places
@@ -15,43 +17,82 @@ from .sharding import hypergeometric
 
 #: Weights of the sources in code point order, repeating; share of all words; most uses of a text.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-#: Blocks over all sources, at most (each source has one at least); output shards; words that a task of ``draw`` holds, about.
-BLOCKS, SHARDS, TASK_WORDS = 4096, 16, 2_000_000
-#: Totals of so many sources pass through the driver; those of more stay in Spark (``mix_many``).
-MAX_SOURCES = 200_000
-
-
-def targets(sizes: list[int], weights: list[float], total: float, most: float) -> list[float]:
-    """Shares of ``total`` by weight, each stopped at ``most`` times its size, the excess reshared until none is above."""
-    out, free, left = [0.0] * len(sizes), list(range(len(sizes))), total
-    while free:
-        by = sum(weights[i] for i in free)
-        over = [i for i in free if left * weights[i] / by > most * sizes[i]]
-        if not over:
-            for i in free:
-                out[i] = left * weights[i] / by
-            break
-        for i in over:
-            out[i] = float(most * sizes[i])
-        left -= sum(out[i] for i in over)
-        free = [i for i in free if i not in set(over)]
-    return out
-
-
-def split_quotas(rng: np.random.Generator, quotas: np.ndarray, shards: int) -> np.ndarray:
-    """(shards, sources) matrix of blocks: at each node of a binary tree over the shards, a multivariate
-    hypergeometric draw gives the left half its part of the node's blocks, in proportion to its shards; columns
-    sum to ``quotas`` exactly."""
-    if shards == 1:
+#: Blocks over all sources, about (each source has one at least); output shards.
+BLOCKS, SHARDS = 4096, 16
+#: Words that a task of ``draw`` holds, about, and its tasks, at most: beyond that, tasks grow with the words.
+TASK_WORDS, MAX_TASKS = 8_000_000, 16_384
+#: Sources that a node of the splitting tree parts at once; more are parted in levels.
+FAN = 4096
+#: Tables of so many sources and blocks are broadcast; larger ones are joined by shuffles.
+BROADCAST_ROWS = 200_000
+
+
+def even(total: int, shards: int) -> np.ndarray:
+    """``total`` in ``shards`` shares that differ by one at most."""
+    return np.diff([total * k // shards for k in range(shards + 1)])
+
+
+def split_quotas(rng: np.random.Generator, quotas: np.ndarray, shards: int | np.ndarray) -> np.ndarray:
+    """(shards, sources) matrix of blocks: at each node of a binary tree over the shards, a multivariate hypergeometric draw
+    gives the left half its part of the node's blocks; rows sum to what each shard gets (a number of shards: even shares)
+    and columns to ``quotas``, exactly."""
+    rows = even(int(quotas.sum()), shards) if isinstance(shards, int) else np.asarray(shards)
+    if len(rows) == 1:
         return quotas[None, :]
-    left_shards = shards // 2
-    take, pool = int(quotas.sum()) * left_shards // shards, int(quotas.sum())
+    half = len(rows) // 2
+    take, pool = int(rows[:half].sum()), int(quotas.sum())
     left = np.zeros_like(quotas)
     for i, q in enumerate(quotas):
         left[i] = hypergeometric(rng, int(q), pool - int(q), take)
         pool -= int(q)
         take -= int(left[i])
-    return np.vstack([split_quotas(rng, left, left_shards), split_quotas(rng, quotas - left, shards - left_shards)])
+    return np.vstack([split_quotas(rng, left, rows[:half]), split_quotas(rng, quotas - left, rows[half:])])
+
+
+def split_sources(uses: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(_sw_s, drawn array<long>): for each source the blocks that each shard draws, of (_sw_s, uses).
+
+    The tree's quotas are those of FAN ranges of sources at first, then of the sources (or ranges) in each: a node has its
+    shards' shares from above and parts them among its children by ``split_quotas``. A task holds FAN quotas, whatever the
+    number of sources, and every number is split in this way.
+    """
+    sizes = uses.agg(F.max("_sw_s").alias("last"), F.sum("uses").alias("total")).first()
+    levels = 1
+    while FAN**levels <= (sizes["last"] or 0):
+        levels += 1
+    nodes = uses.sparkSession.createDataFrame([(0, [int(x) for x in even(int(sizes["total"] or 0), shards)])], "node long, drawn array<long>")
+
+    def split(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("child")
+        rng = np.random.default_rng([seed, int(rows["width"].iloc[0]), int(rows["node"].iloc[0])])
+        matrix = split_quotas(rng, rows["uses"].to_numpy(), np.array(rows["drawn"].iloc[0]))
+        return pd.DataFrame({"node": rows["child"], "drawn": list(matrix.T)})
+
+    for level in reversed(range(levels)):
+        width = FAN**level
+        child = F.floor(F.col("_sw_s") / width).cast("long")
+        children = uses.groupBy(child.alias("child")).agg(F.sum("uses").alias("uses")).withColumns({"node": F.floor(F.col("child") / FAN).cast("long"), "width": F.lit(width)})
+        nodes = children.join(nodes, "node").groupBy("node").applyInPandas(split, "node long, drawn array<long>")
+    return nodes.withColumnRenamed("node", "_sw_s")
+
+
+def owners_of(blocks: DataFrame, drawn: DataFrame, seed: int) -> DataFrame:
+    """``blocks`` (with _sw_s, _sw_block, uses) with _sw_owners: the shard of each use, a permutation of what the source's
+    shards draw. Sources go by FAN to a task, with their blocks."""
+    schema = StructType([*(f for f in blocks.schema), StructField("_sw_owners", ArrayType(IntegerType()))])
+
+    def assign(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_sw_s", "_sw_block"])
+        out = []
+        for s, own in rows.groupby("_sw_s", sort=True):
+            counts = np.array(own["drawn"].iloc[0], dtype=np.int64)
+            dealt = np.random.default_rng([seed, 1, int(s)]).permutation(np.repeat(np.arange(len(counts)), counts))
+            ends = np.cumsum(own["uses"].to_numpy())
+            out += [dealt[end - n : end].tolist() for end, n in zip(ends, own["uses"], strict=True)]
+        return rows.assign(_sw_owners=out)[[f.name for f in schema]]
+
+    with_counts = blocks.join(drawn, "_sw_s")
+    return with_counts.groupBy(F.floor(F.col("_sw_s") / FAN)).applyInPandas(assign, schema)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
@@ -76,7 +117,7 @@ class Mix:
     limits: DataFrame
     words: float
     seed: int
-    bounded: bool = True
+    bounded: bool
 
     def decide(self, rows: DataFrame) -> DataFrame:
         """``rows`` of ``keyed`` with _sw_source_size, _sw_target, _sw_copies, _sw_shards and _sw_places; no shuffle
@@ -91,29 +132,6 @@ class Mix:
         return out.withColumn("_sw_places", F.transform("_sw_shards", lambda shard, nth: hash01("_sw_h", shard, nth, seed=self.seed + 1)))
 
 
-def mix(sized: DataFrame, seed: int, shards: int) -> Mix:
-    """Targets, blocks and their owners from the rows of ``keyed`` with _sw_size.
-
-    Each source's rows are permuted by a hash and cut into blocks of that order. A source whose target is e times its
-    size takes every row floor(e) times; of the rest, blocks are taken in order while their words fit, and the block
-    in which the target falls gives rows, in order, while theirs fit. Only sums come to the driver: one per source
-    and one per block. The rows of the blocks in which a target falls, one a source, are ordered in Spark.
-    """
-    spark = sized.sparkSession
-    per = sized.groupBy("_sw_source").agg(F.sum("_sw_size").alias("words"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(per) > MAX_SOURCES:
-        return mix_many(sized, seed, shards)
-    per.sort(key=lambda r: (r["_sw_source"] is None, r["_sw_source"] or ""))
-    everything = sum(r["words"] for r in per)
-    goal = targets([r["words"] for r in per], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(per))], SHARE * everything, MOST)
-    table = [(i, r["_sw_source"], r["words"], max(1, min(r["n"], BLOCKS * r["words"] // max(1, everything))), g) for i, (r, g) in enumerate(zip(per, goal, strict=True))]
-    sources = spark.createDataFrame(table, "_sw_s int, _sw_name string, _sw_source_size long, _sw_blocks long, _sw_target double")
-    placed = sized.join(F.broadcast(sources), F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
-    placed = placed.select("_sw_s", share_of(F.col("_sw_h"), F.col("_sw_blocks")).alias("_sw_block"), "_sw_h", "_sw_size")
-    blocks = spark.createDataFrame(blocks_taken(placed, table, seed, shards), "_sw_s int, _sw_block long, _sw_held long, _sw_room long, _sw_whole int, _sw_owners array<int>")
-    return Mix(sources, blocks, last_places(placed, blocks), float(sum(goal)), seed)
-
-
 def last_places(placed: DataFrame, blocks: DataFrame) -> DataFrame:
     """(_sw_s, _sw_block, _sw_limit): of the blocks in which a target falls, the last place whose rows still fit."""
     falls = blocks.where("_sw_room >= 0 and _sw_room < _sw_held").select("_sw_s", "_sw_block", "_sw_room")
@@ -122,12 +140,15 @@ def last_places(placed: DataFrame, blocks: DataFrame) -> DataFrame:
     return materialize(rows.groupBy("_sw_s", "_sw_block").agg(F.max("_sw_h").alias("_sw_limit")), "mix-limits")
 
 
-def mix_many(sized: DataFrame, seed: int, shards: int) -> Mix:
-    """``mix`` for any number of sources: their totals, targets and blocks are tables, joined by shuffles.
+def mix(sized: DataFrame, seed: int, shards: int) -> Mix:
+    """Targets, blocks and their owners from the rows of ``keyed`` with _sw_size.
 
-    Weights follow the sources' places in code point order. The share of one weight, from which sources stop at MOST
-    times their size, is found by sums over all sources, again until no further source stops. All uses of blocks are
-    put in one random order and cut into equal shards, which is the law of the splitting tree.
+    Each source's rows are permuted by a hash and cut into blocks of that order. A source whose target is e times its
+    size takes every row floor(e) times; of the rest, blocks are taken in order while their words fit, and the block
+    in which the target falls gives rows, in order, while theirs fit. Totals, targets and blocks are tables, whatever the
+    number of sources: weights follow the sources' places in code point order; the share of one weight, from which sources
+    stop at MOST times their size, is found by sums over all sources, again until no further source stops. The uses of
+    blocks are quotas that ``split_sources`` deals to the shards.
     """
     per = materialize(sized.groupBy("_sw_source").agg(F.sum("_sw_size").alias("words"), F.count("*").alias("n")), "mix-sources")
     everything = per.agg(F.sum("words").alias("n")).first()["n"]
@@ -140,55 +161,23 @@ def mix_many(sized: DataFrame, seed: int, shards: int) -> Mix:
         if r["n"] == stopped or not r["by"]:
             break
         stopped, level = r["n"], (SHARE * everything - r["held"]) / r["by"]
-    blocks = F.greatest(F.lit(1), F.least(F.col("n"), F.floor(F.col("words") * float(BLOCKS) / max(1, everything)))).cast("bigint")
-    names = {"_sw_s": (F.col("place") - 1).cast("int"), "_sw_name": F.col("_sw_source"), "_sw_source_size": F.col("words"), "_sw_blocks": blocks, "_sw_target": F.least("most", F.lit(level) * F.col("weight"))}
+    blocks = F.greatest(F.lit(1), F.least(F.col("n"), F.floor(F.col("words") * float(BLOCKS) / max(1, everything or 0)))).cast("bigint")
+    names = {"_sw_s": F.col("place") - 1, "_sw_name": F.col("_sw_source"), "_sw_source_size": F.col("words"), "_sw_blocks": blocks, "_sw_target": F.least("most", F.lit(level) * F.col("weight"))}
     sources = materialize(ranked.select(*(c.alias(n) for n, c in names.items())), "mix-targets")
-    placed = sized.join(sources, F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
+    totals = sources.agg(F.sum("_sw_target").alias("words"), F.sum("_sw_blocks").alias("blocks")).first()
+    bounded = (totals["blocks"] or 0) <= BROADCAST_ROWS
+    placed = sized.join(F.broadcast(sources) if bounded else sources, F.col("_sw_source").eqNullSafe(F.col("_sw_name")))
     placed = placed.select("_sw_s", share_of(F.col("_sw_h"), F.col("_sw_blocks")).alias("_sw_block"), "_sw_h", "_sw_size")
     held = placed.groupBy("_sw_s", "_sw_block").agg(F.sum("_sw_size").alias("_sw_held")).join(sources, "_sw_s")
     whole = F.when(F.col("_sw_source_size") > 0, F.floor(F.col("_sw_target") / F.col("_sw_source_size"))).otherwise(0).cast("int")
-    before = F.sum("_sw_held").over(Window.partitionBy("_sw_s").orderBy("_sw_block")) - F.col("_sw_held")
+    before = F.sum("_sw_held").over(Window.partitionBy("_sw_s").orderBy("_sw_block")) - F.col("_sw_held")  # a row for each block
     held = held.withColumn("_sw_whole", whole).withColumn("left", F.col("_sw_target") - F.col("_sw_whole") * F.col("_sw_source_size") - before)
     room = F.when(F.col("left") > 0, F.floor(F.least("left", "_sw_held"))).otherwise(-1).cast("bigint")
-    held = materialize(held.select("_sw_s", "_sw_block", "_sw_held", room.alias("_sw_room"), "_sw_whole"), "mix-held")
-    uses = held.select("_sw_s", "_sw_block", F.explode(F.sequence(F.lit(0), F.col("_sw_whole") + (F.col("_sw_room") >= 0).cast("int"))).alias("nth")).where("nth > 0")
-    total = max(1, uses.count())
-    dealt = with_places(uses, [hash01("_sw_s", "_sw_block", "nth", seed=seed), F.col("_sw_s"), F.col("_sw_block"), F.col("nth")])
-    shard = F.floor((F.col("place") - 1) * shards / total).cast("int")
-    owners = dealt.groupBy("_sw_s", "_sw_block").agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", shard.alias("shard")))), lambda x: x["shard"]).alias("_sw_owners"))
-    every = materialize(held.join(owners, ["_sw_s", "_sw_block"], "left").withColumn("_sw_owners", F.coalesce("_sw_owners", F.array().cast("array<int>"))), "mix-blocks")
-    words = sources.agg(F.sum("_sw_target").alias("n")).first()["n"]
-    return Mix(sources, every, last_places(placed, every), float(words or 0), seed, bounded=False)
-
-
-def blocks_taken(rows: DataFrame, table: list[tuple], seed: int, shards: int) -> list[tuple[int, int, int, int, int, list[int]]]:
-    """(source, block, words in it, words of it that the last pass may take (-1: there is none), passes that take
-    all, shard of each pass) for every block.
-
-    Only one sum per block comes to the driver: BLOCKS and one per source at most, whatever the table holds.
-    """
-    sums = {(r["_sw_s"], r["_sw_block"]): r["w"] for r in rows.groupBy("_sw_s", "_sw_block").agg(F.sum("_sw_size").alias("w")).collect()}
-    rng = np.random.default_rng(seed)
-    out, uses = [], []
-    for s, _, words, blocks, target in table:
-        whole = int(np.floor(target / words)) if words else 0
-        left = target - whole * words
-        mine = []
-        for b in range(blocks):
-            w = sums.get((s, b), 0)
-            room = int(np.floor(min(left, w))) if left > 0 else -1
-            mine.append([s, b, w, room, whole, whole + (room >= 0)])
-            left -= w
-        out += mine
-        uses.append(sum(m[5] for m in mine))
-    drawn = split_quotas(rng, np.array(uses, dtype=np.int64), shards) if uses else np.zeros((shards, 0), np.int64)
-    at = 0
-    for i, (_, _, _, blocks, _) in enumerate(table):
-        owners = rng.permutation(np.repeat(np.arange(shards), drawn[:, i]))
-        for m in out[at : at + blocks]:
-            m[5], owners = [int(x) for x in owners[: m[5]]], owners[m[5] :]
-        at += blocks
-    return [tuple(m) for m in out]
+    held = held.select("_sw_s", "_sw_block", "_sw_held", room.alias("_sw_room"), "_sw_whole")
+    held = materialize(held.withColumn("uses", (F.col("_sw_whole") + (F.col("_sw_room") >= 0).cast("int")).cast("long")), "mix-held")
+    drawn = split_sources(held.groupBy("_sw_s").agg(F.sum("uses").alias("uses")), shards, seed)
+    every = materialize(owners_of(held, drawn, seed).drop("uses"), "mix-blocks")
+    return Mix(sources, every, last_places(placed, every), float(totals["words"] or 0), seed, bounded)
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, shards: int = SHARDS) -> DataFrame:
@@ -221,7 +210,7 @@ def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rows = keyed(docs, id_col, text_col, source_col, seed)
     sized = materialize(rows.select("_sw_source", "_sw_h", word_count(F.col(text_col)).alias("_sw_size")), "mix-rows")
     drawn = mix(sized, seed, shards)
-    pieces = max(1, int(-(-drawn.words // (shards * task_words))))
+    pieces = max(1, int(-(-drawn.words // (shards * max(task_words, drawn.words / MAX_TASKS)))))
     mixed = drawn.decide(rows).where("_sw_copies > 0").select(*own, F.explode(F.arrays_zip("_sw_shards", "_sw_places")).alias("_sw_at"))
     mixed = mixed.select(*own, F.col("_sw_at._sw_places").alias("_sw_place"), F.col("_sw_at._sw_shards").alias("_sw_shard"))
     part = (F.col("_sw_shard") * pieces + share_of(F.col("_sw_place"), F.lit(pieces))).cast("int")

@@ -510,9 +510,25 @@ def test_matrix_margins():
 # 10 mixtures
 
 
+def targets(sizes: list[int], weights: list[float], total: float, most: float) -> list[float]:
+    """Shares of ``total`` by weight, each stopped at ``most`` times its size, the excess reshared until none is above."""
+    out, free, left = [0.0] * len(sizes), list(range(len(sizes))), total
+    while free:
+        by = sum(weights[i] for i in free)
+        over = [i for i in free if left * weights[i] / by > most * sizes[i]]
+        if not over:
+            for i in free:
+                out[i] = left * weights[i] / by
+            break
+        for i in over:
+            out[i] = float(most * sizes[i])
+        left -= sum(out[i] for i in over)
+        free = [i for i in free if i not in set(over)]
+    return out
+
 def test_targets():
-    assert mixing.targets([100, 100, 100], [3, 1, 2], 450, 2) == [200, pytest.approx(250 / 3), pytest.approx(500 / 3)]
-    assert mixing.targets([], [], 0, 2) == [] and mixing.targets([0, 10], [3, 1], 15, 2) == [0, 15]
+    assert targets([100, 100, 100], [3, 1, 2], 450, 2) == [200, pytest.approx(250 / 3), pytest.approx(500 / 3)]
+    assert targets([], [], 0, 2) == [] and targets([0, 10], [3, 1], 15, 2) == [0, 15]
 
 
 def test_split_quotas():
@@ -521,9 +537,10 @@ def test_split_quotas():
     assert m.sum(0).tolist() == q.tolist() and m.shape == (6, 4) and m.sum(1).max() - m.sum(1).min() <= 3
 
 
-@pytest.mark.parametrize("most", [mixing.MAX_SOURCES, 2])
-def test_mixing(spark, odd, none, monkeypatch, most):
-    monkeypatch.setattr(mixing, "MAX_SOURCES", most)  # 2: totals of sources stay in Spark
+@pytest.mark.parametrize(("fan", "rows"), [(mixing.FAN, mixing.BROADCAST_ROWS), (2, 1)])
+def test_mixing(spark, odd, none, monkeypatch, fan, rows):
+    monkeypatch.setattr(mixing, "FAN", fan)  # 2: sources are parted in levels
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", rows)  # 1: their tables are joined by shuffles
     rng = random.Random(11)
     rows = [(i, sentence(rng, rng.randint(0, 30)) or None, None if i % 10 == 0 else f"s{i % 5}") for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -537,7 +554,7 @@ def test_mixing(spark, odd, none, monkeypatch, most):
         assert r["copies"] <= 2 and r["taken"] == r["copies"] * r["size"] and len(r["shards"]) == r["copies"]
     assert sum(target.values()) == pytest.approx(1.5 * sum(size.values()))
     assert all(target[s] - 30 < taken[s] <= target[s] for s in target)
-    want = dict(zip(sorted(size, key=lambda s: (s is None, s or "")), mixing.targets([size[s] for s in sorted(size, key=lambda s: (s is None, s or ""))], [3, 1, 2] * 2, 1.5 * sum(size.values()), 2), strict=False))
+    want = dict(zip(sorted(size, key=lambda s: (s is None, s or "")), targets([size[s] for s in sorted(size, key=lambda s: (s is None, s or ""))], [3, 1, 2] * 2, 1.5 * sum(size.values()), 2), strict=False))
     assert target == pytest.approx(want)
     dealt = Counter(shard for r in got for shard in r["shards"])
     assert set(dealt) == set(range(mixing.SHARDS)) and max(dealt.values()) < 3 * min(dealt.values())
@@ -557,6 +574,19 @@ def test_mixing(spark, odd, none, monkeypatch, most):
     assert mixing.plan(none).count() == 0 and mixing.draw(none).count() == 0
 
 
+@pytest.mark.parametrize("fan", [mixing.FAN, 3])
+def test_split_sources(spark, monkeypatch, fan):
+    """Exact shares of shards and sources, with one level or three; the same draw again."""
+    monkeypatch.setattr(mixing, "FAN", fan)
+    quotas = [(s, (s * 7) % 5) for s in range(20)]
+    uses = spark.createDataFrame(quotas, "_sw_s long, uses long")
+    got = {r["_sw_s"]: r["drawn"] for r in mixing.split_sources(uses, 6, 1).collect()}
+    assert {s: sum(d) for s, d in got.items()} == dict(quotas)
+    shares = [sum(d[j] for d in got.values()) for j in range(6)]
+    assert sum(shares) == sum(n for _, n in quotas) and max(shares) - min(shares) <= 1
+    assert got == {r["_sw_s"]: r["drawn"] for r in mixing.split_sources(uses.repartition(5), 6, 1).collect()}
+
+
 def test_word_count(spark):
     df = spark.createDataFrame([(None,), ("",), (" a\tb\n\x0bc ",), ("a b",)], "t string")
     assert [r[0] for r in df.select(word_count(F.col("t"))).collect()] == [0, 0, 3, 1]
