@@ -69,15 +69,20 @@ def headed(v: Views, name: str, lines) -> str:
     return listed(v, rows, name)
 
 
-_KEY, _FILE = F.col("s_suppkey"), F.concat(F.lit("f"), F.regexp_extract("path", "list=([^/]+)", 1))
+def key():
+    return F.col("s_suppkey")
+
+
+def file_name():
+    return F.concat(F.lit("f"), F.regexp_extract("path", "list=([^/]+)", 1))
 
 
 @query("scan_ini_header", """SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '0.' || CAST(s_suppkey % 300 AS STRING) AS version, 'mame' || CAST(s_suppkey % 300 AS STRING) AS build,
     CASE WHEN s_suppkey % 2 = 0 THEN '17/01/2026' ELSE '2026-01-17' END AS date_raw, '2026-01-17' AS date FROM supplier""")
 def scan_ini_header(v: Views):
-    n = (_KEY % 300).cast("string")
-    lines = F.array(F.concat(F.lit(";; for MAME 0."), n, F.lit(" (MAME"), n, F.lit(")")), F.concat(F.lit(";; Generated on "), F.when(_KEY % 2 == 0, "17/01/2026").otherwise("2026-01-17")), F.lit("[A]"))
-    return S.scan_list_header(v.spark, headed(v, "heads", lines)).withColumn("path", _FILE)
+    n = (key() % 300).cast("string")
+    lines = F.array(F.concat(F.lit(";; for MAME 0."), n, F.lit(" (MAME"), n, F.lit(")")), F.concat(F.lit(";; Generated on "), F.when(key() % 2 == 0, "17/01/2026").otherwise("2026-01-17")), F.lit("[A]"))
+    return S.scan_list_header(v.spark, headed(v, "heads", lines)).withColumn("path", file_name())
 
 
 @query(
@@ -98,15 +103,15 @@ def scan_catlist(v: Views):
 
 @query("scan_catlist_header", "SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '1.' || CAST(s_suppkey % 9 AS STRING) AS version, '17-Jan-2026' AS date, CAST(200 + s_suppkey % 90 AS STRING) AS release FROM supplier")
 def scan_catlist_header(v: Views):
-    lines = F.array(F.concat(F.lit(";; CATLIST.ini 1."), (_KEY % 9).cast("string")), F.concat(F.lit(";; 17-Jan-2026 / MAME 0."), (200 + _KEY % 90).cast("string")), F.lit("[A]"))
-    return S.scan_category_list_header(v.spark, headed(v, "category-heads", lines)).withColumn("path", _FILE)
+    lines = F.array(F.concat(F.lit(";; CATLIST.ini 1."), (key() % 9).cast("string")), F.concat(F.lit(";; 17-Jan-2026 / MAME 0."), (200 + key() % 90).cast("string")), F.lit("[A]"))
+    return S.scan_category_list_header(v.spark, headed(v, "category-heads", lines)).withColumn("path", file_name())
 
 
 @query("scan_root_attributes", "SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '0.' || CAST(s_suppkey AS STRING) AS build, CASE WHEN s_suppkey % 2 = 0 THEN '10' END AS mameconfig FROM supplier")
 def scan_root_attributes(v: Views):
-    root = F.concat(F.lit('<mame build="0.'), _KEY.cast("string"), F.lit('"'), F.when(_KEY % 2 == 0, ' mameconfig="10"').otherwise(""), F.lit(">"))
+    root = F.concat(F.lit('<mame build="0.'), key().cast("string"), F.lit('"'), F.when(key() % 2 == 0, ' mameconfig="10"').otherwise(""), F.lit(">"))
     lines = F.array(F.lit('<?xml version="1.0"?>'), root, F.lit("<machine/>"))
-    return S.scan_root_attributes(v.spark, headed(v, "roots", lines), "mame", ["build", "mameconfig"]).withColumn("path", _FILE)
+    return S.scan_root_attributes(v.spark, headed(v, "roots", lines), "mame", ["build", "mameconfig"]).withColumn("path", file_name())
 
 
 @query("select_member", "SELECT archive, arg_min(member, (-n, -length(member), member)) AS member FROM (SELECT 's' || CAST(l_suppkey AS STRING) AS archive, 'dir/data' || CAST(l_orderkey AS STRING) || '.xml' AS member, length(CAST(l_orderkey AS STRING)) AS n FROM lineitem) GROUP BY 1")
@@ -134,9 +139,9 @@ def scan_vocabulary(v: Views):
 
 @query("fingerprint_files", "SELECT 'f' || CAST(s_suppkey AS STRING) AS file, CAST(octet_length(encode(t)) AS BIGINT) AS size, sha256(t) AS sha256 FROM (SELECT s_suppkey, s_name || chr(10) || repeat('x', s_suppkey % 50) || chr(10) AS t FROM supplier)")
 def fingerprint_files(v: Views):
-    path = headed(v, "fingerprints", F.array(F.col("s_name"), F.repeat(F.lit("x"), (_KEY % 50).cast("int"))))
+    path = headed(v, "fingerprints", F.array(F.col("s_name"), F.repeat(F.lit("x"), (key() % 50).cast("int"))))
     files = S.fingerprint_files(v.spark, path + "/*.txt", whole_bytes=40)  # about half of them are streamed
-    return files.select(_FILE.alias("file"), "size", "sha256")
+    return files.select(file_name().alias("file"), "size", "sha256")
 
 
 _DOCUMENT = """'{"machine":"' || machine || '","title":"' || title || '"' || CASE WHEN manufacturer IS NULL THEN '' ELSE ',"manufacturer":"' || manufacturer || '"' END || ',"page":"' || page || '","ports_display":"' || ports_display || '"}'"""

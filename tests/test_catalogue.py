@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
+ROOT = os.path.dirname(os.path.abspath(entry.__file__))
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLES = entry.oracle_sql()
 
@@ -43,3 +44,12 @@ def test_query(spark, tables, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_import_needs_no_session():
+    """The entry can be imported, and its queries and SQL listed, before there is a session."""
+    import subprocess
+    import sys
+
+    run = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=ROOT, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
