@@ -1,38 +1,11 @@
-"""Whole records of parents, and reports over metrics."""
+"""Reports over metrics, findings and runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import empty_to_null, fold, format_manufacturers, truthy
-from .lineage import classified
-from .ports import ports_display
-from .titles import family_titles
-
-
-def assemble_parents(machines: DataFrame, parents: DataFrame, classes: DataFrame, chips: DataFrame, displays: DataFrame, merged_ports: DataFrame) -> DataFrame:
-    """One nested record per chosen parent (column name): classification, sections, titles of the family, ports.
-
-    Each part is one row per machine before it is joined, so no join multiplies rows.
-    """
-    base = classified(machines.join(parents.select("name"), "name", "left_semi"), classes)
-    titles = family_titles(machines).groupBy(F.col("parent").alias("name")).agg(F.array_sort(F.collect_list(F.struct("place", "machine", "role", "title"))).alias("titles"))
-    ports = ports_display(merged_ports).groupBy(F.col("parent").alias("name")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "lines")))).alias("ports"))
-    part = lambda df, n: df.select(F.col("machine").alias("name"), F.struct(*(c for c in df.columns if c != "machine")).alias(n))
-    out = base.join(part(chips, "chips"), "name", "left").join(part(displays, "displays"), "name", "left")
-    out = out.join(titles, "name", "left").join(ports, "name", "left")
-    return out.select(
-        "name",
-        F.struct("game_status", "category", "type").alias("classification"),
-        empty_to_null(F.col("year")).alias("year"),
-        format_manufacturers(F.col("manufacturer")).alias("manufacturer"),
-        "chips",
-        "displays",
-        "titles",
-        "ports",
-        F.struct(truthy(F.col("isbios")).alias("bios"), truthy(F.col("isdevice")).alias("device"), truthy(F.col("ismechanical")).alias("mechanical")).alias("flags"),
-    )
+from ..functions.text import empty_to_null, fold
 
 
 def metric(df: DataFrame, stage: str, name: str) -> DataFrame:

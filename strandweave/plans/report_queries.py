@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import blocks as B
-from ..operators import lineage as L
 from ..operators import metrics as M
 from ..operators import ports as P
 from ..operators import quality_rules as R
 from ..operators import records as C
-from ..operators import sections as S
 from ..sources.archives import audit_archives
 from ..sources.files import entry_header
 from ..sources.files import scan_overrides as scan_overrides_file
@@ -22,28 +20,6 @@ from .text_queries import FINDINGS, PORT, parsed
 from .views import Views, query
 
 
-@query(
-    "assemble_parent_record",
-    f"""WITH f AS ({FAMILY}), e AS ({ELIGIBLE}), p AS (SELECT f.parent, p.category, count(*) AS n FROM ({VALID}) p JOIN f ON p.machine = f.machine GROUP BY 1, 2)
-        SELECT m.name, c.game_status, nullif(m.year, '') AS year, CASE WHEN manufacturer LIKE '[%' THEN manufacturer ELSE replace(manufacturer, ' / Acme', ' & Acme') END AS manufacturer,
-               (SELECT count(*) FROM v_chips k WHERE k.machine = m.name AND k.type = 'cpu') AS cpus, (SELECT count(*) FROM f WHERE f.parent = m.name) AS titles,
-               coalesce((SELECT string_agg(category || ':' || n, '|' ORDER BY category) FROM p WHERE p.parent = m.name), '') AS ports, m.isbios = 'yes' AS bios
-        FROM v_machines m JOIN e ON m.name = e.name JOIN v_class c ON m.name = c.machine""",
-)
-def assemble_parent_record(v: Views):
-    m, c = v.machines, classes(v)
-    displays = S.displays_section(S.display_rows(v.displays).where("kept"))
-    out = C.assemble_parents(m, L.eligible_parents(m, c), c, S.chips_section(v.chips), displays, P.merge_ports(ports(v), m))
-    told = F.array_join(F.array_sort(F.transform(F.map_entries("ports"), lambda e: F.concat_ws(":", e["key"], F.size(e["value"])))), "|")
-    return out.select("name", "classification.game_status", "year", "manufacturer", F.coalesce("chips.cpu_count", F.lit(0)).alias("cpus"), F.size("titles").cast("long").alias("titles"), F.coalesce(told, F.lit("")).alias("ports"), "flags.bios")
-
-
-@query("project_raw", f"WITH f AS ({FAMILY}) SELECT m.name, m.year, m.manufacturer, count(f.machine) AS family FROM v_machines m JOIN f ON f.parent = m.name WHERE m.cloneof IS NULL GROUP BY 1, 2, 3")
-def project_raw(v: Views):
-    size = L.family(v.machines).groupBy(F.col("parent").alias("name")).agg(F.count("*").alias("family"))
-    return v.machines.where(F.col("cloneof").isNull()).join(size, "name").select("name", "year", "manufacturer", "family")
-
-
 @query("entry_kind", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'systems' WHEN 1 THEN 'software' ELSE 'unknown' END AS kind, CASE WHEN o_orderkey % 3 = 0 THEN 'c' || CAST(o_custkey AS STRING) END AS primary_name, CASE WHEN o_orderkey % 6 = 0 THEN 'alias' ELSE '' END AS aliases FROM orders")
 def entry_kind(v: Views):
     k = F.col("o_orderkey")

@@ -235,12 +235,3 @@ def audio_mismatch(v: Views):
     off = F.coalesce(F.col("c") != F.col("speakers"), F.lit(False))
     few = m.where(off).orderBy("name").limit(10).agg(F.array_join(F.array_sort(F.collect_list("name")), "|").alias("examples"))
     return m.agg(F.count("c").alias("reported"), F.count_if(off).alias("mismatched"), F.count_if(text.truthy(F.col("samples"))).alias("samples")).join(few)
-
-
-@query("project_wiki", f"SELECT m.name, nullif(year, '') AS year, nullif(manufacturer, '') AS manufacturer, nullif(description, '') AS title FROM v_machines m WHERE name IN ({ELIGIBLE})")
-def project_wiki(v: Views):
-    from ..operators.lineage import eligible_parents
-
-    shown = v.machines.join(eligible_parents(v.machines, classes(v)), "name", "left_semi")
-    some = lambda c, n: text.empty_to_null(F.col(c)).alias(n)
-    return shown.select("name", some("year", "year"), some("manufacturer", "manufacturer"), some("description", "title"))

@@ -238,6 +238,8 @@ class Views:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The SQL of each oracle over the views v_<name>, for oracles made of others.
+PARTS: dict[str, str] = {}
 
 
 def query(key: str, sql: str | None = None) -> Callable:
@@ -246,7 +248,7 @@ def query(key: str, sql: str | None = None) -> Callable:
     def add(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
         QUERIES[key] = lambda spark, sf_dir: fn(Views(spark, sf_dir))
         if sql:
-            ORACLES[key] = oracle(sql)
+            ORACLES[key], PARTS[key] = oracle(sql), sql
         return fn
 
     return add
