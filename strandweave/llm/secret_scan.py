@@ -22,13 +22,20 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: A candidate with one of these holds a base span, or the name of one.
 BASE = NAME + "|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"
 WORD = r"[A-Za-z0-9+/_=-]{6,}"
+#: What a text has to hold for any base span or candidate: found by one search, which most texts end without a match.
+ANY = r"""(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20}|[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}|AKIA"""
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Documents of each class, with base spans and without, that give training samples, at most (the smallest id hashes).
 TRAIN_DOCS = 2000
 #: Counts added to each character, and to each character's followers in proportion to the characters' frequencies.
 SMOOTHING, BACKOFF = 0.5, 30.0
-#: A candidate is random if its log-likelihood ratio is at least this much in all, and this much a character pair.
-MIN_RATIO, MIN_MEAN = 12.0, 0.5
+#: A candidate is random if its log-likelihood ratio is at least this much in all, and this much a character pair or, if that
+#: is more, as much as only so small a share of ordinary strings held back from training reaches.
+MIN_RATIO, MIN_MEAN, FALSE_SHARE = 12.0, 0.1, 0.001
+#: One in so many ordinary strings, by hash, is held back; strings shorter than a candidate tell too little.
+HELD, LEAST_CHARS = 5, 20
+#: Ordinary identifiers are so many words in a row, joined in each of these ways.
+JOINED_WORDS, JOINTS = 4, ("_", "-", "/")
 _CUT, _MID, _OTHER = "\x01", "\x02", "\x03"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 #: Pieces between marks that are folded together: a fold copies what it has at each step, so it never takes more.
@@ -84,21 +91,34 @@ def base_spans(text: Column) -> Column:
 
 @dataclass
 class Models:
-    """Log-likelihood ratios (random over ordinary) of each pair of characters, row after row of the alphabet."""
+    """Log-likelihood ratios (random over ordinary) of each pair of characters, row after row of the alphabet, and how much a
+    pair a random string has at least."""
 
     ratio: list[float]
+    mean: float = MIN_MEAN
 
     def column(self) -> Column:
         return F.from_json(F.lit(json.dumps(self.ratio)), "array<double>")
 
 
 def train(samples: DataFrame) -> Models:
-    """Two first-order Markov models from labelled samples (value string, random boolean).
+    """Two first-order Markov models from labelled samples (value string, random boolean), each value once.
 
     Pair counts of all samples are summed in Spark; at most two per pair of ALPHABET come to the driver. Pairs never
     seen fall back on the frequency of the second character; without samples of a class all are equally likely; null
-    values and characters outside ALPHABET are left out.
+    values and characters outside ALPHABET are left out. Ordinary strings of LEAST_CHARS that are held back set the
+    threshold; without any it is MIN_MEAN.
     """
+    samples = materialize(samples.where("value <> ''").distinct(), "secret-values")
+    held = ~F.col("random") & (F.char_length("value") >= LEAST_CHARS) & (F.pmod(hash01("value", seed=13), F.lit(HELD)) == 0)
+    ordinary = samples.where(held)
+    models = _fit(samples.where(~held))
+    mean = log_ratio(F.col("value"), models) / (F.char_length("value") - 1)
+    told = ordinary.agg(F.percentile_approx(mean, 1 - FALSE_SHARE, 10_000).alias("mean")).first()["mean"]
+    return Models(models.ratio, max(MIN_MEAN, round(told, 4)) if told is not None else MIN_MEAN)
+
+
+def _fit(samples: DataFrame) -> Models:
     n = len(ALPHABET)
     index = F.transform(F.split("value", ""), lambda c: F.instr(F.lit(ALPHABET), c))
     pairs = samples.where("value <> ''").select("random", index.alias("x")).withColumn("x", F.filter("x", lambda i: i > 0))
@@ -118,19 +138,26 @@ def train(samples: DataFrame) -> Models:
 
 
 def samples(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Labelled samples: values of base spans are random; words are ordinary if no base span is in their document.
+    """Labelled samples: values of base spans are random; words are ordinary if no base span is in their document, and so
+    are names made of words in a row (joined by JOINTS or as CamelCase).
 
     At most TRAIN_DOCS documents of each class give them, those of the smallest id hashes: of all documents with a
     base span, however rare they are, and of all without. They are chosen by one search of every text that ends at
     the first match, and written before spans are cut from them. Null ids give none.
     """
     every = docs.select(F.col(id_col).alias("_sw_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("_sw_id is not null")
-    holds = F.col("text").rlike(f"{ASSIGN[: -len('+)')]}{{{MIN_VALUE},}})|{ACCESS}|{HEX}")
+    holds = F.col("text").rlike(ANY) & F.col("text").rlike(f"{ASSIGN[: -len('+)')]}{{{MIN_VALUE},}})|{ACCESS}|{HEX}")
     known = materialize(every.select("_sw_id", holds.alias("holds"), hash01("_sw_id", seed=9).alias("h")), "secret-classes")
     some = [known.where(F.col("holds") == which).select("_sw_id", "h").distinct().orderBy("h", "_sw_id").limit(TRAIN_DOCS).select("_sw_id") for which in (True, False)]
     text = materialize(every.join(F.broadcast(some[0].union(some[1]).distinct()), "_sw_id"), "secret-sample")
     text = text.withColumn("found", F.transform(base_spans(F.col("text")), lambda s: s["value"]))
-    plain = F.when(F.size("found") == 0, F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).otherwise(F.expr("cast(array() as array<string>)"))
+    none = F.expr("cast(array() as array<string>)")
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), F.lit(0))
+    row = lambda i: F.slice("words", i * JOINED_WORDS + 1, F.lit(JOINED_WORDS))
+    ways = [lambda i, j=j: F.array_join(row(i), j) for j in JOINTS] + [lambda i: F.array_join(F.transform(row(i), lambda w: F.initcap(w)), "")]
+    each = F.when(F.size("words") > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / JOINED_WORDS).cast("int")), lambda i: F.element_at(F.array(*(way(i) for way in ways)), (i % len(ways) + 1).cast("int")))).otherwise(none)
+    text = text.withColumn("words", words)
+    plain = F.when(F.size("found") == 0, F.array_distinct(F.concat(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), each))).otherwise(none)
     return text.select(F.explode("found").alias("value"), F.lit(True).alias("random")).union(text.select(F.explode(plain).alias("value"), F.lit(False)))
 
 
@@ -153,10 +180,11 @@ def scan(docs: DataFrame, models: Models, text_col: str = "text", spans_col: str
 
     Whole texts, positions in code points, ends exclusive; null text counts as empty and has none. Base matches are
     leftmost and do not overlap within their kind. A candidate (``candidates``) is random if the models'
-    log-likelihood ratio says so. Built-in expressions only; nothing is shuffled. Repeated rows and ties are judged
+    log-likelihood ratio says so. One search (ANY) passes over texts that can hold neither. Built-in expressions only; nothing is shuffled. Repeated rows and ties are judged
     alike, an empty table stays empty, other columns stay as they are.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    least = lambda c: F.greatest(F.lit(MIN_RATIO), F.lit(MIN_MEAN) * (F.char_length(c["value"]) - 1))
+    least = lambda c: F.greatest(F.lit(MIN_RATIO), F.lit(models.mean) * (F.char_length(c["value"]) - 1))
     random = F.filter(candidates(text), lambda c: log_ratio(c["value"], models) >= least(c))
-    return docs.withColumn(spans_col, F.array_sort(F.concat(base_spans(text), random)))
+    found = F.array_sort(F.concat(base_spans(text), random))
+    return docs.withColumn(spans_col, F.when(text.rlike(ANY), found).otherwise(F.expr(f"cast(array() as {SPAN})")))

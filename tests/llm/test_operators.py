@@ -480,6 +480,36 @@ def test_markov_models(spark):
     assert [s["value"] for s in found] == [keys[250]]
 
 
+WORDS = "user account create update delete request response handler config index table value result process stream batch window event parser buffer manager service client server session cache worker queue thread format number string object array matrix vector".split()
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_added_spans(spark, sf):
+    """Models of whole tables find planted keys, at their places, and take no names for keys."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    models = secret_scan.train(secret_scan.samples(docs, "doc_id", "text"))
+    rng = random.Random(9)
+    letters = secret_scan.ALPHABET[:62]
+    some = lambda make: [v for v in (make() for _ in range(400)) if len(v) >= 20][:300]
+    named = lambda joint: some(lambda: joint.join(rng.choice(WORDS) for _ in range(rng.randint(4, 6))))
+    kinds = {
+        "base62": some(lambda: "".join(rng.choice(letters) for _ in range(rng.randint(24, 48)))),
+        "base64": some(lambda: "".join(rng.choice(letters + "+/") for _ in range(rng.randint(24, 48))) + rng.choice(["", "="])),
+        "snake": named("_"),
+        "path": named("/"),
+        "dashed": named("-"),
+        "camel": some(lambda: "".join(rng.choice(WORDS).title() for _ in range(rng.randint(4, 6)))),
+    }
+    rows = [(f"{kind}", f"é see {v}, here", v) for kind, values in kinds.items() for v in values]
+    found = Counter()
+    for r in secret_scan.scan(spark.createDataFrame(rows, "kind string, text string, v string"), models).collect():
+        added = [s for s in r["spans"] if s["kind"] == 3]
+        assert all((s["start"], s["end"]) == (6, 6 + len(r["v"])) for s in added)
+        found[r["kind"]] += bool(added)
+    assert found["base62"] >= 270 and found["base64"] >= 270
+    assert max(found[k] for k in ("snake", "path", "dashed", "camel")) < 3
+
+
 # 9 shards
 
 
