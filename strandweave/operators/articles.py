@@ -143,6 +143,11 @@ def suppress_lines(lines: DataFrame) -> DataFrame:
     return rows.withColumn("gap_before", F.coalesce(gap, F.lit(False))).drop("blank")
 
 
+def suppression_counts(lines: DataFrame) -> DataFrame:
+    """(rule, n, systems): lines that each rule leaves out (``suppress_lines``), and machines that lose any."""
+    return lines.where("not kept").groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+
+
 def split_comment(line: Column) -> Column:
     """struct(head, comment): at the first colon outside quotes; inch marks of 3.5" and 5.25" are no quotes."""
     hidden = F.regexp_replace(line, '(3\\.5|5\\.25)"', "$1\x01")

@@ -78,6 +78,16 @@ def run_manifest(runs: DataFrame) -> DataFrame:
     return per.withColumn("ok", (F.col("inputs") > 0) & (F.col("outputs") > 0) & (F.col("errors") == 0))
 
 
+def catalogue_search(machines: DataFrame, titles: DataFrame, wanted: dict[str, str]) -> DataFrame:
+    """``machines`` (name) with their ``titles`` (name, title; null: none) of which one of the fields ``wanted`` holds the text
+    wanted of it, without regard to case."""
+    both = machines.join(titles, "name", "left")
+    hit = F.lit(False)
+    for field, text in wanted.items():
+        hit = hit | F.contains(fold(F.coalesce(F.col(field), F.lit(""))), F.lit(text.upper().lower()))
+    return both.where(hit)
+
+
 def filtered_findings(findings: DataFrame, fields: list[str], text: str = "", rule: str = "") -> DataFrame:
     """Findings of ``rule`` (empty: all) of which one of ``fields`` holds ``text`` without regard to case."""
     hit = F.lit(not text)

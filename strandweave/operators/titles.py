@@ -6,6 +6,8 @@ become control characters (``marked``), and plain array functions do the rest.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -112,6 +114,13 @@ def title_anomalies(parsed: DataFrame, key: str = "machine", description: str =
     return parsed.select(key, F.explode(found).alias("anomaly"), F.coalesce(d, F.lit("")).alias("example"))
 
 
+def title_anomaly_counts(*anomalies: DataFrame) -> DataFrame:
+    """(anomaly, n, distinct_examples): anomalies of titles, before and after overrides say; what a machine has both times
+    counts once."""
+    every = reduce(DataFrame.unionByName, (df.select("machine", "anomaly", "example") for df in anomalies)).distinct()
+    return every.groupBy("anomaly").agg(F.count("*").alias("n"), F.count_distinct("example").alias("distinct_examples"))
+
+
 def page_name(units: Column) -> Column:
     """Title: Subtitle, or Title, of the first unit."""
     first = F.get(units, F.lit(0))

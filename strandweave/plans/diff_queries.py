@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text
 from ..operators import diffs as D
 from ..operators import ports as P
 from ..operators import quality_rules as R
@@ -42,10 +41,7 @@ def title_anomalies(v: Views):
 @query("title_anomaly_counts", "WITH t AS (SELECT CAST(substr(machine, 2) AS INT) % 12 AS k, description FROM v_titles) SELECT anomaly, count(*) AS n, count(DISTINCT description) AS distinct_examples FROM (SELECT 'unbalanced_round_brackets' AS anomaly, description FROM t WHERE k IN (3, 4) UNION ALL SELECT 'infix_brackets_no_spaces', description FROM t WHERE k = 5 UNION ALL SELECT 'ambiguous_trailing_tokens', description FROM t WHERE k IN (2, 5)) GROUP BY 1")
 def title_anomaly_counts(v: Views):
     found = T.title_anomalies(T.parse_titles(v.titles))
-    # the same anomaly of a machine, before and after an override, counts once
-    found = found.withColumn("pre_override", F.lit(True)).union(found.withColumn("pre_override", F.lit(False)))
-    once = found.groupBy("machine", "anomaly", "example").agg(F.max("pre_override").alias("pre_override"))
-    return once.groupBy("anomaly").agg(F.count("*").alias("n"), F.count_distinct("example").alias("distinct_examples"))
+    return T.title_anomaly_counts(found, found)  # before and after overrides that change nothing
 
 
 @query("page_names", f"SELECT machine, 'Wiki/' || split_part(split_part(parsed, ';', 1), '|', 1) || CASE WHEN split_part(parsed, '|', 2) <> '' THEN ': ' || split_part(parsed, '|', 2) ELSE '' END AS page FROM ({_PARSED})")
@@ -266,9 +262,8 @@ def transform_findings(v: Views):
 
 @query("catalogue_search", "SELECT m.name, b.title FROM v_machines m LEFT JOIN v_before b ON replace(m.name, 'p', 'c') = b.machine WHERE contains(lower(m.name), '17') OR contains(lower(coalesce(b.title, '')), '00033')")
 def catalogue_search(v: Views):
-    both = v.machines.join(v.before.select(F.regexp_replace("machine", "^c", "p").alias("name"), "title"), "name", "left")
-    hit = text.fold(F.col("name")).contains("17") | text.fold(F.coalesce("title", F.lit(""))).contains("00033")
-    return both.where(hit).select("name", "title")
+    titles = v.before.select(F.regexp_replace("machine", "^c", "p").alias("name"), "title")
+    return C.catalogue_search(v.machines.select("name"), titles, {"name": "17", "title": "00033"})
 
 
 _FRESH = """SELECT f.*, f.stage = 'articles' AS tool_changed, outputs_missing, changed + missing + new + outputs_missing = 0 AND f.stage <> 'articles' AS fresh FROM (

@@ -13,7 +13,7 @@ from ..sources.archives import audit_archives
 from ..sources.files import entry_header
 from ..sources.files import scan_overrides as scan_overrides_file
 from ..sources.scratch import scratch_path
-from .lineage_queries import ELIGIBLE, FAMILY, VALID, classes, ports
+from .lineage_queries import VALID, ports
 from .section_queries import DIST, dist
 from .source_queries import FILE_ROWS
 from .text_queries import FINDINGS, PORT, parsed

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import labels, text
+from ..functions import text
+from ..operators import machines as H
 from ..operators import metrics as M
 from ..operators import ordering as O
 from ..operators import sections as S
-from .lineage_queries import ELIGIBLE, classes
 from .scalar_queries import _MEDIA, CONTROL_LINE_SQL
 from .views import Views, query
 
@@ -104,10 +104,7 @@ def explode_controls(v: Views):
 
 @query("machine_header", """SELECT name, cloneof, nullif(trim(sourcefile), '') AS sourcefile, nullif(sampleof, '') AS sampleof, isbios, isdevice, ismechanical, description, coalesce(year, '') AS year, coalesce(manufacturer, '') AS manufacturer FROM v_machines""")
 def machine_header(v: Views):
-    flag = lambda c: text.yes_no(text.truthy(F.col(c))).alias(c)
-    some = lambda c: text.empty_to_null(text.strip(F.col(c))).alias(c)
-    full = lambda c: text.text_or_empty(F.col(c)).alias(c)
-    return v.machines.select("name", some("cloneof"), some("sourcefile"), some("sampleof"), flag("isbios"), flag("isdevice"), flag("ismechanical"), "description", full("year"), full("manufacturer"))
+    return H.machine_header(v.machines)
 
 
 @query("players_value", "SELECT name, try_cast(players_raw AS BIGINT) AS players, coalesce(CAST(try_cast(players_raw AS BIGINT) AS STRING), 'unknown') AS bucket FROM v_machines")
@@ -123,15 +120,13 @@ def sound_channels_value(v: Views):
 
 @query("samples_required", "SELECT name, sampleof <> '' OR samples = 'yes' AS required FROM v_machines")
 def samples_required(v: Views):
-    return v.machines.select("name", ((F.coalesce("sampleof", F.lit("")) != "") | text.truthy(F.col("samples"))).alias("required"))
+    return v.machines.select("name", H.samples_required().alias("required"))
 
 
 @query("rom_rollup", "SELECT 'p' || CAST(l_partkey AS STRING) AS machine, count(*) AS rom_count, CAST(sum(CASE WHEN l_linenumber = 7 THEN 0 ELSE l_suppkey * 1000000007 END) AS BIGINT) AS rom_bytes FROM lineitem GROUP BY 1")
 def rom_rollup(v: Views):
     size = F.when(F.col("l_linenumber") == 7, "x").otherwise((F.col("l_suppkey") * 1000000007).cast("string"))
-    roms = v.table("lineitem").groupBy(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("machine")).agg(F.collect_list(size).alias("sizes"))
-    add = F.aggregate("sizes", F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(text.digits(x), F.lit(0)))
-    return roms.select("machine", F.size("sizes").cast("long").alias("rom_count"), add.alias("rom_bytes"))
+    return H.rom_rollup(v.table("lineitem").select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("machine"), size.alias("size")))
 
 
 @query(
@@ -139,9 +134,8 @@ def rom_rollup(v: Views):
     "SELECT name, CASE WHEN disk_regions = '' THEN 'no' ELSE 'yes' END AS required, coalesce(string_agg(DISTINCT d, '|' ORDER BY d) FILTER (WHERE d <> ''), '') AS regions, count(DISTINCT d) FILTER (WHERE d <> '') AS n FROM (SELECT name, disk_regions, unnest(string_split(disk_regions, ',')) AS d FROM v_machines) GROUP BY name, disk_regions",
 )
 def disk_rollup(v: Views):
-    disks = F.filter(F.split("disk_regions", ","), lambda x: x != "")
-    regions = F.array_sort(F.array_distinct(F.transform(disks, F.lower)))
-    return v.machines.select("name", text.yes_no(F.size(disks) > 0).alias("required"), F.array_join(regions, "|").alias("regions"), F.size(regions).cast("long").alias("n"))
+    out = H.disk_rollup(v.machines.withColumn("disk_regions", F.split("disk_regions", ",")))
+    return out.withColumn("regions", F.array_join("regions", "|"))
 
 
 @query("device_ref_rollup", "SELECT machine, bool_or(lower(chip) = 'samples') AS samples, count(*) FILTER (WHERE lower(chip) = 'speaker') AS speakers FROM v_chips GROUP BY 1")
@@ -156,9 +150,7 @@ def device_ref_rollup(v: Views):
        count(*) FILTER (WHERE ismechanical = 'yes') AS mechanical, count(*) FILTER (WHERE sampleof <> '' OR samples = 'yes') AS samples FROM v_machines""",
 )
 def machine_totals(v: Views):
-    flag = lambda c: F.count_if(text.truthy(F.col(c)))
-    clone = text.empty_to_null(F.col("cloneof")).isNotNull()
-    return v.machines.agg(F.count("*").alias("machines"), F.count_if(~clone).alias("parents"), F.count_if(clone).alias("clones"), flag("isbios").alias("bios"), flag("isdevice").alias("devices"), flag("ismechanical").alias("mechanical"), F.count_if((F.col("sampleof") != "") | text.truthy(F.col("samples"))).alias("samples"))
+    return H.machine_totals(v.machines)
 
 
 DIST = """SELECT 'year' AS metric, CASE WHEN regexp_full_match(year, '[0-9]{4}') THEN year ELSE 'unknown' END AS bucket, count(*) AS n FROM v_machines GROUP BY 2
@@ -221,9 +213,7 @@ def sorted_catalogue(v: Views):
 
 @query("media_counts", f"SELECT coalesce(m, 'none') AS media, count(DISTINCT name) AS parents FROM (SELECT name, {_MEDIA} AS m FROM (SELECT name, unnest(string_split(disk_regions, ',')) AS d FROM v_machines WHERE cloneof IS NULL AND disk_regions <> '')) GROUP BY 1")
 def media_counts(v: Views):
-    parents = v.machines.where("cloneof is null and disk_regions <> ''")
-    hints = parents.select("name", F.explode(F.split("disk_regions", ",")).alias("d")).select("name", F.coalesce(labels.media_label(F.col("d")), F.lit("none")).alias("media"))
-    return hints.groupBy("media").agg(F.count_distinct("name").alias("parents"))
+    return H.media_counts(v.machines.withColumn("disk_regions", F.split("disk_regions", ",")))
 
 
 @query(
@@ -231,7 +221,5 @@ def media_counts(v: Views):
     "WITH m AS (SELECT *, try_cast(nullif(channels_raw, '') AS BIGINT) AS c FROM v_machines) SELECT count(c) AS reported, count(*) FILTER (WHERE c <> speakers) AS mismatched, count(*) FILTER (WHERE samples = 'yes') AS samples, (SELECT string_agg(name, '|' ORDER BY name) FROM (SELECT name FROM m WHERE c <> speakers ORDER BY name LIMIT 10)) AS examples FROM m",
 )
 def audio_mismatch(v: Views):
-    m = v.machines.withColumn("c", text.digits(F.col("channels_raw")))
-    off = F.coalesce(F.col("c") != F.col("speakers"), F.lit(False))
-    few = m.where(off).orderBy("name").limit(10).agg(F.array_join(F.array_sort(F.collect_list("name")), "|").alias("examples"))
-    return m.agg(F.count("c").alias("reported"), F.count_if(off).alias("mismatched"), F.count_if(text.truthy(F.col("samples"))).alias("samples")).join(few)
+    out = H.audio_mismatch(v.machines.withColumn("channels", text.digits(F.col("channels_raw"))))
+    return out.withColumn("examples", F.array_join("examples", "|"))

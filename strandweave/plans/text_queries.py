@@ -70,8 +70,7 @@ def suppress_lines(v: Views):
 
 @query("suppression_counts", f"SELECT {_RULES} AS rule, count(*) AS n, count(DISTINCT machine) AS systems FROM ({_FORMS}) WHERE k NOT IN (3, 4) GROUP BY 1")
 def suppression_counts(v: Views):
-    gone = A.suppress_lines(technical(v)).where("not kept")
-    return gone.groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("machine").alias("systems"))
+    return A.suppression_counts(A.suppress_lines(technical(v)))
 
 
 _P = """SELECT machine, line_no, line, line_no % 12 AS k, CAST(extract(year FROM o_orderdate) AS STRING) AS y, lpad(CAST(extract(day FROM o_orderdate) AS STRING), 2, '0') AS d FROM v_port_lines JOIN orders ON line_no = o_orderkey AND machine = 'c' || CAST(o_custkey AS STRING)"""
