@@ -20,7 +20,7 @@ WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 #: Blocks over all sources, about (each source has one at least); output shards.
 BLOCKS, SHARDS = 4096, 16
 #: Words that a task of ``draw`` holds, about, and its tasks, at most: beyond that, tasks grow with the words.
-TASK_WORDS, MAX_TASKS = 8_000_000, 16_384
+TASK_WORDS, MAX_TASKS = 2_000_000, 16_384
 #: Sources that a node of the splitting tree parts at once; more are parted in levels.
 FAN = 4096
 #: Tables of so many sources and blocks are broadcast; larger ones are joined by shuffles.
