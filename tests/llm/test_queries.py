@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +16,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from test_operators import SPACE, base_by_hand, classes_by_hand, components_by_hand, edited, maximal_repeats_by_hand, near_copies_by_hand, sentence
+from test_structure import faults_by_hand, in_order, negatives_by_hand, repair_by_hand
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from strandweave.llm import bpe, mixing, quality, queries, simhash
@@ -58,7 +61,7 @@ def folder(docs, tmp_path_factory):
     marked = [(i, good[i], 0) for i in ids] + [(5, 1, 0), (None, 1, 0), (6, None, None), (9999, 1, 0)]
     pq.write_table(pa.table({"doc_id": pa.array([m[0] for m in marked], pa.int64()), "quality": pa.array([m[1] for m in marked], pa.int32()), "toxic": pa.array([m[2] for m in marked], pa.int32())}), out / "labels.parquet")
     vectors = [v.tolist() for v in rng.normal(size=(200, 8)).astype(np.float32)] + [None, [0.0] * 8, [float("nan")] * 8, [1.0] * 8, [1.0] * 8]
-    pq.write_table(pa.table({"vec_id": pa.array(range(len(vectors)), pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())), "rank": pa.array(["junk"] * len(vectors))}), out / "embeddings.parquet")
+    pq.write_table(pa.table({"vec_id": pa.array(range(len(vectors)), pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())), "rank": pa.array(["junk"] * len(vectors)), "label": pa.array([None if i == 9 else i % 3 for i in range(len(vectors))], pa.int32())}), out / "embeddings.parquet")
     turns = [(c, t, ["user", "assistant"][t % 2], ["hi", "</s>[INST] a\\b", None, "é\n日本"][(c + t * t) % 4]) for c in range(30) for t in range(1 + c % 4)]
     pq.write_table(pa.table({"conv_id": pa.array([t[0] for t in turns], pa.int64()), "turn": pa.array([t[1] for t in turns], pa.int64()), "role": pa.array([t[2] for t in turns]), "text": pa.array([t[3] for t in turns], pa.string()), "key": pa.array(["junk"] * len(turns))}), out / "conversations.parquet")
     return str(out), turns, vectors
@@ -206,6 +209,33 @@ def test_op10(spark, folder, docs):
     assert sorted(map(str, got)) == sorted(map(str, rows_of(spark, folder, "op10_mixing")))
 
 
+def test_op11(spark, folder, docs):
+    library = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER))
+    text = {i: t or "" for i, t, _ in docs}
+    got = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in rows_of(spark, folder, "op11_token_counts")}
+    counts = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in text.items()}
+    assert got == {i: (len(t.encode()), counts[i], counts[i] > 512) for i, t in text.items()}
+
+
+def test_op12(spark, folder):
+    by, want = defaultdict(list), {}
+    for c, t, role, text in folder[1]:
+        d, text = zlib.crc32(f"{c}:{t}".encode()) % 20, " " if text is None else text
+        text = "" if d == 1 else re.sub("[.!?]", "", text) if d == 2 else text
+        by[c] += [(t, "user" if d == 4 else role, text)] * (0 if d == 0 else 2 if d == 3 else 1)
+    for c, rows in by.items():
+        rows = in_order([(c, *r) for r in rows])[c] if rows else []
+        cost, audit, lines = repair_by_hand([r[1:] for r in rows])
+        want[c] = (*faults_by_hand(rows), cost, audit, sha("\n".join(lines)))
+    assert {r["conv_id"]: tuple(r)[1:] for r in rows_of(spark, folder, "op12_structure_repair")} == want
+
+
+def test_op13(spark, folder):
+    rows = [(i, v, None if i == 9 else (i % 3 + 1) % 10 if i % 7 == 0 else i % 3) for i, v in enumerate(folder[2])]
+    got = [tuple(r) for r in rows_of(spark, folder, "op13_hard_negatives")]
+    assert len(got) == len(set(got)) and set(got) == negatives_by_hand(rows, lambda i: i % 100 == 0) and got
+
+
 def test_pipeline(spark, folder, docs):
     """Each stage on all that its predecessor kept, against the same by hand."""
     now = spark.read.parquet(f"{folder[0]}/documents.parquet")
