@@ -31,8 +31,8 @@ def keyed(value: dict, least: int = 0, pattern: str = NAME) -> dict:
 VERSIONS = record(mame_xml_version=TEXT, gaming_history_xml_version=TEXT, ini_versions={"type": "object", "minProperties": 1, "additionalProperties": TEXT})
 
 
-def header(name: str, version: str, **more: dict) -> dict:
-    return record(more.pop("optional", None), schema_id={"type": "string", "const": name}, schema_version={"type": "string", "const": version}, generated_at={"type": "string", "format": "date-time"}, **more)
+def header(version: str, **more: dict) -> dict:
+    return record(more.pop("optional", None), schema_id=FULL, schema_version={"type": "string", "const": version}, generated_at={"type": "string", "format": "date-time"}, **more)
 
 
 MACHINES = keyed(
@@ -104,7 +104,7 @@ _CHIPS = record(heading=TEXT, count=whole(0), items=listed(TEXT))
 _SOME = lambda name: {"properties": {name: {"minItems": 1}}}
 _NO = lambda name: {"properties": {name: {"maxItems": 0}}}
 RAW = record(
-    header=header("exotica_lit_raw_data", "1.2.0", versions=VERSIONS),
+    header=header("1.2.0", versions=VERSIONS),
     games=keyed(
         record(
             {"snaps_classification": record(group=TEXT, category=TEXT, subcategory=TEXT)},
@@ -123,7 +123,7 @@ RAW = record(
 )
 
 WIKI = record(
-    header=header("exotica_lit_wiki", "1.2.0", versions=VERSIONS),
+    header=header("1.2.0", versions=VERSIONS),
     games=keyed(
         record(
             wiki_page_name=FULL, opening_sentence=FULL, wiki_redirects=listed(FULL, unique=True), year={"type": "string", "pattern": "^[0-9?]{4}$"}, manufacturer=FULL, mame_titles_display=listed(TEXT),
@@ -136,7 +136,7 @@ WIKI = record(
 
 _MANY = listed(MACHINE, 2, True)
 PAGES = record(
-    header=header("exotica_wiki_pages_and_redirects", "1.1.1", optional={"versions": VERSIONS}),
+    header=header("1.1.1", optional={"versions": VERSIONS}),
     prefix=FULL,
     stats=record({"redirect_page_collisions": whole(0)}, **{n: whole(0) for n in ("parents_total", "page_names_total", "redirects_total", "page_name_collisions", "redirect_conflicts")}),
     pages=keyed(FULL, 1),
