@@ -10,6 +10,7 @@ from ..operators import quality_rules as R
 from ..sources import archives as E
 from ..sources import files as S
 from ..sources import tables as B
+from ..sources.lines import write_lines
 from ..sources.scratch import scratch_path
 from .views import Views, query
 
@@ -18,16 +19,13 @@ LIST_ROWS = 5000
 
 
 def listed(v: Views, lines, name: str) -> str:
-    """Write lines (list, part, line_no, line) as files, one a list and part, in order; returns the path of all."""
-    path = scratch_path(v.spark, name)
-    by = ["list", "part"]
-    lines.repartition(*by).sortWithinPartitions(*by, "line_no").select(*by, "line").write.partitionBy(*by).text(path)
-    return path + "/list=*/part=*"
+    """Write lines (list, part, line_no, line) as files, one a list and part, in order; returns their folder."""
+    return write_lines(lines.select(F.concat("list", F.lit("."), F.col("part").cast("string"), F.lit(".txt")).alias("file"), "line_no", "line"), scratch_path(v.spark, name))
 
 
 def list_of(path: str):
     """The list and part that a file's path names, as list/part."""
-    return F.concat(F.regexp_extract(path, "list=([^/]+)", 1), F.lit("/"), F.regexp_extract(path, "part=([^/]+)", 1))
+    return F.regexp_replace(F.regexp_extract(path, r"([^/]+)\.txt$", 1), r"\.", "/")
 
 
 def ini_files(v: Views) -> str:
@@ -64,8 +62,8 @@ def ini_coverage(v: Views):
 
 
 def headed(v: Views, name: str, lines) -> str:
-    """Write the same kind of file for each supplier: its ``lines`` (an array column); returns the path of all."""
-    rows = v.table("supplier").select(F.col("s_suppkey").alias("list"), F.lit(0).alias("part"), F.posexplode(lines).alias("line_no", "line"))
+    """Write the same kind of file for each supplier: its ``lines`` (an array column); returns their folder."""
+    rows = v.table("supplier").select(F.col("s_suppkey").cast("string").alias("list"), F.lit(0).alias("part"), F.posexplode(lines).alias("line_no", "line"))
     return listed(v, rows, name)
 
 
@@ -74,7 +72,7 @@ def key():
 
 
 def file_name():
-    return F.concat(F.lit("f"), F.regexp_extract("path", "list=([^/]+)", 1))
+    return F.concat(F.lit("f"), F.regexp_extract("path", r"([^/.]+)\.0\.txt$", 1))
 
 
 @query("scan_ini_header", """SELECT 'f' || CAST(s_suppkey AS STRING) AS path, '0.' || CAST(s_suppkey % 300 AS STRING) AS version, 'mame' || CAST(s_suppkey % 300 AS STRING) AS build,
@@ -140,7 +138,7 @@ def scan_vocabulary(v: Views):
 @query("fingerprint_files", "SELECT 'f' || CAST(s_suppkey AS STRING) AS file, CAST(octet_length(encode(t)) AS BIGINT) AS size, sha256(t) AS sha256 FROM (SELECT s_suppkey, s_name || chr(10) || repeat('x', s_suppkey % 50) || chr(10) AS t FROM supplier)")
 def fingerprint_files(v: Views):
     path = headed(v, "fingerprints", F.array(F.col("s_name"), F.repeat(F.lit("x"), (key() % 50).cast("int"))))
-    files = S.fingerprint_files(v.spark, path + "/*.txt", whole_bytes=40)  # about half of them are streamed
+    files = S.fingerprint_files(v.spark, path, whole_bytes=40)  # about half of them are streamed
     return files.select(file_name().alias("file"), "size", "sha256")
 
 

@@ -119,3 +119,13 @@ def test_long_blocks_show_the_change_only(spark):
     got = detail(spark, [("m", "t", [LONG[0] + "July 1991" + LONG[1]])], [("m", "t", [LONG[0] + "25 July 1991" + LONG[1]])])
     (row,) = got
     assert "25 July 1991" in row[8] and len(row[7]) < 200 and row[7].startswith("...") and row[8].endswith("...")
+
+
+def test_written_lines(spark, tmp_path):
+    """Files lie in one folder, whole and in order."""
+    rows = [(f"f{k}.{k % 2}.txt", n, None if n == 2 else f"é{k} {n}") for k in range(50) for n in range(4)]
+    path = lines.write_lines(spark.createDataFrame(rows, "file string, line_no int, line string").repartition(3), f"file://{tmp_path}/out")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted({r[0] for r in rows})
+    assert (tmp_path / "out" / "f7.1.txt").read_text() == "é7 0\né7 1\n\né7 3\n"
+    got = lines.read_lines(spark, path).select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "line_no", "line").collect()
+    assert sorted(map(tuple, got)) == sorted((f, n + 1, t or "") for f, n, t in rows)
