@@ -162,3 +162,15 @@ def test_last_of_a_name_in_document_order(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_signature_is_the_digest_of_ordered_facts(spark):
+    rows = [("s", "b", 2), ("t", "x", 9), (None, "n", 1), ("s", "a", 10), ("s", "a", 2), ("s", "é", None)]
+    df = spark.createDataFrame(rows, "stage string, path string, size int").repartition(3)
+    want = {
+        "s": '[{"path":"a","size":2},{"path":"a","size":10},{"path":"b","size":2},{"path":"é"}]',
+        "t": '[{"path":"x","size":9}]',
+        None: '[{"path":"n","size":1}]',
+    }
+    got = {r["stage"]: r["signature"] for r in I.dependency_signature(df, ["path", "size"]).collect()}
+    assert got == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in want.items()}
