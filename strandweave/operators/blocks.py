@@ -108,6 +108,13 @@ STAFF_PAIR, STAFF_HEADING = r"^\s*\*([^*\n]+)\*\s*:\s*(\S.*)$", r"^\s*\*([^*\n]+
 PAIR_COLON, PAIR_DASH = r"^\s*([^:]{1,100}?)\s*:\s+(\S.*\S|\S)\s*$", r"^\s*([^-]{1,100}?)\s+-\s+(\S.*\S|\S)\s*$"
 LIST_KINDS = ["bullet_list", "numbered_list"]
 SECTION = ["machine", "section"]
+#: Lines that a task sorts, about. Lines of articles compress so well that AQE, which goes by bytes, packs millions together.
+TASK_LINES = 100_000
+
+
+def tasks_for(lines: DataFrame) -> int:
+    """Tasks for a shuffle of ``lines``, by their counted number; a number told to ``repartition`` stays as it is."""
+    return max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), lines.count() // TASK_LINES + 1)
 
 
 def words(c: Column) -> Column:
@@ -153,17 +160,21 @@ def topic_lines(flagged: DataFrame) -> DataFrame:
     return rows.join(chosen, [*SECTION, "_g"]).select(*SECTION, "line_no", first.alias("topic"), described.alias("described")).where("topic or described")
 
 
-def line_kinds(lines: DataFrame) -> DataFrame:
+def line_kinds(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     """``lines`` (machine, section, line_no, line) with kind and detector: the first rule that a line meets.
 
+    ``tasks`` are those of its shuffles (``tasks_for``), if told.
+
     Rules look at a line, its section and its neighbours only: rules and blanks, topics, staff emphasis, headings,
     section-specific headings, bullets, numbers, pairs (block mode, not in tips), items that go on, paragraphs.
     """
     w = Window.partitionBy(*SECTION).orderBy("line_no")
     whole = Window.partitionBy(*SECTION)
     tag = F.lower(F.trim("section"))
-    rows = line_flags(lines)
-    rows = rows.join(topic_lines(rows), [*SECTION, "line_no"], "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("topic", "described")})
+    spread = lambda df, *by: df.repartition(tasks, *by) if tasks else df
+    line = [*SECTION, "line_no"]
+    rows = line_flags(spread(lines, "machine"))
+    rows = spread(spread(rows, *line).join(spread(topic_lines(rows), *line), line, "left"), "machine").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("topic", "described")})
     heuristic = tag.isin(HEURISTIC) & ~F.bool_or("structural").over(whole) & (F.count_if(~F.col("blank")).over(whole) > 1)
     rows = rows.withColumn("per_line", tag.isin(PER_LINE) | heuristic)
     t = F.coalesce(F.col("line"), F.lit(""))
@@ -209,14 +220,14 @@ def line_kinds(lines: DataFrame) -> DataFrame:
     return rows.withColumn("kind", F.when(F.col("joined").isNotNull(), "bullet_list").otherwise(F.col("kind")))
 
 
-def text_blocks(lines: DataFrame) -> DataFrame:
+def text_blocks(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     """(machine, section, block_index, type, text, items, label, value, first_line, last_line, text_hash).
 
     Blocks are islands of ``line_kinds``: list lines of one kind and, in block mode, lines of a paragraph; every other
     kind is a block of its own, a topic two (its title and its text). Items keep their continuations.
     """
     w = Window.partitionBy(*SECTION).orderBy("line_no")
-    rows = line_kinds(lines)
+    rows = line_kinds(lines, tasks or tasks_for(lines))
     merges = F.col("kind").isin(*LIST_KINDS, "paragraph") & (F.col("kind") == F.lag("kind").over(w))
     rows = rows.withColumn("_new", ~F.coalesce(merges, F.lit(False))).withColumn("_b", F.sum(F.col("_new").cast("int")).over(w)).where("kind <> 'break'")
     t = F.trim("line")
@@ -292,9 +303,10 @@ def article_blocks(lines: DataFrame) -> DataFrame:
     """
     from .articles import clean_line, sections_from_lines, suppress_lines
 
+    tasks = tasks_for(lines)
     rows = sections_from_lines(lines).withColumn("line", clean_line(F.col("line")))
     rows = rows.where(~F.col("section").isin("PORTS", "CONTRIBUTE")).withColumn("section", F.when(F.col("section") == "OPENING", "OVERVIEW").otherwise(F.col("section")))
     kept = suppress_lines(rows).where("kept")
     each = kept.select("machine", "section", "line_no", F.posexplode(F.when(F.col("gap_before"), F.array(F.lit(""), F.col("line"))).otherwise(F.array("line"))).alias("_p", "line"))
     place = F.row_number().over(Window.partitionBy("machine", "section").orderBy("line_no", "_p")) - 1
-    return attach_preambles(promote_preambles(block_contract(text_blocks(each.select("machine", "section", place.alias("line_no"), "line")))))
+    return attach_preambles(promote_preambles(block_contract(text_blocks(each.select("machine", "section", place.alias("line_no"), "line"), tasks))))

@@ -46,3 +46,15 @@ def test_article(spark):
     df = spark.createDataFrame([("m", i, t) for i, t in enumerate(text)], "machine string, line_no int, line string")
     got = [(r["section"], *shown(r)) for r in B.article_blocks(df).orderBy("section", "block_index").collect()]
     assert got == [("OVERVIEW", "paragraph", "A fine story, told well."), ("TECHNICAL", "pair", "Kept=no"), ("TRIVIA", "bullet_list", "a|b")]
+
+
+def test_lines_are_dealt_by_their_number(spark, monkeypatch):
+    """Lines that compress well do not gather in few tasks: shuffles have as many as the lines ask for, results are the same."""
+    rows = [(f"m{k}", "TRIVIA", n, "Intro goes:" if (n + k) % 3 == 0 else "Words end.") for k in range(40) for n in range(6)]
+    df = spark.createDataFrame(rows, "machine string, section string, line_no int, line string")
+    want = sorted(map(str, B.promote_preambles(B.text_blocks(df)).collect()))
+    monkeypatch.setattr(B, "TASK_LINES", 10)
+    got = B.promote_preambles(B.text_blocks(df))
+    assert B.tasks_for(df) == 25 and sorted(map(str, got.collect())) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ", 25), REPARTITION_BY_NUM" in plan
