@@ -227,6 +227,17 @@ def test_quality_learns_and_scores(spark, odd, none):
     assert [r["score"] for r in quality.score(df, flat).collect()] == pytest.approx([0.3] * 400)
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """Means of the model are those of all labelled rows, thousands of each class, and the threshold leaves the share of bad ones."""
+    texts = {i: f"w{i} " * (i % 13 + 1) if i % 8 else f"W{i}!! " * (i % 5 + 1) for i in range(10_000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = quality.fit(df, df.selectExpr("doc_id", "CAST(doc_id % 8 > 0 AS INT) AS quality"))
+    seen = [i for i in texts if __import__("zlib").crc32(str(i).encode()) % 5]
+    x = np.array([quality.features(texts[i]) for i in seen])
+    assert model.mean == pytest.approx(x.mean(0), abs=1e-9)
+    assert int((model.raw(x) < model.cut).sum()) == sum(i % 8 == 0 for i in seen)
+
+
 # 5 lines
 
 
