@@ -74,16 +74,46 @@ class Contract:
         name = f"x{next(self.fresh)}"
         return f"{how}({rows}, {name} -> {use(name)})"
 
-    def checks(self, piece: dict, v: str) -> Iterable[tuple[str, str, str]]:
-        """(rule, condition that is true if broken, detail) of the words that look at a value alone, not below it."""
+    def opened(self, piece: dict, v: str, use: Callable[[dict[str, str]], str]) -> str:
+        """``use`` of what the words of ``piece`` look at in ``v``, read once: members (a map, where more than two or their
+        names count, else only whether it is an object), items (an array) and kind (as schema_of_variant tells it). To read
+        a member copies it, to tell the type of an array or object describes all of it."""
+        kinds = set(piece["type"] if isinstance(piece.get("type"), list) else [piece.get("type")])
+        read = {}
+        if self.mapped(piece):
+            read["members"] = f"try_variant_get({v}, '$', 'map<string,variant>')"
+        elif "object" in kinds or {"required", "minProperties", "maxProperties"} & set(piece):
+            read["members"] = f"try_variant_get({v}, '$', 'map<string,struct<>>')"
+        if {"items", "uniqueItems"} & set(piece):
+            read["items"] = f"try_variant_get({v}, '$', 'array<variant>')"
+        elif "array" in kinds or {"minItems", "maxItems"} & set(piece):
+            read["items"] = f"try_variant_get({v}, '$', 'array<struct<>>')"
+        if kinds - {"object", "array", None} or {"minimum", "maximum", "minLength", "maxLength", "pattern", "format"} & set(piece):
+            read["kind"] = f"schema_of_variant({v})"
+        if not read:
+            return use({})
+        return self.let(f"named_struct({', '.join(f"'{n}', {e}" for n, e in read.items())})", lambda x: use({n: f"{x}.{n}" for n in read}))
+
+    @staticmethod
+    def mapped(piece: dict) -> bool:
+        return len({*piece.get("properties", {}), *piece.get("required", [])}) > 2 or "patternProperties" in piece or piece.get("additionalProperties", True) is not True
+
+    def checks(self, piece: dict, v: str, held: dict[str, str]) -> Iterable[tuple[str, str, str]]:
+        """(rule, condition that is true if broken, detail) of the words that look at a value alone, not below it; ``held``
+        is what ``opened`` read of it."""
         odd = set(piece) - self.KNOWN - self.DESCRIBE
         if odd:
             raise ValueError(f"words that no contract here has: {sorted(odd)}")
-        shape, number, text, as_json = f"schema_of_variant({v})", f"try_variant_get({v}, '$', 'double')", f"try_variant_get({v}, '$', 'string')", f"to_json({v})"
-        kind = lambda k: _IS[k].format(s=shape, n=number)
+        number, text, as_json = f"try_variant_get({v}, '$', 'double')", f"try_variant_get({v}, '$', 'string')", f"to_json({v})"
+        items, members = held.get("items"), held.get("members")
+
+        def kind(k: str) -> str:
+            container = {"object": members, "array": items}.get(k)
+            return f"{container} IS NOT NULL" if container else _IS[k].format(s=held["kind"], n=number)
+
         if "type" in piece:
             kinds = piece["type"] if isinstance(piece["type"], list) else [piece["type"]]
-            told = " ".join(f"WHEN {kind(k)} THEN '{k}'" for k in _IS)
+            told = " ".join(f"WHEN {test.format(s=f'schema_of_variant({v})', n=number)} THEN '{k}'" for k, test in _IS.items())
             yield "type", f"NOT ({' OR '.join(map(kind, kinds))})", f"CASE {told} END"
         if "enum" in piece or "const" in piece:
             some = ", ".join(quoted(json.dumps(x, separators=(",", ":"), ensure_ascii=False)) for x in piece.get("enum", [piece.get("const")]))
@@ -97,14 +127,13 @@ class Contract:
         for rule, pattern in (("pattern", piece.get("pattern")), ("format", DATE_TIME if piece.get("format") == "date-time" else None)):
             if pattern:
                 yield rule, f"{kind('string')} AND NOT {text} RLIKE {quoted(pattern)}", text
-        items, members = f"try_variant_get({v}, '$', 'array<variant>')", f"try_variant_get({v}, '$', 'map<string,variant>')"
         for rule, sign, of in (("minItems", "<", items), ("maxItems", ">", items), ("minProperties", "<", members), ("maxProperties", ">", members)):
             if rule in piece:
                 yield rule, f"size({of}) {sign} {piece[rule]} AND {of} IS NOT NULL", f"size({of})"
         if piece.get("uniqueItems"):
-            yield "uniqueItems", f"{items} IS NOT NULL AND size(array_distinct({self.each('transform', items, lambda x: f'to_json({x})')})) < size({items})", f"size({items})"
+            yield "uniqueItems", f"size({items}) > 1 AND size(array_distinct({self.each('transform', items, lambda x: f'to_json({x})')})) < size({items})", f"size({items})"
         for name in piece.get("required", []):
-            yield "required", f"{kind('object')} AND {self.member(v, name)} IS NULL", quoted(name)
+            yield "required", f"{members} IS NOT NULL AND {self.member(piece, v, held, name)} IS NULL", quoted(name)
         if piece.get("additionalProperties", True) is False:
             more = self.each("filter", f"map_keys({members})", lambda k: f"NOT ({self.named(piece, k)})")
             yield "additionalProperties", f"{members} IS NOT NULL AND size({more}) > 0", f"array_join(array_sort({more}), ', ')"
@@ -115,8 +144,9 @@ class Contract:
         if "not" in piece:
             yield "not", self.sound(piece["not"], v), "''"
 
-    @staticmethod
-    def member(v: str, name: str) -> str:
+    def member(self, piece: dict, v: str, held: dict[str, str], name: str) -> str:
+        if self.mapped(piece) and held:
+            return f"try_element_at({held['members']}, {quoted(name)})"
         return f"try_variant_get({v}, {quoted(f"$['{name}']")}, 'variant')"
 
     @staticmethod
@@ -126,19 +156,18 @@ class Contract:
         ways = ([f"{key} IN ({own})"] if own else []) + [f"{key} RLIKE {quoted(p)}" for p in piece.get("patternProperties", {})]
         return " OR ".join(ways) or "FALSE"
 
-    def below(self, piece: dict, v: str) -> Iterable[tuple[str, dict, str, Callable[[str], str] | None]]:
+    def below(self, piece: dict, v: str, held: dict[str, str]) -> Iterable[tuple[str, dict, str, Callable[[str], str] | None]]:
         """(values, piece, step, filter): what a value holds: one member (step is its name, quoted), or the entries of an
         array (step is empty) or of a map that the filter takes (step is null)."""
         for name, sub in piece.get("properties", {}).items():
-            yield self.member(v, name), sub, quoted(name), None
+            yield self.member(piece, v, held, name), sub, quoted(name), None
         if "items" in piece:
-            yield f"try_variant_get({v}, '$', 'array<variant>')", piece["items"], "", None
-        entries = f"map_entries(try_variant_get({v}, '$', 'map<string,variant>'))"
+            yield held["items"], piece["items"], "", None
         for pattern, sub in piece.get("patternProperties", {}).items():
-            yield entries, sub, "null", lambda k, pattern=pattern: f"{k} RLIKE {quoted(pattern)}"
+            yield f"map_entries({held['members']})", sub, "null", lambda k, pattern=pattern: f"{k} RLIKE {quoted(pattern)}"
         rest = piece.get("additionalProperties", True)
         if isinstance(rest, dict):
-            yield entries, rest, "null", lambda k: f"NOT ({self.named(piece, k)})"
+            yield f"map_entries({held['members']})", rest, "null", lambda k: f"NOT ({self.named(piece, k)})"
 
     def sound(self, piece: dict | bool, v: str) -> str:
         """A condition: ``v``, a variant that is there, breaks nothing of ``piece``. Members with one allowed value come
@@ -146,19 +175,23 @@ class Contract:
         if isinstance(piece, bool):
             return str(piece).upper()
         piece = self.resolve(piece)
-        told = [f"coalesce(to_json({self.member(v, n)}) = {quoted(json.dumps(p['const']))}, {str(n not in piece.get('required', [])).upper()})" for n, p in piece.get("properties", {}).items() if "const" in p]
-        ways = [*told, *(f"NOT coalesce({broken}, FALSE)" for _, broken, _ in self.checks(piece, v))]
-        for values, sub, step, chosen in self.below(piece, v):
-            if step == "":
-                ways.append(f"coalesce({self.each('forall', values, lambda x, sub=sub: self.sound(sub, x))}, TRUE)")
-            elif step == "null":
-                ways.append(f"coalesce({self.each('forall', values, lambda e, sub=sub, chosen=chosen: f'NOT ({chosen(e + ".key")}) OR {self.sound(sub, e + ".value")}')}, TRUE)")
-            else:
-                ways.append(self.let(values, lambda c, sub=sub: f"({c} IS NULL OR {self.sound(sub, c)})"))
-        ways += [self.sound(p, v) for p in piece.get("allOf", [])]
-        if "if" in piece:
-            ways.append(f"CASE WHEN {self.sound(piece['if'], v)} THEN {self.sound(piece.get('then', True), v)} ELSE {self.sound(piece.get('else', True), v)} END")
-        return "(" + (" AND ".join(ways) or "TRUE") + ")"
+        told = [f"coalesce(to_json({self.member(piece, v, {}, n)}) = {quoted(json.dumps(p['const']))}, {str(n not in piece.get('required', [])).upper()})" for n, p in piece.get("properties", {}).items() if "const" in p]
+
+        def whole(held: dict[str, str]) -> str:
+            ways = [f"NOT coalesce({broken}, FALSE)" for _, broken, _ in self.checks(piece, v, held)]
+            for values, sub, step, chosen in self.below(piece, v, held):
+                if step == "":
+                    ways.append(f"coalesce({self.each('forall', values, lambda x, sub=sub: self.sound(sub, x))}, TRUE)")
+                elif step == "null":
+                    ways.append(f"coalesce({self.each('forall', values, lambda e, sub=sub, chosen=chosen: f'NOT ({chosen(e + ".key")}) OR {self.sound(sub, e + ".value")}')}, TRUE)")
+                else:
+                    ways.append(self.let(values, lambda c, sub=sub: f"({c} IS NULL OR {self.sound(sub, c)})"))
+            ways += [self.sound(p, v) for p in piece.get("allOf", [])]
+            if "if" in piece:
+                ways.append(f"CASE WHEN {self.sound(piece['if'], v)} THEN {self.sound(piece.get('then', True), v)} ELSE {self.sound(piece.get('else', True), v)} END")
+            return "(" + (" AND ".join(ways) or "TRUE") + ")"
+
+        return "(" + " AND ".join([*told, self.opened(piece, v, whole)]) + ")"
 
     def violations(self, piece: dict | bool, v: str, path: str) -> str:
         """What ``v`` breaks of ``piece``: VIOLATIONS."""
@@ -166,20 +199,24 @@ class Contract:
         if isinstance(piece, bool):
             return NONE if piece else one("false", "''")
         piece = self.resolve(piece)
-        found = [f"CASE WHEN {broken} THEN {one(rule, detail)} ELSE {NONE} END" for rule, broken, detail in self.checks(piece, v)]
-        for values, sub, step, chosen in self.below(piece, v):
-            if step == "":
-                at, x = f"x{next(self.fresh)}", f"x{next(self.fresh)}"
-                found.append(f"coalesce(flatten(transform({values}, ({x}, {at}) -> {self.violations(sub, x, f"concat({path}, '/', CAST({at} AS STRING))")})), {NONE})")
-            elif step == "null":
-                some = self.each("filter", values, lambda e, chosen=chosen: chosen(e + ".key"))
-                found.append(f"coalesce(flatten({self.each('transform', some, lambda e, sub=sub: self.violations(sub, e + '.value', f"concat({path}, '/', {e}.key)"))}), {NONE})")
-            else:
-                found.append(self.let(values, lambda c, sub=sub, step=step: f"CASE WHEN {c} IS NULL THEN {NONE} ELSE {self.violations(sub, c, f"concat({path}, '/', {step})")} END"))
-        found += [self.violations(p, v, path) for p in piece.get("allOf", [])]
-        if "if" in piece:
-            found.append(f"CASE WHEN {self.sound(piece['if'], v)} THEN {self.violations(piece.get('then', True), v, path)} ELSE {self.violations(piece.get('else', True), v, path)} END")
-        return f"concat({', '.join([NONE, *found])})"
+
+        def whole(held: dict[str, str]) -> str:
+            found = [f"CASE WHEN {broken} THEN {one(rule, detail)} ELSE {NONE} END" for rule, broken, detail in self.checks(piece, v, held)]
+            for values, sub, step, chosen in self.below(piece, v, held):
+                if step == "":
+                    at, x = f"x{next(self.fresh)}", f"x{next(self.fresh)}"
+                    found.append(f"coalesce(flatten(transform({values}, ({x}, {at}) -> {self.violations(sub, x, f"concat({path}, '/', CAST({at} AS STRING))")})), {NONE})")
+                elif step == "null":
+                    some = self.each("filter", values, lambda e, chosen=chosen: chosen(e + ".key"))
+                    found.append(f"coalesce(flatten({self.each('transform', some, lambda e, sub=sub: self.violations(sub, e + '.value', f"concat({path}, '/', {e}.key)"))}), {NONE})")
+                else:
+                    found.append(self.let(values, lambda c, sub=sub, step=step: f"CASE WHEN {c} IS NULL THEN {NONE} ELSE {self.violations(sub, c, f"concat({path}, '/', {step})")} END"))
+            found += [self.violations(p, v, path) for p in piece.get("allOf", [])]
+            if "if" in piece:
+                found.append(f"CASE WHEN {self.sound(piece['if'], v)} THEN {self.violations(piece.get('then', True), v, path)} ELSE {self.violations(piece.get('else', True), v, path)} END")
+            return found[0] if len(found) == 1 else f"concat({', '.join([NONE, *found])})"
+
+        return self.opened(piece, v, whole)
 
 
 def expect_contract(rows: DataFrame, contract: dict, *steps: str, key: str = "key", value: str = "value") -> DataFrame:
@@ -197,7 +234,7 @@ def expect_contract(rows: DataFrame, contract: dict, *steps: str, key: str = "ke
     if rest is not False:
         ways.append((f"NOT ({named})", rest))
     strange = f"CAST(array(named_struct('path', '', 'rule', 'additionalProperties', 'detail', key)) AS {VIOLATIONS})"
-    broken = [f"CASE WHEN {hit} AND NOT {made.sound(sub, '_v')} THEN {made.violations(sub, '_v', "concat('/', key)")} ELSE {NONE} END" for hit, sub in ways]
+    broken = [f"CASE WHEN {hit} THEN {made.violations(sub, '_v', "concat('/', key)")} ELSE {NONE} END" for hit, sub in ways]
     broken += [f"CASE WHEN NOT ({named}) THEN {strange} ELSE {NONE} END"] if rest is False else []
     no_json = f"CAST(array(named_struct('path', concat('/', key), 'rule', 'json', 'detail', '')) AS {VIOLATIONS})"
     parsed = rows.select(F.col(key).alias("key"), F.try_parse_json(value).alias("_v"))

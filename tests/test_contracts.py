@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandweave.operators import contract_documents as D
 from strandweave.operators import quality_rules as R
-from strandweave.operators.contracts import expect_contract
+from strandweave.operators.contracts import Contract, expect_contract
 
 
 def broken(spark, document, rows, *steps):
@@ -52,6 +52,12 @@ def test_paths_and_references(spark):
         broken(spark, {"additionalProperties": {"dependentRequired": {}}}, [("a", 1)])
 
 
+def test_types_are_told_once():
+    """The type of an object or array is never described, that of any other value once."""
+    record = D.record(**{f"m{n}": D.FULL for n in range(10)}, kids=D.listed(D.whole(0)))
+    assert Contract(record).sound(record, "v").count("schema_of_variant") == 11
+
+
 def test_published_documents(spark):
     port = {"regions": ["JP", "jp"], "platform": "", "model": [], "title": None, "date": "1990-1-1", "publisher": None, "comment": None, "additional_tags": [], "residue": []}
     got = broken(spark, D.PORTS, [("p", {"gh_id": 0, "aliases": ["x", "x"], "port_overview": "", "ports": {"CONSOLES": [port, port | {"regions": [], "platform": "x", "date": "19XX-XX-XX"}], "X": []}})])
