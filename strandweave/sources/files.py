@@ -169,6 +169,8 @@ def scan_category_list_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 MEMBER = "archive string, member string, crc long, size long, modified string, is_xml boolean, is_ini boolean, readable boolean, content binary"
+#: Members are handed on in frames of so many, or of so many bytes where their content is asked for.
+FRAME_ROWS, FRAME_BYTES = 4096, 16 << 20
 
 
 def scan_zip_members(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
@@ -178,30 +180,38 @@ def scan_zip_members(spark: SparkSession, path: str, content: bool = False) -> D
 
 def zip_members(files: DataFrame, content: bool = False) -> DataFrame:
     """The same for archives in a table (archive, bytes)."""
-
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-        import zipfile
-
-        for b in batches:
-            for archive, raw in zip(b["archive"], b["bytes"], strict=True):
-                rows = []
-                try:
-                    with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                        for m in z.infolist():
-                            if m.is_dir():
-                                continue
-                            try:
-                                data, fine = z.read(m), True
-                            except (zipfile.BadZipFile, OSError):
-                                data, fine = None, False
-                            low = m.filename.lower()
-                            rows.append((archive, m.filename, m.CRC, m.file_size, "%04d-%02d-%02d %02d:%02d:%02d" % m.date_time, low.endswith(".xml"), low.endswith(".ini"), fine, data if content else None))
-                except zipfile.BadZipFile:
-                    rows.append((archive, None, None, None, None, False, False, False, None))
-                yield pd.DataFrame(rows, columns=["archive", "member", "crc", "size", "modified", "is_xml", "is_ini", "readable", "content"])
-
-    return files.mapInPandas(members, MEMBER)
+    return files.mapInPandas(lambda batches: read_members(batches, content), MEMBER)
+
+
+def read_members(batches: Iterator[pd.DataFrame], content: bool) -> Iterator[pd.DataFrame]:
+    """Members as ``zip_members`` tells them: a frame for many archives, for a frame costs more than to read a small one."""
+    import io
+    import zipfile
+
+    columns = ["archive", "member", "crc", "size", "modified", "is_xml", "is_ini", "readable", "content"]
+    rows, held = [], 0
+    for b in batches:
+        for archive, raw in zip(b["archive"], b["bytes"], strict=True):
+            try:
+                with zipfile.ZipFile(io.BytesIO(raw)) as z:
+                    for m in z.infolist():
+                        if m.is_dir():
+                            continue
+                        try:
+                            data, fine = z.read(m), True
+                        except (zipfile.BadZipFile, OSError):
+                            data, fine = None, False
+                        low = m.filename.lower()
+                        rows.append((archive, m.filename, m.CRC, m.file_size, "%04d-%02d-%02d %02d:%02d:%02d" % m.date_time, low.endswith(".xml"), low.endswith(".ini"), fine, data if content else None))
+                        held += len(data or b"") if content else 0
+                        if len(rows) >= FRAME_ROWS or held >= FRAME_BYTES:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, held = [], 0
+            except zipfile.BadZipFile:
+                rows.append((archive, None, None, None, None, False, False, False, None))
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+            rows, held = [], 0
 
 
 def select_member(members: DataFrame, token: str, suffix: str = ".xml", rule: str = "digits") -> DataFrame:

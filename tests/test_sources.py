@@ -1,7 +1,9 @@
 """Readers and writers on small files."""
 
+import io
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +100,14 @@ def test_changed_span(spark):
     df = spark.createDataFrame([("the old text", "the new text"), ("same", "same"), ("", "x"), ("abab", "ab")], "a string, b string")
     got = [tuple(r["s"]) for r in df.select(diffs.changed_span(F.col("a"), F.col("b")).alias("s")).collect()]
     assert got == [(4, "old", "new"), (4, "", ""), (0, "", "x"), (2, "ab", "")]
+
+
+def test_zip_members_share_frames():
+    """Archives of a batch come in one frame, unless their content is large."""
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        z.writestr("a.xml", b"x" * (6 << 20))
+    batch = pd.DataFrame({"archive": [*"abcde"], "bytes": [b"no zip", *[raw.getvalue()] * 4]})
+    frames = list(files.read_members(iter([batch]), False))
+    assert [len(f) for f in frames] == [5] and frames[0]["readable"].tolist() == [False, True, True, True, True]
+    assert [len(f) for f in files.read_members(iter([batch]), True)] == [4, 1]
