@@ -24,3 +24,9 @@ def test_strip(spark):
     texts = [None, "", " ", "a", " \t a b \u00a0\u3000", "\u2003x\u2029", "\x0b\x0c\r\n", "\u200bx\u200b", "é "]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(text.strip(F.col("t"))).collect()] == [None if t is None else t.strip() for t in texts]
+
+
+def test_pieces(spark):
+    """Folds over brackets go over the marks and what is between them, not over every character."""
+    row = spark.sql("SELECT 'ab (c]) 日' AS t, '' AS e").select(text.pieces(F.col("t"), "()[]"), text.pieces(F.col("e"), "()")).first()
+    assert list(row) == [["ab ", "(", "c", "]", ")", " 日"], []]
