@@ -36,6 +36,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group that links of at least 0.8 of five-word shingles hold together.
 
+    Candidates are SimHash fingerprints with Golay keys, then shingle prefixes for what those do not hold together.
+
     Texts without words are no copies of each other; rows of one id share its fate, and rows with a null id stay.
     """
     return simhash.drop_near_copies(docs, n=5, similarity=0.8)
@@ -62,7 +64,7 @@ STAGES = [
     ("byte-level bpe", encode_tokens),
 ]
 
-#: No SQL says candidates by shingle prefixes or BPE; tests/llm holds the stages against brute force.
+#: No SQL says candidates by SimHash, shingle prefixes or BPE; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -150,7 +150,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return sig.join(label, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# --- similarity of word shingles: an exact join of shingle sets on the hashes of their prefixes ---
+# --- similarity of word shingles: SimHash links decided on whole sets, then an exact join of what they do not hold together ---
 
 #: Hashes in this lowest share of their range are ordered by how many sets hold them; sets are told apart by those.
 LOW = 0.3
@@ -170,29 +170,52 @@ def prefix_size_of(n: Column, similarity: float) -> Column:
     return (n - F.ceil(n * similarity - 1e-9) + 1).cast("int")
 
 
+def word_fingerprint(words: list[bytes]) -> int:
+    """SimHash of the set of words. Repeats do not count: the most frequent words would decide the bits, and unrelated
+    texts of one language would link."""
+    return majority(shingle_hashes(list(set(words)), 1))
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int, similarity: float, whole: bool = False) -> DataFrame:
-    """(id, node, size, prefix, hashes) of every row with words: a hash of its set of n-word shingles, the set's and its
-    prefix's size, and its hashes: all if ``whole``, else those in the LOW share of the range, or the prefix if longer."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("node", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("size", "prefix")), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    """(id, node, fp, size, prefix, hashes) of every row with words: a hash of its set of n-word shingles, the SimHash of
+    its words (null if ``whole``), the set's and its prefix's size, and its hashes: all if ``whole``, else those in the
+    LOW share of the range, or the prefix if longer."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("node", "fp")), *(T.StructField(c, T.IntegerType()) for c in ("size", "prefix")), T.StructField("hashes", T.ArrayType(T.LongType()))])
     bound = np.uint64(int(LOW * 2**64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, nodes, sizes, prefixes, hashes = [], [], [], [], []
+            at, nodes, fps, sizes, prefixes, hashes = [], [], [], [], [], []
             for k, t in enumerate(b.column(1)):
-                own = np.unique(shingle_hashes(words_of(t.as_py()), n))
+                words = words_of(t.as_py())
+                own = np.unique(shingle_hashes(words, n))
                 if not len(own):
                     continue
                 at.append(k)
+                fps.append(None if whole else word_fingerprint(words))
                 nodes.append(int(np.uint64(xxhash.xxh64_intdigest(own.astype("<u8").tobytes(), SEED)).view(np.int64)))
                 sizes.append(len(own))
                 prefixes.append(prefix_size(len(own), similarity))
                 hashes.append((own if whole else own[: max(int(np.searchsorted(own, bound)), prefixes[-1])]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.int32()), pa.array(hashes, pa.list_(pa.int64()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(nodes, pa.int64()), pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.int32()), pa.array(hashes, pa.list_(pa.int64()))], names=schema.names)
 
     return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b): candidate pairs of the nodes of (node, fp), by fingerprints at most BITS apart.
+
+    A fingerprint's smallest node stands for it: its other nodes are paired with that one, and ``links`` (Golay keys)
+    pairs those of different fingerprints. So a large class makes a pair a node.
+    """
+    reps = materialize(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "similar-reps")
+    own = nodes.join(reps, "fp").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    one, two = reps.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("fp").alias("b"), F.col("rep").alias("rb"))
+    pairs = materialize(own.union(links(reps).join(one, "a").join(two, "b").select("ra", "rb")), "similar-simhash")
+    discard(reps)
+    return pairs
+
+
 def shared_prefixes(sets: DataFrame) -> DataFrame:
     """(node, size, lone, hash): the prefix hashes of each distinct set that another set has in its prefix too.
 
@@ -229,8 +252,8 @@ def fits(a: Column, b: Column, similarity: float) -> Column:
 
 
 def met_leaders(ties: DataFrame, whole: DataFrame) -> DataFrame:
-    """(node, lead, size, leading, likeness, apart) of pairs of sets: their sizes, how alike they are, and, from NEAR
-    on, the hashes that just one of them has."""
+    """(node, lead, held, size, leading, likeness, apart) of the pairs of sets (node, lead, held): their sizes, how alike
+    they are, and, from NEAR on, the hashes that just one of them has."""
     leaders = whole.join(ties.select(F.col("lead").alias("node")).distinct(), "node", "left_semi")
     leaders = materialize(leaders.select(F.col("node").alias("lead"), F.col("hashes").alias("hl")), "similar-lead")
     held = leaders.agg(F.coalesce(F.sum(F.size("hl")), F.lit(0)).alias("n")).first()["n"]
@@ -238,13 +261,14 @@ def met_leaders(ties: DataFrame, whole: DataFrame) -> DataFrame:
     met = ties.join(whole, "node").join(small(leaders, held, 8), "lead").withColumn("both", both)
     met = met.withColumns({"size": F.size("hashes"), "leading": F.size("hl"), "likeness": F.col("both") / (F.size("hashes") + F.size("hl") - F.col("both"))})
     apart = F.when(F.col("likeness") >= NEAR, F.concat(F.array_except("hashes", "hl"), F.array_except("hl", "hashes")))
-    out = materialize(met.select("node", "lead", "size", "leading", "likeness", apart.alias("apart")), "similar-met")
+    out = materialize(met.select("node", "lead", "held", "size", "leading", "likeness", apart.alias("apart")), "similar-met")
     discard(leaders)
     return out
 
 
 def apart_pairs(met: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): candidate pairs among the sets of one leader, of which at most one is ``similarity`` like it.
+    """(a, b): candidate pairs among the sets of one leader, of which at most one is ``similarity`` like it or ``held``
+    together with it.
 
     Sets a and b differ in just what their differences from the leader differ in. So a pair that is alike has
     differences with many hashes in common, and those in turn have one among their first ones, as prefixes do: the
@@ -252,7 +276,7 @@ def apart_pairs(met: DataFrame, similarity: float) -> DataFrame:
     that b has; edits of one text of which each is another share none. Hashes of one set alone are never emitted.
     """
     k = (1 - similarity) / (1 + similarity)  # sets alike differ in at most this share of both their sizes
-    every = met.where(F.col("likeness") >= NEAR).select("lead", "node", "size", F.size("apart").alias("m"), (F.col("likeness") < similarity).alias("rest"), (F.size("apart") - k * (F.col("size") + F.col("leading"))).alias("slack"), F.explode("apart").alias("hash"))
+    every = met.where(F.col("likeness") >= NEAR).select("lead", "node", "size", F.size("apart").alias("m"), ((F.col("likeness") < similarity) & ~F.col("held")).alias("rest"), (F.size("apart") - k * (F.col("size") + F.col("leading"))).alias("slack"), F.explode("apart").alias("hash"))
     many = materialize(every.groupBy("lead", "hash").agg(F.count("*").alias("c"), F.bool_or("rest").alias("any")).where("c > 1"), "similar-apart")
     own = Window.partitionBy("lead", "node")
     ranked = every.join(many, ["lead", "hash"]).withColumn("place", F.row_number().over(own.orderBy("c", "hash")) + F.col("m") - F.count("*").over(own))
@@ -268,31 +292,37 @@ def apart_pairs(met: DataFrame, similarity: float) -> DataFrame:
     return one.join(two, ["lead", "hash"]).where(once & reach & fits(F.col("na"), F.col("nb"), similarity)).select("a", "b")
 
 
-def similar_links(prefixes: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+def similar_links(known: DataFrame, prefixes: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs of nodes at least ``similarity`` alike that join all such pairs into components.
 
-    The sets of a hash that few hold are all compared. Of a crowded one, the set with the fewest hashes of its own
-    leads and is compared with all the others. Two sets that are like the leader need no comparison, as they are
-    joined through it; other pairs of sets that are at least NEAR it are found by their differences from it
+    The ``known`` pairs are alike (SimHash links that whole sets have proved) and lead: what their components hold
+    together is not compared again. Prefixes of the sets find the pairs that join two of the components, for which
+    fingerprints give no guarantee. The sets of a hash that few hold are all compared. Of a crowded one, the set with
+    the fewest hashes of its own leads and is compared with all the others. Two sets that are like the leader, or in
+    its component, need no comparison, as they are joined through it; other pairs of sets that are at least NEAR it are found by their differences from it
     (``apart_pairs``). Of a pair that is left, one set is less than NEAR the leader, and so, as 1 - likeness is a
     metric, is the other less than NEAR + 1 - ``similarity``. Only those sets go on: the next round takes prefixes of
     their whole sets, ordered by how many of these sets hold a hash. Should rounds stop to thin them out, all their
     pairs of different components are compared. So none that could join two components is left out.
     """
     side = lambda df, name: df.select("hash", F.col("node").alias(name), F.col("size").alias(f"n{name}"), *(F.col(c).alias(f"{c}{name}") for c in df.columns if c == "label"))
-    found = materialize(whole.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")), "similar-found")
-    before = None
+    labels = materialize(connected_components(known, "similar-cc").withColumnRenamed("component", "label"), "similar-labels")
+    labels = small(labels, labels.count(), 16)
+    apart = (F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & fits(F.col("na"), F.col("nb"), similarity)
+    found, before = known, None
     while True:
-        few = prefixes.where(F.col("n") <= CROWD)
-        pairs = side(few, "a").join(side(few, "b"), "hash").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb"), similarity))
+        few = prefixes.where(F.col("n") <= CROWD).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        pairs = side(few, "a").join(side(few, "b"), "hash").where(apart)
         close = alike(pairs.select("a", "b"), whole, similarity)
         crowd = prefixes.where(F.col("n") > CROWD)
         leads = materialize(crowd.groupBy("hash").agg(F.min(F.struct("lone", F.xxhash64("node").alias("_h"), "node")).alias("x")).select("hash", F.col("x.node").alias("lead")), "similar-leads")
         if leads.isEmpty():
             return materialize(found.union(close), "similar-found")
         tied = materialize(crowd.join(leads, "hash").where("node <> lead"), "similar-tied")
-        met = met_leaders(tied.select("node", "lead").distinct(), whole)
-        near = met.where(F.col("likeness") >= similarity).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+        ties = tied.select("node", "lead").distinct().join(labels, "node", "left")
+        ties = ties.join(labels.select(F.col("node").alias("lead"), F.col("label").alias("leading")), "lead", "left")
+        met = met_leaders(ties.select("node", "lead", F.coalesce(F.col("label") == F.col("leading"), F.lit(False)).alias("held")), whole)
+        near = met.where((F.col("likeness") >= similarity) & ~F.col("held")).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
         rest = alike(apart_pairs(met, similarity), whole, similarity)
         more = materialize(found.union(close).union(near).union(rest), "similar-found")
         far = materialize(tied.join(met.where(F.col("likeness") < NEAR + 1 - similarity).select("node", "lead"), ["node", "lead"]).select("hash", "node", "size"), "similar-far")
@@ -309,7 +339,7 @@ def similar_links(prefixes: DataFrame, whole: DataFrame, similarity: float) -> D
     if held:
         comp = connected_components(found, "similar-cc").withColumnRenamed("component", "label")
         rows = materialize(far.join(comp, "node", "left").withColumn("label", F.coalesce("label", "node")), "similar-rows")
-        pairs = side(rows, "a").join(side(rows, "b"), "hash").where((F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & fits(F.col("na"), F.col("nb"), similarity))
+        pairs = side(rows, "a").join(side(rows, "b"), "hash").where(apart)
         found = materialize(found.union(alike(pairs.select("a", "b"), whole, similarity)), "similar-found")
     return found
 
@@ -317,22 +347,28 @@ def similar_links(prefixes: DataFrame, whole: DataFrame, similarity: float) -> D
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies (the smallest id), all columns kept.
 
-    Near copies share at least ``similarity`` of their sets of n-word shingles (Jaccard, judged on the whole sets). Two
-    such sets share a hash of their prefixes (``prefix_size``) in any one order of hashes, so all are found; SimHash
-    fingerprints of shingles that are 0.8 alike differ in about 10 of 64 bits, which no segment keys bridge. Equal sets
-    are one node. Whole sets are made again from the texts of those that share a prefix hash. Rows without words (null
+    Near copies share at least ``similarity`` of their sets of n-word shingles (Jaccard, judged on the whole sets). Equal
+    sets are one node. Candidates are the nodes whose SimHash fingerprints, of their words, link by Golay keys
+    (``fingerprint_pairs``); whole sets decide, and components hold the links together. Fingerprints promise nothing
+    about likeness, so an exact way for the rest follows (``similar_links``): two sets that are so alike share a hash of their
+    prefixes (``prefix_size``) in any one order of hashes. Whole sets are made again from the texts of those that have a
+    candidate or share a prefix hash. Rows without words (null
     and empty texts among them) have no shingles and are not near copies. Rows of one id share its fate. Null ids are kept.
     """
     sets = materialize(shingle_sets(docs, id_col, text_col, n, similarity).where("id is not null"), "similar-sets")
+    signed = materialize(sets.groupBy("node").agg(F.min("fp").alias("fp")), "similar-fp")
+    pairs = fingerprint_pairs(signed)
+    discard(signed)
     prefixes = shared_prefixes(sets)
-    nodes = materialize(sets.join(prefixes.select("node").distinct(), "node").groupBy("node").agg(F.min("id").alias("_sw_id")), "similar-nodes")
+    some = prefixes.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    nodes = materialize(sets.join(some, "node").groupBy("node").agg(F.min("id").alias("_sw_id")), "similar-nodes")
     held = nodes.count()
     some = docs.join(small(nodes.select("_sw_id"), held, 32), docs[id_col] == F.col("_sw_id"), "left_semi")
     whole = shingle_sets(some, id_col, text_col, n, similarity, whole=True).join(small(nodes.select("node"), held, 32), "node", "left_semi")
     whole = materialize(whole.groupBy("node").agg(F.first("hashes").alias("hashes")), "similar-whole")
-    links = similar_links(prefixes, whole, similarity)
-    discard(prefixes, nodes, whole)
-    comp = connected_components(links, "similar-cc")
+    found = similar_links(alike(pairs, whole, similarity), prefixes, whole, similarity)
+    discard(pairs, prefixes, nodes, whole)
+    comp = connected_components(found, "similar-cc")
     named = sets.select("id", "node").join(comp, "node", "left").select("id", F.coalesce("component", "node").alias("component"))
     least = materialize(named.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("m")).where("m > 1"), "similar-least")
     gone = materialize(named.join(least, "component").where("id <> least").select(F.col("id").alias("_sw_id")).distinct(), "similar-out")

@@ -442,6 +442,25 @@ def test_near_copies_are_judged_on_whole_sets(spark):
     assert {r["doc_id"] for r in simhash.drop_near_copies(df).collect()} == want
 
 
+def test_near_copies_are_found_by_fingerprints(spark, monkeypatch):
+    """The SimHash links that whole sets prove, without the prefixes that follow."""
+    monkeypatch.setattr(simhash, "shared_prefixes", lambda sets, every=simhash.shared_prefixes: simhash.materialize(every(sets).limit(0), "none"))
+    rng = random.Random(13)
+    docs = []
+    for _ in range(10):
+        words = sentence(rng, 200).split()
+        docs += [" ".join(words), " ".join(words[:53] + words[50:])]  # three words twice: the same fingerprint
+        docs += [edited(rng, words, 1) for _ in range(4)]  # some bits away
+        words = sentence(rng, 60).split()
+        docs += [" ".join(words), " ".join(words[::-1])]  # the same fingerprint, not alike
+    fps = [simhash.word_fingerprint(simhash.words_of(t)) & (1 << 64) - 1 for t in docs]
+    sets = [set(simhash.shingle_hashes(simhash.words_of(t), 5).tolist()) for t in docs]
+    comp = components_by_hand(range(len(docs)), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 2 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    want = {i for i in comp if comp[i] == i}
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in simhash.drop_near_copies(df).collect()} == want and len(want) < 65
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50 + i) for i in range(20)] + [(7, 7), (None, 3), (200, 201)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
