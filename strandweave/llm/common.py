@@ -13,6 +13,8 @@ from ..sources.scratch import scratch_path
 SPACES = " \t\n\x0b\x0c\r"
 #: A side is broadcast only up to this many estimated bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 32 << 20
+#: A row of one or two longs in a broadcast hash table.
+PAIR_BYTES = 64
 
 #: Rows of an Arrow batch of texts, at most.
 BATCH_ROWS = 512
@@ -43,9 +45,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, a side of a join that shuffles both. Spark sizes a table by its compressed files, and the rows that an explode or
+    a Python function adds by those that go in; on such a size it would broadcast what the driver can't hold."""
+    return df.hint("merge")
+
+
 def small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted ``rows`` fit BROADCAST_BYTES, else as it is (a shuffle join)."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+    """``df`` with a broadcast hint if its counted ``rows`` fit BROADCAST_BYTES, else for a shuffle join."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else shuffled(df)
 
 
 def strip_spaces(text: Column) -> Column:
@@ -80,10 +88,10 @@ def connected_components(edges: DataFrame, name: str, rounds: int = 40) -> DataF
         mark = (now["n"], now["x"])
         both = cur.union(cur.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(small(least, 2 * now["n"], PAIR_BYTES), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        near = large.join(least, "u")
+        near = large.join(small(least, 2 * now["n"], PAIR_BYTES), "u")
         new = near.select("u", F.col("m").alias("v")).union(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         new = materialize(new, name)
         discard(cur)

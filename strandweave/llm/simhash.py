@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import golay
-from .common import connected_components, discard, materialize, small, small_batches
+from .common import PAIR_BYTES, connected_components, discard, materialize, shuffled, small, small_batches
 
 SEED = 42
 #: Fingerprints link up to this many differing bits; the keys and the words in between are made for 2.
@@ -117,16 +117,16 @@ def links(fps: DataFrame) -> DataFrame:
     keys = bucket_keys(fps.select("fp"), ["fp"])
     hot = materialize(crowded(keys, PAIRS), "simhash-hot")
     n_hot = hot.count()
-    cold = keys if not n_hot else keys.join(small(hot, n_hot, 32), "key", "left_anti")
+    cold = keys if not n_hot else keys.join(small(hot, n_hot, PAIR_BYTES), "key", "left_anti")
     index = cold.where("not probe").select("key", F.col("fp").alias("a"))
     probe = cold.where("probe").select("key", F.col("fp").alias("b"))
-    pairs = index.join(probe, "key").where((F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= BITS)).select("a", "b")
+    pairs = index.join(shuffled(probe), "key").where((F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= BITS)).select("a", "b")
     if n_hot:
-        packed = keys.join(small(hot, n_hot, 32), "key", "left_semi").select("fp").distinct()
+        packed = keys.join(small(hot, n_hot, PAIR_BYTES), "key", "left_semi").select("fp").distinct()
         masks = [0, *(1 << b for b in range(63)), -(1 << 63)]
         words = packed.select("fp", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("m")).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("w"))
         least = words.groupBy("w").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("w", "a")
-        star = words.join(least, "w").where("a <> fp").select("a", F.col("fp").alias("b"))
+        star = words.join(shuffled(least), "w").where("a <> fp").select("a", F.col("fp").alias("b"))
         pairs = pairs.union(star)
     return pairs.distinct()
 
@@ -141,13 +141,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     sig = materialize(fingerprints(docs, id_col, text_col, n), "simhash-fp")
     reps = materialize(sig.groupBy("fp").agg(F.min("id").alias("least")), "simhash-reps")
+    n_reps = reps.count()
     comp = connected_components(links(reps), "simhash-cc")
-    joined = reps.join(comp, reps["fp"] == comp["node"])
+    n_comp = comp.count()
+    joined = reps.join(small(comp, n_comp, PAIR_BYTES), reps["fp"] == comp["node"])
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    moved = joined.join(least, "component").select(F.col("node").alias("moved"), "component_id")
-    label = reps.join(moved, reps["fp"] == moved["moved"], "left").select(reps["fp"], F.when(F.col("moved").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    moved = joined.join(small(least, n_comp, PAIR_BYTES), "component").select(F.col("node").alias("moved"), "component_id")
+    label = reps.join(small(moved, n_comp, PAIR_BYTES), reps["fp"] == moved["moved"], "left").select(reps["fp"], F.when(F.col("moved").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
     label = materialize(label, "simhash-label")
-    return sig.join(label, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return sig.join(small(label, n_reps, PAIR_BYTES), "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 # --- similarity of word shingles: SimHash links decided on whole sets, then an exact join of what they do not hold together ---

@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strandweave.llm import bpe, chat, exact_dedup, golay, hnsw, line_dedup, mixing, quality, secret_scan, sharding, simhash
+from strandweave.llm import bpe, chat, common, exact_dedup, golay, hnsw, line_dedup, mixing, quality, secret_scan, sharding, simhash
 from strandweave.llm.common import connected_components, strip_spaces, word_count
 
 WIDE = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, h string, size string, shard string, score string, ids string, spans string, norm string"
@@ -381,6 +381,35 @@ def test_simhash_links_are_exact(spark, monkeypatch, pairs):
     assert {f: got.get(f, f) for f in signed} == want
 
 
+def broadcasts(df) -> int:
+    return df._jdf.queryExecution().sparkPlan().toString().count("BroadcastHashJoin")
+
+
+@pytest.fixture
+def uncounted(monkeypatch):
+    """Broadcast joins of the tables that are written, once no counted side is small: those that Spark sized itself."""
+    seen, write = [], common.materialize
+
+    def watched(df, name):
+        if broadcasts(df):
+            seen.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    for module in (common, simhash, exact_dedup):
+        monkeypatch.setattr(module, "materialize", watched)
+    return seen
+
+
+def test_simhash_broadcasts_nothing_uncounted(spark, uncounted):
+    """Keys are many times the rows that they are made from, and Spark sizes them by those."""
+    rng = random.Random(14)
+    fps = common.materialize(spark.createDataFrame([(rng.getrandbits(63) >> 9,) for _ in range(300)], "fp long"), "t-fps")
+    assert not broadcasts(simhash.links(fps))
+    docs = spark.createDataFrame([(i, sentence(rng, 30)) for i in range(60)] * 2, "doc_id long, text string")
+    assert not broadcasts(simhash.near_duplicates(docs)) and not uncounted
+
+
 def test_near_copies(spark, none, odd):
     rng = random.Random(6)
     docs, groups = [], 30
