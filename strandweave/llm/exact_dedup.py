@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small, strip_spaces
+from .common import materialize, shuffled, small, strip_spaces
 
 
 def md5_128(norm: Column) -> Column:
@@ -33,14 +33,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
     per_hash = materialize(sig.groupBy("h").agg(best, F.count("*").alias("group_size")), "dedup-best")
     clash = collisions(rows.select("h", "norm"), per_hash.where("group_size > 1").select("h"))
     if clash is None:
-        out = sig.join(per_hash, "h")
+        out = sig.join(shuffled(per_hash), "h")
     else:
         # a hash value with several texts: classes are (hash, text)
         exact = rows.join(clash, "h", "left_semi").select("h", "norm", F.sha2("norm", 256).alias("sha")).distinct()
         part = sig.join(clash, "h", "left_semi").join(exact, ["h", "sha"])
         per_text = part.groupBy("h", "norm").agg(best, F.count("*").alias("group_size"))
         part = part.join(per_text, ["h", "norm"]).drop("norm")
-        rest = sig.join(clash, "h", "left_anti").join(per_hash, "h")
+        rest = sig.join(clash, "h", "left_anti").join(shuffled(per_hash), "h")
         out = rest.unionByName(part.select(rest.columns))
     return out.select(F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept"), F.col("sha").alias("text_sha256"))
 

@@ -211,9 +211,9 @@ def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
     pairs those of different fingerprints. So a large class makes a pair a node.
     """
     reps = materialize(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "similar-reps")
-    own = nodes.join(reps, "fp").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    own = nodes.join(shuffled(reps), "fp").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     one, two = reps.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), reps.select(F.col("fp").alias("b"), F.col("rep").alias("rb"))
-    pairs = materialize(own.union(links(reps).join(one, "a").join(two, "b").select("ra", "rb")), "similar-simhash")
+    pairs = materialize(own.union(links(reps).join(shuffled(one), "a").join(shuffled(two), "b").select("ra", "rb")), "similar-simhash")
     discard(reps)
     return pairs
 
@@ -227,13 +227,13 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
     """
     every = sets.select("node", "size", "prefix", F.size("hashes").alias("kept"), F.explode("hashes").alias("hash"))
     many = materialize(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "similar-many")
-    shared = materialize(every.join(many, "hash").distinct(), "similar-shared")
+    shared = materialize(every.join(shuffled(many), "hash").distinct(), "similar-shared")
     discard(many)
     own = Window.partitionBy("node")
     ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("n", "hash"))).withColumn("lone", F.col("kept") - F.count("*").over(own))
     first = materialize(ranked.where("rank <= prefix - lone").select("node", "size", (F.col("lone") / F.col("kept")).alias("lone"), "hash"), "similar-first")
     again = materialize(first.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "similar-again")
-    prefixes = materialize(first.join(again, "hash").select("node", "size", "lone", "hash", "n"), "similar-prefixes")
+    prefixes = materialize(first.join(shuffled(again), "hash").select("node", "size", "lone", "hash", "n"), "similar-prefixes")
     discard(shared, first, again)
     return prefixes
 
@@ -243,7 +243,7 @@ def alike(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "similar-pairs")
     one, two = whole.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), whole.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
-    found = materialize(pairs.join(one, "a").join(two, "b").where(both / (F.size("ha") + F.size("hb") - both) >= similarity).select("a", "b"), "similar-alike")
+    found = materialize(pairs.join(shuffled(one), "a").join(shuffled(two), "b").where(both / (F.size("ha") + F.size("hb") - both) >= similarity).select("a", "b"), "similar-alike")
     discard(pairs)
     return found
 
@@ -256,11 +256,11 @@ def fits(a: Column, b: Column, similarity: float) -> Column:
 def met_leaders(ties: DataFrame, whole: DataFrame) -> DataFrame:
     """(node, lead, held, size, leading, likeness, apart) of the pairs of sets (node, lead, held): their sizes, how alike
     they are, and, from NEAR on, the hashes that just one of them has."""
-    leaders = whole.join(ties.select(F.col("lead").alias("node")).distinct(), "node", "left_semi")
+    leaders = whole.join(shuffled(ties.select(F.col("lead").alias("node")).distinct()), "node", "left_semi")
     leaders = materialize(leaders.select(F.col("node").alias("lead"), F.col("hashes").alias("hl")), "similar-lead")
     held = leaders.agg(F.coalesce(F.sum(F.size("hl")), F.lit(0)).alias("n")).first()["n"]
     both = F.size(F.array_intersect("hashes", "hl"))
-    met = ties.join(whole, "node").join(small(leaders, held, 8), "lead").withColumn("both", both)
+    met = ties.join(shuffled(whole), "node").join(small(leaders, held, 8), "lead").withColumn("both", both)
     met = met.withColumns({"size": F.size("hashes"), "leading": F.size("hl"), "likeness": F.col("both") / (F.size("hashes") + F.size("hl") - F.col("both"))})
     apart = F.when(F.col("likeness") >= NEAR, F.concat(F.array_except("hashes", "hl"), F.array_except("hl", "hashes")))
     out = materialize(met.select("node", "lead", "held", "size", "leading", "likeness", apart.alias("apart")), "similar-met")
@@ -281,7 +281,7 @@ def apart_pairs(met: DataFrame, similarity: float) -> DataFrame:
     every = met.where(F.col("likeness") >= NEAR).select("lead", "node", "size", F.size("apart").alias("m"), ((F.col("likeness") < similarity) & ~F.col("held")).alias("rest"), (F.size("apart") - k * (F.col("size") + F.col("leading"))).alias("slack"), F.explode("apart").alias("hash"))
     many = materialize(every.groupBy("lead", "hash").agg(F.count("*").alias("c"), F.bool_or("rest").alias("any")).where("c > 1"), "similar-apart")
     own = Window.partitionBy("lead", "node")
-    ranked = every.join(many, ["lead", "hash"]).withColumn("place", F.row_number().over(own.orderBy("c", "hash")) + F.col("m") - F.count("*").over(own))
+    ranked = every.join(shuffled(many), ["lead", "hash"]).withColumn("place", F.row_number().over(own.orderBy("c", "hash")) + F.col("m") - F.count("*").over(own))
     # the least that any partner asks for, before the partner is known
     needed = F.ceil(F.when(F.col("rest"), (F.col("slack") + 1 - k) / 2).otherwise((1 - k) * F.col("m") / 2) - 1e-6)
     ranked = materialize(ranked.where(F.col("any") & (F.col("place") <= F.col("m") - needed + 1)).select("lead", "hash", "node", "size", "m", "rest", "place"), "similar-ranked")
@@ -291,7 +291,7 @@ def apart_pairs(met: DataFrame, similarity: float) -> DataFrame:
     need = F.ceil((F.col("ma") + F.col("mb") - k * (F.col("na") + F.col("nb"))) / 2 - 1e-6)
     reach = (F.col("pa") <= F.col("ma") - need + 1) & (F.col("pb") <= F.col("mb") - need + 1)
     once = (F.col("a") != F.col("b")) & (~F.col("rb") | (F.col("a") < F.col("b")))
-    return one.join(two, ["lead", "hash"]).where(once & reach & fits(F.col("na"), F.col("nb"), similarity)).select("a", "b")
+    return one.join(shuffled(two), ["lead", "hash"]).where(once & reach & fits(F.col("na"), F.col("nb"), similarity)).select("a", "b")
 
 
 def similar_links(known: DataFrame, prefixes: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
@@ -309,25 +309,26 @@ def similar_links(known: DataFrame, prefixes: DataFrame, whole: DataFrame, simil
     """
     side = lambda df, name: df.select("hash", F.col("node").alias(name), F.col("size").alias(f"n{name}"), *(F.col(c).alias(f"{c}{name}") for c in df.columns if c == "label"))
     labels = materialize(connected_components(known, "similar-cc").withColumnRenamed("component", "label"), "similar-labels")
-    labels = small(labels, labels.count(), 16)
+    labels = small(labels, labels.count(), PAIR_BYTES)
     apart = (F.col("a") < F.col("b")) & (F.col("labela") != F.col("labelb")) & fits(F.col("na"), F.col("nb"), similarity)
     found, before = known, None
     while True:
         few = prefixes.where(F.col("n") <= CROWD).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        pairs = side(few, "a").join(side(few, "b"), "hash").where(apart)
+        pairs = side(few, "a").join(shuffled(side(few, "b")), "hash").where(apart)
         close = alike(pairs.select("a", "b"), whole, similarity)
         crowd = prefixes.where(F.col("n") > CROWD)
         leads = materialize(crowd.groupBy("hash").agg(F.min(F.struct("lone", F.xxhash64("node").alias("_h"), "node")).alias("x")).select("hash", F.col("x.node").alias("lead")), "similar-leads")
-        if leads.isEmpty():
+        n_leads = leads.count()
+        if not n_leads:
             return materialize(found.union(close), "similar-found")
-        tied = materialize(crowd.join(leads, "hash").where("node <> lead"), "similar-tied")
+        tied = materialize(crowd.join(small(leads, n_leads, PAIR_BYTES), "hash").where("node <> lead"), "similar-tied")
         ties = tied.select("node", "lead").distinct().join(labels, "node", "left")
         ties = ties.join(labels.select(F.col("node").alias("lead"), F.col("label").alias("leading")), "lead", "left")
         met = met_leaders(ties.select("node", "lead", F.coalesce(F.col("label") == F.col("leading"), F.lit(False)).alias("held")), whole)
         near = met.where((F.col("likeness") >= similarity) & ~F.col("held")).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
         rest = alike(apart_pairs(met, similarity), whole, similarity)
         more = materialize(found.union(close).union(near).union(rest), "similar-found")
-        far = materialize(tied.join(met.where(F.col("likeness") < NEAR + 1 - similarity).select("node", "lead"), ["node", "lead"]).select("hash", "node", "size"), "similar-far")
+        far = materialize(tied.join(shuffled(met.where(F.col("likeness") < NEAR + 1 - similarity).select("node", "lead")), ["node", "lead"]).select("hash", "node", "size"), "similar-far")
         discard(found, close, rest, leads, tied, met)
         found = more
         left = materialize(far.select("node").distinct(), "similar-left")
@@ -335,13 +336,13 @@ def similar_links(known: DataFrame, prefixes: DataFrame, whole: DataFrame, simil
         if not held or before is not None and held > 0.8 * before:
             break
         before = held
-        sets = whole.join(small(left, held, 16), "node").withColumns({"size": F.size("hashes"), "prefix": prefix_size_of(F.size("hashes"), similarity)})
+        sets = whole.join(small(left, held, PAIR_BYTES), "node").withColumns({"size": F.size("hashes"), "prefix": prefix_size_of(F.size("hashes"), similarity)})
         prefixes = shared_prefixes(sets)
         discard(far, left)
     if held:
         comp = connected_components(found, "similar-cc").withColumnRenamed("component", "label")
-        rows = materialize(far.join(comp, "node", "left").withColumn("label", F.coalesce("label", "node")), "similar-rows")
-        pairs = side(rows, "a").join(side(rows, "b"), "hash").where(apart)
+        rows = materialize(far.join(small(comp, comp.count(), PAIR_BYTES), "node", "left").withColumn("label", F.coalesce("label", "node")), "similar-rows")
+        pairs = side(rows, "a").join(shuffled(side(rows, "b")), "hash").where(apart)
         found = materialize(found.union(alike(pairs.select("a", "b"), whole, similarity)), "similar-found")
     return found
 
@@ -363,16 +364,16 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     discard(signed)
     prefixes = shared_prefixes(sets)
     some = prefixes.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    nodes = materialize(sets.join(some, "node").groupBy("node").agg(F.min("id").alias("_sw_id")), "similar-nodes")
+    nodes = materialize(sets.join(shuffled(some), "node").groupBy("node").agg(F.min("id").alias("_sw_id")), "similar-nodes")
     held = nodes.count()
-    some = docs.join(small(nodes.select("_sw_id"), held, 32), docs[id_col] == F.col("_sw_id"), "left_semi")
-    whole = shingle_sets(some, id_col, text_col, n, similarity, whole=True).join(small(nodes.select("node"), held, 32), "node", "left_semi")
+    some = docs.join(small(nodes.select("_sw_id"), held, PAIR_BYTES), docs[id_col] == F.col("_sw_id"), "left_semi")
+    whole = shingle_sets(some, id_col, text_col, n, similarity, whole=True).join(small(nodes.select("node"), held, PAIR_BYTES), "node", "left_semi")
     whole = materialize(whole.groupBy("node").agg(F.first("hashes").alias("hashes")), "similar-whole")
     found = similar_links(alike(pairs, whole, similarity), prefixes, whole, similarity)
     discard(pairs, prefixes, nodes, whole)
     comp = connected_components(found, "similar-cc")
-    named = sets.select("id", "node").join(comp, "node", "left").select("id", F.coalesce("component", "node").alias("component"))
+    named = sets.select("id", "node").join(small(comp, comp.count(), PAIR_BYTES), "node", "left").select("id", F.coalesce("component", "node").alias("component"))
     least = materialize(named.groupBy("component").agg(F.min("id").alias("least"), F.count("*").alias("m")).where("m > 1"), "similar-least")
-    gone = materialize(named.join(least, "component").where("id <> least").select(F.col("id").alias("_sw_id")).distinct(), "similar-out")
+    gone = materialize(named.join(small(least, least.count(), PAIR_BYTES), "component").where("id <> least").select(F.col("id").alias("_sw_id")).distinct(), "similar-out")
     discard(sets, least)
-    return docs.join(small(gone, gone.count(), 32), docs[id_col] == F.col("_sw_id"), "left_anti")
+    return docs.join(small(gone, gone.count(), PAIR_BYTES), docs[id_col] == F.col("_sw_id"), "left_anti")

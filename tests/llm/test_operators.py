@@ -410,6 +410,18 @@ def test_simhash_broadcasts_nothing_uncounted(spark, uncounted):
     assert not broadcasts(simhash.near_duplicates(docs)) and not uncounted
 
 
+def test_near_copies_broadcast_nothing_uncounted(spark, monkeypatch, uncounted):
+    monkeypatch.setattr(simhash, "CROWD", 3)
+    rng = random.Random(15)
+    words = [sentence(rng, 60).split() for _ in range(8)]
+    docs = [edited(rng, w, k % 4) for w in words for k in range(8)]
+    df = common.materialize(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), "t-docs")
+    out = exact_dedup.drop_copies(simhash.drop_near_copies(df))
+    assert not broadcasts(out) and not uncounted
+    monkeypatch.undo()
+    assert {r["doc_id"] for r in out.collect()} == {r["doc_id"] for r in exact_dedup.drop_copies(simhash.drop_near_copies(df)).collect()}
+
+
 def test_near_copies(spark, none, odd):
     rng = random.Random(6)
     docs, groups = [], 30
