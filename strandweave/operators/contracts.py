@@ -3,7 +3,7 @@
 A record is parsed once to a VARIANT. Every keyword of the contract is an expression over it, written as SQL so that a large
 contract is one text to parse; nested arrays and objects are taken by higher-order functions. What is sound is told by one
 condition; only for broken records are the violations made, as rows with the path to each. Plain records, which are most, go
-through a Python function of the same contract (``contract_functions``), hundreds of times cheaper than the projection.
+through a Python function of the same contract (``contract_functions``), several times cheaper than the projection.
 """
 
 from __future__ import annotations
